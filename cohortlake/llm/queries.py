@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_decode
+from .minhash import near_duplicates
+from .substring import dedup_substrings
 from .url_filter import filter_urls
 
 #: Name of the vocabulary file of op9, found on every node by the package of public tokenizers.
@@ -37,6 +39,15 @@ def bpe_digest(coded: DataFrame) -> DataFrame:
     )
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return dedup_substrings(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
 OP6_SQL = """
 WITH parts AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -54,6 +65,8 @@ FROM hit GROUP BY page_id, host, path
 """
 
 QUERIES = {
+    "op7_minhash_near_dedup": op7_minhash_near_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_url_filters": op6_url_filters,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
 }
