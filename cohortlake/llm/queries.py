@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_decode
+from .language import fit, identify
 from .minhash import near_duplicates
 from .substring import dedup_substrings
 from .url_filter import filter_urls
@@ -25,6 +26,17 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+def fold() -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % 4
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = fit(docs.where(fold() != 2))
+    found = identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", F.coalesce(fold() == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op9_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return bpe_digest(encode_decode(docs, vocabulary()))
@@ -65,6 +77,7 @@ FROM hit GROUP BY page_id, host, path
 """
 
 QUERIES = {
+    "op8_language_id": op8_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_url_filters": op6_url_filters,
