@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .bpe import encode_decode
 from .language import fit, identify
 from .minhash import near_duplicates
+from .sharding import assign_shards
 from .substring import dedup_substrings
 from .url_filter import filter_urls
 
@@ -51,6 +52,10 @@ def bpe_digest(coded: DataFrame) -> DataFrame:
     )
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+
+
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return dedup_substrings(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
@@ -77,6 +82,7 @@ FROM hit GROUP BY page_id, host, path
 """
 
 QUERIES = {
+    "op4_sharding": op4_sharding,
     "op8_language_id": op8_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
     "op5_substring_dedup": op5_substring_dedup,
