@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode_decode
+from .html_extract import extract_text
 from .language import fit, identify
 from .minhash import near_duplicates
 from .sharding import assign_shards
@@ -52,6 +53,11 @@ def bpe_digest(coded: DataFrame) -> DataFrame:
     )
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
@@ -82,6 +88,7 @@ FROM hit GROUP BY page_id, host, path
 """
 
 QUERIES = {
+    "op1_html_extraction": op1_html_extraction,
     "op4_sharding": op4_sharding,
     "op8_language_id": op8_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
