@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .ann import nearest
 from .bpe import encode_decode
 from .html_extract import extract_text
 from .language import fit, identify
@@ -71,6 +72,10 @@ def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
 OP6_SQL = """
 WITH parts AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -95,5 +100,6 @@ QUERIES = {
     "op5_substring_dedup": op5_substring_dedup,
     "op6_url_filters": op6_url_filters,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
+    "op10_nearest_neighbours": op10_nearest_neighbours,
 }
 ORACLE = {"op6_url_filters": OP6_SQL}
