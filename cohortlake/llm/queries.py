@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import quality
 from .ann import nearest
 from .bpe import encode_decode
 from .html_extract import extract_text
@@ -59,6 +60,13 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(pages).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    # A document's site is its source; the languages of a source are its paths.
+    return quality.score_quality(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
@@ -94,6 +102,7 @@ FROM hit GROUP BY page_id, host, path
 
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
+    "op2_quality_classifier": op2_quality_classifier,
     "op4_sharding": op4_sharding,
     "op8_language_id": op8_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
