@@ -1,14 +1,19 @@
 """Substring dedup: remove words covered by a long window that also starts elsewhere.
 
-1. Sketch. Each task hashes its windows into `depth` rows of saturating counters and sends the cells
-   it has seen, cell by cell once, marked if seen twice; segments of the sketch are merged in parallel.
-   Cells counted twice or more form a bitmap. Counters only ever overestimate.
-2. Exact pass. Windows whose cells are all marked go on, once per block of texts and window, to be
-   grouped by a 96-bit hash of their words. Real repeats are told back to their documents as ranges.
-
-The bitmap is the only thing broadcast; its size is the parameter `cells` and doesn't depend on the
-data. With more windows than cells it lets more unique windows through to the exact pass, no fewer
-repeated ones, so the result is the same at every size.
+A window's representative is the 20-word gram in it with the smallest hash, the leftmost of equals.
+Equal windows have equal representatives at the same offset, so a window occurs at most as often as
+its representative is chosen at different places.
+
+1. Sketch. Each task counts the chosen representatives in `depth` rows of saturating counters and
+   sends the cells it has seen, once each, marked if seen twice; segments of the sketch are merged in
+   parallel. A window's count is estimated by its representative's cells, never too low.
+2. Exact pass. Windows estimated as repeated go on, once per block of texts and window, to be grouped
+   by a 96-bit hash of all their words. They are dealt out by representative, so neighbouring windows
+   travel together. Real repeats are told back to their documents as ranges.
+
+Only a bitmap of the cells counted twice or more is broadcast; its size is the parameter `cells` and
+doesn't depend on the data. With many more representatives than cells it lets more unique windows
+through to the exact pass, no fewer repeated ones, so the result is the same at every size.
 """
 
 from __future__ import annotations
@@ -26,10 +31,14 @@ from pyspark.sql.types import _parse_datatype_string
 from .textcore import buffers, groups, mix, ragged, rolled, spans, word_hashes
 
 WINDOW = 35
-#: Counters of all rows of the sketch together; as bits they make 64 MB.
-CELLS = 1 << 29
+#: Words in a representative.
+GRAM = 20
+#: Counters of all rows of the sketch together; as bits they make 32 MB.
+CELLS = 1 << 28
 DEPTH = 2
 SEGMENT = 1 << 22
+#: Words handled at once; positions among them and a hash's leading bits share 64 bits.
+PIECE, PLACE_BITS = 1 << 21, 22
 _A, _B, _G = 0x9E6C63D0876A9A47 | 1, 0xC2B2AE3D27D4EB4F, np.uint64(0xA0761D6478BD642F)
 
 
@@ -42,20 +51,47 @@ def window_hashes(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndar
     return at, one[at], two[at]
 
 
-def _cells(one: np.ndarray, two: np.ndarray, cells: int, depth: int) -> Iterator[np.ndarray]:
-    """A cell number per window for each row of the sketch; rows lie behind each other."""
+def representatives(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of `width` words the hash and the place of its representative."""
+    gram = min(GRAM, width)
+    x = rolled(h, gram, _A)
+    keep = np.uint64((1 << 64) - (1 << PLACE_BITS))
+    y = (x & keep) | np.arange(len(x), dtype=np.uint64)
+    span, n = 1, width - gram + 1
+    while 2 * span <= n:
+        y = np.minimum(y[:-span], y[span:]) if len(y) > span else y[:0]
+        span *= 2
+    if n > span:
+        y = np.minimum(y[: len(y) - (n - span)], y[n - span :]) if len(y) > n - span else y[:0]
+    place = (y & ~keep).astype(np.int64)
+    return x[place], place
+
+
+def _cells(x: np.ndarray, cells: int, depth: int) -> Iterator[np.ndarray]:
+    """A cell number for each hash and row of the sketch; rows lie behind each other."""
     per = cells // depth
     for r in range(depth):
-        yield ((one if r == 0 else mix(one + two * np.uint64(2 * r + 1))) & np.uint64(per - 1)) + np.uint64(r * per)
+        yield ((mix(x + np.uint64((2 * r + 1) * int(_G) % (1 << 64))) & np.uint64(per - 1)) + np.uint64(r * per)).astype(np.int64)
 
 
-def _texts(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Blocks of rows: bounds, word hashes, first words."""
+def _texts(batch: pa.RecordBatch, column: int, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """Pieces of work: first row, word hashes, first words of its texts, and the place of the piece in its text.
+
+    A text of more than PIECE words comes in pieces that overlap by a window less a word.
+    """
     buf, offsets = buffers(batch.column(column))
     for i, j in groups(offsets):
         part, offs = buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         starts, ends, first = spans(part, offs)
-        yield i, j, word_hashes(part, starts, ends), first
+        h = word_hashes(part, starts, ends)
+        if len(h) <= PIECE:
+            yield i, h, first, 0
+            continue
+        for k in range(j - i):
+            own = h[first[k] : first[k + 1]]
+            for a in range(0, max(1, len(own) - width + 1), PIECE - width):
+                piece = own[a : a + PIECE - 1]
+                yield i + k, piece, np.array([0, len(piece)]), a
 
 
 def sketch(docs: DataFrame, text: str, width: int, cells: int, depth: int) -> np.ndarray:
@@ -64,36 +100,45 @@ def sketch(docs: DataFrame, text: str, width: int, cells: int, depth: int) -> np
     size = cells // segments
     pending_most = 4 << 20
 
-    def send(pending: list[np.ndarray]) -> pa.RecordBatch | None:
-        cell, count = np.unique(np.concatenate(pending), return_counts=True)
-        cell, count = cell.astype(np.int64), count > 1
+    def send(cell: np.ndarray) -> pa.RecordBatch:
+        """The cells of one row of the sketch: gaps between them, and a mark for those seen twice."""
+        cell.sort()
+        lead = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        many = np.diff(np.append(lead, len(cell))) > 1
+        cell = cell[lead]
         seg = cell // size
-        cut = np.flatnonzero(np.diff(seg, prepend=-1, append=-1)) if len(seg) else np.zeros(0, int)
+        cut = np.flatnonzero(np.diff(seg, prepend=-1, append=-1))
         rows = []
         for a, b in zip(cut[:-1], cut[1:]):
-            low = (cell[a:b] - seg[a] * size).astype(np.uint32)
-            gap = np.diff(low, prepend=np.uint32(0))
+            gap = np.diff(cell[a:b] - seg[a] * size, prepend=0)
             # gaps below 255 take a byte, others a byte and four more: ascending cells pack well
             wide = gap >= 255
-            rows.append((int(seg[a]), np.where(wide, 255, gap).astype(np.uint8).tobytes(), gap[wide].astype("<u4").tobytes(), np.packbits(count[a:b]).tobytes()))
-        if not rows:
-            return None
+            rows.append((int(seg[a]), np.where(wide, 255, gap).astype(np.uint8).tobytes(), gap[wide].astype("<u4").tobytes(), np.packbits(many[a:b]).tobytes()))
         s, x, y, z = zip(*rows)
         return pa.RecordBatch.from_arrays([pa.array(s, pa.int32()), pa.array(x, pa.binary()), pa.array(y, pa.binary()), pa.array(z, pa.binary())], names=["segment", "near", "far", "twice"])
 
+    def flush(pending: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        x = np.concatenate(pending) if pending else np.zeros(0, np.uint64)
+        if len(x):
+            for cell in _cells(x, cells, depth):
+                yield send(cell)
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, n = [], 0
         for b in batches:
-            for _, _, h, first in _texts(b, 0):
-                _, one, two = window_hashes(h, first, width)
-                pending += _cells(one, two, cells, depth)
-                n += len(one)
+            for _, h, first, a in _texts(b, 0, width):
+                at = ragged(first[:-1], np.maximum(np.diff(first) - width + 1, 0))
+                x, place = representatives(h, width)
+                if len(at):
+                    # A text's places ascend; one place serves neighbouring windows.
+                    x, place = x[at], place[at]
+                    new = np.concatenate([[True], place[1:] != place[:-1]])
+                    pending.append(x[new])
+                    n += int(new.sum())
                 if n > pending_most:
-                    if (out := send(pending)) is not None:
-                        yield out
+                    yield from flush(pending)
                     pending, n = [], 0
-        if n and (out := send(pending)) is not None:
-            yield out
+        yield from flush(pending)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows of one task arrive ordered by segment, so one segment is open at a time."""
@@ -149,12 +194,15 @@ def repeated_ranges(docs: DataFrame, text: str = "text", width: int = WINDOW, ce
         """
         bits = marks.value
         for b in batches:
-            for i, j, h, first in _texts(b, 2):
+            for i, h, first, moved in _texts(b, 2, width):
                 at, one, two = window_hashes(h, first, width)
+                if not len(at):
+                    continue
+                x = representatives(h, width)[0][at]
                 keep = np.ones(len(at), bool)
-                for cell in _cells(one, two, cells, depth):
-                    keep &= (bits[(cell >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cell & np.uint64(7)).astype(np.uint8))) & np.uint8(1) > 0
-                at, one, two = at[keep], one[keep], two[keep]
+                for cell in _cells(x, cells, depth):
+                    keep &= (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & np.uint8(1) > 0
+                at, one, two, x = at[keep], one[keep], two[keep], x[keep]
                 if not len(at):
                     continue
                 order = np.lexsort((at, two, one))
@@ -168,17 +216,17 @@ def repeated_ranges(docs: DataFrame, text: str = "text", width: int = WINDOW, ce
                 if many.any():
                     d, a, e = joined(doc[many], at[many], at[many] + width)
                     own, index = np.unique(d, return_inverse=True)
-                    for k, v in (("bucket", int((one.sum() >> np.uint64(20)) % np.uint64(buckets))), ("one", b""), ("two", b""), ("many", b""), ("at", b""), ("docs", own), ("base", first[own]), ("known", index), ("start", a), ("end", e)):
+                    for k, v in (("bucket", int((one.sum() >> np.uint64(20)) % np.uint64(buckets))), ("one", b""), ("two", b""), ("many", b""), ("at", b""), ("docs", own), ("base", first[own] - moved), ("known", index), ("start", a), ("end", e)):
                         rows[k].append(v)
                 at, one, two, many, doc = at[lead], one[lead], two[lead], many[lead], doc[lead]
-                bucket = ((one >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
+                bucket = (mix(x[lead]) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
                 none = np.zeros(0, np.int64)
                 for x, y in zip(cut[:-1], cut[1:]):
                     o = order[x:y]
                     own = np.unique(doc[o])
-                    for k, v in (("bucket", int(bucket[o[0]])), ("one", one[o].tobytes()), ("two", two[o].astype("<u4").tobytes()), ("many", np.packbits(many[o]).tobytes()), ("at", np.diff(at[o], prepend=0).astype("<u4").tobytes()), ("docs", own), ("base", first[own]), ("known", none), ("start", none), ("end", none)):
+                    for k, v in (("bucket", int(bucket[o[0]])), ("one", one[o].tobytes()), ("two", two[o].astype("<u4").tobytes()), ("many", np.packbits(many[o]).tobytes()), ("at", np.diff(at[o], prepend=0).astype("<u4").tobytes()), ("docs", own), ("base", first[own] - moved), ("known", none), ("start", none), ("end", none)):
                         rows[k].append(v)
                 n = [len(x) for x in rows["docs"]]
                 pick = pa.array(np.concatenate(rows["docs"]) + i)
