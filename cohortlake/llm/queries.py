@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import quality
 from .ann import nearest
 from .bpe import encode_decode
+from .decontaminate import find_leaks
 from .html_extract import extract_text
 from .language import fit, identify
 from .minhash import near_duplicates
@@ -67,6 +68,12 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, labels, F.col("source"), F.concat_ws("/", "source", "lang"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return leaks.select(F.col("id").alias("doc_id"), "item_id", "start", "words", "lcs", "ratio", "cosine", "answered")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
 
@@ -103,6 +110,7 @@ FROM hit GROUP BY page_id, host, path
 QUERIES = {
     "op1_html_extraction": op1_html_extraction,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_sharding": op4_sharding,
     "op8_language_id": op8_language_id,
     "op7_minhash_near_dedup": op7_minhash_near_dedup,
