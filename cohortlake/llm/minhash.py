@@ -6,8 +6,8 @@ band are candidates, and candidates become links only by comparing their full sh
 
 Equal word sequences are one node from the start. In the first phase each node is compared with one
 pivot, the smallest of all its buckets' smallest members. That already unites groups of copies, so
-the second phase only compares nodes that share a bucket but not yet a component, where the
-signatures leave it open that they are linked. Pairs inside a component need no comparison.
+the second phase only compares nodes that share a bucket with another component. Their candidates
+come from the rarest shingles of each, which loses no pair; pairs inside a component need no comparison.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import components
 from .storage import written
@@ -25,8 +26,8 @@ from .textcore import buffers, groups, lowered, mix, powers, ragged, rolled, spa
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 PERMUTATIONS, ROWS = 64, 4
-#: A pair is compared in the second phase if at least this share of its signature agrees (0.75 less six deviations).
-PLAUSIBLE = 0.5
+#: Bits of a shingle's hash by which the second phase finds candidates; a chance agreement only adds one.
+TOKEN_BITS = 40
 _A, _B = 0x9E6C63D0876A9A47 | 1, 0xC2B2AE3D27D4EB4F
 _FACTORS = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -78,7 +79,7 @@ def distinct_counts(h: np.ndarray, edge: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id: str, text: str) -> DataFrame:
-    """Per row: id, digest of its word sequence, number of distinct shingles, band hashes, signature bytes."""
+    """Per row: id, digest of its word sequence, number of distinct shingles, band hashes."""
     id_type = dict(docs.dtypes)[id]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,11 +105,11 @@ def signatures(docs: DataFrame, id: str, text: str) -> DataFrame:
                     [b.column(0).slice(i, n), pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), n, [None, pa.py_buffer(np.ascontiguousarray(digest))]).cast(pa.binary()),
                      pa.array(distinct_counts(h, edge)),
                      pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands.shape[1]), pa.array(bands.reshape(-1))),
-                     pa.FixedSizeBinaryArray.from_buffers(pa.binary(2 * PERMUTATIONS), n, [None, pa.py_buffer(np.ascontiguousarray((mixed & np.uint64(255)).astype(np.uint8)))]).cast(pa.binary())],
-                    names=["id", "digest", "n", "bands", "sig"],
+                    ],
+                    names=["id", "digest", "n", "bands"],
                 )
 
-    return docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"id {id_type}, digest binary, n bigint, bands array<bigint>, sig binary")
+    return docs.select(F.col(f"`{id}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"id {id_type}, digest binary, n bigint, bands array<bigint>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -133,49 +134,41 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return full.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def crossing(members: DataFrame, partitions: int) -> DataFrame:
-    """Pairs that share a bucket but no component and whose signatures leave a link open.
-
-    `members` has key, node, comp, n, sig; buckets with a single component have been left out.
-    """
-
-    def open_pairs(node: np.ndarray, comp: np.ndarray, n: np.ndarray, sig: np.ndarray) -> Iterator[np.ndarray]:
-        # Sorted by size, a node's partners by size are a stretch; rows are taken in blocks.
-        order = np.argsort(n, kind="stable")
-        node, comp, n, sig = node[order], comp[order], n[order], sig[order]
-        upto = np.searchsorted(n * NUMERATOR, n * DENOMINATOR, "right")  # n[j] * 75 <= n[i] * 100
-        for i in range(len(node) - 1):
-            lo, hi = i + 1, upto[i]
-            if hi > lo:
-                j = lo + np.flatnonzero(comp[lo:hi] != comp[i])
-                if len(j):
-                    j = j[(sig[j] == sig[i]).mean(1) >= PLAUSIBLE]
-                if len(j):
-                    yield np.stack([np.full(len(j), node[i]), node[j]], 1)
+def shingle_rows(nodes: DataFrame) -> DataFrame:
+    """One row for each distinct shingle of each node: node, comp, n (its number of shingles), h. `nodes` has node, comp, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if sum(map(len, (h[0] for h in held))) > 1:
-                node, comp, n, sig = (np.concatenate(c) for c in zip(*held))
-                if (found := list(open_pairs(node, comp, n, sig))):
-                    p = np.concatenate(found)
-                    yield pa.RecordBatch.from_arrays([pa.array(p.min(1)), pa.array(p.max(1))], names=["a", "b"])
-
         for b in batches:
-            keys = b.column(0).to_numpy()
-            cut = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else []
-            sig = np.frombuffer(buffers(b.column(4))[0], np.uint8).reshape(len(keys), 2 * PERMUTATIONS)
-            cols = [b.column(k).to_numpy() for k in (1, 2, 3)]
-            for x, y in zip(cut, [*cut[1:], len(keys)]):
-                if keys[x] != key:
-                    yield from flush()
-                    key, held = keys[x], []
-                held.append((*(c[x:y] for c in cols), sig[x:y]))
-        yield from flush()
-
-    return members.select("key", "node", "comp", "n", "sig").repartition(partitions, "key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint").distinct()
+            buf, offsets = buffers(b.column(2))
+            for i, j in groups(offsets, 1 << 20):
+                h, edge, _, _ = shingles(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                keys, shift = _keyed(h, edge)
+                doc = (keys >> np.uint64(shift)).astype(np.int64)
+                n = np.bincount(doc, minlength=j - i)
+                # What is left of the hash beside the text's number; 44 bits at least, the same for all nodes.
+                token = (keys & np.uint64((1 << shift) - 1)) >> np.uint64(max(0, shift - TOKEN_BITS))
+                at = pa.array(doc + i)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(n[doc]), pa.array(token.astype(np.int64))], names=["node", "comp", "n", "h"])
+
+    return nodes.select("node", "comp", "text").mapInArrow(run, "node bigint, comp bigint, n bigint, h bigint")
+
+
+def crossing(nodes: DataFrame) -> DataFrame:
+    """Pairs of nodes of different components that could be similar enough, by the prefixes of their shingles.
+
+    Order all shingles by their frequency, rarest first. Two sets of n and m shingles with a similarity
+    of 3/4 share one of the first n - ceil(3n/4) + 1 and m - ceil(3m/4) + 1. What makes a copy differ is
+    rare and comes first, so copies too far apart seldom meet, however large their group is. No pair is lost.
+    """
+    rows = shingle_rows(nodes)
+    rows = written(rows, "shingles")
+    often = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    ranked = rows.join(often, "h").withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy("c", "h")))
+    prefix = ranked.where(f"r <= n - ceil({NUMERATOR} * n / {DENOMINATOR}) + 1 AND lo < hi").select("h", "node", "comp", "n")
+    prefix = written(prefix, "prefixes")
+    other = prefix.select("h", F.col("node").alias("b"), F.col("comp").alias("bc"), F.col("n").alias("bn"))
+    met = prefix.join(other, "h").where(f"comp < bc AND {NUMERATOR} * n <= {DENOMINATOR} * bn AND {NUMERATOR} * bn <= {DENOMINATOR} * n")
+    return met.select(F.col("node").alias("a"), "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -185,8 +178,6 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     same id count as one document. A row without an id is linked with nothing: its component is null
     and it is kept. Other columns are not looked at; an empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     sigs = written(signatures(base, "id", "text"), "signatures")
     full = sigs.where("n > 0 AND id IS NOT NULL")
@@ -194,7 +185,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     named = written(full.groupBy("digest").agg(F.min("id").alias("node"), F.count("*").alias("copies")), "nodes")
     copies = full.join(named.where("copies > 1").select("digest", "node"), "digest").select(F.col("id").alias("a"), F.col("node").alias("b")).where("a <> b")
     nodes = full.join(named.select("digest", F.col("node").alias("id")), ["digest", "id"], "left_semi").dropDuplicates(["digest"])
-    nodes = written(nodes.select(F.col("id").alias("node"), "n", "bands", "sig"), "representatives")
+    nodes = written(nodes.select(F.col("id").alias("node"), "bands"), "representatives")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     buckets = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other")).where("pivot < other").select("key", "pivot")
     members = written(keyed.join(buckets, "key"), "buckets")
@@ -208,8 +199,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
     labelled = members.join(found.select(F.col("u").alias("node"), F.col("v").alias("comp")), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    unsettled = labelled.join(mixed, "key", "left_semi").join(nodes.select("node", "n", "sig"), "node")
-    pairs = written(crossing(unsettled, parts), "pairs")
+    unsettled = labelled.join(mixed, "key", "left_semi").select("node", "comp").distinct()
+    pairs = written(crossing(unsettled.join(texts.withColumnRenamed("id", "node"), "node")), "pairs")
     more = verified(pairs, texts)
     every = links.unionByName(more).unionByName(copies)
     found = components(every)
