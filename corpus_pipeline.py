@@ -1,3 +1,74 @@
-STAGES = []
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+"""A corpus pipeline: five stages, each taking the documents that its predecessor kept.
+
+A stage is (spark, docs, sf_dir) -> DataFrame. The result is written as Parquet and read back as the
+next stage's documents. All stages but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortlake.llm.bpe import encode_decode
+from cohortlake.llm.decontaminate import decontaminate
+from cohortlake.llm.language import fit, identify
+from cohortlake.llm.minhash import near_duplicates
+from cohortlake.llm.queries import bpe_digest, fold, vocabulary
+from cohortlake.llm.storage import written
+from cohortlake.llm.substring import dedup_substrings
+
+#: A text is rejected if no language explains its trigrams better than chance.
+LEAST_GAIN = 0.0
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without a letter, and those that no learned language explains better than chance, go; a missing `lang` is filled in."""
+    model = fit(docs.where(fold() != 2))
+    found = identify(docs, model).where((F.col("lang_pred") != "und") & (F.col("gain") > LEAST_GAIN))
+    return found.select(*[F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays, the one of the smallest doc_id."""
+    groups = near_duplicates(docs.select("doc_id", "text"))
+    gone = groups.where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of repeated windows go; a text that loses nothing stays as it is, one that loses everything goes."""
+    cut = dedup_substrings(docs)
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("text"))
+    left = cut.where("n_removed = 0 OR n_removed < n_words").withColumn("text", text).withColumn("n_chars", F.length("text").cast("long"))
+    return left.select(docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(docs.columns)
+
+
+def tokenize_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of what is left."""
+    return bpe_digest(encode_decode(docs.select("doc_id", "text"), vocabulary()))
+
+
+STAGES = [
+    ("language_id", language_stage),
+    ("near_dedup", near_dedup_stage),
+    ("substring_dedup", substring_stage),
+    ("decontamination", decontamination_stage),
+    ("bpe", tokenize_stage),
+]
+
+#: No stage can be written in SQL: mixtures, hashing, a latent space and a tokenizer. Tested against brute force.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = written(docs, name)
+    return docs
