@@ -25,8 +25,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
 
 from .textcore import buffers, groups, mix, ragged, rolled, spans, word_hashes
 
@@ -241,56 +239,59 @@ def repeated_ranges(docs: DataFrame, text: str = "text", width: int = WINDOW, ce
     def answer(pending: list[dict]) -> pa.RecordBatch | None:
         """The exact grouping of one bucket: a window is repeated if two blocks, or one block twice, have it."""
         ids, hashes, starts, ends = [], [], [], []
+
+        def tell(r: dict, doc: np.ndarray, a: np.ndarray, e: np.ndarray) -> None:
+            """Ranges of one row, by text; they are sorted by it."""
+            cut = np.flatnonzero(np.diff(doc, prepend=-1, append=-1))
+            own = doc[cut[:-1]]
+            ids.append(r["ids"].take(pa.array(own)))
+            hashes.append(r["hashes"].take(pa.array(own)))
+            a, e = a - r["base"][doc], e - r["base"][doc]
+            starts.extend(a[x:y] for x, y in zip(cut[:-1], cut[1:]))
+            ends.extend(e[x:y] for x, y in zip(cut[:-1], cut[1:]))
+
         asked = [r for r in pending if len(r["one"])]
+        for r in pending:
+            if len(r["known"]):
+                tell(r, r["known"], r["start"], r["end"])
         if asked:
-            one = np.concatenate([np.frombuffer(r["one"], np.uint64) for r in asked])
-            two = np.concatenate([np.frombuffer(r["two"], "<u4") for r in asked])
-            size = [len(r["two"]) // 4 for r in asked]
-            many = np.concatenate([np.unpackbits(np.frombuffer(r["many"], np.uint8), count=n) for r, n in zip(asked, size)]).view(bool)
+            one, two, many = (np.concatenate([r[k] for r in asked]) for k in ("one", "two", "many"))
             order = np.lexsort((two, one))
             same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
             hit = np.zeros(len(one), bool)
             hit[order[1:]] |= same
             hit[order[:-1]] |= same
             hit &= ~many  # places of these are known
-            edge = np.concatenate([[0], np.cumsum(size)])
-        for k, r in enumerate(pending):
-            if len(r["one"]):
-                continue
-            known, a, e = (np.asarray(r[x], np.int64) for x in ("known", "start", "end"))
-            cut = np.searchsorted(known, np.arange(len(r["base"]) + 1))
-            for d, base in enumerate(r["base"]):
-                x, y = cut[d], cut[d + 1]
-                ids.append(r["ids"][d]), hashes.append(r["hashes"][d]), starts.append(a[x:y] - base), ends.append(e[x:y] - base)
-        for k, r in enumerate(asked):
-            at = np.cumsum(np.frombuffer(r["at"], "<u4").astype(np.int64))[hit[edge[k] : edge[k + 1]]]
-            if len(at):
-                base = np.asarray(r["base"], np.int64)
-                doc = np.searchsorted(base, at, "right") - 1
-                d, a, e = joined(doc, at, at + width)
-                cut = np.flatnonzero(np.diff(d, prepend=-1, append=-1))
-                for x, y in zip(cut[:-1], cut[1:]):
-                    q = d[x]
-                    ids.append(r["ids"][q]), hashes.append(r["hashes"][q]), starts.append(a[x:y] - base[q]), ends.append(e[x:y] - base[q])
+            edge = np.concatenate([[0], np.cumsum([len(r["one"]) for r in asked])])
+            for k, r in enumerate(asked):
+                at = r["at"][hit[edge[k] : edge[k + 1]]]
+                if len(at):
+                    tell(r, *joined(np.searchsorted(r["base"], at, "right") - 1, at, at + width))
         if not ids:
             return None
-        return pa.RecordBatch.from_arrays([pa.array(ids, shape.field("id").type), pa.array(hashes, pa.int64()), _packed(starts, pa.int32()), _packed(ends, pa.int32())], names=["id", "hash", "starts", "ends"])
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(ids), pa.concat_arrays(hashes), _packed(starts, pa.int32()), _packed(ends, pa.int32())], names=["id", "hash", "starts", "ends"])
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, pending = None, []
         for b in batches:
-            for r in b.to_pylist():
-                if r["bucket"] != now and pending:
+            buckets_here = b.column(0).to_numpy()
+            for k in range(b.num_rows):
+                if buckets_here[k] != now and pending:
                     if (out := answer(pending)) is not None:
                         yield out
                     pending = []
-                now = r["bucket"]
-                pending.append(r)
+                now = buckets_here[k]
+                one, two, many, at = (b.column(c)[k].as_buffer() for c in (1, 2, 3, 4))
+                n = two.size // 4
+                base, known, start, end = (b.column(c)[k].values.to_numpy().astype(np.int64) for c in (7, 8, 9, 10))
+                pending.append({
+                    "one": np.frombuffer(one, np.uint64), "two": np.frombuffer(two, "<u4"), "many": np.unpackbits(np.frombuffer(many, np.uint8), count=n).view(bool),
+                    "at": np.cumsum(np.frombuffer(at, "<u4").astype(np.int64)), "ids": b.column(5)[k].values, "hashes": b.column(6)[k].values, "base": base, "known": known, "start": start, "end": end,
+                })
         if pending and (out := answer(pending)) is not None:
             yield out
 
     schema = f"id {id_type}, hash bigint, starts array<int>, ends array<int>"
-    shape = to_arrow_schema(_parse_datatype_string(schema))
     found = docs.select("_id", "_hash", F.col(f"`{text}`")).mapInArrow(
         candidates, f"bucket int, one binary, two binary, many binary, at binary, ids array<{id_type}>, hashes array<bigint>, base array<int>, known array<int>, start array<int>, end array<int>"
     )
@@ -332,23 +333,28 @@ def dedup_substrings(docs: DataFrame, id: str = "doc_id", text: str = "text", wi
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n_words, n_removed, kept = [], [], []
-            for t, lo, hi in zip(b.column(at).cast(pa.binary()), b.column(len(keep)), b.column(len(keep) + 1)):
-                words = (t.as_py() or b"").split()  # bytes split at exactly these six white-space bytes
-                n, gone = len(words), 0
-                if lo.is_valid:
-                    a, e = lo.values.to_numpy(), hi.values.to_numpy()
-                    order = np.argsort(a, kind="stable")
-                    _, a, e = joined(np.zeros(len(a), np.int64), a[order].astype(np.int64), e[order].astype(np.int64))
-                    gone = int((e - a).sum())
-                    left, out = 0, []
-                    for x, y in zip(a.tolist(), e.tolist()):
-                        out += words[left:x]
-                        left = y
-                    words = out + words[left:]
-                n_words.append(n)
-                n_removed.append(gone)
-                kept.append(b" ".join(words))
-            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=[*keep, "n_words", "n_removed", "kept"])
+            # Some MB at a time, so that a batch of long texts isn't held several times over.
+            for i, j in groups(buffers(b.column(at))[1]):
+                yield one(b.slice(i, j - i))
+
+    def one(b: pa.RecordBatch) -> pa.RecordBatch:
+        n_words, n_removed, kept = [], [], []
+        for t, lo, hi in zip(b.column(at).cast(pa.binary()), b.column(len(keep)), b.column(len(keep) + 1)):
+            words = (t.as_py() or b"").split()  # bytes split at exactly these six white-space bytes
+            n, gone = len(words), 0
+            if lo.is_valid:
+                a, e = lo.values.to_numpy(), hi.values.to_numpy()
+                order = np.argsort(a, kind="stable")
+                _, a, e = joined(np.zeros(len(a), np.int64), a[order].astype(np.int64), e[order].astype(np.int64))
+                gone = int((e - a).sum())
+                left, out = 0, []
+                for x, y in zip(a.tolist(), e.tolist()):
+                    out += words[left:x]
+                    left = y
+                words = out + words[left:]
+            n_words.append(n)
+            n_removed.append(gone)
+            kept.append(b" ".join(words))
+        return pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=[*keep, "n_words", "n_removed", "kept"])
 
     return both.select(*[F.col(f"`{c}`") for c in keep], "_from", "_to").mapInArrow(cut, shape)
