@@ -5,7 +5,7 @@ Every permutation of the shingle hashes gives two signature values, its minimum
 band are candidates, and candidates become links only by comparing their full shingle sets.
 
 Equal word sequences are one node from the start. In the first phase each node is compared with one
-pivot, the smallest of all its buckets' smallest members. That already unites groups of copies, so
+pivot, of its buckets' most connected members the most connected. That already unites groups of copies, so
 the second phase only compares nodes that share a bucket with another component. Their candidates
 come from the rarest shingles of each, which loses no pair; pairs inside a component need no comparison.
 """
@@ -158,16 +158,21 @@ def crossing(nodes: DataFrame) -> DataFrame:
 
     Order all shingles by their frequency, rarest first. Two sets of n and m shingles with a similarity
     of 3/4 share one of the first n - ceil(3n/4) + 1 and m - ceil(3m/4) + 1. What makes a copy differ is
-    rare and comes first, so copies too far apart seldom meet, however large their group is. No pair is lost.
+    rare and comes first, so copies too far apart seldom meet. Shingles that no other node has bound every
+    intersection, which rules out most of the rest, however large their group is. No pair is lost.
     """
     rows = shingle_rows(nodes)
     rows = written(rows, "shingles")
     often = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    ranked = rows.join(often, "h").withColumn("r", F.row_number().over(Window.partitionBy("node").orderBy("c", "h")))
-    prefix = ranked.where(f"r <= n - ceil({NUMERATOR} * n / {DENOMINATOR}) + 1 AND lo < hi").select("h", "node", "comp", "n")
+    ranked = rows.join(often, "h")
+    # `g` is how many of its shingles a node shares with any other at all: no intersection is larger.
+    own = Window.partitionBy("node")
+    ranked = ranked.withColumns({"r": F.row_number().over(own.orderBy("c", "h")), "g": F.count_if(F.col("c") > 1).over(own)})
+    prefix = ranked.where(f"r <= n - ceil({NUMERATOR} * n / {DENOMINATOR}) + 1 AND lo < hi AND {DENOMINATOR} * g >= {NUMERATOR} * n").select("h", "node", "comp", "n", "g")
     prefix = written(prefix, "prefixes")
-    other = prefix.select("h", F.col("node").alias("b"), F.col("comp").alias("bc"), F.col("n").alias("bn"))
-    met = prefix.join(other, "h").where(f"comp < bc AND {NUMERATOR} * n <= {DENOMINATOR} * bn AND {NUMERATOR} * bn <= {DENOMINATOR} * n")
+    other = prefix.select("h", F.col("node").alias("b"), F.col("comp").alias("bc"), F.col("n").alias("bn"), F.col("g").alias("bg"))
+    # With an intersection of m at most, similarity is m / (n + bn - m) at most.
+    met = prefix.join(other, "h").where(f"comp < bc AND {DENOMINATOR} * least(g, bg) >= {NUMERATOR} * (n + bn - least(g, bg))")
     return met.select(F.col("node").alias("a"), "b").distinct()
 
 
@@ -187,13 +192,17 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     nodes = full.join(named.select("digest", F.col("node").alias("id")), ["digest", "id"], "left_semi").dropDuplicates(["digest"])
     nodes = written(nodes.select(F.col("id").alias("node"), "bands"), "representatives")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("other")).where("pivot < other").select("key", "pivot")
-    members = written(keyed.join(buckets, "key"), "buckets")
+    sizes = keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = written(keyed.join(sizes, "key"), "buckets")
+    # The pivot of a bucket is the member that meets most others in all its buckets: of copies, the one changed least.
+    scores = members.groupBy("node").agg(F.sum("size").alias("score"))
+    best = F.max(F.struct("score", (-F.col("node")).alias("low")))
+    pivots = members.join(scores, "node").groupBy("key").agg(best.alias("best"))
 
     involved = members.select(F.col("node").alias("id")).distinct()
     texts = base.join(involved, "id", "left_semi").groupBy("id", F.xxhash64("text").alias("h")).agg(F.min("text").alias("text"))
     texts = written(texts.select("id", "text"), "texts")
-    stars = members.where("pivot < node").groupBy(F.col("node").alias("b")).agg(F.min("pivot").alias("a"))
+    stars = members.join(pivots, "key").groupBy(F.col("node").alias("b")).agg((-F.max("best").getField("low")).alias("a")).where("a <> b")
     links = written(verified(stars, texts), "links")
     found = components(links)
 
