@@ -6,8 +6,8 @@ band are candidates, and candidates become links only by comparing their full sh
 
 Equal word sequences are one node from the start. In the first phase each node is compared with one
 pivot, of its buckets' most connected members the most connected. That already unites groups of copies, so
-the second phase only compares nodes that share a bucket with another component. Their candidates
-come from the rarest shingles of each, which loses no pair; pairs inside a component need no comparison.
+the second phase only looks at nodes that share a bucket with another component. All nodes that such
+buckets connect are compared in blocks, exactly, and only links that unite components become rows.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .components import components
 from .storage import written
@@ -26,8 +25,8 @@ from .textcore import buffers, groups, lowered, mix, powers, ragged, rolled, spa
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 PERMUTATIONS, ROWS = 64, 4
-#: Bits of a shingle's hash by which the second phase finds candidates; a chance agreement only adds one.
-TOKEN_BITS = 40
+#: Nodes in a block of the second phase, shingles in one of its products.
+BLOCK, WIDE = 1024, 4096
 _A, _B = 0x9E6C63D0876A9A47 | 1, 0xC2B2AE3D27D4EB4F
 _FACTORS = mix(np.arange(1, PERMUTATIONS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -134,46 +133,77 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return full.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def shingle_rows(nodes: DataFrame) -> DataFrame:
-    """One row for each distinct shingle of each node: node, comp, n (its number of shingles), h. `nodes` has node, comp, text."""
+def token_sets(nodes: DataFrame) -> DataFrame:
+    """The distinct shingles of each node, packed. `nodes` has node, comp, cluster, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            buf, offsets = buffers(b.column(2))
+            buf, offsets = buffers(b.column(3))
             for i, j in groups(offsets, 1 << 20):
                 h, edge, _, _ = shingles(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                keys, shift = _keyed(h, edge)
-                doc = (keys >> np.uint64(shift)).astype(np.int64)
-                n = np.bincount(doc, minlength=j - i)
-                # What is left of the hash beside the text's number; 44 bits at least, the same for all nodes.
-                token = (keys & np.uint64((1 << shift) - 1)) >> np.uint64(max(0, shift - TOKEN_BITS))
-                at = pa.array(doc + i)
-                yield pa.RecordBatch.from_arrays([b.column(0).take(at), b.column(1).take(at), pa.array(n[doc]), pa.array(token.astype(np.int64))], names=["node", "comp", "n", "h"])
+                sets = [np.unique(h[edge[k] : edge[k + 1]]).tobytes() for k in range(j - i)]
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in b.columns[:3]), pa.array(sets, pa.binary())], names=["node", "comp", "cluster", "tokens"])
 
-    return nodes.select("node", "comp", "text").mapInArrow(run, "node bigint, comp bigint, n bigint, h bigint")
+    return nodes.select("node", "comp", "cluster", "text").mapInArrow(run, "node bigint, comp bigint, cluster bigint, tokens binary")
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    """Links between nodes of different components, as many as it takes to unite those that are linked.
+
+    Intersections of all nodes of the group at once are products of their 0/1 shingle rows, some
+    thousand shingles at a time; shingles that only one node has don't take part.
+    """
+    node, comp, block = (table.column(c).to_numpy() for c in ("node", "comp", "block"))
+    tokens = [np.frombuffer(t, np.uint64) for t in table.column("tokens").to_pylist()]
+    n = np.array([len(t) for t in tokens])
+    flat, owner = np.concatenate(tokens), np.repeat(np.arange(len(tokens)), n)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.concatenate([[True], flat[1:] != flat[:-1]])
+    often = np.diff(np.append(np.flatnonzero(new), len(flat)))
+    rank = np.cumsum(new) - 1
+    shared = often[rank] > 1
+    column, owner = (np.cumsum(often > 1) - 1)[rank[shared]], owner[shared]
+    met = np.zeros((len(node), len(node)), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, WIDE):
+        a, b = np.searchsorted(column, [lo, lo + WIDE])
+        m = np.zeros((len(node), min(WIDE, int(column[-1]) + 1 - lo)), np.float32)
+        m[owner[a:b], column[a:b] - lo] = 1
+        met += m @ m.T
+    link = DENOMINATOR * met >= NUMERATOR * (n[:, None] + n[None, :] - met)
+    link &= (met > 0) & (comp[:, None] != comp[None, :])
+    if block.min() != block.max():
+        link &= block[:, None] != block[None, :]
+    root = {int(c): int(c) for c in comp}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    for x, y in zip(*np.nonzero(np.triu(link))):
+        a, b = find(int(comp[x])), find(int(comp[y]))
+        if a != b:
+            root[max(a, b)] = min(a, b)
+            found.append((int(node[x]), int(node[y])))
+    a, b = zip(*found) if found else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def crossing(nodes: DataFrame) -> DataFrame:
-    """Pairs of nodes of different components that could be similar enough, by the prefixes of their shingles.
+    """Links that unite components inside a cluster: every node is compared with all others of its cluster.
 
-    Order all shingles by their frequency, rarest first. Two sets of n and m shingles with a similarity
-    of 3/4 share one of the first n - ceil(3n/4) + 1 and m - ceil(3m/4) + 1. What makes a copy differ is
-    rare and comes first, so copies too far apart seldom meet. Shingles that no other node has bound every
-    intersection, which rules out most of the rest, however large their group is. No pair is lost.
+    Clusters are cut into blocks of about BLOCK nodes; a task gets two of them, so none holds more than
+    2 * BLOCK nodes, whatever a cluster's size. No pair is made into a row but those that unite.
     """
-    rows = shingle_rows(nodes)
-    rows = written(rows, "shingles")
-    often = rows.groupBy("h").agg(F.count("*").alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    ranked = rows.join(often, "h")
-    # `g` is how many of its shingles a node shares with any other at all: no intersection is larger.
-    own = Window.partitionBy("node")
-    ranked = ranked.withColumns({"r": F.row_number().over(own.orderBy("c", "h")), "g": F.count_if(F.col("c") > 1).over(own)})
-    prefix = ranked.where(f"r <= n - ceil({NUMERATOR} * n / {DENOMINATOR}) + 1 AND lo < hi AND {DENOMINATOR} * g >= {NUMERATOR} * n").select("h", "node", "comp", "n", "g")
-    prefix = written(prefix, "prefixes")
-    other = prefix.select("h", F.col("node").alias("b"), F.col("comp").alias("bc"), F.col("n").alias("bn"), F.col("g").alias("bg"))
-    # With an intersection of m at most, similarity is m / (n + bn - m) at most.
-    met = prefix.join(other, "h").where(f"comp < bc AND {DENOMINATOR} * least(g, bg) >= {NUMERATOR} * (n + bn - least(g, bg))")
-    return met.select(F.col("node").alias("a"), "b").distinct()
+    sets = written(token_sets(nodes), "tokens")
+    sizes = sets.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    placed = sets.join(sizes.select("cluster", "blocks"), "cluster").withColumn("block", F.pmod(F.xxhash64(F.lit(4), "node"), "blocks"))
+    pair = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda x: F.struct(F.least("block", x).alias("i"), F.greatest("block", x).alias("j")))
+    dealt = placed.withColumn("p", F.explode(pair)).select("cluster", "p.i", "p.j", "block", "node", "comp", "tokens")
+    return dealt.groupBy("cluster", "i", "j").applyInArrow(_compare, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -208,8 +238,13 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 
     labelled = members.join(found.select(F.col("u").alias("node"), F.col("v").alias("comp")), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
     mixed = labelled.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    unsettled = labelled.join(mixed, "key", "left_semi").select("node", "comp").distinct()
-    pairs = written(crossing(unsettled.join(texts.withColumnRenamed("id", "node"), "node")), "pairs")
+    open_ = labelled.join(mixed, "key", "left_semi")
+    # Nodes that buckets of several components join into one cluster, directly or through others.
+    hubs = open_.groupBy("key").agg(F.min("node").alias("b"))
+    joined = components(open_.join(hubs, "key").select(F.col("node").alias("a"), "b"))
+    unsettled = open_.select("node", "comp").distinct().join(joined.select(F.col("u").alias("node"), F.col("v").alias("cluster")), "node", "left")
+    unsettled = unsettled.withColumn("cluster", F.coalesce("cluster", "node")).join(texts.withColumnRenamed("id", "node"), "node")
+    pairs = written(crossing(unsettled), "pairs")
     more = verified(pairs, texts)
     every = links.unionByName(more).unionByName(copies)
     found = components(every)
