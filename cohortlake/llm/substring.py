@@ -96,7 +96,7 @@ def sketch(docs: DataFrame, text: str, width: int, cells: int, depth: int) -> np
     """The merged sketch as a bitmap of cells that were counted at least twice."""
     segments = max(1, cells // SEGMENT)
     size = cells // segments
-    pending_most = 4 << 20
+    pending_most = 1 << 20
 
     def send(cell: np.ndarray) -> pa.RecordBatch:
         """The cells of one row of the sketch: gaps between them, and a mark for those seen twice."""
