@@ -20,6 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import small_batches
 from .textcore import buffers, groups
 
 #: Words remembered per Python worker; the memory is emptied when it is full, results don't depend on it.
@@ -239,6 +240,7 @@ def encode_decode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     `path` is a vocabulary file that every node has; it is opened there, never copied. Null and empty
     texts have no ids and an empty decoding. Repeated rows stay. Input columns named ids or decoded go.
     """
+    small_batches(df.sparkSession)
     keep = [c for c in df.columns if c not in ("ids", "decoded")]
     out = df.select([F.col(f"`{c}`") for c in keep])
     shape = out.select("*", F.lit(b"").alias("ids"), F.lit("").alias("decoded")).schema

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import small_batches, written
 from .textcore import buffers, groups, lowered, ragged, spans, word_hashes
 
 #: Items handled in one run; a larger benchmark takes several, so what is broadcast stays bounded.
@@ -257,6 +257,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
     words neither; repeated rows are all found. An empty benchmark or no documents give no rows.
     """
     spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     id_type, item_type = dict(docs.dtypes)[id], dict(benchmark.dtypes)[item_id]
     shape = f"id {id_type}, hash bigint, item_id {item_type}, start bigint, words int, lcs int, ratio double, cosine double, answered boolean"
     wanted = benchmark.select(F.col(f"`{item_id}`").alias("i"), F.col(f"`{item_text}`").alias("t"), (F.col(f"`{answer}`") if answer else F.lit(None)).cast("string").alias("a")).where("i IS NOT NULL AND t IS NOT NULL").dropDuplicates(["i", "t"])

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import small_batches
+
 # Element names of HTML by their role here.
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -366,6 +368,7 @@ def extract_text(pages: DataFrame, html: str = "html", out: str = "text", field:
 
     Blocks are joined by one newline. Other columns stay, an input column named `out` goes.
     """
+    small_batches(pages.sparkSession)
     field = field or default_field()
     field.known.clear()
     keep = [c for c in pages.columns if c != out]

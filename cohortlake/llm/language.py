@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .storage import small_batches
 from .textcore import buffers, groups, lowered, mix
 
 #: Trigrams are hashed to this many values.
@@ -153,6 +154,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     empty lists, as does every text if the model knows no language. `gain` tells how many bits per
     trigram the text is more likely than chance. Whole texts are read; input columns of these names go.
     """
+    small_batches(docs.sparkSession)
     new = ("lang_pred", "score", "languages", "shares", "gain")
     keep = [c for c in docs.columns if c not in new]
     base = docs.select([F.col(f"`{c}`") for c in keep])
@@ -163,7 +165,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             buf, offsets = buffers(b.column(at))
-            for i, j in groups(offsets, 2 << 20):
+            for i, j in groups(offsets):
                 part, offs, n = buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], j - i
                 shares, gain = solve(model, gram_keys(part, offs), n)
                 ascii_letter = ((part | np.uint8(32)) - np.uint8(97)) < 26

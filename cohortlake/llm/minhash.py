@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import written
+from .storage import small_batches, written
 from .textcore import buffers, groups, lowered, mix, powers, ragged, rolled, spans, word_hashes
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
@@ -117,7 +117,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             (x, ox), (y, oy) = buffers(batch.column(2)), buffers(batch.column(3))
-            for i, j in groups(ox + oy, 2 << 20):
+            for i, j in groups(ox + oy):
                 kx, shift = _keyed(*shingles(x[ox[i] : ox[j]], ox[i : j + 1] - ox[i])[:2])
                 ky, _ = _keyed(*shingles(y[oy[i] : oy[j]], oy[i : j + 1] - oy[i])[:2])
                 both = np.concatenate([kx, ky])
@@ -139,7 +139,7 @@ def token_sets(nodes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             buf, offsets = buffers(b.column(3))
-            for i, j in groups(offsets, 1 << 20):
+            for i, j in groups(offsets):
                 h, edge, _, _ = shingles(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 sets = [np.unique(h[edge[k] : edge[k + 1]]).tobytes() for k in range(j - i)]
                 yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in b.columns[:3]), pa.array(sets, pa.binary())], names=["node", "comp", "cluster", "tokens"])
@@ -213,6 +213,7 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     same id count as one document. A row without an id is linked with nothing: its component is null
     and it is kept. Other columns are not looked at; an empty table gives an empty result.
     """
+    small_batches(docs.sparkSession)
     base = docs.select(F.col(f"`{id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     sigs = written(signatures(base, "id", "text"), "signatures")
     full = sigs.where("n > 0 AND id IS NOT NULL")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .storage import written
+from .storage import small_batches, written
 from .textcore import buffers, groups, lowered, spans, word_hashes
 
 #: Labelled rows to fit on (about), and what makes a word a sign (deviations from an even spread, documents, share of its class).
@@ -197,6 +197,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
     and toxicity less likely than not. An empty `docs` gives an empty result, empty `labels` rate every
     document at even odds, so all of them fail neither test: quality 0.5 keeps.
     """
+    small_batches(docs.sparkSession)
     model = model or fit(docs, labels, id, text)
     spark = docs.sparkSession
     bound = spark.sparkContext.broadcast(model)

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+from .storage import small_batches
 from .textcore import buffers, groups, mix, ragged, rolled, spans, word_hashes
 
 WINDOW = 35
@@ -318,6 +319,7 @@ def dedup_substrings(docs: DataFrame, id: str = "doc_id", text: str = "text", wi
     texts with fewer than `width` words lose nothing; equal rows are repeats of each other. Input
     columns of the new names go, others stay.
     """
+    small_batches(docs.sparkSession)
     keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept", "_id", "_hash")]
     base = docs.select([F.col(f"`{c}`") for c in keep])
     named = base.select("*", F.col(f"`{id}`").alias("_id"), F.xxhash64(F.lit(7), F.col(f"`{text}`")).alias("_hash"))

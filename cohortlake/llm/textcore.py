@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 _M = np.uint64(0x9E3779B97F4A7C15)
 _MI = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POW: dict[int, np.ndarray] = {}
@@ -51,7 +51,7 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def groups(offsets: np.ndarray, most: int = 2 * BLOCK) -> Iterator[tuple[int, int]]:
+def groups(offsets: np.ndarray, most: int = 4 * BLOCK) -> Iterator[tuple[int, int]]:
     """Ranges of texts that have about `most` bytes together, or one longer text."""
     i, n = 0, len(offsets) - 1
     while i < n:
