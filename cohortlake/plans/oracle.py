@@ -5,7 +5,7 @@ from __future__ import annotations
 from cohortlake.operators.entities import ABSENT, KEYS
 from cohortlake.operators.performance import ACTION_COLUMNS, BY_ACTION, COUNTS, ENTITY_COLUMNS, GRAIN_KEYS, NETWORK
 from cohortlake.operators.staging import GRAINS, day_column
-from cohortlake.sources.adapter import OTHER, definitions, with_clause
+from cohortlake.sources.adapter import BUCKETS, OTHER, definitions, with_clause
 
 AS_OF, START = "DATE '1998-06-30'", "DATE '1998-04-01'"
 RUN = "'run-19980630'"
@@ -188,3 +188,33 @@ put("int_lookback_windows", "SELECT *, 'CONVERSION_ACTION' AS metric_basis FROM
 _HASH = lambda kind, x: f"sha256('7:{kind}:' || {x})"
 put("txt_pseudonymise_ids", "SELECT campaign_id, CASE WHEN n = 0 THEN 1 ELSE n END AS pseudonym FROM (SELECT campaign_id, CAST(CAST(('0x' || substr(h, 1, 16)) AS UBIGINT) % 1000000000000000 AS BIGINT) AS n FROM (SELECT campaign_id, " + _HASH("campaign", "CAST(campaign_id AS VARCHAR)") + f" AS h FROM stg_entities_campaign WHERE snapshot_date = {AS_OF}) a) b", ["stg_entities_campaign"])
 put("txt_pseudonymise_text", "SELECT campaign_id, 'Campaign ' || substr(" + _HASH("campaign", "campaign_name") + f", 1, 8) AS name FROM stg_entities_campaign WHERE snapshot_date = {AS_OF}", ["stg_entities_campaign"])
+
+# Lag buckets
+put("lag_timezones", "SELECT account_id, min(time_zone) AS time_zone FROM (SELECT account_id, time_zone FROM perf_campaign UNION ALL SELECT account_id, time_zone FROM perf_asset_group) t GROUP BY ALL", ["perf_campaign", "perf_asset_group"])
+_K = "account_id, campaign_id, {g} AS asset_group_id, ad_network_type, conversion_action, conversion_action_name, conversion_lag_bucket, " + ", ".join(COUNTS)
+SQL["buckets"] = f"SELECT 'campaign' AS grain, date AS click_date, {_K.format(g='NULL::BIGINT')} FROM stg_lag_campaign UNION ALL SELECT 'asset_group', date, {_K.format(g='asset_group_id')} FROM stg_lag_asset_group"
+put("lag_source_buckets", "SELECT * FROM buckets", ["buckets"])
+_UPPER = "CASE conversion_lag_bucket " + " ".join(f"WHEN '{n}' THEN {d}" for n, d in BUCKETS.items()) + " END"
+put("lag_bucket_upper_day", f"SELECT grain, conversion_lag_bucket, {_UPPER} AS upper_day, sum(conversions) AS conversions FROM buckets GROUP BY ALL", ["buckets"])
+# 01:00 and 02:00 UTC are the same day in Paris and Tokyo, the day before in New York.
+put("lag_refresh_date", "SELECT DISTINCT l.account_id, run_id, CAST(loaded_at AS DATE) - CASE WHEN z.time_zone = 'America/New_York' THEN 1 ELSE 0 END AS refresh_date FROM raw_lag_campaign l LEFT JOIN (SELECT account_id, min(time_zone) AS time_zone FROM perf_campaign GROUP BY ALL) z USING (account_id)", ["raw_lag_campaign", "perf_campaign"])
+
+# Scores
+put("bps_asset_group_count", f"""SELECT g.account_id, g.campaign_id, count(DISTINCT g.asset_group_id) AS asset_groups FROM hist_asset_group g JOIN hist_asset a USING (account_id, campaign_id, asset_group_id)
+WHERE g.snapshot_date = {AS_OF} AND a.snapshot_date = {AS_OF} AND g.status = 'ENABLED' AND a.status = 'ENABLED' AND a.source = 'ADVERTISER' GROUP BY ALL""", ["hist_asset_group", "hist_asset"])
+put("bps_audience_count", f"SELECT account_id, campaign_id, count(DISTINCT audience) AS audiences FROM hist_asset_group_signal WHERE snapshot_date = {AS_OF} AND audience <> '' GROUP BY ALL", ["hist_asset_group_signal"])
+_LIVE = f"snapshot_date = {AS_OF} AND field_type = 'SITELINK' AND status = 'ENABLED'"
+put("bps_sitelinks", f"""SELECT c.account_id, c.campaign_id, coalesce(a, 0) AS campaign_sitelinks, coalesce(b, 0) AS account_sitelinks, greatest(4 - coalesce(a, 0) - coalesce(b, 0), 0) AS missing_sitelinks FROM hist_campaign c
+LEFT JOIN (SELECT account_id, campaign_id, count(*) AS a FROM hist_campaign_asset WHERE {_LIVE} GROUP BY ALL) x USING (account_id, campaign_id)
+LEFT JOIN (SELECT account_id, count(*) AS b FROM stg_entities_customer_asset JOIN days USING (account_id, snapshot_date) WHERE {_LIVE} GROUP BY ALL) y USING (account_id) WHERE c.snapshot_date = {AS_OF}""", ["hist_campaign", "hist_campaign_asset", "stg_entities_customer_asset", "days"])
+
+# Assertions, health, ledger
+_M = "date, account_id, campaign_id, metric_basis, ad_network_type, conversion_action_resource_name"
+_SAYS = "SELECT n = 0 AS passed, CAST(n AS VARCHAR) AS observed, '0' AS expected, '{d}' AS detail FROM ({q}) t"
+put("assert_unique_keys", _SAYS.format(d="duplicate keys", q=f"SELECT (SELECT count(*) FROM (SELECT 1 FROM perf_campaign GROUP BY {_M} HAVING count(*) > 1) a) + (SELECT count(*) FROM (SELECT 1 FROM perf_asset_group GROUP BY {_M}, asset_group_id HAVING count(*) > 1) b) AS n"), ["perf_campaign", "perf_asset_group"])
+_N = "date IS NULL OR account_id IS NULL OR campaign_id IS NULL OR metric_basis IS NULL"
+put("assert_not_null", _SAYS.format(d="null keys", q=f"SELECT (SELECT count(*) FROM perf_campaign WHERE {_N}) + (SELECT count(*) FROM perf_asset_group WHERE {_N} OR asset_group_id IS NULL) AS n"), ["perf_campaign", "perf_asset_group"])
+put("assert_family_coherence", _SAYS.format(d="campaign days whose families differ", q="SELECT count(*) FILTER (WHERE abs(coalesce(a, 0) - coalesce(b, 0)) > 1e-9) AS n FROM (SELECT sum(network_conversions) AS a, sum(action_conversions) AS b FROM perf_campaign GROUP BY date, account_id, campaign_id) s"), ["perf_campaign"])
+_T = [t for t in GRAINS if not t.endswith("_asset")]
+put("rpt_freshness", f"SELECT *, coalesce(last_day < {AS_OF}, TRUE) AS stale FROM (" + " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n, max({day_column(t)}) AS last_day FROM stg_{t}" + ("" if day_column(t) == "date" else f" WHERE snapshot_date = {AS_OF}") for t in _T) + ") u", [f"stg_{t}" for t in _T])
+ORACLE["ops_latest_run_state"] = "SELECT user_id AS run_id, ts AS event_ts, event_type AS event, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, CASE WHEN event_type = 'EXITED' THEN 0 ELSE 1 END, event_id DESC) = 1"

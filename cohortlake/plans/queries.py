@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.functions.columns import action_id, currency, flat
 from cohortlake.operators import entities as ent
-from cohortlake.operators import lookback, performance, publish, staging, text
+from cohortlake.operators import checks, lag, ledger, lookback, performance, publish, scores, staging, text
 
 from .params import Params
 from .star import Star
@@ -237,3 +237,73 @@ def _(s: Star) -> DataFrame:
 @query("txt_perturb_metrics")
 def _(s: Star) -> DataFrame:
     return s.staged("volume_campaign").select("account_id", "campaign_id", "date", "ad_network_type", text.perturbed(F.col("conversions_value"), [F.col("campaign_id"), F.col("date"), F.col("ad_network_type")], 7).alias("conversions_value"))
+
+
+@query("lag_timezones")
+def _(s: Star) -> DataFrame:
+    return lag.timezones(s.facts("campaign"), s.facts("asset_group"))
+
+
+@query("lag_source_buckets")
+def _(s: Star) -> DataFrame:
+    return lag.source_buckets(s.staged("lag_campaign"), s.staged("lag_asset_group")).drop("upper_day")
+
+
+@query("lag_bucket_upper_day")
+def _(s: Star) -> DataFrame:
+    b = lag.source_buckets(s.staged("lag_campaign"), s.staged("lag_asset_group"))
+    return b.groupBy("grain", "conversion_lag_bucket", "upper_day").agg(F.sum("conversions").alias("conversions"))
+
+
+@query("lag_refresh_date")
+def _(s: Star) -> DataFrame:
+    zones = lag.timezones(s.facts("campaign"))
+    rows = s.raw("lag_campaign").join(zones, "account_id", "left")
+    return rows.select("account_id", "run_id", lag.local_date(F.col("loaded_at"), F.col("time_zone")).alias("refresh_date")).distinct()
+
+
+@query("bps_asset_group_count")
+def _(s: Star) -> DataFrame:
+    return scores.asset_group_count(s.history("asset"), s.history("asset_group"), P.as_of)
+
+
+@query("bps_audience_count")
+def _(s: Star) -> DataFrame:
+    return scores.audience_count(s.history("asset_group_signal"), P.as_of)
+
+
+@query("bps_sitelinks")
+def _(s: Star) -> DataFrame:
+    accounts = s.staged("entities_customer_asset", True).join(s.days, ["account_id", "snapshot_date"], "left_semi")
+    return scores.sitelinks(s.history("campaign"), s.history("campaign_asset"), accounts, P.as_of)
+
+
+MART_KEYS = ["date", "account_id", "campaign_id", "metric_basis", "ad_network_type", "conversion_action_resource_name"]
+
+
+@query("assert_unique_keys")
+def _(s: Star) -> DataFrame:
+    return checks.unique_keys({"performance_campaign": (s.facts("campaign"), MART_KEYS), "performance_asset_group": (s.facts("asset_group"), [*MART_KEYS, "asset_group_id"])})
+
+
+@query("assert_not_null")
+def _(s: Star) -> DataFrame:
+    return checks.not_null({"performance_campaign": (s.facts("campaign"), MART_KEYS[:4]), "performance_asset_group": (s.facts("asset_group"), [*MART_KEYS[:4], "asset_group_id"])})
+
+
+@query("assert_family_coherence")
+def _(s: Star) -> DataFrame:
+    return checks.family_coherence(s.facts("campaign"))
+
+
+@query("rpt_freshness")
+def _(s: Star) -> DataFrame:
+    return checks.freshness({t: (s.staged(t), staging.day_column(t)) for t in staging.GRAINS if not t.endswith("_asset")}, str(P.as_of))
+
+
+def _runs(s: Star) -> DataFrame:
+    e = s.spark.read.parquet(f"{s.sf_dir}/events.parquet")
+    return e.select(F.col("user_id").alias("run_id"), F.col("ts").alias("event_ts"), F.col("event_type").alias("event"), "event_id")
+
+
+query("ops_latest_run_state")(lambda s: ledger.latest_run_state(_runs(s)))
