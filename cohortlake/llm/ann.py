@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .storage import written
+from .textcore import ragged
 
 #: Vectors to fit and calibrate on, sample rows in a leaf at most, children of a node.
-FIT_ROWS, LEAF_ROWS, BRANCHES = 20_000, 80, 12
+FIT_ROWS, LEAF_ROWS, BRANCHES = 20_000, 400, 8
 #: Recall wanted on the sample, queries of the calibration, rows and queries that meet in one task group.
-RECALL, PROBES, CHUNK = 0.98, 256, 4096
+RECALL, PROBES, CHUNK = 0.96, 256, 4096
 
 
 @dataclass
@@ -37,6 +38,7 @@ class Tree:
     children: list[list[int]]
     leaf: np.ndarray  # node -> leaf number or -1
     longest: float
+    sample: np.ndarray
     visits: int = 1
 
     @property
@@ -63,6 +65,20 @@ class Tree:
             todo += [(k, rows[pick == i]) for i, k in enumerate(kids) if (pick == i).any()]
         return at
 
+    def floor(self, q: np.ndarray, k: int, opened: list[list[int]]) -> np.ndarray:
+        """For each query a nearness that at least k vectors in its opened leaves reach: of the sample's vectors there, the k-th."""
+        out = np.full(len(q), -np.inf)
+        if len(self.sample) >= k:
+            at = self.file(self.sample)
+            for i in range(0, len(q), 256):
+                s = q[i : i + 256] @ self.sample.T
+                seen = np.zeros((len(s), self.leaves), bool)
+                for row, o in zip(seen, opened[i : i + 256]):
+                    row[o] = True
+                s[~seen[:, at]] = -np.inf
+                out[i : i + 256] = np.partition(s, -k, axis=1)[:, -k]
+        return np.where(np.isfinite(out), out - 1e-9 * np.maximum(1.0, np.abs(out)), -np.inf)
+
     def bins(self, q: np.ndarray, sizes: np.ndarray, least: int, visits: int) -> list[list[int]]:
         """For each query the leaves to open, best first: `visits` of them, more while they hold fewer than `least` vectors."""
         q = np.concatenate([q.astype(np.float64), np.zeros((len(q), 1))], 1)
@@ -98,7 +114,7 @@ def fit_tree(sample: np.ndarray, k: int, seed: int = 5, recall: float = RECALL)
     rng = np.random.default_rng(seed)
     sample = np.unique(sample.astype(np.float64), axis=0)
     longest = float(np.sqrt((sample * sample).sum(1).max())) if len(sample) else 1.0
-    tree = Tree(np.zeros((1, (sample.shape[1] if sample.ndim == 2 else 0) + 1)), [[]], np.zeros(1, np.int64), longest)
+    tree = Tree(np.zeros((1, (sample.shape[1] if sample.ndim == 2 else 0) + 1)), [[]], np.zeros(1, np.int64), longest, sample)
     y = tree.lifted(sample) if len(sample) else np.zeros((0, 1))
     centres, children, leaf, leaves = [y.mean(0) if len(y) else np.zeros(1)], [[]], [-1], 0
     todo = [(0, np.arange(len(y)))]
@@ -115,7 +131,7 @@ def fit_tree(sample: np.ndarray, k: int, seed: int = 5, recall: float = RECALL)
             centres.append(c[i]), children.append([]), leaf.append(-1)
             children[node].append(len(centres) - 1)
             todo.append((len(centres) - 1, rows[near == i]))
-    tree = Tree(np.array(centres), children, np.array(leaf), longest)
+    tree = Tree(np.array(centres), children, np.array(leaf), longest, sample)
     if len(sample) > k:
         filed = tree.file(sample)
         sizes = np.bincount(filed, minlength=tree.leaves)
@@ -179,38 +195,41 @@ def nearest(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", e
         for b in batches:
             x = b.column(0).flatten().to_numpy().reshape(b.num_rows, -1)
             opened = tree.value.bins(x, held, 4 * (k + 1), tree.value.visits)
+            floor = tree.value.floor(x, k + 1, opened)
             at = [(i, leaf, c) for i, o in enumerate(opened) for leaf in o for c in range(parts[leaf])]
             if at:
                 i, leaf, c = (np.array(z, np.int64) for z in zip(*at))
                 for s in range(0, len(i), 20_000):
                     t = slice(s, s + 20_000)
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(i[t])), b.column(1).take(pa.array(i[t])), pa.array(leaf[t]), pa.array(c[t])], names=["v", "q", "leaf", "chunk"])
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(i[t])), b.column(1).take(pa.array(i[t])), pa.array(leaf[t]), pa.array(c[t]), pa.array(floor[i[t]])], names=["v", "q", "leaf", "chunk", "floor"])
 
     # Leaves with many queries are met in several groups: queries by slice, each with the leaf's chunks.
     n_queries = max(1, asked.count())
     slices = max(1, math.ceil(n_queries * tree.value.visits / max(1, tree.value.leaves) / CHUNK))
-    sent = queries.mapInArrow(spread, "v array<double>, q bigint, leaf bigint, chunk bigint").withColumn("slice", F.pmod(F.xxhash64("q"), F.lit(slices)))
+    sent = queries.mapInArrow(spread, "v array<double>, q bigint, leaf bigint, chunk bigint, floor double").withColumn("slice", F.pmod(F.xxhash64("q"), F.lit(slices)))
     chunked = filed.withColumn("chunk", F.pmod(F.xxhash64(F.lit(9), F.col("ids")[0]), F.element_at(F.array(*[F.lit(int(p)) for p in parts]), (F.col("leaf") + 1).cast("int"))) if parts.max() > 1 else F.lit(0).cast("long"))
     chunked = chunked.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).withColumn("slice", F.col("slice").cast("long"))
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {"q": [], "id": [], "score": []}
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         if left.num_rows and right.num_rows:
             x = right.column("v").combine_chunks().flatten().to_numpy().reshape(right.num_rows, -1)
-            ids = right.column("ids").to_pylist()
-            low = np.array([i[0] for i in ids])
+            lists = right.column("ids").combine_chunks()
+            ids, counts = lists.flatten().to_numpy(), np.asarray(lists.value_lengths())
+            first = np.cumsum(counts) - counts
             y = left.column("v").combine_chunks().flatten().to_numpy().reshape(left.num_rows, -1)
-            names = left.column("q").to_numpy()
+            names, floor = left.column("q").to_numpy(), left.column("floor").to_numpy()
             for s in range(0, len(y), 256):
                 score = y[s : s + 256] @ x.T
-                for row, q in zip(score, names[s : s + 256]):
-                    top = np.flatnonzero(row >= np.partition(row, -(k + 1))[-(k + 1)]) if len(row) > k + 1 else np.arange(len(row))
-                    top = top[np.lexsort((low[top], -row[top]))]
-                    got = sorted(((-row[t], i) for t in top for i in ids[t]))[: k + 1]
-                    out["q"] += [q] * len(got)
-                    out["id"] += [i for _, i in got]
-                    out["score"] += [-z for z, _ in got]
-        return pa.table({"q": pa.array(out["q"], pa.int64()), "id": pa.array(out["id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
+                hit = score >= floor[s : s + 256, None]
+                # Of a leaf's chunk no more than k + 1 entries, and those that tie with the last, can matter.
+                many = np.flatnonzero(hit.sum(1) > k + 1)
+                if len(many):
+                    hit[many] = score[many] >= np.partition(score[many], -(k + 1), axis=1)[:, -(k + 1)][:, None]
+                r, c = np.nonzero(hit)
+                out.append((np.repeat(names[s + r], counts[c]), ids[ragged(first[c], counts[c])], np.repeat(score[r, c], counts[c])))
+        q, i, z = (np.concatenate([o[n] for o in out]) for n in range(3)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"q": pa.array(q), "id": pa.array(i), "score": pa.array(z)})
 
     key = ["leaf", "chunk", "slice"]
     met = sent.groupBy(*key).cogroup(chunked.groupBy(*key)).applyInArrow(meet, "q bigint, id bigint, score double")
