@@ -6,6 +6,8 @@
    the leading right singular space; a second adds up A'(A Q), whose small Gram matrix gives the
    singular vectors. Only (features x rank) sums meet, whatever the number of passages.
 4. Passages of a length that suits each item are compared with the items by cosine in that space.
+   Beside that, every run of RUN words that a document shares with an item makes a candidate,
+   whatever the cosine, so that no verbatim leak depends on the space.
 5. Candidates are verified by the longest common subsequence of words, and by whether the item's
    answer is there: a leak has most of the item's words in order, or fewer of them with the answer.
 """
@@ -29,6 +31,8 @@ RANK, OVERSAMPLE = 192, 16
 MOST_DOCS, RAREST = 0.02, 8
 #: Words in a passage of the SVD; cosine of a candidate; features that a compared passage has at least.
 PASSAGE, COSINE, LEAST_FEATURES = 64, 0.38, 3
+#: Words in a run that a document shares with an item; shorter items are looked for as a whole. Pairs of run and item handled at once.
+RUN, PAIRS = 5, 1 << 20
 #: Share of the item's words that a leak has in order; with the answer this share is enough. Shorter items must be there in full.
 LCS_SHARE, LCS_WITH_ANSWER, SHORT_ITEM = 0.75, 0.55, 6
 #: Words at an item's end that count as its answer if none is given.
@@ -173,6 +177,69 @@ def lcs(item: dict[int, int], full: int, region: list[int]) -> int:
     return (full ^ v).bit_count()
 
 
+def _run_hashes(numbers: np.ndarray, n: int) -> np.ndarray:
+    """Hash of the n words from each place on."""
+    last = len(numbers) - n + 1
+    h = np.zeros(max(0, last), np.uint64)
+    for k in range(n if last > 0 else 0):
+        h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + numbers[k : k + last].astype(np.uint64)
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+class Runs:
+    """All runs of RUN words of the items, and the items and places that have each."""
+
+    def __init__(self, items: Items):
+        self.length = np.array([len(w) for w in items.words])
+        self.tables = []
+        for n in range(1, RUN + 1):
+            own = [k for k, w in enumerate(items.words) if min(len(w), RUN) == n]
+            if not own:
+                continue
+            hashes = [_run_hashes(items.words[k], n) for k in own]
+            h = np.concatenate(hashes)
+            item = np.repeat(own, [len(x) for x in hashes])
+            place = np.concatenate([np.arange(len(x)) for x in hashes])
+            order = np.argsort(h, kind="stable")
+            keys, first = np.unique(h[order], return_index=True)
+            maybe = np.zeros(1 << 20, bool)
+            maybe[(keys >> np.uint64(44)).astype(np.int64)] = True
+            self.tables.append((n, keys, np.append(first, len(h)), item[order], place[order], maybe))
+
+    def found(self, numbers: np.ndarray, first: np.ndarray, scale: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+        """Document, item, and the bounds of a region that holds the item whole if it begins where a shared run says."""
+        for n, keys, of, item, place, maybe in self.tables:
+            known = numbers != 0
+            last = len(numbers) - n + 1
+            if last <= 0:
+                continue
+            full = known[:last].copy()
+            for k in range(1, n):
+                full &= known[k : k + last]
+            at = np.flatnonzero(full)
+            h = _run_hashes(numbers, n)[at]
+            hit = np.flatnonzero(maybe[(h >> np.uint64(44)).astype(np.int64)])
+            at, h = at[hit], h[hit]
+            key = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
+            doc = np.searchsorted(first, at, "right") - 1
+            real = (keys[key] == h) & (at + n <= first[doc + 1])  # a run lies in one document
+            at, key, doc = at[real], key[real], doc[real]
+            many = of[key + 1] - of[key]
+            ends = np.cumsum(many)
+            i = 0
+            while i < len(at):  # bounded memory
+                j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + PAIRS, "right")))
+                m = many[i:j]
+                pair = np.repeat(of[key[i:j]], m) + np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m)
+                e, d = item[pair], np.repeat(doc[i:j], m)
+                # Starts in the same stretch of an item's length share a region.
+                begin = np.repeat(at[i:j], m) - place[pair] - first[d]
+                for d1, e1, s in np.unique(np.stack([d, e, begin // scale[e]], 1), axis=0).tolist():
+                    lo, w, half = int(first[d1]) + s * int(scale[e1]), int(scale[e1]), int(self.length[e1]) // 2
+                    yield d1, e1, max(int(first[d1]), lo - half), min(int(first[d1 + 1]), lo + w + int(self.length[e1]) + half)
+                i = j
+
+
 def retrieve(coded: DataFrame, items: Items, space: np.ndarray) -> DataFrame:
     """Verified leaks: id, hash, item (its index), start, words, lcs, ratio, cosine, answered."""
     spark = coded.sparkSession
@@ -191,13 +258,29 @@ def retrieve(coded: DataFrame, items: Items, space: np.ndarray) -> DataFrame:
             vectors.append(x / max(1e-12, float(np.linalg.norm(x))))
         vectors = np.array(vectors)
         places = [{int(x): sum(1 << k for k in np.flatnonzero(w == x).tolist()) for x in np.unique(w)} for w in its.words]
+        runs = Runs(its)
+
+        def check(numbers: np.ndarray, first: np.ndarray, best: dict, d: int, e: int, a: int, z1: int, cosine: float | None) -> None:
+            """Keep the region for its document and item if it is a leak and no earlier one is as close."""
+            region = numbers[a:z1].tolist()
+            need = len(its.words[e])
+            got = lcs(places[e], (1 << need) - 1, region)
+            ratio = got / need
+            if ((d, e) in best and best[d, e][3] >= ratio) or ratio < LCS_WITH_ANSWER:
+                return
+            answered = _holds(region, its.answers[e])
+            if (got == need) if need < SHORT_ITEM else (ratio >= LCS_SHARE or answered):
+                if cosine is None:
+                    g = its.feature[numbers[a:z1]]
+                    x = table[g[g >= 0]].sum(0)
+                    cosine = float(x @ vectors[e] / max(1e-12, float(np.linalg.norm(x))))
+                best[d, e] = (a - int(first[d]), z1 - a, got, ratio, cosine, answered)
+
         for b in batches:
             for i, j, numbers, first, at, doc, f in passages(its, b, 2, PASSAGE):
-                if not len(at):
-                    continue
                 out: dict[str, list] = {k: [] for k in ("row", "item", "start", "words", "lcs", "ratio", "cosine", "answered")}
                 best: dict[tuple[int, int], tuple] = {}
-                for width in np.unique(scale):
+                for width in np.unique(scale) if len(at) else ():
                     own = np.flatnonzero(scale == width)
                     d, s, n, y = _rows(its, at, doc, f, first, int(width), table)
                     # A passage is a stretch with the next one of the same document, or alone if that has no features.
@@ -218,16 +301,10 @@ def retrieve(coded: DataFrame, items: Items, space: np.ndarray) -> DataFrame:
                             e = int(own[k])
                             lo = int(first[d[p[r]]] + s[p[r]] * width)
                             a, z1 = max(int(first[d[p[r]]]), lo - int(width) // 2), min(int(first[d[p[r]] + 1]), lo + 2 * int(width) + int(width) // 2)
-                            region = numbers[a:z1].tolist()
-                            w = its.words[e]
-                            got = lcs(places[e], (1 << len(w)) - 1, region)
-                            need = len(w)
-                            answered = _holds(region, its.answers[e])
-                            ratio = got / need
-                            if (got == need) if need < SHORT_ITEM else (ratio >= LCS_SHARE or (answered and ratio >= LCS_WITH_ANSWER)):
-                                key = (int(d[p[r]]), e)
-                                if key not in best or best[key][3] < ratio:
-                                    best[key] = (a - int(first[d[p[r]]]), z1 - a, got, ratio, float(cosine[r, k]), answered)
+                            check(numbers, first, best, int(d[p[r]]), e, a, z1, float(cosine[r, k]))
+                for d1, e, a, z1 in runs.found(numbers, first, scale):
+                    if (d1, e) not in best or best[d1, e][3] < 1:
+                        check(numbers, first, best, d1, e, a, z1, None)
                 for (row, e), (start, words, got, ratio, cos, answered) in best.items():
                     for k, x in zip(out, (row + i, e, start, words, got, ratio, cos, answered)):
                         out[k].append(x)

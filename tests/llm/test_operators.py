@@ -347,6 +347,18 @@ def test_decontamination(spark, empty):
     assert decontaminate.find_leaks(d, b.limit(0)).count() == 0 and decontaminate.find_leaks(empty, b).count() == 0
 
 
+def test_every_verbatim_leak_is_found_among_other_benchmark_words(spark):
+    rnd = np.random.default_rng(8)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    items = [[vocabulary[k] for k in rnd.integers(0, 3000, n)] for n in rnd.choice([3, 17, 33], 60)]
+    b = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id long, text string")
+    # A word of another item, many times over, fills the passage before and after the leak.
+    rows = [(k, " ".join([items[k - 1][0]] * 90 + w + [items[k - 2][0]] * 90)) for k, w in enumerate(items)]
+    rows += [(1000 + k, " ".join(vocabulary[x] for x in rnd.integers(0, 3000, 200))) for k in range(60)]
+    found = {(r.id, r.item_id) for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), b).collect()}
+    assert {(k, k) for k in range(len(items))} <= found and not {i for i, _ in found if i >= 1000}
+
+
 def test_lcs():
     def plain(a, b):
         t = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
