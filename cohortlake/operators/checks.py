@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .performance import COUNTS
+
 
 def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
@@ -29,10 +31,16 @@ def not_null(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     return assertion(_union(parts).agg(F.sum("n").alias("observed")), "null keys")
 
 
-def family_coherence(facts: DataFrame) -> DataFrame:
-    """Click days on which the network total and the sum over actions differ."""
-    by = facts.groupBy("date", "account_id", "campaign_id").agg(F.sum("network_conversions").alias("a"), F.sum("action_conversions").alias("b"))
-    return assertion(by.agg(F.count_if(F.abs(F.coalesce("a", F.lit(0.0)) - F.coalesce("b", F.lit(0.0))) > 1e-9).alias("observed")), "campaign days whose families differ")
+def family_coherence(facts: DataFrame, histories: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Click days on which a network total and the sum over actions differ, and entity keys both observed and removed on a day."""
+    pairs = [F.abs(F.coalesce(f"n_{c}", F.lit(0.0)) - F.coalesce(f"a_{c}", F.lit(0.0))) > 1e-9 for c in COUNTS]
+    sums = [F.sum(f"{family}_{c}").alias(f"{family[0]}_{c}") for c in COUNTS for family in ("network", "action")]
+    by = facts.groupBy("date", "account_id", "campaign_id").agg(*sums)
+    parts = [by.agg(F.count_if(reduce(lambda a, b: a | b, pairs)).alias("n"))]
+    for df, keys in histories.values():
+        both = df.groupBy(*keys, "snapshot_date").agg(F.count_if("inferred_removed").alias("gone"), F.count_if(~F.col("inferred_removed")).alias("seen"))
+        parts.append(both.where("gone > 0 AND seen > 0").agg(F.count("*").alias("n")))
+    return assertion(_union(parts).agg(F.sum("n").alias("observed")), "campaign days whose families differ")
 
 
 def freshness(tables: dict[str, tuple[DataFrame, str]], expected: str) -> DataFrame:

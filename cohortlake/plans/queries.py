@@ -293,7 +293,7 @@ def _(s: Star) -> DataFrame:
 
 @query("assert_family_coherence")
 def _(s: Star) -> DataFrame:
-    return checks.family_coherence(s.facts("campaign"))
+    return checks.family_coherence(s.facts("campaign"), {e: (s.history(e), ent.KEYS[e]) for e in ENTITIES if e != "customer"})
 
 
 @query("rpt_freshness")

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 from cohortlake.functions.columns import action_id, currency, null_safe_join, ratio
-from cohortlake.operators import entities, ledger, performance, staging, text
+from cohortlake.operators import checks, entities, ledger, performance, staging, text
 from cohortlake.plans.params import Params
 from pyspark.sql import functions as F
 
@@ -68,6 +68,21 @@ def test_pending_chunks(spark):
     assert {(r.chunk.month, r.missing) for r in got.collect()} == {(2, "b"), (3, "a,b")}
 
 
+def test_family_coherence_covers_four_metrics_and_removals(spark):
+    def observed(change, removed=(False,)):
+        n, a = [1.0] * 4, [1.0] * 4
+        if change is not None:
+            a[change] = 2.0
+        rows = [(D(2024, 1, 1), 1, 7, *n, *[None] * 4), (D(2024, 1, 1), 1, 7, *[None] * 4, *a)]
+        names = [f"{f}_{c} double" for f in ("network", "action") for c in performance.COUNTS]
+        facts = spark.createDataFrame(rows, "date date, account_id long, campaign_id long, " + ", ".join(names))
+        seen = spark.createDataFrame([(1, 7, D(2024, 1, 1), x) for x in removed], "account_id long, campaign_id long, snapshot_date date, inferred_removed boolean")
+        return checks.family_coherence(facts, {"campaign": (seen, entities.KEYS["campaign"])}).first().observed
+
+    assert observed(None) == "0" and [observed(k) for k in range(4)] == ["1"] * 4
+    assert observed(None, (False, True)) == "1" and observed(None, (True, True)) == "0"
+
+
 @pytest.mark.parametrize("name", ["stg_volume_campaign", "stg_entities_campaign", "ent_campaign", "ent_view_asset_group", "mart_campaign_truth", "ratio_campaign_truth"])
 def test_same_rows_in_sql(spark, name):
     con = duckdb.connect()
