@@ -27,117 +27,217 @@ BLOCK = frozenset(
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td "
     "tfoot th thead tr ul".split()
 )
-RAW = frozenset("script style noscript template textarea title svg math iframe object noembed noframes".split())
+#: Read as plain characters up to their end tag; without one, the two of code swallow the rest, the others nothing.
+CODE = frozenset(["script", "style"])
+RAW = CODE | frozenset("textarea title iframe xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCK - {"button", "option", "optgroup", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "body", "html", "legend"}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]++|\"[^\"]*\"|'[^']*')*+)>", re.S)
+MARKUP = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z])")
+#: A tag without odd quotes; it never looks past the next angle bracket.
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^'\"<>]*+(?:(?<==)(?:\"[^\"<>]*+\"|'[^'<>]*+')(?=[\s/>])[^'\"<>]*+)*+)>")
+TAG_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+STOPS = re.compile("[>\"']")
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|visibility\s*:\s*hidden", re.I)
+SECTIONS = frozenset("article main nav aside footer header form section".split())
+#: Contexts, and attribute texts, remembered at once; results don't depend on it.
+KEPT = 20_000
 LETTERS = re.compile(r"[a-z]+")
 
 #: Labelled pages to train on, passes over them, step, and the weight of the squared penalty.
-PAGES, EPOCHS, STEP, PENALTY = 640, 120, 0.15, 2e-4
+PAGES, EPOCHS, STEP, PENALTY = 900, 120, 0.15, 2e-4
+
+
+class Context:
+    """What is known of the ancestors of a block: one object for all blocks of the same description, at any depth."""
+
+    __slots__ = ("names", "tag", "named", "section", "steps", "score")
+
+    def __init__(self, names: frozenset, tag: str, named: tuple, section: str):
+        self.names, self.tag, self.named, self.section = names, tag, named, section
+        self.steps: dict[tuple, Context] = {}
+        self.score = None
+
+
+class Contexts:
+    """All contexts met so far, told apart by their features. With `known` features, others leave no trace."""
+
+    def __init__(self, known: set[str] | None = None):
+        self.known, self.all, self.attributes = known, {}, {}
+        self.root = Context(frozenset(["bias"]), "", (), "")
+
+    def below(self, c: Context, tag: str, words: tuple, hidden: bool) -> Context:
+        """The context of an element inside `c`."""
+        key = (tag, words, hidden)
+        got = c.steps.get(key)
+        if got is None:
+            new = {f"a:{tag}", *(f"c:{w}" for w in words), *(["hidden"] if hidden else [])}
+            new = (new if self.known is None else new & self.known) - c.names
+            known = self.known is None or f"p:{tag}" in self.known
+            what = (c.names | new if new else c.names, tag if known else "", words or c.named, tag if tag in SECTIONS else c.section)
+            got = c.steps[key] = self.all.setdefault(what, Context(*what))
+        return got
+
+    def described(self, rest: str) -> tuple[tuple, bool]:
+        """Words of the naming attributes, and whether the element is hidden."""
+        got = self.attributes.get(rest)
+        if got is None:
+            words = {w for g in NAMED.findall(rest) for w in LETTERS.findall("".join(g).lower())}
+            if self.known is not None:
+                words = {w for w in words if f"c:{w}" in self.known or f"i:{w}" in self.known}
+            got = (tuple(sorted(words)), HIDDEN.search(rest) is not None)
+            if len(rest) < 1000:
+                self.attributes[rest] = got
+        return got
+
+    def trim(self) -> None:
+        """Between pages: forget all if there is too much."""
+        if len(self.all) > KEPT or len(self.attributes) > KEPT or len(self.root.steps) > KEPT:
+            self.__init__(self.known)
 
 
 class Block:
     __slots__ = ("context", "text", "linked")
 
-    def __init__(self, context: tuple, text: str, linked: int):
+    def __init__(self, context: Context, text: str, linked: int):
         self.context, self.text, self.linked = context, text, linked
 
 
-def blocks(page: str) -> list[Block]:
-    """The page's text blocks in order, white space normalised; character references are decoded."""
+class _Ends:
+    """Where tags end. A quoted value may hold angle brackets. One that is never closed, or whose closing quote
+    belongs to a later tag, ends its tag at the next `>`. Each character is looked at a fixed number of times."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.quotes, self.plain = page, page.rfind(">"), {q: page.rfind(q) for q in "\"'"}, False
+
+    def find(self, start: int) -> int:
+        """The place of the `>` of a tag that starts at `start`, which lies before some `>`."""
+        page, at = self.page, start
+        while not self.plain:
+            m = STOPS.search(page, at)
+            if m is None:
+                # No end outside of quotes up to the page's end: from here on quotes mean nothing.
+                self.plain = True
+                break
+            at, c = m.end(), m.group()
+            if c == ">":
+                return m.start()
+            k = m.start() - 1
+            while page[k].isspace():
+                k -= 1
+            if page[k] != "=":
+                continue
+            close = page.find(c, at) if self.quotes[c] >= at else -1
+            inner = page.find(">", at, close if close >= 0 else None)
+            if close < 0 or (inner >= 0 and close + 1 < len(page) and not (page[close + 1].isspace() or page[close + 1] in "/>")):
+                if inner < 0:
+                    break
+                return inner
+            at = close + 1
+        return page.find(">", start)
+
+
+def blocks(page: str, contexts: Contexts) -> list[Block]:
+    """The page's text blocks in order, white space normalised; character references are decoded.
+
+    The time grows with the page's length, whatever is left open, unbalanced or deeply nested.
+    """
     out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, attribute words, hidden
+    tags: list[str] = []
+    path = [contexts.root]
+    fences: list[int] = []  # for each open element the place of the innermost p or block element up to it
+    opened: dict[str, int] = {}
     parts: list[str] = []
     linked = 0
-    at, size = 0, len(page)
-    raw_end: dict[str, re.Pattern] = {}
+    at, size, ends = 0, len(page), _Ends(page)
+    endless: set[str] = set()
 
     def close() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block(tuple(stack), text, linked))
+                out.append(Block(path[-1], text, linked))
             parts.clear()
         linked = 0
 
-    while at < size:
-        m = TOKEN.search(page, at)
-        text = page[at : m.start() if m else size]
+    def leave(k: int) -> None:
+        """Close the open elements from the k-th on."""
+        for t in tags[k:]:
+            opened[t] -= 1
+        del tags[k:], path[k + 1 :], fences[k:]
+
+    def add(text: str) -> None:
+        nonlocal linked
         if text:
-            if "&" in text:
-                text = html.unescape(text)
+            text = html.unescape(text) if "&" in text else text
             parts.append(text)
-            if any(s[0] == "a" for s in stack):
+            if opened.get("a"):
                 linked += len(text)
-        if not m:
+
+    while at < size:
+        m = MARKUP.search(page, at)
+        if m is None or (m.start() > ends.last and m.group() != "<!--"):
+            add(page[at:])
             break
-        at = m.end()
-        tag = m.group(2)
-        if tag is None:
+        start, kind = m.start(), m.group()
+        add(page[at:start])
+        if kind == "<!--":
+            at = page.find("-->", start + 2)
+            at = at + 3 if at >= 0 else size
+            continue
+        if kind in ("<!", "<?"):
+            at = page.find(">", start) + 1
             continue
+        m = PLAIN_TAG.match(page, start)
+        if m:
+            at, (ending, tag, rest) = m.end(), m.groups()
+        else:
+            m = TAG_NAME.match(page, start)
+            at = ends.find(m.end()) + 1
+            ending, tag, rest = m.group(1), m.group(2), page[m.end() : at - 1]
         tag = tag.lower()
-        if m.group(1):
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    if tag in BLOCK:
-                        close()
-                    del stack[k:]
-                    break
+        if ending:
+            if opened.get(tag):
+                k = len(tags) - 1
+                while tags[k] != tag:
+                    k -= 1
+                if tag in BLOCK:
+                    close()
+                leave(k)
             continue
         if tag in RAW:
-            if not m.group(3).endswith("/"):
-                end = raw_end.get(tag) or raw_end.setdefault(tag, re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I))
-                found = end.search(page, at)
-                at = found.end() if found else size
+            found = None if tag in endless else re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            if found:
+                at = found.end()
+            elif tag in CODE:
+                at = size
+            else:
+                endless.add(tag)
             parts.append(" ")
             continue
         if tag in BLOCK:
             close()
-            if tag in CLOSES_P:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == "p":
-                        del stack[k:]
-                        break
-                    if stack[k][0] in BLOCK:
-                        break
-            if tag in ("li", "td", "th", "tr", "dd", "dt", "option") and stack and stack[-1][0] == tag:
-                stack.pop()
+            if tag in CLOSES_P and fences and fences[-1] >= 0 and tags[fences[-1]] == "p":
+                leave(fences[-1])
+            if tag in ("li", "td", "th", "tr", "dd", "dt", "option") and tags and tags[-1] == tag:
+                leave(len(tags) - 1)
         if tag in VOID:
             if tag in ("br", "hr"):
                 parts.append(" ")
             continue
-        rest = m.group(3)
-        words = ""
-        if "=" in rest or "hidden" in rest:
-            words = " ".join(sorted({w for g in NAMED.findall(rest) for w in LETTERS.findall("".join(g).lower())}))
-        stack.append((tag, words, bool(rest) and HIDDEN.search(rest) is not None))
-        if len(stack) > 512:  # deeper nesting changes nothing in what is described
-            del stack[256]
+        words, hidden = contexts.described(rest) if "=" in rest or "hidden" in rest else ((), False)
+        fences.append(len(tags) if tag in BLOCK else fences[-1] if fences else -1)
+        tags.append(tag)
+        opened[tag] = opened.get(tag, 0) + 1
+        path.append(contexts.below(path[-1], tag, words, hidden or tag == "template"))
     close()
     return out
 
 
-def context_features(context: tuple) -> list[str]:
+def context_features(c: Context) -> list[str]:
     """Features of a block's ancestors; the innermost sectioning and the innermost named element count by themselves too."""
-    out = {"bias"}
-    for depth, (tag, words, hidden) in enumerate(reversed(context)):
-        out.add(f"a:{tag}")
-        if depth == 0:
-            out.add(f"p:{tag}")
-        out.update(f"c:{w}" for w in words.split())
-        if hidden:
-            out.add("hidden")
-    named = next((words for _, words, _ in reversed(context) if words), "")
-    out.update(f"i:{w}" for w in named.split())
-    for tag, _, _ in reversed(context):
-        if tag in ("article", "main", "nav", "aside", "footer", "header", "form", "section"):
-            out.add(f"s:{tag}")
-            break
-    return sorted(out)
+    return sorted({*c.names, *([f"p:{c.tag}"] if c.tag else []), *(f"i:{w}" for w in c.named), *([f"s:{c.section}"] if c.section else [])})
 
 
 def text_features(b: Block) -> list[str]:
@@ -154,15 +254,15 @@ class Field:
 
     def __init__(self, index: dict[str, int], weights: np.ndarray, start: np.ndarray, move: np.ndarray):
         self.index, self.weights, self.start, self.move = index, weights, start, move
-        self.known: dict[tuple, np.ndarray] = {}
+        self.contexts = Contexts(set(index))
+
+    def __reduce__(self):
+        return Field, (self.index, self.weights, self.start, self.move)
 
     def emission(self, b: Block) -> np.ndarray:
-        got = self.known.get(b.context)
-        if got is None:
-            if len(self.known) > 20_000:
-                self.known.clear()
-            got = self.known[b.context] = self._sum(context_features(b.context))
-        return got + self._sum(text_features(b))
+        if b.context.score is None:
+            b.context.score = self._sum(context_features(b.context))
+        return b.context.score + self._sum(text_features(b))
 
     def _sum(self, names: list[str]) -> np.ndarray:
         ids = [self.index[n] for n in names if n in self.index]
@@ -190,7 +290,9 @@ class Field:
 
 # Labelled pages -----------------------------------------------------------------------------------
 
-MARK = ""
+MARK = "\ue000"
+# Attributes of elements that a reader doesn't see.
+UNSEEN = ["hidden", "style='display:none'", 'style="display: none"', "style='visibility:hidden'", 'hidden=""', "hidden=hidden"]
 # Names that sites give to parts of a page.
 MAIN_NAMES = ["content", "post-content", "entry-content", "article-body", "story", "post", "main", "text", "body-text", "page-content"]
 REST = {
@@ -274,19 +376,29 @@ def _labelled_page(rnd: random.Random) -> str:
                 out.append("<table><tr>" + "".join(f"<td>{MARK}{word()}</td>" for _ in range(4)) + "</tr></table>")
             elif k < 0.94:
                 out.append(f"<div>{MARK}{prose(3)}</div>")
+            elif k < 0.96:
+                out.append(f"<{(t := rnd.choice(['p', 'div', 'section', 'h3', 'li']))} {rnd.choice(UNSEEN)}>{prose(3)}</{t}>")
             else:
                 out.append(rest(rnd.choice(["ad", "share", "aside", "notice", "form"])))
         if rnd.random() < 0.2:
             out.append(rest("comments"))
         return "".join(out)
 
+    kind = rnd.random()
+    if kind < 0.06:  # nothing but text, without a container or in one without a telling name
+        frame = rnd.choice(["{}", "{}", "<div>{}</div>", f"<div id={word()}>{{}}</div>", f"<div class='{word()} {word()}'><div>{{}}</div></div>", "<section>{}</section>"])
+        inner = "".join([f"<h1>{MARK}{sentence(2, 12)}</h1>"] * (rnd.random() < 0.6) + [f"<p>{MARK}{prose()}</p>" for _ in range(rnd.randint(1, 6))])
+        return rnd.choice(["{}", "<html><body>{}</body></html>", "<!DOCTYPE html><html><head><title>x</title></head><body>{}"]).format(frame.format(inner))
     body = [rest(k) for k in ("notice", "header", "nav", "ad", "aside") if rnd.random() < 0.55]
+    if rnd.random() < 0.1:
+        body.append(f"<noscript>{prose(2)}</noscript>")
     rnd.shuffle(body)
-    kind = rnd.random()
     name = rnd.choice(MAIN_NAMES)
-    if kind < 0.55:
+    if kind < 0.16:
+        body.append(rnd.choice(["{}", "{}", "<div>{}</div>", f"<div id={word()}>{{}}</div>", f"<div class='{word()} {word()}'><div>{{}}</div></div>"]).format(main()))
+    elif kind < 0.58:
         body.append(f"<article{rnd.choice(['', f' class={name!r}'])}>{main()}</article>")
-    elif kind < 0.7:
+    elif kind < 0.72:
         body.append(f"<main>{rnd.choice(['', f'<div class={name!r}>'])}{main()}</main>")
     elif kind < 0.85:
         body.append(f"<main><article>{main()}</article></main>")
@@ -299,10 +411,10 @@ def _labelled_page(rnd: random.Random) -> str:
     return text + "</body></html>" * (rnd.random() < 0.9)
 
 
-def labelled_pages(n: int = PAGES, seed: int = 7) -> list[tuple[list[Block], list[bool]]]:
-    rnd, out = random.Random(seed), []
+def labelled_pages(n: int = PAGES, seed: int = 7, contexts: Contexts | None = None) -> list[tuple[list[Block], list[bool]]]:
+    rnd, out, contexts = random.Random(seed), [], contexts or Contexts()
     for _ in range(n):
-        page = blocks(_labelled_page(rnd))
+        page = blocks(_labelled_page(rnd), contexts)
         labels = [MARK in b.text for b in page]
         for b in page:
             b.text = b.text.replace(MARK, "") or "."
@@ -317,6 +429,8 @@ def train(pages: list[tuple[list[Block], list[bool]]], epochs: int = EPOCHS, ste
     n, longest = len(pages), max(map(len, rows))
     at = [(i, t, f) for i, page in enumerate(rows) for t, fs in enumerate(page) for f in fs]
     pi, ti, fi = (np.array(x) for x in zip(*at))
+    cell = pi * longest + ti  # ascending: a block's features lie together
+    begins = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
     size = np.array([len(r) for r in rows])
     real = np.arange(longest)[None] < size[:, None]
     y = np.zeros((n, longest), int)
@@ -329,8 +443,9 @@ def train(pages: list[tuple[list[Block], list[bool]]], epochs: int = EPOCHS, ste
     both = real[:, 1:]
     seen_moves = np.einsum("nta,ntb->ab", gold[:, :-1] * both[..., None], gold[:, 1:])
     for k in range(1, epochs + 1):
-        e = np.zeros((n, longest, 2))
-        np.add.at(e, (pi, ti), w[fi])
+        e = np.zeros((n * longest, 2))
+        e[cell[begins]] = np.add.reduceat(w[fi], begins)
+        e = e.reshape(n, longest, 2)
         fwd, bwd = np.zeros_like(e), np.zeros_like(e)
         fwd[:, 0] = start + e[:, 0]
         for t in range(1, longest):
@@ -343,8 +458,8 @@ def train(pages: list[tuple[list[Block], list[bool]]], epochs: int = EPOCHS, ste
         post = np.exp(fwd + bwd - z[:, None, None]) * real[..., None]
         pair = np.exp(fwd[:, :-1, :, None] + move + (e[:, 1:] + bwd[:, 1:])[:, :, None, :] - z[:, None, None, None]) * both[..., None, None]
         diff = gold - post
-        gw = np.zeros_like(w)
-        np.add.at(gw, fi, diff[pi, ti])
+        change = diff.reshape(-1, 2)[cell]
+        gw = np.stack([np.bincount(fi, change[:, k], len(index)) for k in (0, 1)], axis=1)
         grads = [gw / n - penalty * w, diff[:, 0].sum(0) / n, (seen_moves - pair.sum((0, 1))) / n]
         for p, g, m, v in zip(params, grads, first, second):
             m += 0.1 * (g - m)
@@ -359,8 +474,10 @@ def default_field() -> Field:
 
 
 def main_text(page: str | None, field: Field) -> str:
-    found = blocks(page) if page else []
-    return "\n".join(b.text for b, keep in zip(found, field.decode(found)) if keep)
+    found = blocks(page, field.contexts) if page else []
+    text = "\n".join(b.text for b, keep in zip(found, field.decode(found)) if keep)
+    field.contexts.trim()
+    return text
 
 
 def extract_text(pages: DataFrame, html: str = "html", out: str = "text", field: Field | None = None) -> DataFrame:
@@ -370,7 +487,6 @@ def extract_text(pages: DataFrame, html: str = "html", out: str = "text", field:
     """
     small_batches(pages.sparkSession)
     field = field or default_field()
-    field.known.clear()
     keep = [c for c in pages.columns if c != out]
     base = pages.select([F.col(f"`{c}`") for c in keep])
     shape = base.select("*", F.lit("").alias(out)).schema
