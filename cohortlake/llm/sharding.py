@@ -1,34 +1,35 @@
 """Sharding by longest processing time: groups of equal texts, largest first, to the least-loaded shard.
 
-Every group is placed by the same rule, through one heap of shard loads. Heavy groups, of which there
-are at most `HEADS` since each holds at least 1/HEADS of all bytes, are placed one by one. The rest,
-dust by comparison, is placed by size class: the groups of a class differ by under two per cent, so a
-class of n groups is dealt out as n groups of its mean size. The heap then moves by runs: the
-least-loaded shard takes groups until it is no longer the least loaded. Only heavy groups and class
-totals reach the driver, both of bounded number.
+Groups of exactly equal size are interchangeable, so the rule needs only how many there are of each
+size. The driver gets that histogram, runs the heap over it from the largest size down, a class of n
+groups moving through it in runs, and knows how many groups of each size every shard takes: the same
+loads as if each group had gone through the heap by itself. Within a size, groups are then numbered
+in parallel, by slices of their hash, and take their shard by number.
+
+The histogram has one row per distinct size. As sizes are distinct whole numbers that sum to no more
+than all bytes, there are at most sqrt(2 * bytes) of them, and no more than the longest group has bytes.
 """
 
 from __future__ import annotations
 
 import heapq
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .storage import written
 
-#: Most groups that are placed one by one.
-HEADS = 8192
-#: A class covers sizes that agree in this many leading binary digits, and a part of its groups by hash.
-DIGITS, PARTS = 6, 16
-#: Shard slots are counted in this many parts by hash, so no task numbers a whole shard.
-SLOT_PARTS = 512
+#: Groups of one size, and rows of one shard, are numbered in this many parts by hash, at least.
+PARTS = 512
+#: Groups that hold at least this part of all rows, so no more than HOT of them, meet their rows by broadcast.
+HOT = 1024
 
 
-def longest_first(items: list[tuple[float, int, object]], shards: int) -> dict[object, list[tuple[int, int]]]:
+def longest_first(items: list[tuple[int, int, object]], shards: int) -> dict[object, list[tuple[int, int]]]:
     """Place items (size, count, key): for each key the runs (shard, how many), in the order they are dealt."""
-    heap = [(0.0, s) for s in range(shards)]
+    heap = [(0, s) for s in range(shards)]
     out: dict[object, list[tuple[int, int]]] = {}
     for size, count, key in sorted(items, key=lambda x: (-x[0], str(x[2]))):
         runs = out.setdefault(key, [])
@@ -52,64 +53,65 @@ def longest_first(items: list[tuple[float, int, object]], shards: int) -> dict[o
     return out
 
 
-def _size_class(bytes_: Column) -> Column:
-    """The leading binary digits of a size, as a number that grows with it."""
-    length = F.length(F.bin(bytes_))
-    drop = F.greatest(length - DIGITS, F.lit(0))
-    return (length * (1 << (DIGITS + 1)) + F.floor(bytes_ / F.pow(F.lit(2.0), drop))).cast("long")
+def _deals(histogram: DataFrame, shards: int) -> pa.Table:
+    """For each size the shards that take groups of it, and up to which number each does."""
+    placed = longest_first([(r["bytes"], r["n"], r["bytes"]) for r in histogram.toLocalIterator()], shards)
+    sizes, takers, upto = [], [], []
+    for size, runs in placed.items():
+        total: dict[int, int] = {}
+        for shard, n in runs:
+            total[shard] = total.get(shard, 0) + n
+        at, ends = 0, []
+        for n in total.values():
+            at += n
+            ends.append(at)
+        sizes.append(size)
+        takers.append(list(total))
+        upto.append(ends)
+    return pa.table({"bytes": pa.array(sizes, pa.int64()), "takers": pa.array(takers, pa.list_(pa.int32())), "upto": pa.array(upto, pa.list_(pa.int64()))})
 
 
 def assign_shards(docs: DataFrame, shards: int = 8, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Add size, text_crc32, law, shard, slot and grown_shard to every row; input columns of these names go.
+    """Add size, text_crc32, law, shard, slot and grown_shard to every row, without its text.
 
     Size is the text's UTF-8 bytes plus one; a null text has size one and no checksum, and null texts
-    are one group. The law is `bytes`: loads are as near to equal as the groups allow, so a group of
-    more than a shard's share has a shard of its own. Slots count a shard's rows from 0 without gaps.
-    `grown_shard` is null under this law.
+    are one group. The law is `bytes`: loads are as near to equal as longest-first makes them, so a
+    group of more than a shard's share has a shard of its own. Slots count a shard's rows from 0
+    without gaps, repeated rows included. `grown_shard` is null under this law. Input columns of the
+    new names go, all others stay, whatever their names. An empty table gives an empty result.
     """
     new = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
-    keep = [c for c in docs.columns if c not in new]
+    keep = [c for c in docs.columns if c not in new and c != text]
     spark = docs.sparkSession
+    parts = max(PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
     t = F.col(f"`{text}`")
     rows = docs.select(
-        *[F.col(f"`{c}`") for c in keep if c != text], F.col(f"`{id}`").alias("_id"),
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(f"`{id}`").alias("id"),
         (F.coalesce(F.octet_length(t), F.lit(0)).cast("long") + 1).alias("size"),
-        F.crc32(t).alias("text_crc32"), F.unhex(F.coalesce(F.sha2(t, 256), F.lit(""))).alias("_group"),
+        F.crc32(t).alias("crc"), F.unhex(F.coalesce(F.sha2(t, 256), F.lit(""))).alias("group"),
     )
-    groups = rows.groupBy("_group").agg(F.sum("size").alias("bytes"))
-    groups = written(groups, "groups")
-    total = groups.agg(F.sum("bytes")).first()[0] or 0
-    heavy = groups.where(F.col("bytes") * HEADS >= total)
-    light = groups.where(F.col("bytes") * HEADS < total).withColumns({"class": _size_class(F.col("bytes")), "part": F.pmod(F.xxhash64("_group"), F.lit(PARTS))})
-    classes = light.groupBy("class", "part").agg(F.count("*").alias("n"), F.sum("bytes").alias("b"))
-    # At most HEADS rows, and at most 64 * 2**DIGITS * PARTS rows.
-    items = [(float(r["bytes"]), 1, ("g", bytes(r["_group"]))) for r in heavy.toLocalIterator()]
-    items += [(r["b"] / r["n"], r["n"], ("c", r["class"], r["part"])) for r in classes.toLocalIterator()]
-    placed = longest_first(items, shards)
-    heads = spark.createDataFrame([(bytearray(k[1]), v[0][0]) for k, v in placed.items() if k[0] == "g"], "_group binary, shard int")
-    deals = []
-    for k, runs in placed.items():
-        if k[0] == "c":
-            upto = 0
-            for shard, n in runs:
-                deals.append((k[1], k[2], upto, upto + n, shard))
-                upto += n
-    dealt = spark.createDataFrame(deals, "class long, part long, lo long, hi long, shard int")
-    # Within a class and part the groups are dealt in hash order.
-    order = Window.partitionBy("class", "part", "slice").orderBy("_group")
-    sliced = light.withColumn("slice", F.pmod(F.xxhash64(F.lit(5), "_group"), F.lit(64)))
-    begins = sliced.groupBy("class", "part", "slice").agg(F.count("*").alias("n"))
-    begins = begins.withColumn("before", F.sum("n").over(Window.partitionBy("class", "part").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)))
-    ranked = sliced.withColumn("rank", F.row_number().over(order) - 1).join(begins.select("class", "part", "slice", F.coalesce("before", F.lit(0)).alias("before")), ["class", "part", "slice"])
-    ranked = ranked.withColumn("at", F.col("rank") + F.col("before"))
-    small = ranked.join(dealt, ["class", "part"]).where("at >= lo AND at < hi").select("_group", "shard")
-    where = heavy.join(F.broadcast(heads), "_group").select("_group", "shard").unionByName(small)
-    out = written(rows.join(where, "_group").drop("_group"), "sharded").withColumn("_p", F.pmod(F.xxhash64(F.lit(3), "_id", "text_crc32"), F.lit(SLOT_PARTS)))
-    counts = out.groupBy("shard", "_p").agg(F.count("*").alias("n"))
-    starts = counts.withColumn("first", F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    slot = F.row_number().over(Window.partitionBy("shard", "_p").orderBy("_id", "text_crc32")) - 1
-    # `starts` has at most shards * SLOT_PARTS rows.
+    groups = written(rows.groupBy("group").agg(F.sum("size").alias("bytes"), F.count("*").alias("copies")), "groups")
+    deals = spark.createDataFrame(_deals(groups.groupBy("bytes").agg(F.count("*").alias("n")), shards))
+    sliced = groups.withColumn("slice", F.pmod(F.xxhash64("group"), F.lit(parts)))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("bytes").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    begins = sliced.groupBy("bytes", "slice").agg(F.count("*").alias("n")).withColumn("before", before).join(deals, "bytes").drop("n")
+    number = F.row_number().over(Window.partitionBy("bytes", "slice").orderBy("group")) - 1
+    ranked = sliced.withColumn("number", number).join(begins, ["bytes", "slice"]).withColumn("at", F.col("number") + F.col("before"))
+    placed = written(ranked.select("group", "copies", F.expr("element_at(takers, size(filter(upto, x -> x <= at)) + 1)").alias("shard")), "placed")
+    total = placed.agg(F.sum("copies")).first()[0] or 0
+    hot = placed.where(F.col("copies") * HOT >= total).select("group", "shard")
+    rest = placed.where(F.col("copies") * HOT < total).select("group", F.col("shard").alias("other"))
+    # A hot group's rows never meet in one task: they get their shard where they are, and take no part in the join by group.
+    marked = rows.join(F.broadcast(hot), "group", "left")
+    joined = marked.where("shard IS NULL").drop("shard").join(rest.withColumnRenamed("other", "shard"), "group")
+    out = written(marked.where("shard IS NOT NULL").unionByName(joined).drop("group"), "sharded")
+    out = out.withColumn("part", F.pmod(F.xxhash64(F.lit(3), "id", "crc"), F.lit(parts)))
+    counts = out.groupBy("shard", "part").agg(F.count("*").alias("n"))
+    first = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    place = F.row_number().over(Window.partitionBy("shard", "part").orderBy("id", "crc")) - 1
+    # `starts` has at most shards * parts rows.
+    starts = counts.select("shard", "part", first.alias("first"))
     return (
-        out.withColumn("_n", slot).join(F.broadcast(starts.select("shard", "_p", "first")), ["shard", "_p"])
-        .select(*[c for c in keep if c != text], "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("_n") + F.col("first")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+        out.withColumn("place", place).join(F.broadcast(starts), ["shard", "part"])
+        .select(*[F.col(f"row.`{c}`").alias(c) for c in keep], "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", (F.col("place") + F.col("first")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
     )
