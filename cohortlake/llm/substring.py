@@ -174,24 +174,57 @@ def _packed(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.zeros(0, np.int64)).cast(kind))
 
 
+class Asked:
+    """Windows that a task has asked about, a bounded number; a forgotten one is asked about again."""
+
+    MOST = 1 << 20
+
+    def __init__(self):
+        self.one, self.two, self.n = np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int8)
+
+    def often(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """Which of these distinct windows, ordered by their hashes, were asked about twice; the others count as asked about now."""
+        if len(self.one) > self.MOST:
+            stay = self.n > 1
+            if stay.mean() > 0.5:
+                stay &= False
+            self.one, self.two, self.n = self.one[stay], self.two[stay], self.n[stay]
+        at = np.minimum(np.searchsorted(self.one, one), max(0, len(self.one) - 1))
+        if len(self.one):
+            met = (self.one[at] == one) & (self.two[at] == two)
+            known = met & (self.n[at] > 1)
+            self.n[at[met]] = 2
+        else:
+            met = known = np.zeros(len(one), bool)
+        new = ~met
+        if len(self.one):
+            new &= self.one[at] != one
+        place = np.searchsorted(self.one, one[new])
+        self.one, self.two, self.n = np.insert(self.one, place, one[new]), np.insert(self.two, place, two[new]), np.insert(self.n, place, 1)
+        return known
+
+
 def repeated_ranges(docs: DataFrame, text: str = "text", width: int = WINDOW, cells: int = CELLS, depth: int = DEPTH) -> DataFrame:
     """Arrays of word ranges [start, end) to remove, by `id` and `hash`; a text may have several rows.
 
-    `docs` has `_id` and `_hash`, which together name a row's content.
+    `docs` has `_id` and `_hash`, which together name a row's content. Buckets grow with the number of
+    input partitions and of shuffle partitions, so a bucket that a task answers at once stays small.
     """
     spark = docs.sparkSession
     marks = spark.sparkContext.broadcast(sketch(docs, text, width, cells, depth))
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions())
     id_type = docs.schema["_id"].dataType.simpleString()
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Windows that the sketch marks, for each block and bucket one row of packed arrays.
 
         A window that repeats inside the block is sent once, by its first place, and its other places
-        are known repeats: they go out as ranges with a bucket of their own and need no answer. So a
-        window that is in every text gives its bucket one entry per block, not one per text.
+        are known repeats: they go out as ranges with a bucket of their own and need no answer. A window
+        that two blocks of this task have asked about is a known repeat as well. So a window that is in
+        every text gives its bucket two entries per task, not one per text.
         """
         bits = marks.value
+        asked = Asked()
         for b in batches:
             for i, h, first, moved in _texts(b, 2, width):
                 at, one, two = window_hashes(h, first, width)
@@ -211,6 +244,14 @@ def repeated_ranges(docs: DataFrame, text: str = "text", width: int = WINDOW, ce
                 many[order[1:]] |= same
                 many[order[:-1]] |= same
                 doc = np.searchsorted(first, at, "right") - 1
+                again = np.zeros(len(at), bool)
+                group = np.empty(len(at), np.int64)  # number of each window among the block's distinct ones
+                group[order] = np.cumsum(np.concatenate([[True], ~same])) - 1
+                leaders = np.empty(int(lead.sum()), np.int64)
+                leaders[group[lead]] = np.flatnonzero(lead)
+                again = asked.often(one[leaders], two[leaders].astype(np.uint32))[group]
+                many |= again
+                lead &= ~again
                 rows: dict[str, list] = {k: [] for k in ("bucket", "one", "two", "many", "at", "docs", "base", "known", "start", "end")}
                 if many.any():
                     d, a, e = joined(doc[many], at[many], at[many] + width)
@@ -218,6 +259,8 @@ def repeated_ranges(docs: DataFrame, text: str = "text", width: int = WINDOW, ce
                     for k, v in (("bucket", int((one.sum() >> np.uint64(20)) % np.uint64(buckets))), ("one", b""), ("two", b""), ("many", b""), ("at", b""), ("docs", own), ("base", first[own] - moved), ("known", index), ("start", a), ("end", e)):
                         rows[k].append(v)
                 at, one, two, many, doc = at[lead], one[lead], two[lead], many[lead], doc[lead]
+                if not len(at) and not rows["docs"]:
+                    continue
                 bucket = (mix(x[lead]) % np.uint64(buckets)).astype(np.int64)
                 order = np.argsort(bucket, kind="stable")
                 cut = np.flatnonzero(np.diff(bucket[order], prepend=-1, append=-1))
@@ -317,13 +360,16 @@ def dedup_substrings(docs: DataFrame, id: str = "doc_id", text: str = "text", wi
     A word goes if a window of `width` consecutive words that covers it has a word sequence that
     starts anywhere else in the input too. Null and empty texts have no words and keep an empty text;
     texts with fewer than `width` words lose nothing; equal rows are repeats of each other. Input
-    columns of the new names go, others stay.
+    columns of the new names go, others stay, whatever their names. An empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
-    keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept", "_id", "_hash")]
+    keep = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept")]
     base = docs.select([F.col(f"`{c}`") for c in keep])
-    named = base.select("*", F.col(f"`{id}`").alias("_id"), F.xxhash64(F.lit(7), F.col(f"`{text}`")).alias("_hash"))
-    ranges = repeated_ranges(named, text, width, cells, depth)
+    at = keep.index(text)
+    # Inside, input columns go by their number.
+    own = [f"c{k}" for k in range(len(keep))]
+    named = base.toDF(*own).withColumns({"_id": F.col(own[keep.index(id)]), "_hash": F.xxhash64(F.lit(7), F.col(own[at]))})
+    ranges = repeated_ranges(named, own[at], width, cells, depth)
     # Ranges of one text come together in one row; their number is bounded by the text's length.
     packed = ranges.groupBy(F.col("id").alias("_rid"), F.col("hash").alias("_rhash")).agg(
         F.collect_set(F.struct("starts", "ends")).alias("_r")
@@ -331,7 +377,6 @@ def dedup_substrings(docs: DataFrame, id: str = "doc_id", text: str = "text", wi
     packed = packed.select("_rid", "_rhash", F.flatten("_r.starts").alias("_from"), F.flatten("_r.ends").alias("_to"))
     both = named.join(packed, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_hash") == F.col("_rhash")), "left")
     shape = base.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.lit("").alias("kept")).schema
-    at = keep.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -359,4 +404,4 @@ def dedup_substrings(docs: DataFrame, id: str = "doc_id", text: str = "text", wi
             kept.append(b" ".join(words))
         return pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=[*keep, "n_words", "n_removed", "kept"])
 
-    return both.select(*[F.col(f"`{c}`") for c in keep], "_from", "_to").mapInArrow(cut, shape)
+    return both.select(*own, "_from", "_to").mapInArrow(cut, shape)
