@@ -26,10 +26,15 @@ from pyspark.sql.window import Window
 from .storage import written
 from .textcore import ragged
 
-#: Vectors to fit and calibrate on, sample rows in a leaf at most, children of a node.
-FIT_ROWS, LEAF_ROWS, BRANCHES = 20_000, 400, 8
+#: Vectors to fit on: one in FIT_SHARE, within these bounds; sample rows in a leaf at most, children of a node.
+#: So leaves grow in number with the table up to the upper bound, and in size only beyond it.
+FIT_SHARE, FIT_ROWS, MOST_FIT_ROWS, LEAF_ROWS, BRANCHES = 50, 20_000, 400_000, 400, 8
+#: Vectors of the sample that queries take their floor from.
+FLOOR_ROWS = 20_000
 #: Recall wanted on the sample, queries of the calibration, rows and queries that meet in one task group.
 RECALL, PROBES, CHUNK = 0.96, 256, 4096
+#: Queries with at least this part of all queries as copies are hot.
+COPIES = 256
 
 
 @dataclass
@@ -102,9 +107,9 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 8) ->
     c = x[rng.choice(len(x), k, replace=False)]
     for _ in range(rounds):
         near = ((c * c).sum(1)[None] - 2 * x @ c.T).argmin(1)
-        sums = np.zeros_like(c)
-        np.add.at(sums, near, x)
         n = np.bincount(near, minlength=k)
+        sums = np.zeros_like(c)
+        sums[n > 0] = np.add.reduceat(x[np.argsort(near, kind="stable")], (np.cumsum(n) - n)[n > 0], axis=0)
         c = np.where(n[:, None] > 0, sums / np.maximum(n, 1)[:, None], c)
     return c, ((c * c).sum(1)[None] - 2 * x @ c.T).argmin(1)
 
@@ -131,12 +136,15 @@ def fit_tree(sample: np.ndarray, k: int, seed: int = 5, recall: float = RECALL)
             centres.append(c[i]), children.append([]), leaf.append(-1)
             children[node].append(len(centres) - 1)
             todo.append((len(centres) - 1, rows[near == i]))
-    tree = Tree(np.array(centres), children, np.array(leaf), longest, sample)
-    if len(sample) > k:
+    tree = Tree(np.array(centres), children, np.array(leaf), longest, sample[rng.permutation(len(sample))[:FLOOR_ROWS]])
+    if len(sample) > k + 1:
         filed = tree.file(sample)
         sizes = np.bincount(filed, minlength=tree.leaves)
-        probes = sample[rng.choice(len(sample), min(PROBES, len(sample)), replace=False)]
-        truth = np.argsort(-(probes @ sample.T), 1)[:, : k + 1]
+        chosen = rng.choice(len(sample), min(PROBES, len(sample)), replace=False)
+        probes = sample[chosen]
+        near = probes @ sample.T
+        near[np.arange(len(chosen)), chosen] = -np.inf  # a probe isn't its own neighbour
+        truth = np.argsort(-near, 1)[:, :k]
         order = tree.bins(probes, sizes, len(sample), tree.leaves)
         place = np.full((len(probes), tree.leaves), tree.leaves)
         for i, o in enumerate(order):
@@ -149,13 +157,14 @@ def fit_tree(sample: np.ndarray, k: int, seed: int = 5, recall: float = RECALL)
     return tree
 
 
-def nearest(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", every: int = 20, k: int = 20, fit_rows: int = FIT_ROWS, recall: float = RECALL) -> DataFrame:
+def nearest(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", every: int = 20, k: int = 20, fit_rows: int | None = None, recall: float = RECALL) -> DataFrame:
     """The `k` nearest found of each query: query_id, rank, vec_id, score.
 
     Queries are the rows whose id is divisible by `every`, candidates all rows but the query's own.
     Nearness is the largest inner product in double precision, ties go to the smaller id. Vectors that
     are null, zero, or hold null or non-finite components take no part, nor do those of another
     dimension than the largest number of vectors has; a row without an id neither. Rows equal in id and vector count once.
+    `fit_rows` vectors, by default one in FIT_SHARE within bounds, fit the tree; all are filed and searched.
     """
     spark = vectors.sparkSession
     v, a = F.col(f"`{vector}`"), F.col(f"`{id}`")
@@ -170,6 +179,7 @@ def nearest(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", e
     copies = Window.partitionBy("v").orderBy("id")
     few = clean.distinct().withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k + 1)
     entries = written(few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")), "entries")
+    fit_rows = fit_rows or min(MOST_FIT_ROWS, max(FIT_ROWS, sizes["count"] // FIT_SHARE))
     share = min(1.0, fit_rows / max(1, sizes["count"]))
     sample = entries.where(F.pmod(F.xxhash64(F.lit(3), F.col("ids")[0]), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("v")
     rows = [r.v for r in sample.toLocalIterator()]  # about fit_rows vectors
@@ -187,7 +197,8 @@ def nearest(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", e
         held[r["leaf"]] = r["count"]
 
     asked = clean.where(F.col("id") % every == 0)
-    queries = asked.groupBy("v").agg(F.min("id").alias("q"))
+    grouped = asked.groupBy("v").agg(F.min("id").alias("q"), F.count_distinct("id").alias("copies"))
+    queries = grouped.select("v", "q")
     parts = np.maximum(1, -(-held // CHUNK))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +246,14 @@ def nearest(vectors: DataFrame, id: str = "vec_id", vector: str = "embedding", e
     met = sent.groupBy(*key).cogroup(chunked.groupBy(*key)).applyInArrow(meet, "q bigint, id bigint, score double")
     best = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     met = met.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).drop("n")
-    same = asked.select("id", "v").distinct().join(queries, "v").select(F.col("id").alias("query_id"), "q")
-    full = same.join(met, "q").where("id <> query_id")
+    # Copies of a query share its answer. No more than COPIES queries have that share of them: their copies and answers meet by broadcast.
+    same = asked.select("id", "v").distinct()
+    hot = grouped.where(F.col("copies") * COPIES >= n_queries).select("v", F.col("q").alias("h"))
+    named = same.join(F.broadcast(hot), "v", "left")
+    few = named.where("h IS NULL").join(grouped.where(F.col("copies") * COPIES < n_queries).select("v", "q"), "v").select(F.col("id").alias("query_id"), "q")
+    many = named.where("h IS NOT NULL").select(F.col("id").alias("query_id"), F.col("h").alias("q"))
+    met = met.withColumnRenamed("id", "vec")
+    answers = met.join(F.broadcast(hot.select(F.col("h").alias("q"))), "q", "left_semi")
+    full = few.join(met, "q").unionByName(many.join(F.broadcast(answers), "q")).withColumnRenamed("vec", "id").where("id <> query_id")
     rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return full.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias("vec_id"), "score")
