@@ -25,6 +25,8 @@ from .textcore import buffers, groups
 
 #: Words remembered per Python worker; the memory is emptied when it is full, results don't depend on it.
 WORDS_KEPT = 300_000
+#: Judged pairs remembered per Python worker, besides those of the present block.
+PAIRS_KEPT = 2_000_000
 #: Longer words are merged with a heap.
 LONG_WORD = 200
 NEVER = 1 << 60
@@ -140,7 +142,9 @@ class Codec:
         return self.single[token]
 
     def judge(self, pairs: np.ndarray) -> None:
-        """Extend the table of judged pairs by those that are new."""
+        """Extend the table of judged pairs by those that are new; a full table starts again from these."""
+        if len(self.judged) > PAIRS_KEPT:
+            self.judged, self.good = self.judged[:0], self.good[:0]
         fresh = np.setdiff1d(pairs, self.judged)
         if len(fresh):
             verdict = np.fromiter((self._compatible(int(p) // self.size, int(p) % self.size) for p in fresh), bool, len(fresh))
