@@ -330,7 +330,8 @@ def _holds(region: list[int], answer: np.ndarray) -> bool:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text", answer: str | None = None) -> DataFrame:
     """Documents that hold benchmark items: id, `hash` of the text, item id, place, words in common and how close.
 
-    One row per document and item, its best place. Null and empty texts leak nothing, items without
+    One row per document and item, its best place; of places equally close the first looked at, which
+    doesn't depend on the order of rows. Null and empty texts leak nothing, items without
     words neither; repeated rows are all found. An empty benchmark or no documents give no rows.
     """
     spark = docs.sparkSession
@@ -397,7 +398,11 @@ def _portion(named: DataFrame, items: Items, item_type: str) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text", **more) -> DataFrame:
-    """The rows of `docs` that hold no benchmark item, with all their columns."""
-    bad = find_leaks(docs, benchmark, id, text, **more).select(F.col("id").alias("_lid"), F.col("hash").alias("_lhash")).distinct()
-    rows = docs.withColumn("_hash", F.xxhash64(F.lit(7), F.col(f"`{text}`")))
-    return rows.join(bad, F.col(f"`{id}`").eqNullSafe(F.col("_lid")) & (F.col("_hash") == F.col("_lhash")), "left_anti").drop("_hash")
+    """The rows of `docs` that hold no benchmark item, with all their columns, whatever those are called.
+
+    Null and empty texts stay; repeated rows stay or go together; an empty benchmark or table takes nothing.
+    """
+    bad = find_leaks(docs, benchmark, id, text, **more).select(F.col("id").alias("bad_id"), F.col("hash").alias("bad_hash")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{id}`").alias("id"), F.xxhash64(F.lit(7), F.col(f"`{text}`")).alias("hash"))
+    kept = rows.join(bad, F.col("id").eqNullSafe(F.col("bad_id")) & (F.col("hash") == F.col("bad_hash")), "left_anti")
+    return kept.select([F.col(f"row.`{c}`").alias(c) for c in docs.columns])
