@@ -39,5 +39,6 @@ def ratio(top: Column, bottom: Column) -> Column:
 
 
 def flat(df: DataFrame) -> DataFrame:
-    """Arrays of strings as text, for results that are compared or shown."""
-    return df.select([F.array_join(c, ", ").alias(c) if t == "array<string>" else F.col(c) for c, t in df.dtypes])
+    """Arrays of strings and instants as text, for results that are compared or shown."""
+    shown = {"array<string>": lambda c: F.array_join(c, ", "), "timestamp": lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")}
+    return df.select([shown[t](c).alias(c) if t in shown else F.col(c) for c, t in df.dtypes])

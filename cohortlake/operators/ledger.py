@@ -48,3 +48,34 @@ def pending_chunks(checkpoints: DataFrame, accounts: DataFrame, start: dt.date,
     wanted = accounts.select("account_id").distinct().crossJoin(F.broadcast(chunks))  # months of a few years
     missing = F.array_except(F.array(*map(F.lit, sorted(families))), F.coalesce("have", F.array().cast("array<string>")))
     return wanted.join(have, ["account_id", "chunk"], "left").withColumn("missing", missing).where(F.size("missing") > 0).select("account_id", "chunk", F.array_join("missing", ",").alias("missing"))
+
+
+def frozen_chunks(checkpoints: DataFrame, run_day: dt.date, wall_months: int = 37) -> DataFrame:
+    """Months behind the history wall that were fetched: they can't be fetched again."""
+    wall = F.trunc(F.add_months(F.lit(run_day), -wall_months), "MM")
+    return latest_checkpoints(checkpoints).where((F.col("event") == "DONE") & (F.col("chunk") < wall)).select("account_id", "chunk").distinct()
+
+
+def checkpoint_reset(checkpoints: DataFrame, stages: DataFrame, account_id: int, chunk: dt.date, run_id: str, at: str) -> tuple[DataFrame, DataFrame]:
+    """Checkpoints without those of an account's month, under any hash, and the stages with an event that says so."""
+    if chunk.day != 1:
+        raise ValueError("a chunk is the first day of a month")
+    hit = (F.col("account_id") == account_id) & (F.col("chunk") == F.lit(chunk))
+    left = checkpoints.where(~F.coalesce(hit, F.lit(False)))
+    event = checkpoints.where(hit).agg(F.count("*").alias("n")).select(
+        F.lit(run_id).alias("run_id"), F.lit("checkpoint_reset").alias("stage"), F.lit("SUCCESS").alias("status"), F.lit(account_id).cast("bigint").alias("account_id"),
+        F.concat(F.lit(chunk.strftime("%Y-%m: ")), F.col("n").cast("string")).alias("detail"), F.lit(at).cast("timestamp_ntz").alias("event_ts"))
+    return left, stages.unionByName(event, allowMissingColumns=True)
+
+
+def first_snapshot_rows(marks: DataFrame, runs: DataFrame, new: DataFrame) -> DataFrame:
+    """Marks to add: accounts that no mark of a successful run names yet; the earliest of several new ones."""
+    valid = marks.join(runs.where("status = 'SUCCESS'").select("run_id").distinct(), "run_id", "left_semi")
+    fresh = new.join(valid.select("account_id").distinct(), "account_id", "left_anti")
+    return fresh.groupBy("account_id").agg(F.min_by(F.struct("run_id", "first_snapshot_date"), F.struct("set_at", "run_id")).alias("m")).select("account_id", "m.*")
+
+
+def checkpoint_hash(queries: DataFrame, version: str) -> DataFrame:
+    """A key over all query texts, in the order of their names, and the version of the interface."""
+    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "text"))), lambda q: F.concat(q["name"], F.lit("="), F.sha2(q["text"], 256))), ";")
+    return queries.agg(F.sha2(F.concat(texts, F.lit("|" + version)), 256).alias("query_hash"))

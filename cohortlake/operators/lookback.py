@@ -19,20 +19,14 @@ def _lag_keys(lag: DataFrame) -> DataFrame:
     )
 
 
-def _fact_keys(facts: DataFrame) -> DataFrame:
-    return facts.where("metric_basis = 'CONVERSION_ACTION'").select(
-        F.col("date").alias("click_date"), "account_id", "conversion_action_resource_name", "conversion_action_id", F.col("action_conversions").alias("conversions")
-    )
-
-
-def action_keys(facts: DataFrame, lag: DataFrame) -> DataFrame:
-    """Every (click day, account, action) that either source has."""
-    return _fact_keys(facts).select(*KEY).unionByName(_lag_keys(lag).select(*KEY)).distinct()
+def action_keys(conv: DataFrame, lag: DataFrame) -> DataFrame:
+    """Every (click day, account, action) that the staged action facts or lag buckets of campaigns have."""
+    return _lag_keys(conv).select(*KEY).unionByName(_lag_keys(lag).select(*KEY)).distinct()
 
 
-def primary_evidence(facts: DataFrame, lag: DataFrame) -> DataFrame:
-    """Whether an action has conversions in the primary metric on a click day."""
-    rows = _fact_keys(facts).unionByName(_lag_keys(lag))
+def primary_evidence(conv: DataFrame, lag: DataFrame) -> DataFrame:
+    """Whether an action has conversions in the primary metric on a click day, in either source."""
+    rows = _lag_keys(conv).unionByName(_lag_keys(lag))
     return rows.groupBy(*KEY).agg((F.count_if(F.coalesce("conversions", F.lit(0.0)) != 0) > 0).alias("has_primary_conversions"))
 
 
@@ -40,12 +34,12 @@ def account_default(actions: DataFrame) -> DataFrame:
     return actions.groupBy("account_id").agg(F.max("click_through_lookback_window_days").alias("default_window_days"))
 
 
-def chosen_windows(keys: DataFrame, evidence: DataFrame, actions: DataFrame) -> DataFrame:
+def chosen_windows(conv: DataFrame, lag: DataFrame, actions: DataFrame) -> DataFrame:
     """The window of each key: of the action's snapshot as of the click day, else of its first later one, else the account's."""
+    evidence = primary_evidence(conv, lag)  # one row for each key
     columns = {"click_through_lookback_window_days": "_window", "include_in_conversions_metric": "include_in_conversions_metric", "snapshot_date": "_snapshot"}
-    out = asof_else_earliest(keys, actions.where("NOT inferred_removed"), ["account_id", "conversion_action_id"], columns, "click_date")
-    own = ["click_date", "account_id", "conversion_action_resource_name"]
-    out = out.join(account_default(actions), "account_id", "left").join(evidence.drop("conversion_action_id"), own, "left")
+    out = asof_else_earliest(evidence, actions.where("NOT inferred_removed"), ["account_id", "conversion_action_id"], columns, "click_date")
+    out = out.join(account_default(actions), "account_id", "left")
     return out.select(
         *KEY, F.coalesce("_window", "default_window_days").alias("window_days"),
         F.when(F.col("_snapshot") <= F.col("click_date"), "observed").otherwise("assumed-current").alias("window_provenance"),
@@ -70,8 +64,7 @@ def aggregate_windows(chosen: DataFrame) -> DataFrame:
     return out.select("click_date", "account_id", "r.metric_basis", "r.window_days", "r.window_provenance")
 
 
-def lookback_windows(facts: DataFrame, lag: DataFrame, actions: DataFrame) -> DataFrame:
-    chosen = chosen_windows(action_keys(facts, lag), primary_evidence(facts, lag), actions)
+def lookback_windows(chosen: DataFrame) -> DataFrame:
     by_action = chosen.withColumn("metric_basis", F.lit("CONVERSION_ACTION"))
     sums = aggregate_windows(chosen).withColumns({
         "conversion_action_resource_name": F.lit(None).cast("string"), "conversion_action_id": F.lit(None).cast("bigint"), "is_primary": F.lit(None).cast("boolean"),

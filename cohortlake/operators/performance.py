@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from cohortlake.functions.columns import action_id, currency, null_safe_join
 from cohortlake.plans.params import Params
@@ -44,19 +47,25 @@ def metric_union(volume: DataFrame, conv: DataFrame, grain: str) -> DataFrame:
 
 
 def asof_else_earliest(facts: DataFrame, view: DataFrame, keys: list[str], columns: dict[str, str], day: str = "date") -> DataFrame:
-    """Left join of each fact with the last snapshot up to its day, else with the first one after it.
+    """Each fact with the last snapshot up to its day, else with the first one after it; without any, with nulls.
 
-    The snapshot day is found once for each distinct (keys, day), not for each fact, and only then are
-    attributes fetched by equality; facts are never multiplied by snapshots.
+    Facts and snapshots are laid in one row by day, and a window looks back, then ahead: one shuffle by
+    the keys, and no fact ever meets more than one snapshot.
     """
-    wanted = facts.select(*keys, F.col(day).alias("_day")).distinct()
-    s = view.select(*keys, F.col("snapshot_date").alias("_s"))
-    found = wanted.join(s, keys).groupBy(*keys, "_day").agg(
-        F.coalesce(F.max(F.when(F.col("_s") <= F.col("_day"), F.col("_s"))), F.min(F.when(F.col("_s") > F.col("_day"), F.col("_s")))).alias("_s")
-    )
-    attributes = view.select(*keys, F.col("snapshot_date").alias("_s"), *[F.col(c).alias(to) for c, to in columns.items()])
-    matched = found.join(attributes, [*keys, "_s"]).drop("_s").withColumnRenamed("_day", day)
-    return facts.join(matched, [*keys, day], "left")
+    known = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+    marks = view.where(known).select(*keys, F.col("snapshot_date").alias("_day"), F.lit(0).alias("_kind"), F.struct(*[F.col(c).alias(to) for c, to in columns.items()]).alias("_s"))
+    rows = facts.withColumns({"_day": F.col(day), "_kind": F.lit(1)}).unionByName(marks, allowMissingColumns=True)
+    order = Window.partitionBy(*keys).orderBy("_day", "_kind")
+    back = F.last("_s", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    ahead = F.first("_s", ignorenulls=True).over(order.rowsBetween(0, Window.unboundedFollowing))
+    met = rows.withColumn("_s", F.coalesce(back, ahead)).where("_kind = 1")
+    return met.select(*facts.columns, *[F.col(f"_s.{to}").alias(to) for to in columns.values()])
+
+
+def asof_by_day(facts: DataFrame, view: DataFrame, keys: list[str], columns: dict[str, str], day: str = "date") -> DataFrame:
+    """The same for keys that many facts share: resolved once for each distinct (keys, day), then joined by equality."""
+    wanted = facts.select(*keys, day).dropna().distinct()
+    return facts.join(asof_else_earliest(wanted, view, keys, columns, day), [*keys, day], "left")
 
 
 def provenance(day: Column, first_seen: Column, own: Column) -> Column:
@@ -70,11 +79,11 @@ def with_entity(facts: DataFrame, view: DataFrame, grain: str) -> DataFrame:
 
 
 def with_customer(facts: DataFrame, view: DataFrame) -> DataFrame:
-    return asof_else_earliest(facts, view, ["account_id"], {c: c for c in ("currency_code", "time_zone")})
+    return asof_by_day(facts, view, ["account_id"], {c: c for c in ("currency_code", "time_zone")})
 
 
 def with_action(facts: DataFrame, view: DataFrame) -> DataFrame:
-    return asof_else_earliest(facts, view, ["account_id", "conversion_action_id"], {c: c for c in ACTION_COLUMNS})
+    return asof_by_day(facts, view, ["account_id", "conversion_action_id"], {c: c for c in ACTION_COLUMNS})
 
 
 def performance(volume: DataFrame, conv: DataFrame, entity: DataFrame, customer: DataFrame, action: DataFrame, grain: str, p: Params) -> DataFrame:

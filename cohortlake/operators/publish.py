@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortlake.functions.columns import ratio
 from cohortlake.plans.params import Params
 
+from .lag import CELL, COHORT_KEYS, SUMS
 from .performance import BY_ACTION, NETWORK
 
 
@@ -22,6 +23,24 @@ def publish(facts: DataFrame, p: Params, dimensions: list[str], measures: list[s
     return out.withColumns({"as_of": F.lit(p.as_of), "run_id": F.lit(p.run_id)})
 
 
+def publish_cohorts(mart: DataFrame, p: Params, grain: str) -> DataFrame:
+    """Cohort cells with a cost, on configured rungs and window rungs; the click day itself only for assets."""
+    window = F.least("window_days", F.lit(p.reporting_window_days).cast("bigint"))
+    day = F.col("cohort_day")
+    shown = mart.where(F.col("click_day_cost").isNotNull() & (day <= window) & (day.isin(list(p.cohort_days)) | (F.col("is_window_rung") & (day == window))))
+    if grain != "asset":
+        shown = shown.where(day > 0)
+    return publish(shown, p, ["click_date", *COHORT_KEYS[grain], *CELL, "cohort_counting"], SUMS, "click_date")
+
+
+def cohort_ratios(published: DataFrame, dimensions: list[str]) -> DataFrame:
+    """CPA and ROAS of cohorts. Bases overlap and rungs are running sums, so both must be among the dimensions."""
+    if not {"metric_basis", "cohort_day"} <= set(dimensions):
+        raise ValueError("cohorts can't be added up over bases or rungs")
+    s = published.groupBy(*dimensions).agg(*[F.sum(c).alias(c) for c in ("click_day_cost", "cohorted_conversions", "cohorted_value")])
+    return s.select(*dimensions, ratio(F.col("click_day_cost"), F.col("cohorted_conversions")).alias("cpa"), ratio(F.col("cohorted_value"), F.col("click_day_cost")).alias("roas"))
+
+
 def network_ratios(published: DataFrame, dimensions: list[str]) -> DataFrame:
     """CTR, CPA and ROAS at any dimensions, from sums."""
     s = published.groupBy(*dimensions).agg(*[F.sum(c).alias(c) for c in ("network_impressions", "network_clicks", "network_cost", "network_conversions", "network_conversions_value")])

@@ -59,7 +59,7 @@ def stage(raw: DataFrame, table: str, p: Params, every_day: bool = False) -> Dat
     out = latest_rows(kept, [day, *GRAINS[table]])
     if table == "entities_campaign":
         out = out.withColumns({c: safe_datetime(F.col(c)) for c in ("start_date_time", "end_date_time")})
-    return out.withColumnRenamed("run_id", "source_run_id").drop("loaded_at", "query_hash")
+    return out.withColumnRenamed("run_id", "source_run_id").drop("query_hash")
 
 
 # Reading landed values ----------------------------------------------------------------------------

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 #: Days of the cohort ladder that may be configured, and the boundaries of lag buckets.
 LADDER_DAYS = (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14, 21, 30, 45, 60, 90)
@@ -18,7 +18,8 @@ class Params:
     reporting_window_days: int = 90
     cohort_days: tuple[int, ...] = (0, 1, 3, 5, 7, 14, 30)
     restatement_margin_days: int = 7
-    tolerances: dict[str, float] = field(default_factory=lambda: {"parity": 0.01, "campaign": 0.0, "grain": 0.0, "cohort": 0.01})
+    #: How far scores, campaign sums, sums over grains and single assets may be off.
+    allowed: tuple[tuple[str, float], ...] = (("parity", 0.01), ("campaign", 0.01), ("grain", 0.01), ("asset", 0.01))
 
     def __post_init__(self) -> None:
         bad = set(self.cohort_days) - set(LADDER_DAYS)
@@ -31,11 +32,15 @@ class Params:
     def window_start(self) -> dt.date:
         return self.as_of - dt.timedelta(self.window_days)
 
+    @property
+    def tolerances(self) -> dict[str, float]:
+        return dict(self.allowed)
+
     def warnings(self) -> list[str]:
-        """What is legal but weakens the cohorts."""
-        out = []
-        if self.reporting_window_days not in BOUNDARY_DAYS:
-            out.append("the reporting window is not a lag bucket boundary")
-        if self.reporting_window_days < max(self.cohort_days, default=0) + 1 + self.restatement_margin_days:
-            out.append("the reporting window is shorter than the ladder with its margin")
-        return out
+        """What is legal but leaves cells of the cohorts without an answer, or lets old observations go unread."""
+        needed = 1 + self.restatement_margin_days + max((0, *self.cohort_days))
+        says = {
+            f"no lag bucket ends at day {self.reporting_window_days}": self.reporting_window_days not in BOUNDARY_DAYS,
+            f"the last rung with its margin takes {needed} days": needed > self.reporting_window_days,
+        }
+        return [text for text, holds in says.items() if holds]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +11,10 @@ from pyspark.sql import functions as F
 
 from cohortlake.functions.columns import action_id, currency, flat
 from cohortlake.operators import entities as ent
-from cohortlake.operators import checks, lag, ledger, lookback, performance, publish, scores, staging, text
+from cohortlake.operators import checks, lag, ledger, lookback, observation, parity, performance, publish, reports, scores, sinks, staging, text
+from cohortlake.sources import observed, upstream
+from cohortlake.sources.generations import Generations
+from cohortlake.sources.tables import shared_dir
 
 from .params import Params
 from .star import Star
@@ -29,7 +34,7 @@ DIMENSIONS = {
 
 def query(name: str):
     def put(f: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: flat(f(Star(spark, sf_dir, P)))
+        QUERIES[name] = lambda spark, sf_dir: flat(f(Star.of(spark, sf_dir, P)))
         return f
 
     return put
@@ -45,6 +50,16 @@ def _(s: Star) -> DataFrame:
     return stamp(s.raw("volume_campaign"))
 
 
+for _t in staging.GRAINS:
+    if _t != "volume_campaign":
+        query(f"src_family_scan_{_t}")(lambda s, t=_t: stamp(s.raw(t)))
+
+
+@query("src_swap_bounds")
+def _(s: Star) -> DataFrame:
+    return staging.swap_bounds(s.raw("volume_campaign"), s.staged("volume_campaign"), P)
+
+
 @query("src_coerce")
 def _(s: Star) -> DataFrame:
     raw = s.raw("entities_asset").drop("loaded_at")
@@ -103,7 +118,7 @@ for _e in ENTITIES:
 
 @query("ent_customer_asset")
 def _(s: Star) -> DataFrame:
-    return s.staged("entities_customer_asset", True).join(s.days, ["account_id", "snapshot_date"], "left_semi").where(F.col("snapshot_date") == F.lit(P.as_of))
+    return s.account_links().where(F.col("snapshot_date") == F.lit(P.as_of))
 
 
 @query("prf_metric_union")
@@ -156,7 +171,7 @@ def _(s: Star) -> DataFrame:
 
 @query("mart_campaign_truth")
 def _(s: Star) -> DataFrame:
-    return performance.campaign_truth(s.facts("campaign"), P)
+    return s.truth()
 
 
 @query("pub_asset_performance")
@@ -166,7 +181,7 @@ def _(s: Star) -> DataFrame:
 
 @query("pub_campaign_truth")
 def _(s: Star) -> DataFrame:
-    return publish.publish(performance.campaign_truth(s.facts("campaign"), P), P, ["date", "account_id", "campaign_id", "campaign_name", "ad_network_type", "currency_code"], performance.NETWORK)
+    return publish.publish(s.truth(), P, ["date", "account_id", "campaign_id", "campaign_name", "ad_network_type", "currency_code"], performance.NETWORK)
 
 
 @query("ratio_performance")
@@ -176,18 +191,18 @@ def _(s: Star) -> DataFrame:
 
 @query("ratio_campaign_truth")
 def _(s: Star) -> DataFrame:
-    t = publish.publish(performance.campaign_truth(s.facts("campaign"), P), P, ["date", "account_id", "campaign_id"], performance.NETWORK)
+    t = publish.publish(s.truth(), P, ["date", "account_id", "campaign_id"], performance.NETWORK)
     return publish.network_ratios(t, ["account_id"])
 
 
 @query("lbk_action_keys")
 def _(s: Star) -> DataFrame:
-    return lookback.action_keys(s.facts("campaign"), s.staged("lag_campaign"))
+    return lookback.action_keys(s.staged("conv_campaign"), s.staged("lag_campaign"))
 
 
 @query("lbk_primary_evidence")
 def _(s: Star) -> DataFrame:
-    return lookback.primary_evidence(s.facts("campaign"), s.staged("lag_campaign"))
+    return lookback.primary_evidence(s.staged("conv_campaign"), s.staged("lag_campaign"))
 
 
 @query("lbk_account_default")
@@ -195,13 +210,8 @@ def _(s: Star) -> DataFrame:
     return lookback.account_default(s.history("conversion_action"))
 
 
-def _chosen(s: Star) -> DataFrame:
-    lag = s.staged("lag_campaign")
-    return lookback.chosen_windows(lookback.action_keys(s.facts("campaign"), lag), lookback.primary_evidence(s.facts("campaign"), lag), s.history("conversion_action"))
-
-
-query("lbk_chosen_action")(_chosen)
-query("lbk_aggregate")(lambda s: lookback.aggregate_windows(_chosen(s)))
+query("lbk_chosen_action")(lambda s: s.chosen)
+query("lbk_aggregate")(lambda s: lookback.aggregate_windows(s.chosen))
 query("int_lookback_windows")(lambda s: s.windows)
 
 
@@ -239,29 +249,112 @@ def _(s: Star) -> DataFrame:
     return s.staged("volume_campaign").select("account_id", "campaign_id", "date", "ad_network_type", text.perturbed(F.col("conversions_value"), [F.col("campaign_id"), F.col("date"), F.col("ad_network_type")], 7).alias("conversions_value"))
 
 
-@query("lag_timezones")
+@query("txt_repair_identities")
 def _(s: Star) -> DataFrame:
-    return lag.timezones(s.facts("campaign"), s.facts("asset_group"))
+    keys = ["account_id", "campaign_id", "date", "ad_network_type", "conversion_action"]
+    lags = text.at_least(s.staged("lag_campaign"), {"conversions": "all_conversions", "conversions_value": "all_conversions_value"})
+    doubled = s.staged("conv_campaign").withColumn("conversions", F.col("conversions") * 2)
+    return text.repaired_lags(lags, doubled, keys, ["conversion_lag_bucket"]).select(*keys, "conversion_lag_bucket", "conversions", "all_conversions")
 
 
-@query("lag_source_buckets")
-def _(s: Star) -> DataFrame:
-    return lag.source_buckets(s.staged("lag_campaign"), s.staged("lag_asset_group")).drop("upper_day")
+query("lag_ladder_days")(lambda s: lag.ladder_days(s.spark, P))
+query("lag_timezones")(lambda s: s.zones)
+query("lag_source_buckets")(lambda s: lag.source_buckets(s.loaded("lag_campaign"), s.loaded("lag_asset_group"), s.zones).drop("upper_day"))
+query("lag_action_buckets")(lambda s: s.action_buckets)
+query("lag_basis_buckets")(lambda s: s.basis_buckets)
+query("lag_keys")(lambda s: lag.keys_with_window(s.basis_buckets, P))
+query("lag_ladder")(lambda s: s.ladder)
+query("lag_prefix_sums")(lambda s: s.prefixes)
+query("lag_totals")(lambda s: s.totals)
+query("lag_resolve_total")(lambda s: s.resolved)
+query("lag_label_maturity")(lambda s: s.cells)
 
 
 @query("lag_bucket_upper_day")
 def _(s: Star) -> DataFrame:
-    b = lag.source_buckets(s.staged("lag_campaign"), s.staged("lag_asset_group"))
-    return b.groupBy("grain", "conversion_lag_bucket", "upper_day").agg(F.sum("conversions").alias("conversions"))
+    return s.action_buckets.groupBy("grain", "conversion_lag_bucket", "upper_day").agg(F.sum("conversions").alias("conversions"))
 
 
 @query("lag_refresh_date")
 def _(s: Star) -> DataFrame:
-    zones = lag.timezones(s.facts("campaign"))
-    rows = s.raw("lag_campaign").join(zones, "account_id", "left")
+    rows = s.raw("lag_campaign").join(s.zones, "account_id", "left")
     return rows.select("account_id", "run_id", lag.local_date(F.col("loaded_at"), F.col("time_zone")).alias("refresh_date")).distinct()
 
 
+for _g in ("campaign", "asset_group"):
+    query(f"int_lag_prefix_{_g}")(lambda s, g=_g: s.cells.where(F.col("grain") == g).drop("grain", *(["asset_group_id"] if g == "campaign" else [])))
+for _g in GRAINS:
+    query(f"mart_cohort_{_g}")(lambda s, g=_g: s.cohorts(g))
+    query(f"pub_cohort_{_g}")(lambda s, g=_g: publish.publish_cohorts(s.cohorts(g), P, g))
+
+
+@query("ratio_cohort")
+def _(s: Star) -> DataFrame:
+    return publish.cohort_ratios(publish.publish_cohorts(s.cohorts("campaign"), P, "campaign"), ["account_id", "metric_basis", "cohort_day"])
+
+
+# Observation diary. Today's run is the second load; its window is what the diary looks back.
+TODAY = "load-2"
+FROM = P.as_of - dt.timedelta(observed.DEPTH)
+
+
+def _entities(s: Star) -> dict[str, DataFrame]:
+    return {g: s.raw(t) for g, (t, _) in observation.PRESENT.items()}
+
+
+def _landed(s: Star) -> DataFrame:
+    return s.table(("landed",), lambda: observation.landed({g: s.raw(f"volume_{g}") for g in GRAINS}, {g: s.raw(f"conv_{g}") for g in GRAINS}, TODAY, P.as_of, FROM, P.as_of))
+
+
+def _prior(s: Star) -> DataFrame:
+    return observation.prior_nonzero(s.selected, TODAY, P.as_of, FROM, P.as_of)
+
+
+def _complete(s: Star) -> DataFrame:
+    # Odd accounts' customer rows came with the first load only, so either load's row makes an account complete here.
+    return observation.grain_complete(s.raw("entities_customer").withColumn("run_id", F.lit(TODAY)), _entities(s), TODAY, P.as_of)
+
+
+def _zeros(s: Star) -> DataFrame:
+    return observation.synthetic_zeros(_prior(s), _landed(s), _complete(s), _entities(s), TODAY, P.as_of, P.as_of)
+
+
+query("obs_winning_runs")(lambda s: observation.winning_runs(s.diary, s.runs))
+query("obs_selected")(lambda s: s.selected)
+query("obs_landed")(_landed)
+query("obs_prior_nonzero")(_prior)
+query("obs_grain_complete")(_complete)
+query("obs_synthetic_zeros")(_zeros)
+query("obs_diary")(lambda s: _landed(s).unionByName(_zeros(s)))
+query("obs_observed_date")(lambda s: observation.observed_dates(s.mart("customer"), "1998-07-01 03:00:00"))
+
+
+def _latest_actions(s: Star) -> DataFrame:
+    actions = s.staged("entities_conversion_action", True)
+    return observation.latest_actions(s.raw("entities_customer"), actions, s.runs)
+
+
+query("obs_depth_contract")(lambda s: observation.depth_contract(_latest_actions(s), P))
+query("obs_forfeited_actions")(lambda s: observation.forfeited_actions(_latest_actions(s), P))
+query("obs_account_bounds")(lambda s: observation.account_bounds(s.diary, s.runs, P))
+query("obs_keys")(lambda s: s.observation_keys)
+query("obs_windows")(lambda s: observation.capped_windows(s.windows, P))
+query("obs_ladder")(lambda s: s.observation_ladder)
+query("obs_first_snapshot")(lambda s: s.first_snapshots)
+query("obs_asof_reading")(lambda s: s.asof_readings)
+
+
+@query("obs_resolve")
+def _(s: Star) -> DataFrame:
+    r = s.asof_readings.withColumn("r", observation.resolution(P))
+    return r.groupBy("grain", "cohort_day", F.col("r.provenance").alias("provenance"), F.col("r.reason").alias("reason")).agg(F.count("*").alias("n"))
+
+
+query("int_observation_cells")(lambda s: s.observation_cells)
+query("obs_baseline")(lambda s: observation.baseline(s.diary))
+query("obs_window_clamp")(lambda s: observation.window_clamp(observation.observed_dates(s.mart("customer"), "1998-07-01 03:00:00"), 98, P.window_start))
+
+
 @query("bps_asset_group_count")
 def _(s: Star) -> DataFrame:
     return scores.asset_group_count(s.history("asset"), s.history("asset_group"), P.as_of)
@@ -272,38 +365,266 @@ def _(s: Star) -> DataFrame:
     return scores.audience_count(s.history("asset_group_signal"), P.as_of)
 
 
-@query("bps_sitelinks")
+query("bps_sitelinks")(lambda s: scores.sitelinks(s.history("campaign"), s.history("campaign_asset"), s.account_links(), P.as_of))
+query("bps_asset_counts")(lambda s: s.asset_counts)
+query("mart_bp_campaign")(lambda s: s.bp_campaign)
+query("mart_bp_asset_group")(lambda s: s.bp_asset_group)
+query("mart_bp_extended")(lambda s: s.bp_extended)
+
+
+# Parity: the second chain
+class _Second:
+    """Its tables, from the entity marts of the last day."""
+
+    def __init__(self, s: Star):
+        self.s = s
+        self.assets, self.signals = upstream.assets(s.mart("asset")), upstream.signals(s.mart("asset_group_signal"))
+        self.settings, self.summary, self.ocid = upstream.settings(s.mart("campaign")), upstream.summary(s.mart("asset_group"), s.mart("campaign")), upstream.ocid(s.mart("customer"))
+        self.goals = (upstream.category(s.staged("conv_campaign")), upstream.custom(s.mart("campaign")), upstream.goal_names(s.mart("customer")))
+
+    def data(self) -> DataFrame:
+        settings = self.settings.withColumn("url_expansion_opt_out", parity.url_opt_out(F.col("asset_automation_settings"))).drop("asset_automation_settings")
+        today = F.col("snapshot_date") == F.lit(P.as_of)
+        own = upstream.links(self.s.history("campaign_asset").where(today & ~F.col("inferred_removed")), ["account_id", "campaign_id"])
+        shared = upstream.links(self.s.account_links().where(today), ["account_id"])
+        return parity.campaign_data(settings, self.assets, self.signals, own, shared, parity.primary_action_pmax(*self.goals), parity.primary_action_search(*self.goals), self.ocid)
+
+    def practices(self) -> DataFrame:
+        return parity.asset_group_practices(self.summary, parity.image_assets(self.assets, self.summary), parity.text_assets(self.assets, self.summary), parity.video_assets(self.assets, self.summary), self.signals, self.settings, self.ocid)
+
+    def theirs(self) -> DataFrame:
+        return parity.their_rows(parity.campaign_score(self.data()), self.practices())
+
+    def ours(self) -> DataFrame:
+        return parity.our_rows(self.s.bp_campaign, self.s.bp_asset_group)
+
+
+query("par_image_assets")(lambda s: (lambda t: parity.image_assets(t.assets, t.summary))(_Second(s)))
+query("par_text_assets")(lambda s: (lambda t: parity.text_assets(t.assets, t.summary))(_Second(s)))
+query("par_video_assets")(lambda s: (lambda t: parity.video_assets(t.assets, t.summary))(_Second(s)))
+query("par_primary_action_pmax")(lambda s: parity.primary_action_pmax(*_Second(s).goals))
+query("par_primary_action_search")(lambda s: parity.primary_action_search(*_Second(s).goals))
+query("par_campaign_data")(lambda s: _Second(s).data())
+query("par_campaign_score")(lambda s: parity.campaign_score(_Second(s).data()))
+query("par_asset_group_practices")(lambda s: _Second(s).practices())
+query("par_url_opt_out")(lambda s: _Second(s).settings.select("account_id", "campaign_id", parity.url_opt_out(F.col("asset_automation_settings")).alias("url_expansion_opt_out")))
+query("par_score_rows")(lambda s: _Second(s).theirs().unionByName(_Second(s).ours()))
+query("par_compare")(lambda s: parity.compare(_Second(s).theirs(), _Second(s).ours(), P.tolerances["parity"]))
+query("par_paused_excluded")(lambda s: parity.paused_excluded(s.bp_campaign, s.bp_asset_group))
+
+
+# Assertions
+_FACT = ["account_id", "campaign_id"]
+_BASIS = ["metric_basis", "ad_network_type", "conversion_action_id", "conversion_action_resource_name"]
+_GROUP, _ASSET = [*_FACT, "asset_group_id"], [*_FACT, "asset_group_id", "asset_id", "field_type"]
+#: Mart -> what names a row of it.
+MART_KEYS = {
+    "performance_campaign": ["date", *_FACT, *_BASIS], "performance_asset_group": ["date", *_GROUP, *_BASIS], "performance_asset": ["date", *_ASSET, *_BASIS], "asset_performance": ["date", *_ASSET, *_BASIS],
+    "campaign_truth": ["date", *_FACT, "ad_network_type"], **{f"entities_{e}": ["snapshot_date", *k] for e, k in ent.KEYS.items()},
+    "bp_campaign": ["snapshot_date", *_FACT], "bp_asset_group": ["snapshot_date", *_GROUP], "bp_extended": ["snapshot_date", *_GROUP],
+}
+
+
+def _keyed(s: Star, nullable: tuple[str, ...] = ()) -> dict[str, tuple[DataFrame, list[str]]]:
+    marts = s.assembled()
+    return {m: (marts[m], [k for k in keys if k not in nullable]) for m, keys in MART_KEYS.items()}
+
+
+def _cohort_keys(s: Star) -> dict[str, tuple[DataFrame, list[str]]]:
+    return {g: (s.cohorts(g), lag.COHORT_KEYS[g]) for g in GRAINS}
+
+
+CHECKS = {
+    "unique_keys": lambda s: checks.unique_keys(_keyed(s)),
+    "not_null": lambda s: checks.not_null(_keyed(s, ("ad_network_type", "conversion_action_id", "conversion_action_resource_name"))),
+    "cohort_integrity": lambda s: checks.cohort_integrity(_cohort_keys(s)),
+    "cohort_observation_reconciliation": lambda s: checks.observation_reconciliation(s.observation_cells, s.cohorts("asset_group"), P, P.tolerances["grain"]),
+    "row_count_floor": lambda s: checks.row_count_floor(s.truth(), s.staged("volume_campaign")),
+    "family_coherence": lambda s: checks.family_coherence(s.facts("campaign"), {e: (s.history(e), ent.KEYS[e]) for e in ENTITIES if e != "customer"}),
+    "asset_not_over_campaign": lambda s: checks.asset_not_over_campaign(s.facts("asset"), s.truth(), P),
+    "campaign_reconciliation": lambda s: checks.campaign_reconciliation(s.facts("campaign"), s.truth(), P),
+    "cross_grain_identity": lambda s: checks.cross_grain_identity(s.cohorts("campaign"), s.cohorts("asset_group"), P),
+    "cohort_reconciliation": lambda s: checks.cohort_reconciliation({g: s.cohorts(g) for g in ("campaign", "asset_group")}, {g: s.facts(g) for g in ("campaign", "asset_group")}, s.basis_buckets, P),
+    "required_tables_nonempty": lambda s: checks.required_nonempty(
+        {**{f"mart_performance_{g}": s.facts(g) for g in ("campaign", "asset_group")}, **{f"int_lag_prefix_{g}": s.cells.where(F.col("grain") == g) for g in ("campaign", "asset_group")}, **{f"mart_cohort_{g}": s.cohorts(g) for g in ("campaign", "asset_group")}},
+        s.mart("customer"), s.mart("campaign"), observed.first_snapshot_marks(s.spark, s.sf_dir), P),
+    "serving_budget_has_cost": lambda s: checks.serving_budget_has_cost(s.mart("campaign"), s.truth(), P),
+}
+for _c, _f in CHECKS.items():
+    query(f"assert_{_c}")(_f)
+
+
+def _results(s: Star) -> DataFrame:
+    return s.table(("assertion_results",), lambda: checks.collected({c: f(s) for c, f in CHECKS.items()}))
+
+
+query("assert_run_decision")(lambda s: checks.run_decision(_results(s)))
+
+
+# Reports
+def _cohort_marts(s: Star) -> dict[str, DataFrame]:
+    return {g: s.cohorts(g) for g in GRAINS}
+
+
+def _published(s: Star) -> dict[str, DataFrame]:
+    """The eight published tables."""
+    out = {f"performance_{g}": publish.publish(s.facts(g), P, DIMENSIONS[g]) for g in GRAINS}
+    out["asset_performance"] = publish.publish(s.facts("asset"), P, ["date", "account_id", "campaign_id", "asset_id", "field_type", "asset_primary_status", "asset_primary_status_reasons", "ad_network_type", "metric_basis"])
+    out["campaign_truth"] = publish.publish(s.truth(), P, ["date", "account_id", "campaign_id", "campaign_name", "ad_network_type", "currency_code"], performance.NETWORK)
+    return out | {f"cohort_{g}": publish.publish_cohorts(s.cohorts(g), P, g) for g in GRAINS}
+
+
+@query("rpt_freshness")
 def _(s: Star) -> DataFrame:
-    accounts = s.staged("entities_customer_asset", True).join(s.days, ["account_id", "snapshot_date"], "left_semi")
-    return scores.sitelinks(s.history("campaign"), s.history("campaign_asset"), accounts, P.as_of)
+    """All staged tables and marts up to the last day, published tables up to the day before."""
+    day = lambda df: next(d for d in ("date", "click_date", "snapshot_date") if d in df.columns)
+    now = {t: (s.staged(t), staging.day_column(t)) for t in staging.GRAINS} | {f"mart_{m}": (df, day(df)) for m, df in s.assembled().items()}
+    before = {f"pub_{m}": (df, day(df)) for m, df in _published(s).items()}
+    return checks.freshness(now, str(P.as_of)).unionByName(checks.freshness(before, str(P.as_of - dt.timedelta(1))))
 
 
-MART_KEYS = ["date", "account_id", "campaign_id", "metric_basis", "ad_network_type", "conversion_action_resource_name"]
+query("rpt_assumed_current")(lambda s: reports.assumed_current(_cohort_marts(s)))
+query("rpt_participation")(lambda s: reports.participation(s.facts("asset"), s.truth(), P))
+query("rpt_unknown_lag")(lambda s: reports.unknown_lag(s.cohorts("campaign")))
+query("rpt_coverage")(lambda s: reports.coverage(_cohort_marts(s)))
+query("rpt_gap_summary")(lambda s: reports.gap_summary(reports.issues(_cohort_marts(s))))
+query("rpt_gap_examples")(lambda s: reports.gap_examples(reports.issues(_cohort_marts(s))))
+query("rpt_zero_cost")(lambda s: checks.zero_cost(s.mart("campaign"), s.truth(), P))
+query("rpt_publish_reconcile")(lambda s: reports.publish_reconcile(s.facts("campaign"), publish.publish(s.facts("campaign"), P, DIMENSIONS["campaign"]), P, ["network_cost", "network_conversions", "action_conversions"]))
+query("rpt_month_stability")(lambda s: reports.month_stability(s.raw("volume_campaign").where("run_id = 'load-1'"), s.staged("volume_campaign"), P.as_of - dt.timedelta(45)))
+query("rpt_table_reconcile")(lambda s: reports.table_reconcile(
+    {"volume_campaign": (s.staged("volume_campaign"), "date", "cost_micros"), **{f"cohort_{g}": (s.cohorts(g), "click_date", "cohorted_conversions") for g in GRAINS}}, P.as_of - dt.timedelta(30)))
 
 
-@query("assert_unique_keys")
+@query("rpt_latest_parity")
 def _(s: Star) -> DataFrame:
-    return checks.unique_keys({"performance_campaign": (s.facts("campaign"), MART_KEYS), "performance_asset_group": (s.facts("asset_group"), [*MART_KEYS, "asset_group_id"])})
+    e = s.given("events").where("event_type IN ('purchase', 'signup')")
+    detail = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), (F.col("event_type") == "purchase").alias("passed"), F.concat(F.lit("h"), F.col("event_id").cast("string")).alias("query_hash")))
+    return reports.latest_parity(e.select(F.lit("parity").alias("stage"), detail.alias("detail"), F.col("ts").alias("event_ts")))
+
+
+# Ledger: users' events stand for runs and for checkpoints
+def _runs(s: Star) -> DataFrame:
+    """A run is a user; purchases end it, errors fail it. Times are whole days, so that events tie."""
+    event = F.when(F.col("event_type") == "purchase", "EXITED").when(F.col("event_type") == "error", "FAILED").otherwise("RUNNING")
+    return s.given("events").select(F.col("user_id").alias("run_id"), F.to_date("ts").alias("event_ts"), event.alias("event"), "event_id")
 
 
-@query("assert_not_null")
+def _checkpoints(s: Star) -> DataFrame:
+    """A purchase or signup marks a month of an account as done for a family, under one of two hashes."""
+    e = s.given("events").where("event_type IN ('purchase', 'signup')")
+    return e.select((F.col("user_id") % 5).alias("account_id"), F.add_months(F.trunc("ts", "MM"), (-(F.col("event_id") % 45)).cast("int")).alias("chunk"), F.element_at(F.array(*map(F.lit, "ABCD")), (F.col("user_id") % 4 + 1).cast("int")).alias("family"),
+                    F.concat(F.lit("h"), (F.col("event_id") % 2).cast("string")).alias("query_hash"), F.lit("DONE").alias("event"), F.col("ts").alias("event_ts"), "event_id")
+
+
+RUN_DAY, HISTORY = dt.date(2024, 1, 31), dt.date(2020, 1, 1)
+query("ops_latest_run_state")(lambda s: ledger.latest_run_state(_runs(s)))
+query("ops_unfinished_runs")(lambda s: ledger.unfinished_runs(_runs(s), dt.date(2024, 1, 16)))
+query("ops_latest_checkpoints")(lambda s: ledger.latest_checkpoints(_checkpoints(s)))
+query("ops_pending_chunks")(lambda s: ledger.pending_chunks(_checkpoints(s), _checkpoints(s), HISTORY, RUN_DAY, "h0", list("ABCD")))
+query("ops_frozen_chunks")(lambda s: ledger.frozen_chunks(_checkpoints(s), RUN_DAY))
+query("ops_chunk_bounds")(lambda s: ledger.chunk_bounds(_checkpoints(s).select("account_id", "chunk").distinct(), dt.date(2023, 11, 10), dt.date(2024, 1, 20)))
+
+
+def _reset(s: Star) -> tuple[DataFrame, DataFrame]:
+    stages = _runs(s).select(F.col("run_id").cast("string").alias("run_id"), F.lit("run").alias("stage"), F.col("event").alias("status"), F.lit(None).cast("bigint").alias("account_id"), F.lit(None).cast("string").alias("detail"), F.col("event_ts").cast("timestamp_ntz").alias("event_ts"))
+    return ledger.checkpoint_reset(_checkpoints(s), stages, 2, dt.date(2024, 1, 1), "reset-1", "2024-02-01 00:00:00")
+
+
+@query("ops_checkpoint_reset")
 def _(s: Star) -> DataFrame:
-    return checks.not_null({"performance_campaign": (s.facts("campaign"), MART_KEYS[:4]), "performance_asset_group": (s.facts("asset_group"), [*MART_KEYS[:4], "asset_group_id"])})
+    left, stages = _reset(s)
+    return left.groupBy("account_id", "chunk").agg(F.count("*").alias("n")).unionByName(stages.where("stage = 'checkpoint_reset'").select("account_id", F.lit(None).cast("date").alias("chunk"), F.split("detail", ": ")[1].cast("bigint").alias("n")))
 
 
-@query("assert_family_coherence")
+@query("ops_first_snapshot")
 def _(s: Star) -> DataFrame:
-    return checks.family_coherence(s.facts("campaign"), {e: (s.history(e), ent.KEYS[e]) for e in ENTITIES if e != "customer"})
+    e = s.given("events")
+    mark = lambda df: df.select((F.col("user_id") % 20).alias("account_id"), F.concat(F.lit("r"), (F.col("user_id") % 7).cast("string")).alias("run_id"), F.to_date("ts").alias("first_snapshot_date"), F.col("event_id").alias("set_at"))
+    runs = e.select(F.concat(F.lit("r"), (F.col("user_id") % 7).cast("string")).alias("run_id"), F.when(F.col("user_id") % 7 < 2, "SUCCESS").otherwise("FAILED").alias("status"))
+    return ledger.first_snapshot_rows(mark(e.where("event_type = 'purchase' AND user_id < 40")), runs, mark(e.where("event_type = 'signup'")))
 
 
-@query("rpt_freshness")
+query("ops_checkpoint_hash")(lambda s: ledger.checkpoint_hash(s.given("documents").select(F.col("doc_id").cast("string").alias("name"), F.coalesce("text", F.lit("")).alias("text")), "v1"))
+
+
+# Sinks. Each writes under the session's shared folder and gives what a reader then finds.
+def _folder(s: Star, name: str) -> str:
+    return f"{shared_dir(s.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _first_load(s: Star) -> DataFrame:
+    return stamp(s.raw("volume_campaign")).where("run_id = 'load-1'")
+
+
+WEEK = (P.as_of - dt.timedelta(20), P.as_of - dt.timedelta(14))
+
+
+@query("snk_range_replace")
 def _(s: Star) -> DataFrame:
-    return checks.freshness({t: (s.staged(t), staging.day_column(t)) for t in staging.GRAINS if not t.endswith("_asset")}, str(P.as_of))
+    """A week of the first load gives way to the second load's rows of it."""
+    g = Generations(s.spark, _folder(s, "volume"))
+    g.commit({"volume": _first_load(s)}, "one")
+    new = stamp(s.raw("volume_campaign")).where((F.col("run_id") == TODAY) & F.col("date").between(*WEEK))
+    g.commit({"volume": sinks.range_replace(g.read("volume"), new, "date", *WEEK)}, "two")
+    return g.read("volume")
 
 
-def _runs(s: Star) -> DataFrame:
-    e = s.spark.read.parquet(f"{s.sf_dir}/events.parquet")
-    return e.select(F.col("user_id").alias("run_id"), F.col("ts").alias("event_ts"), F.col("event_type").alias("event"), "event_id")
+@query("snk_snapshot_replace")
+def _(s: Star) -> DataFrame:
+    """The last day's snapshot gives way to the second load's."""
+    g = Generations(s.spark, _folder(s, "campaigns"))
+    raw = stamp(s.raw("entities_campaign")).select("run_id", "account_id", "campaign_id", "snapshot_date", "status")
+    g.commit({"campaigns": raw.where("run_id = 'load-1'")}, "one")
+    g.commit({"campaigns": sinks.snapshot_replace(g.read("campaigns"), raw.where((F.col("run_id") == TODAY) & (F.col("snapshot_date") == F.lit(P.as_of))), P.as_of)}, "two")
+    return g.read("campaigns")
 
 
-query("ops_latest_run_state")(lambda s: ledger.latest_run_state(_runs(s)))
+@query("snk_observation_append")
+def _(s: Star) -> DataFrame:
+    path = _folder(s, "observations")
+    for part in ("observed_date < '1998-06-29'", "observed_date >= '1998-06-29'"):
+        sinks.append(s.diary.where(part), path, "observed_date")
+    return s.spark.read.parquet(path)
+
+
+@query("snk_slice_export")
+def _(s: Star) -> DataFrame:
+    path = _folder(s, "slice")
+    sinks.export_slice(s.selected, path, P.as_of - dt.timedelta(1))
+    return s.spark.read.schema(s.selected.schema).parquet(path)
+
+
+@query("snk_table_layout")
+def _(s: Star) -> DataFrame:
+    path = _folder(s, "laid-out")
+    df = s.staged("conv_campaign")
+    sinks.lay_out(df, path, "date", ["account_id", "campaign_id"])
+    return s.spark.read.schema(df.schema).parquet(path)
+
+
+@query("snk_publish_generation")
+def _(s: Star) -> DataFrame:
+    g = Generations(s.spark, _folder(s, "published"))
+    g.commit(_published(s), P.run_id)
+    g = Generations(s.spark, g.root)
+    parts = [g.read(t).agg(F.count("*").alias("n"), F.min("as_of").alias("as_of"), F.min("run_id").alias("run_id")).select(F.lit(t).alias("table_name"), "n", "as_of", "run_id") for t in sorted(_published(s))]
+    return checks._union(parts)
+
+
+query("snk_publish_guard")(lambda s: sinks.publish_guard(publish.publish(s.truth(), P, ["date", "account_id"], performance.NETWORK), dt.date(1998, 6, 29)))
+query("snk_retention_expire")(lambda s: sinks.expire(stamp(s.raw("volume_campaign")), "date", P.as_of, P.reporting_window_days))
+
+
+@query("snk_retention_drift")
+def _(s: Star) -> DataFrame:
+    """What tables keep, told from their days, against what they should."""
+    tables = {t: (s.raw(t), staging.day_column(t)) for t in ("volume_campaign", "conv_campaign", "entities_campaign", "entities_customer")}
+    have = checks._union([df.agg(F.datediff(F.max(d), F.min(d)).alias("keep_days")).select(F.lit(t).alias("table_name"), "keep_days") for t, (df, d) in tables.items()])
+    want = checks._union([df.limit(1).select(F.lit(t).alias("table_name"), (F.lit(119) if d == "date" else F.lit(None)).cast("int").alias("keep_days")) for t, (df, d) in tables.items() if t != "conv_campaign"])
+    return sinks.retention_drift(want, have)
+
+
+query("snk_loss_preview")(lambda s: sinks.loss_preview({t: (s.raw(t), "date") for t in ("volume_campaign", "conv_campaign", "lag_campaign")}, P.as_of - dt.timedelta(100)))
+query("snk_quarantine")(lambda s: sinks.quarantine(s.staged("volume_campaign"), F.col("ad_network_type").isNull(), _folder(s, "quarantine")))
+query("snk_restore_range")(lambda s: sinks.restore_range(_first_load(s), stamp(s.raw("volume_campaign")).where(F.col("run_id") == TODAY), "date", *WEEK))

@@ -1,37 +1,60 @@
-"""The tables of one run, built lazily from landed data; each is a plain DataFrame."""
+"""The tables of one run. Each is written once and read by all that build on it, as a warehouse would.
 
-from __future__ import annotations
+A table is made when something asks for it. Tables live in the session's shared folder and are used
+again by later queries of the session on the same, unchanged input; a new session makes its own.
+"""
 
-from functools import cached_property
+from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlake.operators import entities as ent
-from cohortlake.operators import lookback, performance, staging
-from cohortlake.sources.adapter import landed
+from cohortlake.operators import lag, lookback, observation, performance, scores, staging
+from cohortlake.sources import observed
+from cohortlake.sources.adapter import landed, lines
+from cohortlake.sources.tables import fingerprint, written
 
 from .params import Params
 
+_STARS: dict[tuple, Star] = {}
+
 
 class Star:
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params = Params()):
         self.spark, self.sf_dir, self.p = spark, sf_dir, p
         self._made: dict[tuple, DataFrame] = {}
 
-    def _once(self, key: tuple, make) -> DataFrame:
+    @staticmethod
+    def of(spark: SparkSession, sf_dir: str, p: Params) -> Star:
+        key = (spark.sparkContext.applicationId, sf_dir, p, fingerprint(spark, sf_dir))
+        if key not in _STARS:
+            _STARS[key] = Star(spark, sf_dir, p)
+        return _STARS[key]
+
+    def table(self, key: tuple, make) -> DataFrame:
+        """Written on first use."""
         if key not in self._made:
-            self._made[key] = make()
+            self._made[key] = written(make(), "-".join(map(str, key)))
         return self._made[key]
 
-    def raw(self, table: str) -> DataFrame:
-        return self._once(("raw", table), lambda: landed(self.spark, self.sf_dir, f"raw_{table}"))
+    def given(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def raw(self, name: str) -> DataFrame:
+        made = self.table(("lines",), lambda: lines(self.spark, self.sf_dir))
+        return self.table(("raw", name), lambda: landed(self.spark, self.sf_dir, f"raw_{name}", made))
 
-    def staged(self, table: str, every_day: bool = False) -> DataFrame:
-        return self._once(("stg", table, every_day), lambda: staging.stage(self.raw(table), table, self.p, every_day))
+    def loaded(self, name: str, every_day: bool = False) -> DataFrame:
+        """Staged rows with their load time."""
+        return self.table(("stg", name, every_day), lambda: staging.stage(self.raw(name), name, self.p, every_day))
 
-    @cached_property
+    def staged(self, name: str, every_day: bool = False) -> DataFrame:
+        return self.loaded(name, every_day).drop("loaded_at")
+
+    @property
     def days(self) -> DataFrame:
-        return ent.complete_days(self.staged("entities_customer", True))
+        return self.table(("days",), lambda: ent.complete_days(self.staged("entities_customer", True)))
 
     def entity_rows(self, entity: str) -> DataFrame:
         """Staged rows of all days; asset links come with their asset's attributes."""
@@ -40,18 +63,133 @@ class Star:
         return ent.link_attributes(self.staged("entities_asset_group_asset", True), self.staged("entities_asset", True))
 
     def history(self, entity: str, only_as_of: bool = False) -> DataFrame:
-        as_of = self.p.as_of if only_as_of else None
-        return self._once(("hist", entity, only_as_of), lambda: ent.history(self.entity_rows(entity), self.days, entity, as_of, tombstones=entity != "customer"))
+        if only_as_of:
+            return ent.history(self.entity_rows(entity), self.days, entity, self.p.as_of, tombstones=entity != "customer")
+        return self.table(("hist", entity), lambda: ent.history(self.entity_rows(entity), self.days, entity, None, tombstones=entity != "customer"))
 
     def view(self, entity: str) -> DataFrame:
-        return self._once(("view", entity), lambda: ent.seen_view(self.history(entity), self.days, entity))
+        return self.table(("view", entity), lambda: ent.seen_view(self.history(entity), self.days, entity))
+
+    def mart(self, entity: str) -> DataFrame:
+        return ent.mart(self.view(entity), self.p.as_of)
 
     def facts(self, grain: str) -> DataFrame:
-        return self._once(("facts", grain), lambda: performance.performance(
+        return self.table(("facts", grain), lambda: performance.performance(
             self.staged(f"volume_{grain}"), self.staged(f"conv_{grain}"), self.view(grain), self.view("customer"), self.view("conversion_action"), grain, self.p))
 
-    @cached_property
-    def windows(self) -> DataFrame:
-        return lookback.lookback_windows(self.facts("campaign"), self.staged("lag_campaign"), self.history("conversion_action"))
+    def truth(self) -> DataFrame:
+        return performance.campaign_truth(self.facts("campaign"), self.p)
 
+    def account_links(self) -> DataFrame:
+        """Customer assets on complete days."""
+        return self.staged("entities_customer_asset", True).join(self.days, ["account_id", "snapshot_date"], "left_semi")
 
+    @property
+    def chosen(self) -> DataFrame:
+        return self.table(("chosen",), lambda: lookback.chosen_windows(self.staged("conv_campaign"), self.staged("lag_campaign"), self.history("conversion_action")))
+
+    @property
+    def windows(self) -> DataFrame:
+        return self.table(("windows",), lambda: lookback.lookback_windows(self.chosen))
+
+    # Lag cohorts
+    @property
+    def zones(self) -> DataFrame:
+        return self.table(("zones",), lambda: lag.timezones(self.facts("campaign"), self.facts("asset_group")))
+
+    @property
+    def action_buckets(self) -> DataFrame:
+        return self.table(("action_buckets",), lambda: lag.action_buckets(
+            lag.source_buckets(self.loaded("lag_campaign"), self.loaded("lag_asset_group"), self.zones), self.windows, lookback.primary_evidence(self.staged("conv_campaign"), self.staged("lag_campaign"))))
+
+    @property
+    def basis_buckets(self) -> DataFrame:
+        return lag.basis_buckets(self.action_buckets)
+
+    @property
+    def ladder(self) -> DataFrame:
+        return lag.ladder(lag.keys_with_window(self.basis_buckets, self.p), self.p)
+
+    @property
+    def prefixes(self) -> DataFrame:
+        return self.table(("prefixes",), lambda: lag.prefix_sums(self.ladder, self.basis_buckets))
+
+    @property
+    def totals(self) -> DataFrame:
+        return lag.totals({(g, k): self.loaded(f"{k}_{g}") for g in ("campaign", "asset_group") for k in ("volume", "conv")}, self.zones)
+
+    @property
+    def resolved(self) -> DataFrame:
+        return lag.resolve(self.prefixes, self.totals, self.p)
+
+    @property
+    def cells(self) -> DataFrame:
+        return self.table(("cells",), lambda: lag.labelled(self.resolved, self.p))
+
+    def cohorts(self, grain: str) -> DataFrame:
+        if grain == "asset":
+            made = lambda: lag.cohort_mart(self.observation_cells, self.facts("asset"), "asset", self.p)
+        else:
+            made = lambda: lag.cohort_mart(self.cells, self.facts(grain), grain, self.p)
+        return self.table(("cohorts", grain), made)
+
+    # Observation diary
+    @property
+    def runs(self) -> DataFrame:
+        return self.table(("obs_stages",), lambda: observed.stages(self.spark, self.sf_dir))
+
+    @property
+    def diary(self) -> DataFrame:
+        """Earlier runs' observations; the last run of each day is the one that counts."""
+        return self.table(("diary",), lambda: observed.diary({g: (self.staged(f"volume_{g}"), self.staged(f"conv_{g}")) for g in observation.GRAINS}))
+
+    @property
+    def selected(self) -> DataFrame:
+        return self.table(("selected",), lambda: observation.selected(self.diary, observation.winning_runs(self.diary, self.runs)))
+
+    @property
+    def observation_cells(self) -> DataFrame:
+        return self.table(("observation_cells",), lambda: observation.cells(self.asof_readings, self.p))
+
+    @property
+    def observation_keys(self) -> DataFrame:
+        return self.table(("observation_keys",), lambda: observation.keys(self.facts("asset"), self.facts("asset_group"), self.selected))
+
+    @property
+    def observation_ladder(self) -> DataFrame:
+        return observation.ladder(self.observation_keys, observation.capped_windows(self.windows, self.p), observation.account_bounds(self.diary, self.runs, self.p), self.p)
+
+    @property
+    def first_snapshots(self) -> DataFrame:
+        return observation.first_snapshots(observed.first_snapshot_marks(self.spark, self.sf_dir), self.runs)
+
+    @property
+    def asof_readings(self) -> DataFrame:
+        return self.table(("readings",), lambda: observation.asof_reading(self.observation_ladder, self.selected, self.first_snapshots))
+
+    # Scores
+    @property
+    def bp_campaign(self) -> DataFrame:
+        return self.table(("bp_campaign",), lambda: scores.campaign_score(
+            self.mart("campaign"), scores.asset_group_count(self.history("asset"), self.history("asset_group"), self.p.as_of), scores.audience_count(self.history("asset_group_signal"), self.p.as_of),
+            scores.sitelinks(self.history("campaign"), self.history("campaign_asset"), self.account_links(), self.p.as_of), self.p))
+
+    @property
+    def asset_counts(self) -> DataFrame:
+        return scores.asset_counts(self.mart("asset"))
+
+    @property
+    def bp_asset_group(self) -> DataFrame:
+        return self.table(("bp_asset_group",), lambda: scores.asset_group_score(self.mart("asset_group"), self.mart("campaign"), self.asset_counts, self.mart("asset_group_signal"), self.p))
+
+    @property
+    def bp_extended(self) -> DataFrame:
+        return self.table(("bp_extended",), lambda: scores.extended_score(self.bp_asset_group, self.mart("asset_group"), self.mart("asset"), self.p))
+
+    def assembled(self) -> dict[str, DataFrame]:
+        """Marts by name."""
+        out = {f"performance_{g}": self.facts(g) for g in performance.GRAIN_KEYS}
+        out |= {"asset_performance": self.facts("asset"), "campaign_truth": self.truth()}
+        out |= {f"cohort_{g}": self.cohorts(g) for g in ("campaign", "asset_group", "asset")}
+        out |= {f"entities_{e}": self.mart(e) for e in ent.KEYS}
+        return out | {"bp_campaign": self.bp_campaign, "bp_asset_group": self.bp_asset_group, "bp_extended": self.bp_extended}

@@ -173,7 +173,7 @@ UNION ALL SELECT 'load-2', TIMESTAMP '1998-07-01 02:00:00', 'q', {names} FROM ({
     return out
 
 
-def with_clause(sql: dict[str, str], needed: list[str]) -> str:
+def with_clause(sql: dict[str, str], needed: list[str], materialized: bool = False) -> str:
     """A WITH list of the named definitions and all that they use, in the order of `sql`."""
     import re
 
@@ -183,17 +183,26 @@ def with_clause(sql: dict[str, str], needed: list[str]) -> str:
         if name in sql and name not in want:
             want.add(name)
             todo += [n for n in re.findall(r"\b\w+\b", sql[name]) if n in sql]
-    return "WITH " + ",\n".join(f"{n} AS ({s})" for n, s in sql.items() if n in want)
+    as_ = "AS MATERIALIZED" if materialized else "AS"
+    return "WITH " + ",\n".join(f"{n} {as_} ({s})" for n, s in sql.items() if n in want)
 
 
 SPARK, OTHER = Dialect(True), Dialect(False)
 _SPARK_SQL = definitions(SPARK)
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One landed table, derived lazily from the order tables."""
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines that all facts are sums of."""
+    return landed(spark, sf_dir, "lines", None)
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, made: DataFrame | None) -> DataFrame:
+    """One landed table, derived lazily from the order tables; `made` are the lines, if there are any yet."""
     tables = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders", "customer")}
-    text = with_clause(_SPARK_SQL, [name])
+    sql = dict(_SPARK_SQL)
+    if made is not None:
+        sql["lines"], tables["made"] = "SELECT * FROM made ", made
+    text = with_clause(sql, [name])
     for t in tables:
         text = text.replace(f"FROM {t} ", f"FROM {{{t}}} ").replace(f"JOIN {t} ", f"JOIN {{{t}}} ").replace(f"FROM {t})", f"FROM {{{t}}})")
     return spark.sql(f"{text} SELECT * FROM {name}", **{t: df for t, df in tables.items() if f"{{{t}}}" in text})
