@@ -61,6 +61,10 @@ def put(name: str, select: str, needs: list[str], arrays: list[str] = ()) -> Non
     ORACLE[name] = f"{with_clause(SQL, needs, materialized=True)}\n{select}"
 
 
+def tally(table: str, by: str, *sums: str) -> str:
+    return f"SELECT {by}, count(*) AS n{''.join(f', sum({c}) AS {c}' for c in sums)} FROM {table} GROUP BY {by}"
+
+
 def staged(table: str, where: str, dated: bool = False) -> str:
     keys = ", ".join([day_column(table), *GRAINS[table]])
     fix = ""
@@ -266,7 +270,7 @@ SQL["keyed"] = f"""SELECT {_S}, conversion_action_id, conversion_action_name, le
 SQL["steps"] = """SELECT k.*, CAST(d AS BIGINT) AS cohort_day, d = window_days AS is_window_rung FROM keyed k, (VALUES (1), (3), (5), (7), (14), (30)) v(d) WHERE d <= window_days
 UNION SELECT k.*, window_days, TRUE FROM keyed k"""
 put("lag_keys", "SELECT * FROM keyed", ["keyed"])
-put("lag_ladder", "SELECT * FROM steps", ["steps"])
+put("lag_ladder", tally("steps", "grain, metric_basis, window_days, window_provenance, cohort_day, is_window_rung"), ["steps"])
 _IN = "b.upper_day <= least(l.cohort_day, b.action_window_days)"
 SQL["prefixes"] = f"""SELECT l.*, sum(CASE WHEN {_IN} THEN b.conversions ELSE 0 END) AS prefix_conversions, sum(CASE WHEN {_IN} THEN b.conversions_value ELSE 0 END) AS prefix_value,
   sum(CASE WHEN b.upper_day IS NULL THEN b.conversions ELSE 0 END) AS unknown_lag_conversions, sum(CASE WHEN b.upper_day IS NULL THEN b.conversions_value ELSE 0 END) AS unknown_lag_value,
@@ -286,12 +290,12 @@ SQL["resolved"] = f"""SELECT {', '.join('p.' + c for c in _SERIES)}, p.conversio
   CASE WHEN r THEN total_refresh_ts ELSE bucket_refresh_ts END AS observed_through, CASE WHEN r THEN total_run_id ELSE bucket_run_id END AS source_run_id
 FROM (SELECT *, is_window_rung AND window_provenance <> 'capped by reporting window' AND {_OFF} AS r, is_window_rung AND cohort_day = 90 AND {_OFF} AS no_answer FROM prefixes) p LEFT JOIN totals t ON {on('p', 't', _SERIES)}"""
 _THROUGH = f"REPLACE ({SHOW.format(t='observed_through')} AS observed_through)"
-put("lag_resolve_total", f"SELECT * {_THROUGH} FROM resolved", ["resolved"])
+put("lag_resolve_total", tally("resolved", "grain, click_date, metric_basis, cohort_day, is_window_rung, no_answer, source_run_id", "cohorted_conversions", "cohorted_value"), ["resolved"])
 _LABEL = "'D' || CAST(cohort_day AS VARCHAR) || CASE WHEN is_window_rung THEN ' window' ELSE '' END AS cohort_label"
 SQL["cells"] = f"""SELECT * EXCLUDE (no_answer) REPLACE (CASE WHEN no_answer THEN 'capped by reporting window' ELSE window_provenance END AS window_provenance, CASE WHEN NOT no_answer THEN cohorted_conversions END AS cohorted_conversions, CASE WHEN NOT no_answer THEN cohorted_value END AS cohorted_value),
   {_LABEL}, CASE WHEN no_answer THEN 'unavailable' ELSE 'measured' END AS provenance, CASE WHEN no_answer THEN 'reporting window is not a lag bucket boundary' END AS unavailable_reason,
   CASE WHEN no_answer THEN NULL WHEN source_refresh_date >= click_date + CAST(cohort_day AS INTEGER) THEN 'complete' ELSE 'immature' END AS maturity, {RUN} AS built_by_run_id, 'google_lag' AS cohort_counting FROM resolved"""
-put("lag_label_maturity", f"SELECT * {_THROUGH} FROM cells", ["cells"])
+put("lag_label_maturity", tally("cells", "grain, click_date, cohort_label, window_provenance, provenance, unavailable_reason, maturity, cohort_counting", "cohorted_conversions"), ["cells"])
 put("int_lag_prefix_campaign", f"SELECT * EXCLUDE (grain, asset_group_id) {_THROUGH} FROM cells WHERE grain = 'campaign'", ["cells"])
 put("int_lag_prefix_asset_group", f"SELECT * EXCLUDE (grain) {_THROUGH} FROM cells WHERE grain = 'asset_group'", ["cells"])
 COHORT_KEYS = {"campaign": ["account_id", "campaign_id"], "asset_group": _G, "asset": _A}
@@ -344,7 +348,7 @@ for _g in ("asset", "asset_group"):
 SQL["obs_keyed"] = " UNION ".join(_P) + f""" UNION SELECT o.click_date, o.account_id, grain, campaign_id, asset_group_id, asset_id, field_type, ad_network_type, metric_basis, {ID}, conversion_action,
   CASE metric_basis WHEN 'PRIMARY' THEN 'Primary conversions' WHEN 'ALL_CONVERSIONS' THEN 'All conversions' ELSE conversion_action_name END, z.time_zone
 FROM selected o LEFT JOIN (SELECT account_id, date AS click_date, min(time_zone) AS time_zone FROM perf_asset GROUP BY ALL) z ON z.account_id = o.account_id AND z.click_date = o.click_date WHERE grain <> 'campaign'"""
-put("obs_keys", "SELECT * FROM obs_keyed", ["obs_keyed"])
+put("obs_keys", tally("obs_keyed", "grain, click_date, account_id, metric_basis, conversion_action_id, conversion_action_name, time_zone"), ["obs_keyed"])
 SQL["obs_cut"] = "SELECT click_date, account_id, metric_basis, conversion_action_resource_name, least(window_days, 90) AS window_days, CASE WHEN window_days >= 90 THEN 'capped by reporting window' ELSE window_provenance END AS window_provenance FROM windows"
 put("obs_windows", "SELECT * FROM obs_cut", ["obs_cut"])
 _W = ["click_date", "account_id", "metric_basis", "conversion_action_resource_name"]
@@ -352,14 +356,14 @@ SQL["obs_met"] = f"SELECT k.*, w.window_days, w.window_provenance, b.latest_obse
 SQL["obs_steps"] = """SELECT *, cohort_day = window_days AS is_window_rung, CAST(click_date + CAST(cohort_day + 1 AS INTEGER) AS DATE) AS target_date FROM (
   SELECT m.*, CAST(d AS BIGINT) AS cohort_day FROM obs_met m, (VALUES (0), (1), (3), (5), (7), (14), (30)) v(d) WHERE d <= window_days UNION SELECT m.*, window_days FROM obs_met m) t
 WHERE click_date + CAST(least(cohort_day + 1, 90) AS INTEGER) <= latest_observed_date"""
-put("obs_ladder", "SELECT * FROM obs_steps", ["obs_steps"])
+put("obs_ladder", tally("obs_steps", "grain, click_date, account_id, metric_basis, cohort_day, is_window_rung, target_date, latest_observed_date"), ["obs_steps"])
 SQL["obs_first"] = f"SELECT DISTINCT c_custkey % 5 AS account_id, CAST({AS_OF} - CASE WHEN c_custkey % 5 < 2 THEN 30 ELSE 60 END AS DATE) AS first_snapshot_date FROM customer WHERE c_custkey % 5 < 3"
 put("obs_first_snapshot", "SELECT * FROM obs_first", ["obs_first"])
 _OWN = [c for c in _ROW if c != "conversion_action"]
 SQL["obs_read"] = f"""SELECT l.*, f.first_snapshot_date, o.observed_date, o.conversions, o.conversions_value, o.run_id AS source_run_id FROM obs_steps l LEFT JOIN obs_first f ON f.account_id = l.account_id
 LEFT JOIN selected o ON {on('o', 'l', _OWN)} AND o.conversion_action IS NOT DISTINCT FROM l.conversion_action_resource_name AND o.observed_date <= l.target_date
 QUALIFY row_number() OVER (PARTITION BY {', '.join('l.' + c for c in [*_OWN, 'conversion_action_resource_name', 'conversion_action_name', 'time_zone', 'cohort_day'])} ORDER BY o.observed_date DESC NULLS LAST, o.run_id DESC) = 1"""
-put("obs_asof_reading", "SELECT * FROM obs_read", ["obs_read"])
+put("obs_asof_reading", tally("obs_read", "grain, click_date, account_id, cohort_day, observed_date, source_run_id, first_snapshot_date", "conversions", "conversions_value"), ["obs_read"])
 _CASES = [("target_date > click_date + 90", "unavailable", "capped by reporting window"), ("grain = 'asset' AND cohort_day = 0 AND first_snapshot_date IS NULL", "unavailable", "first snapshot unknown"), ("target_date < first_snapshot_date", "unavailable", "before first snapshot"),
           ("observed_date = target_date", "measured", None), ("observed_date = first_snapshot_date", "unavailable", "seed only"), ("target_date - observed_date BETWEEN 1 AND 5", "carried", None)]
 SQL["obs_resolved"] = "SELECT *, CASE " + " ".join(f"WHEN {c} THEN '{p}'" for c, p, _ in _CASES) + " ELSE 'unavailable' END AS provenance, CASE " + " ".join(f"WHEN {c} THEN " + (f"'{r}'" if r else "NULL") for c, _, r in _CASES) + " ELSE 'gap exceeded' END AS reason FROM obs_read"
@@ -634,7 +638,7 @@ SQL["vol"] = "SELECT * EXCLUDE (loaded_at) FROM raw_volume_campaign"
 put("snk_range_replace", f"SELECT * FROM vol WHERE run_id = 'load-1' AND NOT ({_WEEK}) UNION ALL SELECT * FROM vol WHERE run_id = 'load-2' AND {_WEEK}", ["vol"])
 put("snk_restore_range", f"SELECT * FROM vol WHERE run_id = 'load-2' AND NOT ({_WEEK}) UNION ALL SELECT * FROM vol WHERE run_id = 'load-1' AND {_WEEK}", ["vol"])
 put("snk_snapshot_replace", f"SELECT run_id, account_id, campaign_id, snapshot_date, status FROM raw_entities_campaign WHERE (run_id = 'load-1') = (snapshot_date <> {AS_OF})", ["raw_entities_campaign"])
-put("snk_observation_append", "SELECT * FROM diary", ["diary"])
+put("snk_observation_append", tally("diary", "observed_date, run_id, account_id, grain, metric_basis", "conversions", "conversions_value"), ["diary"])
 put("snk_slice_export", f"SELECT * FROM selected WHERE observed_date = {AS_OF} - 1", ["selected"])
 put("snk_table_layout", "SELECT * FROM stg_conv_campaign", ["stg_conv_campaign"])
 put("snk_publish_guard", f"SELECT {AS_OF} AS published_as_of, DATE '1998-06-29' AS run_as_of, TRUE AS is_older, FALSE AS may_publish FROM truth LIMIT 1", ["truth"])

@@ -45,6 +45,11 @@ def stamp(df: DataFrame) -> DataFrame:
     return df.drop("loaded_at")
 
 
+def tally(df: DataFrame, by: list[str], sums: list[str] = ()) -> DataFrame:
+    """Rows and sums by group: what a query shows of a long intermediate table whose rows a later one shows in full."""
+    return df.groupBy(*by).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in sums])
+
+
 @query("src_family_scan")
 def _(s: Star) -> DataFrame:
     return stamp(s.raw("volume_campaign"))
@@ -263,11 +268,11 @@ query("lag_source_buckets")(lambda s: lag.source_buckets(s.loaded("lag_campaign"
 query("lag_action_buckets")(lambda s: s.action_buckets)
 query("lag_basis_buckets")(lambda s: s.basis_buckets)
 query("lag_keys")(lambda s: lag.keys_with_window(s.basis_buckets, P))
-query("lag_ladder")(lambda s: s.ladder)
+query("lag_ladder")(lambda s: tally(s.ladder, ["grain", "metric_basis", "window_days", "window_provenance", "cohort_day", "is_window_rung"]))
 query("lag_prefix_sums")(lambda s: s.prefixes)
 query("lag_totals")(lambda s: s.totals)
-query("lag_resolve_total")(lambda s: s.resolved)
-query("lag_label_maturity")(lambda s: s.cells)
+query("lag_resolve_total")(lambda s: tally(s.resolved, ["grain", "click_date", "metric_basis", "cohort_day", "is_window_rung", "no_answer", "source_run_id"], ["cohorted_conversions", "cohorted_value"]))
+query("lag_label_maturity")(lambda s: tally(s.cells, ["grain", "click_date", "cohort_label", "window_provenance", "provenance", "unavailable_reason", "maturity", "cohort_counting"], ["cohorted_conversions"]))
 
 
 @query("lag_bucket_upper_day")
@@ -337,11 +342,11 @@ def _latest_actions(s: Star) -> DataFrame:
 query("obs_depth_contract")(lambda s: observation.depth_contract(_latest_actions(s), P))
 query("obs_forfeited_actions")(lambda s: observation.forfeited_actions(_latest_actions(s), P))
 query("obs_account_bounds")(lambda s: observation.account_bounds(s.diary, s.runs, P))
-query("obs_keys")(lambda s: s.observation_keys)
+query("obs_keys")(lambda s: tally(s.observation_keys, ["grain", "click_date", "account_id", "metric_basis", "conversion_action_id", "conversion_action_name", "time_zone"]))
 query("obs_windows")(lambda s: observation.capped_windows(s.windows, P))
-query("obs_ladder")(lambda s: s.observation_ladder)
+query("obs_ladder")(lambda s: tally(s.observation_ladder, ["grain", "click_date", "account_id", "metric_basis", "cohort_day", "is_window_rung", "target_date", "latest_observed_date"]))
 query("obs_first_snapshot")(lambda s: s.first_snapshots)
-query("obs_asof_reading")(lambda s: s.asof_readings)
+query("obs_asof_reading")(lambda s: tally(s.asof_readings, ["grain", "click_date", "account_id", "cohort_day", "observed_date", "source_run_id", "first_snapshot_date"], ["conversions", "conversions_value"]))
 
 
 @query("obs_resolve")
@@ -585,7 +590,7 @@ def _(s: Star) -> DataFrame:
     path = _folder(s, "observations")
     for part in ("observed_date < '1998-06-29'", "observed_date >= '1998-06-29'"):
         sinks.append(s.diary.where(part), path, "observed_date")
-    return s.spark.read.parquet(path)
+    return tally(s.spark.read.parquet(path), ["observed_date", "run_id", "account_id", "grain", "metric_basis"], ["conversions", "conversions_value"])
 
 
 @query("snk_slice_export")
