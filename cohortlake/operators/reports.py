@@ -86,7 +86,7 @@ def latest_parity(stages: DataFrame) -> DataFrame:
 def publish_reconcile(mart: DataFrame, published: DataFrame, p: Params, measures: list[str], absolute: float = 1e-6, relative: float = 1e-9) -> DataFrame:
     """Mart against published sums by day of the published window; what is null, not a number or infinite on one side only differs."""
     window = F.col("date").between(p.as_of - dt.timedelta(p.reporting_window_days), p.as_of - dt.timedelta(1))
-    sums = lambda df, s: df.groupBy("date").agg(*[F.sum(F.col(m).cast("double")).alias(f"{m}_{s}") for m in measures])
+    sums = lambda df, s: df.groupBy("date").agg(*[F.sum(m).cast("double").alias(f"{m}_{s}") for m in measures])
     met = sums(mart.where(window), "mart").join(sums(published, "published"), "date", "full")
 
     def off(m: str):
@@ -116,5 +116,5 @@ def table_reconcile(tables: dict[str, tuple[DataFrame, str, str]], cutoff) -> Da
     for name, (df, day, measure) in tables.items():
         tag = F.col("cohort_counting") if "cohort_counting" in df.columns else F.lit("none")
         old = df.where(F.col(day) < F.lit(cutoff))
-        parts.append(old.groupBy(F.lit(name).alias("table_name"), tag.alias("counting")).agg(F.min(day).alias("first_day"), F.count("*").alias("n"), F.sum(F.col(measure).cast("double")).alias("total")))
+        parts.append(old.groupBy(F.lit(name).alias("table_name"), tag.alias("counting")).agg(F.min(day).alias("first_day"), F.count("*").alias("n"), F.sum(measure).cast("double").alias("total")))
     return _union(parts)
