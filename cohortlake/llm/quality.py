@@ -195,7 +195,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
     `labels` has the id, quality and toxic (0, 1 or null). Null texts are scored as empty ones; null
     hosts and paths are sites of their own. A row is kept if good quality is at least as likely as not
     and toxicity less likely than not. An empty `docs` gives an empty result, empty `labels` rate every
-    document at even odds, so all of them fail neither test: quality 0.5 keeps.
+    document at even odds, so all of them fail neither test: quality 0.5 keeps. `host_*` and `path_*`
+    are the rates of the whole site; a document's posterior takes them without its own evidence, which
+    counts once, so a site of one document leans on its host, and a host of one on the global rate.
     """
     small_batches(docs.sparkSession)
     model = model or fit(docs, labels, id, text)
@@ -218,17 +220,21 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
     hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), *[F.sum(f"s_{t}").alias(f"s_{t}") for t in TARGETS])
     whole = hosts.agg(F.sum("n").alias("n"), *[F.sum(f"s_{t}").alias(f"s_{t}") for t in TARGETS]).first()
     mean = {t: (whole[f"s_{t}"] / whole["n"] if whole["n"] else 0.5) for t in TARGETS}
+    worth = {}
     for t in TARGETS:
-        k = _strength(hosts.select("n", F.col(f"s_{t}").alias("s")), F.lit(mean[t]))
+        k = worth["host", t] = _strength(hosts.select("n", F.col(f"s_{t}").alias("s")), F.lit(mean[t]))
         hosts = hosts.withColumn(f"host_{t}", (F.col(f"s_{t}") + k * mean[t]) / (F.col("n") + k))
-    hosts = hosts.select(F.col("host").alias("h"), *[f"host_{t}" for t in TARGETS])
+    hosts = hosts.select(F.col("host").alias("h"), F.col("n").alias("hn"), *[F.col(f"s_{t}").alias(f"hs_{t}") for t in TARGETS], *[f"host_{t}" for t in TARGETS])
     sites = paths.join(hosts, F.col("host").eqNullSafe(F.col("h"))).drop("h")
     for t in TARGETS:
-        k = _strength(sites.select("n", F.col(f"s_{t}").alias("s"), F.col(f"host_{t}").alias("m")), F.col("m"))
+        k = worth["path", t] = _strength(sites.select("n", F.col(f"s_{t}").alias("s"), F.col(f"host_{t}").alias("m")), F.col("m"))
         sites = sites.withColumn(f"path_{t}", (F.col(f"s_{t}") + k * F.col(f"host_{t}")) / (F.col("n") + k))
-    sites = sites.select(F.col("host").alias("h"), F.col("path").alias("p"), *[f"{x}_{t}" for x in ("host", "path") for t in TARGETS])
+    figures = ["n", "hn", *[f"{x}_{t}" for x in ("s", "hs") for t in TARGETS]]
+    sites = sites.select(F.col("host").alias("h"), F.col("path").alias("p"), *figures, *[f"{x}_{t}" for x in ("host", "path") for t in TARGETS])
     full = scored.join(sites, F.col("host").eqNullSafe(F.col("h")) & F.col("path").eqNullSafe(F.col("p"))).drop("h", "p")
     for t in TARGETS:
-        odds = _logit(F.col(f"e_{t}")) - _logit(F.lit(mean[t])) + _logit(F.col(f"path_{t}"))
-        full = full.withColumn(f"p_{t}", 1 / (1 + F.exp(-odds)))
-    return full.withColumn("keep", (F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5)).withColumnRenamed("id", id)
+        own, kh, kp = F.col(f"e_{t}"), worth["host", t], worth["path", t]
+        others = (F.col(f"hs_{t}") - own + kh * mean[t]) / (F.col("hn") - 1 + kh)
+        others = (F.col(f"s_{t}") - own + kp * others) / (F.col("n") - 1 + kp)
+        full = full.withColumn(f"p_{t}", 1 / (1 + F.exp(_logit(F.lit(mean[t])) - _logit(own) - _logit(others))))
+    return full.drop(*figures).withColumn("keep", (F.col("p_quality") >= 0.5) & (F.col("p_toxic") < 0.5)).withColumnRenamed("id", id)
