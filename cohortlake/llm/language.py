@@ -22,8 +22,8 @@ from .textcore import buffers, groups, lowered, mix
 
 #: Trigrams are hashed to this many values.
 GRAMS = 1 << 15
-#: Training takes all labelled rows up to about this number, beyond it an even share of them by hash.
-TRAIN_ROWS = 20_000
+#: Training takes all labelled rows of a language up to about an equal part of this number, LEAST_ROWS at least; beyond it an even share by hash.
+TRAIN_ROWS, LEAST_ROWS = 20_000, 200
 SMOOTHING, ROUNDS, LEAST_SHARE = 0.5, 8, 0.02
 #: Neighbouring trigrams overlap in two letters of three: a text has about a third as many independent ones.
 OVERLAP = 3.0
@@ -60,15 +60,23 @@ def gram_keys(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = TRAIN_ROWS) -> LanguageModel:
-    """Learn trigram likelihoods from rows with text and language; about `rows` of them at most."""
+    """Learn trigram likelihoods from rows with text and language; about `rows` of them at most.
+
+    The bound is shared out by language, LEAST_ROWS or more to each, so a rare language is learned at
+    every size of the input. Priors come from the counts of all labelled rows.
+    """
     labelled = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang")).where("lang IS NOT NULL AND text IS NOT NULL")
-    n = docs.where(F.col(f"`{lang}`").isNotNull()).count()
-    if n > rows:
-        labelled = labelled.where(F.pmod(F.xxhash64(F.lit(11), "key"), F.lit(1 << 20)) < int((1 << 20) * rows / n))
+    # One row for each language.
+    have = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().toLocalIterator()}
+    each = max(LEAST_ROWS, rows // max(1, len(have)))
+    many = {k: each / n for k, n in have.items() if n > each}
+    if many:
+        share = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
+        place = F.pmod(F.xxhash64(F.lit(11), "key"), F.lit(1 << 20)) / F.lit(1 << 20)
+        labelled = labelled.where(place < F.coalesce(share[F.col("lang")], F.lit(1.0)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        rows: dict[str, int] = {}
         for b in batches:
             langs = np.array(b.column(1).to_pylist(), object)
             buf, offsets = buffers(b.column(0))
@@ -77,22 +85,20 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
                 doc, gram = keys // GRAMS, keys % GRAMS
                 for name in set(langs[i:j]):
                     total[name] = total.get(name, 0) + np.bincount(gram[(langs[i:j] == name)[doc]], minlength=GRAMS)
-                    rows[name] = rows.get(name, 0) + int((langs[i:j] == name).sum())
         for name, c in total.items():
             at = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array([name] * (len(at) + 1)), pa.array(np.append(at, -1)), pa.array(np.append(c[at], rows[name]))], names=["lang", "gram", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(c[at])], names=["lang", "gram", "n"])
 
-    # At most GRAMS + 1 rows for each language come back, however large the sample is.
+    # At most GRAMS rows for each language come back, however large the sample is.
     got = labelled.select("text", "lang").mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     languages = sorted(got["lang"].unique().tolist())
     logp, prior = np.zeros((GRAMS, len(languages))), np.zeros(len(languages))
     for k, name in enumerate(languages):
-        own = got[got["lang"] == name]
+        grams = got[got["lang"] == name]
         c = np.full(GRAMS, SMOOTHING)
-        grams = own[own["gram"] >= 0]
         c[grams["gram"].to_numpy()] += grams["n"].to_numpy()
         logp[:, k] = np.log(c / c.sum())
-        prior[k] = own.loc[own["gram"] < 0, "n"].sum() + 1
+        prior[k] = have[name] + 1
     return LanguageModel(languages, logp, prior / max(1.0, prior.sum()))
 
 
