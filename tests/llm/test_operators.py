@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,6 +145,25 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_hubs_match_union_find(spark):
+    rnd = np.random.default_rng(3)
+    links = [(0, int(x)) for x in rnd.integers(100, 900, 600)] + [(999, int(x)) for x in rnd.integers(100, 900, 300)]
+    links += [(int(a), int(b)) for a, b in rnd.integers(1000, 1400, (250, 2))] + [(-k, -k - 1) for k in range(1, 30)]
+    root = {x: x for pair in links for x in pair}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    want = {x: find(x) for x in root if find(x) != x}
+    got = components(spark.createDataFrame(links, "a long, b long").repartition(4)).collect()
+    assert len(got) == len(want) and {r.u: r.v for r in got} == want
+
+
 def test_bpe_matches_the_library(docs, empty):
     tokenizers = pytest.importorskip("tokenizers")
     lib = tokenizers.Tokenizer.from_file(vocabulary())
@@ -248,6 +268,54 @@ def test_language(spark, docs, empty):
     assert {r.lang_pred for r in language.identify(docs, none).collect()} == {"und"}
 
 
+def plain_mixture(model, grams):
+    """Shares and gain of one text, entry by entry."""
+    count = Counter(int(g) for g in grams)
+    every, n = range(len(model.languages)), len(grams)
+
+    def em(pi, rounds):
+        for _ in range(rounds):
+            new = [0.0] * len(pi)
+            for g, c in count.items():
+                r = [pi[k] * np.exp(model.logp[g, k]) for k in every]
+                new = [x + c * y / sum(r) for x, y in zip(new, r)]
+            pi = [x / n for x in new]
+        return pi, sum(c * np.log(sum(pi[k] * np.exp(model.logp[g, k]) for k in every)) for g, c in count.items())
+
+    pi, _ = em(list(model.prior), language.ROUNDS)
+    order, best = sorted(every, key=lambda k: -pi[k]), None
+    for size in range(1, len(pi) + 1):
+        if size > 1 and pi[order[size - 1]] < language.LEAST_SHARE:
+            break
+        start = [max(pi[k], 1e-9) if k in order[:size] else 0.0 for k in every]
+        start, ll = em([x / sum(start) for x in start], 0 if size == 1 else language.ROUNDS // 2)
+        value = ll / language.OVERLAP - (size - 1) / 2 * np.log(max(n / language.OVERLAP, 2))
+        if best is None or value > best[0]:
+            best = value, start, (ll / n + np.log(language.GRAMS)) / np.log(2)
+    return best[1:]
+
+
+def test_mixture_matches_brute_force(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = language.fit(d)
+    some = {x: d.where(f"lang = '{x}' AND n_chars > 300").orderBy("doc_id").first().text[:300] for x in model.languages}
+    a, b = model.languages[:2]
+    mixed = [*some.values(), some[a] + " " + some[b], some[a][:30], "x", "né"]
+    raw = [t.encode() for t in mixed]
+    keys = language.gram_keys(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in raw])]))
+    shares, gain = language.solve(model, keys, len(raw))
+    for k in range(len(raw)):
+        want, bits = plain_mixture(model, keys[keys // language.GRAMS == k] % language.GRAMS)
+        assert np.allclose(shares[k], want, atol=1e-9) and abs(gain[k] - bits) < 1e-9
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(k, f"the plain words of row {k}", "en") for k in range(4000)] + [(9000 + k, "ein paar andere worte", "de") for k in range(3)]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), rows=500)
+    assert model.languages == ["de", "en"]
+    assert np.allclose(model.prior, [4 / 4005, 4001 / 4005])
+
+
 def test_html_extraction(spark):
     field = html_extract.default_field()
     bad = total = 0
@@ -328,6 +396,33 @@ def test_sparse_sites_lean_on_their_host(spark):
     assert got["b"].path_quality < got["lone"].path_quality <= got["lone"].host_quality
 
 
+def test_posterior_matches_brute_force(spark):
+    d, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.score_quality(d, labels, F.col("source"), F.concat_ws("/", "source", "lang")).toPandas()
+
+    def strength(n, s, m):
+        between = max(0.0, ((n * (s / n - m) ** 2).sum() - (m * (1 - m)).sum()) / (n * m * (1 - m)).sum())
+        return min(quality.MOST_STRENGTH, max(quality.LEAST_STRENGTH, (1 - between) / between if between > 0 else quality.MOST_STRENGTH))
+
+    def logit(p):
+        p = np.clip(p, 1e-9, 1 - 1e-9)
+        return np.log(p / (1 - p))
+
+    for t in quality.TARGETS:
+        e = got[f"e_{t}"]
+        mean = e.mean()
+        by_host, by_path = e.groupby(got["host"]), e.groupby(got["path"])
+        hn, hs = by_host.count(), by_host.sum()
+        kh = strength(hn, hs, pd.Series(mean, hn.index))
+        rate = (hs + kh * mean) / (hn + kh)
+        pn, ps = by_path.count(), by_path.sum()
+        kp = strength(pn, ps, rate[got.groupby("path")["host"].first()].set_axis(pn.index))
+        host = (hs[got["host"]].to_numpy() - e + kh * mean) / (hn[got["host"]].to_numpy() - 1 + kh)
+        path = (ps[got["path"]].to_numpy() - e + kp * host) / (pn[got["path"]].to_numpy() - 1 + kp)
+        want = 1 / (1 + np.exp(logit(mean) - logit(e) - logit(path)))
+        assert np.abs(want - got[f"p_{t}"]).max() < 1e-7
+
+
 def test_decontamination(spark, empty):
     d, b = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "benchmark"))
     words = lambda t: re.findall(r"[0-9a-z\x80-\U0010ffff]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
