@@ -7,27 +7,42 @@ from pyspark.sql import functions as F
 
 from .storage import written
 
+#: A vertex that holds at least this part of all links is a hub; the sums of its links bound the number of hubs.
+HUBS = 256
+
 
 def _mark(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def _lowest(e: DataFrame, total: int) -> DataFrame:
+    """`e` (u, v) with `m`, the smallest v of each u. `total` is the number of links.
+
+    Minima are partial in each task first. No more than 2 * HUBS vertices are hubs: their minima are
+    broadcast and their rows dealt by v, so that no vertex puts its links into one task.
+    """
+    low = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    hubs = low.where(F.col("n") * HUBS >= total).select("u", F.col("m").alias("h"))
+    named = e.join(F.broadcast(hubs), "u", "left")
+    dealt = named.withColumn("plain", F.col("h").isNull()).withColumn("k", F.when(F.col("plain"), F.col("u")).otherwise(F.col("v")))
+    met = dealt.join(low.select(F.col("u").alias("k"), "m", F.lit(True).alias("plain")), ["k", "plain"], "left")
+    return met.select("u", "v", F.coalesce("h", "m").alias("m"))
+
+
 def components(links: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
     """(`u`, `v`): each vertex of a link other than its component's smallest, with that smallest.
 
     Links are pairs of longs in any order, repeats allowed; links of a vertex to itself are ignored.
-    Each round is two groupings and two joins; rounds grow with the logarithm of the diameter. The
-    state is written to the shared folder after each round.
+    Each round is two groupings and two joins; rounds grow with the logarithm of the diameter. A hub's
+    links are spread over tasks. The state is written to the shared folder after each round.
     """
     e = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     e = written(e, "links")
     before = _mark(e)
     for _ in range(most):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        met = large.join(low, "u")
+        large = _lowest(both, before[0]).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        met = _lowest(large, before[0])
         small = met.select("u", F.col("m").alias("v")).unionByName(met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
         e = written(small, "links")
         now = _mark(e)
