@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .storage import written
 
-#: A vertex that holds at least this part of all links is a hub; the sums of its links bound the number of hubs.
+#: A key that holds at least this part of all rows is a hub, so there are few of them.
 HUBS = 256
 
 
@@ -15,18 +15,24 @@ def _mark(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def _lowest(e: DataFrame, total: int) -> DataFrame:
-    """`e` (u, v) with `m`, the smallest v of each u. `total` is the number of links.
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, value: str, spread: str, total: int) -> DataFrame:
+    """`rows` with `value` of their `key`, null where `facts` lacks it.
 
-    Minima are partial in each task first. No more than 2 * HUBS vertices are hubs: their minima are
-    broadcast and their rows dealt by v, so that no vertex puts its links into one task.
+    `facts` has one row for each key, with `n`, its number of rows; `total` is about the number of all
+    rows. Hubs are so few that they are broadcast; their rows are dealt by `spread`, so that no key puts
+    its rows into one task.
     """
+    hubs = facts.where(F.col("n") * HUBS >= total).select(key, F.col(value).alias("h"))
+    named = rows.join(F.broadcast(hubs), key, "left")
+    dealt = named.withColumn("plain", F.col("h").isNull()).withColumn("k", F.when(F.col("plain"), F.col(key)).otherwise(F.col(spread)))
+    met = dealt.join(facts.select(F.col(key).alias("k"), value, F.lit(True).alias("plain")), ["k", "plain"], "left")
+    return met.select(*rows.columns, F.coalesce("h", value).alias(value))
+
+
+def _lowest(e: DataFrame, total: int) -> DataFrame:
+    """`e` (u, v) with `m`, the smallest v of each u; minima are partial in each task first."""
     low = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    hubs = low.where(F.col("n") * HUBS >= total).select("u", F.col("m").alias("h"))
-    named = e.join(F.broadcast(hubs), "u", "left")
-    dealt = named.withColumn("plain", F.col("h").isNull()).withColumn("k", F.when(F.col("plain"), F.col("u")).otherwise(F.col("v")))
-    met = dealt.join(low.select(F.col("u").alias("k"), "m", F.lit(True).alias("plain")), ["k", "plain"], "left")
-    return met.select("u", "v", F.coalesce("h", "m").alias("m"))
+    return looked_up(e, low, "u", "m", "v", total)
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:

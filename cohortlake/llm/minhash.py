@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components
+from .components import components, looked_up
 from .storage import small_batches, written
 from .textcore import buffers, groups, lowered, mix, powers, ragged, rolled, spans, word_hashes
 
@@ -134,17 +134,17 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def token_sets(nodes: DataFrame) -> DataFrame:
-    """The distinct shingles of each node, packed. `nodes` has node, comp, cluster, text."""
+    """The distinct shingles of each node, packed. `nodes` has node, comp, cluster, block, blocks, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            buf, offsets = buffers(b.column(3))
+            buf, offsets = buffers(b.column(5))
             for i, j in groups(offsets):
                 h, edge, _, _ = shingles(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 sets = [np.unique(h[edge[k] : edge[k + 1]]).tobytes() for k in range(j - i)]
-                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in b.columns[:3]), pa.array(sets, pa.binary())], names=["node", "comp", "cluster", "tokens"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in b.columns[:5]), pa.array(sets, pa.binary())], names=["node", "comp", "cluster", "block", "blocks", "tokens"])
 
-    return nodes.select("node", "comp", "cluster", "text").mapInArrow(run, "node bigint, comp bigint, cluster bigint, tokens binary")
+    return nodes.select("node", "comp", "cluster", "block", "blocks", "text").mapInArrow(run, "node bigint, comp bigint, cluster bigint, block bigint, blocks bigint, tokens binary")
 
 
 def _compare(table: pa.Table) -> pa.Table:
@@ -192,17 +192,19 @@ def _compare(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def crossing(nodes: DataFrame) -> DataFrame:
+def crossing(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     """Links that unite components inside a cluster: every node is compared with all others of its cluster.
 
     Clusters are cut into blocks of about BLOCK nodes; a task gets two of them, so none holds more than
     2 * BLOCK nodes, whatever a cluster's size. No pair is made into a row but those that unite.
+    `nodes` has node, comp, cluster, `texts` node and text; blocks are dealt before texts are fetched.
     """
-    sets = written(token_sets(nodes), "tokens")
-    sizes = sets.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    placed = sets.join(sizes.select("cluster", "blocks"), "cluster").withColumn("block", F.pmod(F.xxhash64(F.lit(4), "node"), "blocks"))
+    nodes = written(nodes, "unsettled")
+    sizes = nodes.groupBy("cluster").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).alias("blocks"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    placed = looked_up(nodes, sizes, "cluster", "blocks", "node", nodes.count()).where("blocks IS NOT NULL").withColumn("block", F.pmod(F.xxhash64(F.lit(4), "node"), "blocks"))
+    sets = token_sets(placed.join(texts, "node"))
     pair = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda x: F.struct(F.least("block", x).alias("i"), F.greatest("block", x).alias("j")))
-    dealt = placed.withColumn("p", F.explode(pair)).select("cluster", "p.i", "p.j", "block", "node", "comp", "tokens")
+    dealt = sets.withColumn("p", F.explode(pair)).select("cluster", "p.i", "p.j", "block", "node", "comp", "tokens")
     return dealt.groupBy("cluster", "i", "j").applyInArrow(_compare, "a bigint, b bigint").distinct()
 
 
@@ -244,8 +246,8 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     hubs = open_.groupBy("key").agg(F.min("node").alias("b"))
     joined = components(open_.join(hubs, "key").select(F.col("node").alias("a"), "b"))
     unsettled = open_.select("node", "comp").distinct().join(joined.select(F.col("u").alias("node"), F.col("v").alias("cluster")), "node", "left")
-    unsettled = unsettled.withColumn("cluster", F.coalesce("cluster", "node")).join(texts.withColumnRenamed("id", "node"), "node")
-    pairs = written(crossing(unsettled), "pairs")
+    unsettled = unsettled.select("node", "comp", F.coalesce("cluster", "node").alias("cluster"))
+    pairs = written(crossing(unsettled, texts.withColumnRenamed("id", "node")), "pairs")
     more = verified(pairs, texts)
     every = links.unionByName(more).unionByName(copies)
     found = components(every)
