@@ -22,7 +22,9 @@ def looked_up(rows: DataFrame, facts: DataFrame, key: str, value: str, spread: s
     rows. Hubs are so few that they are broadcast; their rows are dealt by `spread`, so that no key puts
     its rows into one task.
     """
-    hubs = facts.where(F.col("n") * HUBS >= total).select(key, F.col(value).alias("h"))
+    # A power of two: rounds that differ little in size share their generated code.
+    least = 1 << max(0, total.bit_length() - 1)
+    hubs = facts.where(F.col("n") * HUBS >= least).select(key, F.col(value).alias("h"))
     named = rows.join(F.broadcast(hubs), key, "left")
     dealt = named.withColumn("plain", F.col("h").isNull()).withColumn("k", F.when(F.col("plain"), F.col(key)).otherwise(F.col(spread)))
     met = dealt.join(facts.select(F.col(key).alias("k"), value, F.lit(True).alias("plain")), ["k", "plain"], "left")

@@ -27,7 +27,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Send texts to Python in batches of `rows` unless the session asks for other than the usual number: long texts by ten thousands fill memory."""
     key, usual = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
     if spark.conf.get(key, usual) == usual:

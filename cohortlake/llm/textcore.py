@@ -52,12 +52,18 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def groups(offsets: np.ndarray, most: int = 4 * BLOCK) -> Iterator[tuple[int, int]]:
-    """Ranges of texts that have about `most` bytes together, or one longer text."""
+    """Ranges of texts that have about `most` bytes together, or one longer text.
+
+    After the last range, memory that the blocks have freed goes back to the system: a worker lives on
+    from task to task, and what its allocators hold back would count against the executor.
+    """
     i, n = 0, len(offsets) - 1
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
         yield i, min(j, n)
         i = min(j, n)
+    for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+        pool.release_unused()
 
 
 def spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
