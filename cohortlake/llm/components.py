@@ -7,34 +7,28 @@ from pyspark.sql import functions as F
 
 from .storage import written
 
-#: A key that holds at least this part of all rows is a hub, so there are few of them.
-HUBS = 256
+#: Tasks that the rows of one key are spread over.
+SALTS = 8
 
 
 def _mark(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
-def looked_up(rows: DataFrame, facts: DataFrame, key: str, value: str, spread: str, total: int) -> DataFrame:
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, value: str, spread: str) -> DataFrame:
     """`rows` with `value` of their `key`, null where `facts` lacks it.
 
-    `facts` has one row for each key, with `n`, its number of rows; `total` is about the number of all
-    rows. Hubs are so few that they are broadcast; their rows are dealt by `spread`, so that no key puts
-    its rows into one task.
+    `facts` has one row for each key. Each is there once for every salt, rows take one by `spread`: so
+    no key puts all its rows into one task, whatever its share.
     """
-    # A power of two: rounds that differ little in size share their generated code.
-    least = 1 << max(0, total.bit_length() - 1)
-    hubs = facts.where(F.col("n") * HUBS >= least).select(key, F.col(value).alias("h"))
-    named = rows.join(F.broadcast(hubs), key, "left")
-    dealt = named.withColumn("plain", F.col("h").isNull()).withColumn("k", F.when(F.col("plain"), F.col(key)).otherwise(F.col(spread)))
-    met = dealt.join(facts.select(F.col(key).alias("k"), value, F.lit(True).alias("plain")), ["k", "plain"], "left")
-    return met.select(*rows.columns, F.coalesce("h", value).alias(value))
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))).alias("salt")
+    met = rows.withColumn("salt", F.pmod(F.xxhash64(spread), F.lit(SALTS))).join(facts.select(key, value, salts), [key, "salt"], "left")
+    return met.select(*rows.columns, value)
 
 
-def _lowest(e: DataFrame, total: int) -> DataFrame:
+def _lowest(e: DataFrame) -> DataFrame:
     """`e` (u, v) with `m`, the smallest v of each u; minima are partial in each task first."""
-    low = e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
-    return looked_up(e, low, "u", "m", "v", total)
+    return looked_up(e, e.groupBy("u").agg(F.min("v").alias("m")), "u", "m", "v")
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b", most: int = 60) -> DataFrame:
@@ -49,8 +43,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b", most: int = 60) ->
     before = _mark(e)
     for _ in range(most):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _lowest(both, before[0]).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        met = _lowest(large, before[0])
+        large = _lowest(both).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        met = _lowest(large)
         small = met.select("u", F.col("m").alias("v")).unionByName(met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
         e = written(small, "links")
         now = _mark(e)

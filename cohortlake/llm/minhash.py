@@ -200,8 +200,8 @@ def crossing(nodes: DataFrame, texts: DataFrame) -> DataFrame:
     `nodes` has node, comp, cluster, `texts` node and text; blocks are dealt before texts are fetched.
     """
     nodes = written(nodes, "unsettled")
-    sizes = nodes.groupBy("cluster").agg(F.count("*").alias("n"), F.ceil(F.count("*") / BLOCK).alias("blocks"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-    placed = looked_up(nodes, sizes, "cluster", "blocks", "node", nodes.count()).where("blocks IS NOT NULL").withColumn("block", F.pmod(F.xxhash64(F.lit(4), "node"), "blocks"))
+    sizes = nodes.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+    placed = looked_up(nodes, sizes, "cluster", "blocks", "node").where("blocks IS NOT NULL").withColumn("block", F.pmod(F.xxhash64(F.lit(4), "node"), "blocks"))
     sets = token_sets(placed.join(texts, "node"))
     pair = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda x: F.struct(F.least("block", x).alias("i"), F.greatest("block", x).alias("j")))
     dealt = sets.withColumn("p", F.explode(pair)).select("cluster", "p.i", "p.j", "block", "node", "comp", "tokens")
