@@ -5,25 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import quality, sql
 from .ann import nearest
 from .bpe import encode_decode
+from .centroids import cluster_vectors, with_inertia
 from .decontaminate import find_leaks
+from .filter_audit import filter_interactions
 from .html_extract import extract_text
 from .language import fit, identify
 from .minhash import near_duplicates
 from .sharding import assign_shards
 from .substring import dedup_substrings
+from .token_counts import count_tokens
 from .url_filter import filter_urls
 
 #: Name of the vocabulary file of op9, found on every node by the package of public tokenizers.
 VOCABULARY = "word_bpe_49k.json"
 
 
-def vocabulary() -> str:
+def vocabulary(name: str = VOCABULARY) -> str:
     import public_tokenizers
 
-    return str(public_tokenizers.path(VOCABULARY))
+    return str(public_tokenizers.path(name))
 
 
 def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,6 +94,21 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, centroids = cluster_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+    return with_inertia(found, centroids)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    return filter_interactions(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    return count_tokens(docs, vocabulary("piece_bpe_32k.model")).drop("text")
+
+
 OP6_SQL = """
 WITH parts AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
@@ -118,5 +136,8 @@ QUERIES = {
     "op6_url_filters": op6_url_filters,
     "op9_bpe_encode_decode": op9_bpe_encode_decode,
     "op10_nearest_neighbours": op10_nearest_neighbours,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_token_counts": op13_token_counts,
 }
-ORACLE = {"op6_url_filters": OP6_SQL}
+ORACLE = {"op6_url_filters": OP6_SQL, "op11_centroid_clustering": sql.centroid_clustering(), "op12_filter_audit": sql.FILTER_AUDIT}

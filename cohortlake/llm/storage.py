@@ -32,3 +32,16 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
     key, usual = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
     if spark.conf.get(key, usual) == usual:
         spark.conf.set(key, str(rows))
+
+
+def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As `written`, with the folder, for a table that is dropped when its successor is there."""
+    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Take away a table that nothing reads any more. Only folders that `stored` made are given here."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
