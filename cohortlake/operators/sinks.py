@@ -1,35 +1,27 @@
-"""Changes to tables: ranges replaced, appended to, expired, set aside and restored. Each gives the table's next state."""
+"""Changes to tables: ranges replaced, appended to, expired, exported, and what is to be known before and after."""
 
 from __future__ import annotations
 
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlake.sources.generations import Generations
+
 #: Day columns of click-day tables, the only ones that expire.
 CLICK_DAYS = ("date", "click_date")
 
 
-def within(day: str, start: dt.date, end: dt.date) -> Column:
-    return F.coalesce(F.col(day).between(F.lit(start), F.lit(end)), F.lit(False))
-
-
-def range_replace(existing: DataFrame, new: DataFrame, day: str, start: dt.date, end: dt.date) -> DataFrame:
-    """The days from start to end hold the new rows and nothing else; a day without new rows becomes empty, other days stay."""
-    stray = new.where(~within(day, start, end)).limit(1)
-    checked = new.where(within(day, start, end))
-    return existing.where(~within(day, start, end)).unionByName(checked) if stray.isEmpty() else _refuse(day)
-
-
-def _refuse(day: str) -> DataFrame:
-    raise ValueError(f"new rows lie outside the range of {day} that they replace")
+def range_replace(store: Generations, table: str, new: DataFrame, start: dt.date, end: dt.date, generation: str) -> list[str]:
+    """The days from start to end hold the new rows and nothing else; a day without new rows becomes empty, other days aren't touched."""
+    return store.replace_range(table, new, start, end, generation)
 
 
-def snapshot_replace(existing: DataFrame, new: DataFrame, day: dt.date) -> DataFrame:
+def snapshot_replace(store: Generations, table: str, new: DataFrame, day: dt.date, generation: str) -> list[str]:
     """One day's snapshot, replaced as a whole, by nothing too."""
-    return range_replace(existing, new, "snapshot_date", day, day)
+    return store.replace_range(table, new, day, day, generation)
 
 
 def append(df: DataFrame, path: str, partition: str) -> None:
@@ -57,11 +49,11 @@ def publish_guard(published: DataFrame, as_of: dt.date, override: bool = False)
     return newest.select("published_as_of", F.lit(as_of).alias("run_as_of"), older.alias("is_older"), (~older | F.lit(override)).alias("may_publish"))
 
 
-def expire(df: DataFrame, day: str, as_of: dt.date, reporting_days: int, mode: str = "window") -> DataFrame:
-    """What retention keeps: in window mode click days of the reporting window and one more; anything else is kept for good."""
-    if mode != "window" or day not in CLICK_DAYS:
-        return df
-    return df.where(F.col(day) >= F.lit(as_of - dt.timedelta(reporting_days + 1)))
+def expire(store: Generations, table: str, as_of: dt.date, reporting_days: int, generation: str, mode: str = "window") -> list[str]:
+    """Days that retention drops: in window mode click days before the reporting window and one more; anything else is kept for good."""
+    if mode != "window" or store.manifest()[table].day not in CLICK_DAYS:
+        return []
+    return store.expire(table, as_of - dt.timedelta(reporting_days + 1), generation)
 
 
 def retention_drift(expected: DataFrame, actual: DataFrame) -> DataFrame:
@@ -82,19 +74,3 @@ def loss_preview(tables: dict[str, tuple[DataFrame, str]], cutoff: dt.date) -> D
         old = F.col("d") < F.lit(cutoff)
         parts.append(by.agg(F.min("d").alias("first_day"), F.count_if(old).alias("older_days"), F.coalesce(F.sum(F.when(old, F.col("n"))), F.lit(0)).alias("older_rows"), F.coalesce(F.sum(F.when(F.col("d") == F.lit(cutoff), F.col("n"))), F.lit(0)).alias("boundary_rows")).withColumn("table_name", F.lit(name)))
     return reduce(DataFrame.unionByName, parts)
-
-
-def quarantine(df: DataFrame, wrong: Column, path: str) -> DataFrame:
-    """Copy the rows of a predicate aside, check that all arrived, and only then give the table without them."""
-    hit = F.coalesce(wrong, F.lit(False))
-    bad = df.where(hit)
-    bad.write.mode("overwrite").parquet(path)
-    copied, there = df.sparkSession.read.parquet(path).count(), bad.count()
-    if copied != there:
-        raise RuntimeError(f"{there} rows to set aside, {copied} in the copy: nothing is deleted")
-    return df.where(~hit)
-
-
-def restore_range(old: DataFrame, live: DataFrame, day: str, start: dt.date, end: dt.date) -> DataFrame:
-    """The live table with the days from start to end as an older version had them."""
-    return range_replace(live, old.where(within(day, start, end)), day, start, end)

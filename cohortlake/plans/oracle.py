@@ -637,7 +637,8 @@ _WEEK = f"date BETWEEN {AS_OF} - 20 AND {AS_OF} - 14"
 SQL["vol"] = "SELECT * EXCLUDE (loaded_at) FROM raw_volume_campaign"
 put("snk_range_replace", f"SELECT * FROM vol WHERE run_id = 'load-1' AND NOT ({_WEEK}) UNION ALL SELECT * FROM vol WHERE run_id = 'load-2' AND {_WEEK}", ["vol"])
 put("snk_restore_range", f"SELECT * FROM vol WHERE run_id = 'load-2' AND NOT ({_WEEK}) UNION ALL SELECT * FROM vol WHERE run_id = 'load-1' AND {_WEEK}", ["vol"])
-put("snk_snapshot_replace", f"SELECT run_id, account_id, campaign_id, snapshot_date, status FROM raw_entities_campaign WHERE (run_id = 'load-1') = (snapshot_date <> {AS_OF})", ["raw_entities_campaign"])
+put("snk_snapshot_replace", f"SELECT * EXCLUDE (loaded_at) FROM raw_entities_campaign WHERE (run_id = 'load-1') = (snapshot_date <> {AS_OF})", ["raw_entities_campaign"], ["primary_status_reasons"])
+put("snk_inventory", f"SELECT 'volume' AS table_name, date AS day, bool_or({_WEEK}) AS is_new FROM vol WHERE (run_id = 'load-1' AND NOT ({_WEEK})) OR (run_id = 'load-2' AND {_WEEK}) GROUP BY date", ["vol"])
 put("snk_observation_append", tally("diary", "observed_date, run_id, account_id, grain, metric_basis", "conversions", "conversions_value"), ["diary"])
 put("snk_slice_export", f"SELECT * FROM selected WHERE observed_date = {AS_OF} - 1", ["selected"])
 put("snk_table_layout", "SELECT * FROM stg_conv_campaign", ["stg_conv_campaign"])
@@ -646,8 +647,8 @@ put("snk_retention_expire", f"SELECT * FROM vol WHERE date >= {AS_OF} - 91", ["v
 put("snk_retention_drift", """SELECT t AS table_name, e AS expected_days, k AS actual_days, CASE WHEN t = 'conv_campaign' THEN 'not listed' WHEN e IS NOT DISTINCT FROM k THEN 'as expected' WHEN e IS NULL THEN 'refused: must never expire' ELSE 'differs' END AS status FROM (
 SELECT 'volume_campaign' AS t, 119 AS e, max(date) - min(date) AS k FROM raw_volume_campaign UNION ALL SELECT 'conv_campaign', NULL, max(date) - min(date) FROM raw_conv_campaign
 UNION ALL SELECT 'entities_campaign', NULL, max(snapshot_date) - min(snapshot_date) FROM raw_entities_campaign UNION ALL SELECT 'entities_customer', NULL, max(snapshot_date) - min(snapshot_date) FROM raw_entities_customer) q""", ["raw_volume_campaign", "raw_conv_campaign", "raw_entities_campaign", "raw_entities_customer"])
-put("snk_loss_preview", " UNION ALL ".join(f"SELECT '{t}' AS table_name, min(date) AS first_day, count(DISTINCT date) FILTER (WHERE date < {AS_OF} - 100) AS older_days, count(*) FILTER (WHERE date < {AS_OF} - 100) AS older_rows, count(*) FILTER (WHERE date = {AS_OF} - 100) AS boundary_rows FROM raw_{t}" for t in ("volume_campaign", "conv_campaign", "lag_campaign")), ["raw_volume_campaign", "raw_conv_campaign", "raw_lag_campaign"])
-put("snk_quarantine", "SELECT * FROM stg_volume_campaign WHERE ad_network_type IS NOT NULL", ["stg_volume_campaign"])
+put("snk_loss_preview", " UNION ALL ".join(f"SELECT '{t}' AS table_name, min(date) AS first_day, count(DISTINCT date) FILTER (WHERE date < {AS_OF} - 100) AS older_days, count(*) FILTER (WHERE date < {AS_OF} - 100) AS older_rows, count(*) FILTER (WHERE date = {AS_OF} - 100) AS boundary_rows FROM raw_{t}" for t in GRAINS if day_column(t) == "date"), [f"raw_{t}" for t in GRAINS if day_column(t) == "date"])
+put("snk_quarantine", "SELECT *, ad_network_type IS NULL AND day(date) < 8 AS is_aside FROM stg_volume_campaign", ["stg_volume_campaign"])
 
 # Text
 _Q = "'7:' || coalesce(CAST(campaign_id AS VARCHAR), '') || ':' || coalesce(CAST(date AS VARCHAR), '') || ':' || coalesce(ad_network_type, '')"

@@ -565,23 +565,24 @@ def _first_load(s: Star) -> DataFrame:
 WEEK = (P.as_of - dt.timedelta(20), P.as_of - dt.timedelta(14))
 
 
+def _next(label: str) -> str:
+    """The id of a generation that a query makes."""
+    return f"{label}-{uuid.uuid4().hex}"
+
+
 @query("snk_range_replace")
 def _(s: Star) -> DataFrame:
     """A week of the first load gives way to the second load's rows of it."""
-    g = Generations(s.spark, _folder(s, "volume"))
-    g.commit({"volume": _first_load(s)}, "one")
-    new = stamp(s.raw("volume_campaign")).where((F.col("run_id") == TODAY) & F.col("date").between(*WEEK))
-    g.commit({"volume": sinks.range_replace(g.read("volume"), new, "date", *WEEK)}, "two")
+    g, new = s.store(), stamp(s.raw("volume_campaign")).where((F.col("run_id") == TODAY) & F.col("date").between(*WEEK))
+    sinks.range_replace(g, "volume", new, *WEEK, _next("week"))
     return g.read("volume")
 
 
 @query("snk_snapshot_replace")
 def _(s: Star) -> DataFrame:
     """The last day's snapshot gives way to the second load's."""
-    g = Generations(s.spark, _folder(s, "campaigns"))
-    raw = stamp(s.raw("entities_campaign")).select("run_id", "account_id", "campaign_id", "snapshot_date", "status")
-    g.commit({"campaigns": raw.where("run_id = 'load-1'")}, "one")
-    g.commit({"campaigns": sinks.snapshot_replace(g.read("campaigns"), raw.where((F.col("run_id") == TODAY) & (F.col("snapshot_date") == F.lit(P.as_of))), P.as_of)}, "two")
+    g, raw = s.store(), stamp(s.raw("entities_campaign"))
+    sinks.snapshot_replace(g, "campaigns", raw.where((F.col("run_id") == TODAY) & (F.col("snapshot_date") == F.lit(P.as_of))), P.as_of, _next("snapshot"))
     return g.read("campaigns")
 
 
@@ -618,7 +619,11 @@ def _(s: Star) -> DataFrame:
 
 
 query("snk_publish_guard")(lambda s: sinks.publish_guard(publish.publish(s.truth(), P, ["date", "account_id"], performance.NETWORK), dt.date(1998, 6, 29)))
-query("snk_retention_expire")(lambda s: sinks.expire(stamp(s.raw("volume_campaign")), "date", P.as_of, P.reporting_window_days))
+@query("snk_retention_expire")
+def _(s: Star) -> DataFrame:
+    g = s.store()
+    sinks.expire(g, "landed", P.as_of, P.reporting_window_days, _next("expired"))
+    return g.read("landed")
 
 
 @query("snk_retention_drift")
@@ -630,6 +635,32 @@ def _(s: Star) -> DataFrame:
     return sinks.retention_drift(want, have)
 
 
-query("snk_loss_preview")(lambda s: sinks.loss_preview({t: (s.raw(t), "date") for t in ("volume_campaign", "conv_campaign", "lag_campaign")}, P.as_of - dt.timedelta(100)))
-query("snk_quarantine")(lambda s: sinks.quarantine(s.staged("volume_campaign"), F.col("ad_network_type").isNull(), _folder(s, "quarantine")))
-query("snk_restore_range")(lambda s: sinks.restore_range(_first_load(s), stamp(s.raw("volume_campaign")).where(F.col("run_id") == TODAY), "date", *WEEK))
+query("snk_loss_preview")(lambda s: sinks.loss_preview({t: (s.raw(t), "date") for t in staging.GRAINS if staging.day_column(t) == "date"}, P.as_of - dt.timedelta(100)))
+
+
+@query("snk_quarantine")
+def _(s: Star) -> DataFrame:
+    """Rows without a network, of the days that have some, move to a table of their own."""
+    g = s.store()
+    g.quarantine("staged", F.col("ad_network_type").isNull() & (F.dayofmonth("date") < 8), _next("quarantine"))
+    rows = lambda t: g.read(t).withColumn("is_aside", F.lit(t != "staged"))
+    return rows("staged").unionByName(rows("staged_quarantine"))
+
+
+@query("snk_restore_range")
+def _(s: Star) -> DataFrame:
+    """The second load takes the place of the first one's days; then a week is as it was."""
+    g = s.store()
+    second = stamp(s.raw("volume_campaign")).where(F.col("run_id") == TODAY)
+    g.replace_range("volume", second, dt.date(1990, 1, 1), P.as_of, _next("second"))
+    g.restore_range("volume", "one", *WEEK, _next("restored"))
+    return g.read("volume")
+
+
+@query("snk_inventory")
+def _(s: Star) -> DataFrame:
+    """After the week was replaced: which days of the table a change wrote, and which it took over."""
+    g, new = s.store(), stamp(s.raw("volume_campaign")).where((F.col("run_id") == TODAY) & F.col("date").between(*WEEK))
+    made = _next("week")
+    g.replace_range("volume", new, *WEEK, made)
+    return g.inventory(made).where("table_name = 'volume'").select("table_name", F.col("day").cast("date").alias("day"), (F.col("generation") == made).alias("is_new"))

@@ -6,6 +6,8 @@ again by later queries of the session on the same, unchanged input; a new sessio
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from cohortlake.operators import entities as ent
 from cohortlake.operators import lag, lookback, observation, performance, scores, staging
 from cohortlake.sources import observed
 from cohortlake.sources.adapter import landed, lines
-from cohortlake.sources.tables import fingerprint, written
+from cohortlake.sources.generations import Generations
+from cohortlake.sources.tables import fingerprint, shared_dir, written
 
 from .params import Params
 
@@ -24,6 +27,7 @@ class Star:
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params = Params()):
         self.spark, self.sf_dir, self.p = spark, sf_dir, p
         self._made: dict[tuple, DataFrame] = {}
+        self._store: Generations | None = None
 
     @staticmethod
     def of(spark: SparkSession, sf_dir: str, p: Params) -> Star:
@@ -52,6 +56,17 @@ class Star:
     def staged(self, name: str, every_day: bool = False) -> DataFrame:
         return self.loaded(name, every_day).drop("loaded_at")
 
+    def store(self) -> Generations:
+        """Stored tables by day: `volume` and `campaigns` as the first load left them, all loads as `landed`, and a `staged` one."""
+        if self._store is None:
+            g = Generations(self.spark, f"{shared_dir(self.spark)}/store-{uuid.uuid4().hex}")
+            first = lambda t: self.raw(t).drop("loaded_at").where("run_id = 'load-1'")
+            days = {"volume": "date", "landed": "date", "staged": "date", "campaigns": "snapshot_date"}
+            g.commit({"volume": first("volume_campaign"), "landed": self.raw("volume_campaign").drop("loaded_at"), "staged": self.staged("volume_campaign"), "campaigns": first("entities_campaign")}, "one", days)
+            self._store = g
+        self._store.point("one")
+        return self._store
+
     @property
     def days(self) -> DataFrame:
         return self.table(("days",), lambda: ent.complete_days(self.staged("entities_customer", True)))

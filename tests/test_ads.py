@@ -10,7 +10,6 @@ import __spark_entry__ as entry
 from cohortlake.functions.columns import action_id, currency, null_safe_join, ratio
 from cohortlake.operators import checks, entities, lag, ledger, lookback, observation, parity, performance, sinks, staging, text
 from cohortlake.plans.params import Params
-from cohortlake.sources.generations import Generations
 from pyspark.sql import functions as F
 
 SF = "/root/testdata/sf0.001"
@@ -139,24 +138,6 @@ def test_observation_resolution_in_order(spark):
     assert got == [("measured", None), ("carried", None), ("unavailable", "gap exceeded"), ("unavailable", "seed only"), ("unavailable", "first snapshot unknown"), ("unavailable", "before first snapshot"), ("unavailable", lag.CAPPED), ("unavailable", "gap exceeded")]
 
 
-def test_generations_swap_whole(spark, tmp_path):
-    g = Generations(spark, f"file://{tmp_path}/set")
-    assert g.current() is None
-    g.commit({"a": spark.range(3), "b": spark.range(2)}, "one")
-    old = g.read("a")
-    g.commit({"a": spark.range(5), "b": spark.range(4)}, "two")
-    assert (g.current(), g.read("a").count(), g.read("b").count(), old.count(), g.read("a", "one").count()) == ("two", 5, 4, 3, 3)
-
-
-def test_range_replace_refuses_stray_rows_and_empties_days(spark):
-    t = spark.createDataFrame([(D(2024, 1, d), "old") for d in range(1, 6)], "date date, v string")
-    new = spark.createDataFrame([(D(2024, 1, 2), "new")], "date date, v string")
-    got = {(r.date.day, r.v) for r in sinks.range_replace(t, new, "date", D(2024, 1, 2), D(2024, 1, 4)).collect()}
-    assert got == {(1, "old"), (2, "new"), (5, "old")}
-    with pytest.raises(ValueError):
-        sinks.range_replace(t, new, "date", D(2024, 1, 3), D(2024, 1, 4))
-
-
 def test_decision_fails_on_hard_or_unsure_checks(spark):
     row = lambda p: spark.createDataFrame([(p, "0", "0", None)], "passed boolean, observed string, expected string, detail string")
     say = lambda **r: checks.run_decision(checks.collected({k: row(v) for k, v in r.items()})).first()
