@@ -158,9 +158,6 @@ class Codec:
 
     def learn(self, words: set[str]) -> None:
         """Encode words that aren't remembered yet."""
-        if len(self.ids) > WORDS_KEPT:
-            self.ids.clear()
-            self.shown.clear()
         words = list(words)
         texts = ["".join([self.letters[b] for b in w.encode("utf-8", "surrogatepass")]) for w in words]
         found = [self.guess(t) for t in texts]
@@ -205,13 +202,13 @@ class Codec:
     def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """For each text its ids as little-endian unsigned 32-bit integers, and the decoded text in UTF-8."""
         split = [self.parts(t) for t in texts]
+        if len(self.ids) > WORDS_KEPT:  # before asking what is known, so that all of this block is known after it
+            self.ids.clear()
+            self.shown.clear()
         fresh = {w for ps in split for p in ps if isinstance(p, list) for w in p}
         fresh.difference_update(self.ids)
         if fresh:
-            before = len(self.ids)
             self.learn(fresh)
-            if len(self.ids) < before:  # emptied: what this block needs comes back
-                self.learn({w for ps in split for p in ps if isinstance(p, list) for w in p} - fresh)
         out = []
         for ps in split:
             if len(ps) == 1:

@@ -12,6 +12,8 @@ buckets connect are compared in blocks, exactly, and only links that unite compo
 
 from __future__ import annotations
 
+import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .components import components, looked_up
 from .storage import small_batches, written
-from .textcore import buffers, groups, lowered, mix, powers, ragged, rolled, spans, word_hashes
+from .textcore import buffers, groups, lowered, mix, normal, powers, ragged, rolled, spans, word_hashes
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 PERMUTATIONS, ROWS = 64, 4
@@ -40,25 +42,34 @@ def _whole(h: np.ndarray, first: np.ndarray, base: int) -> np.ndarray:
     return mix((c[first[1:]] - c[first[:-1]]) * powers(pow(base, -1, 1 << 64), len(h) + 1)[first[:-1]] + n.astype(np.uint64))
 
 
-def shingles(buf: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """All shingle hashes text by text, n+1 offsets into them, and two hashes of each word sequence.
+def digests(buf: np.ndarray, offsets: np.ndarray) -> list[bytes]:
+    """A cryptographic digest of each text's word sequence in lower case."""
+    buf = lowered(buf)
+    starts, ends, first = spans(buf, offsets)
+    text, a, e = normal(buf, starts, ends)
+    view = memoryview(text)
+    return [hashlib.blake2b(view[a[i] : e[j - 1]] if j > i else b"", digest_size=16).digest() for i, j in zip(first[:-1], first[1:])]
+
+
+def shingles(buf: np.ndarray, offsets: np.ndarray, size: int = SHINGLE, key: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """All shingle hashes text by text, and n+1 offsets into them.
 
     A text with fewer than `size` words has its whole sequence as its only shingle; without words none.
     """
     buf = lowered(buf)
     starts, ends, first = spans(buf, offsets)
-    h = word_hashes(buf, starts, ends)
+    h = word_hashes(buf, starts, ends, key)
     words = np.diff(first)
     counts = np.where(words >= size, words - size + 1, (words > 0).astype(np.int64))
     edge = np.concatenate([[0], np.cumsum(counts)])
-    one, two = _whole(h, first, _A), _whole(mix(h), first, _B)
+    one = _whole(h, first, _A)
     out = np.empty(int(edge[-1]), np.uint64)
     long = words >= size
     rolling = rolled(h, size, _A)
     out[ragged(edge[:-1][long], counts[long])] = rolling[ragged(first[:-1][long], counts[long])]
     short = (words > 0) & ~long
     out[edge[:-1][short]] = mix(one[short] + np.uint64(size))
-    return out, edge, one, two
+    return out, edge
 
 
 def _keyed(h: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, int]:
@@ -85,7 +96,8 @@ def signatures(docs: DataFrame, id: str, text: str) -> DataFrame:
         for b in batches:
             buf, offsets = buffers(b.column(1))
             for i, j in groups(offsets):
-                h, edge, one, two = shingles(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                part, own = buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
+                h, edge = shingles(part, own)
                 n, full = j - i, np.flatnonzero(np.diff(edge) > 0)
                 values = np.zeros((n, 2 * PERMUTATIONS), np.uint64)
                 if len(full):
@@ -99,10 +111,8 @@ def signatures(docs: DataFrame, id: str, text: str) -> DataFrame:
                 for k in range(ROWS):
                     bands = mix(bands * np.uint64(_B) + mixed[:, k::ROWS])
                 bands = mix(bands + np.arange(bands.shape[1], dtype=np.uint64) * np.uint64(_A)).view(np.int64)
-                digest = np.stack([one, two], 1).reshape(n, 2)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(i, n), pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), n, [None, pa.py_buffer(np.ascontiguousarray(digest))]).cast(pa.binary()),
-                     pa.array(distinct_counts(h, edge)),
+                    [b.column(0).slice(i, n), pa.array(digests(part, own), pa.binary()), pa.array(distinct_counts(h, edge)),
                      pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * bands.shape[1]), pa.array(bands.reshape(-1))),
                     ],
                     names=["id", "digest", "n", "bands"],
@@ -112,14 +122,18 @@ def signatures(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are similar enough. `texts` has id and text."""
+    """The pairs (a, b) whose full shingle sets are similar enough. `texts` has id and text.
+
+    Shingles are hashed with a key drawn for this call, so no text can be made up whose shingles collide.
+    """
+    key = secrets.randbits(63)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             (x, ox), (y, oy) = buffers(batch.column(2)), buffers(batch.column(3))
             for i, j in groups(ox + oy):
-                kx, shift = _keyed(*shingles(x[ox[i] : ox[j]], ox[i : j + 1] - ox[i])[:2])
-                ky, _ = _keyed(*shingles(y[oy[i] : oy[j]], oy[i : j + 1] - oy[i])[:2])
+                kx, shift = _keyed(*shingles(x[ox[i] : ox[j]], ox[i : j + 1] - ox[i], key=key))
+                ky, _ = _keyed(*shingles(y[oy[i] : oy[j]], oy[i : j + 1] - oy[i], key=key))
                 both = np.concatenate([kx, ky])
                 both.sort()
                 common = both[1:][both[1:] == both[:-1]]
@@ -134,13 +148,14 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def token_sets(nodes: DataFrame) -> DataFrame:
-    """The distinct shingles of each node, packed. `nodes` has node, comp, cluster, block, blocks, text."""
+    """The distinct shingles of each node, packed. `nodes` has node, comp, cluster, block, blocks, text. Hashes are keyed as in `verified`."""
+    key = secrets.randbits(63)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             buf, offsets = buffers(b.column(5))
             for i, j in groups(offsets):
-                h, edge, _, _ = shingles(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                h, edge = shingles(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], key=key)
                 sets = [np.unique(h[edge[k] : edge[k + 1]]).tobytes() for k in range(j - i)]
                 yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in b.columns[:5]), pa.array(sets, pa.binary())], names=["node", "comp", "cluster", "block", "blocks", "tokens"])
 

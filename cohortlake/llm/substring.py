@@ -8,7 +8,7 @@ its representative is chosen at different places.
    sends the cells it has seen, once each, marked if seen twice; segments of the sketch are merged in
    parallel. A window's count is estimated by its representative's cells, never too low.
 2. Exact pass. Windows estimated as repeated go on, once per block of texts and window, to be grouped
-   by a 96-bit hash of all their words. They are dealt out by representative, so neighbouring windows
+   by a cryptographic digest of all their words, 96 bits of it. They are dealt out by representative, so neighbouring windows
    travel together. Real repeats are told back to their documents as ranges.
 
 Only a bitmap of the cells counted twice or more is broadcast; its size is the parameter `cells` and
@@ -18,6 +18,7 @@ through to the exact pass, no fewer repeated ones, so the result is the same at
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
 from .storage import small_batches
-from .textcore import buffers, groups, mix, ragged, rolled, spans, word_hashes
+from .textcore import buffers, groups, mix, normal, ragged, rolled, spans, word_hashes
 
 WINDOW = 35
 #: Words in a representative.
@@ -38,16 +38,27 @@ DEPTH = 2
 SEGMENT = 1 << 22
 #: Words handled at once; positions among them and a hash's leading bits share 64 bits.
 PIECE, PLACE_BITS = 1 << 21, 22
-_A, _B, _G = 0x9E6C63D0876A9A47 | 1, 0xC2B2AE3D27D4EB4F, np.uint64(0xA0761D6478BD642F)
+_A, _G = 0x9E6C63D0876A9A47 | 1, np.uint64(0xA0761D6478BD642F)
+
+
+def window_starts(first: np.ndarray, width: int) -> np.ndarray:
+    """Positions (word indexes) at which a window lies within one text."""
+    return ragged(first[:-1], np.maximum(np.diff(first) - width + 1, 0))
 
 
-def window_hashes(h: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions (word indexes) at which a window lies within one text, and two hashes of each."""
-    one = rolled(h, width, _A)
-    counts = np.maximum(np.diff(first) - width + 1, 0)
-    at = ragged(first[:-1], counts)
-    two = rolled(mix(h ^ _G), width, _B)
-    return at, one[at], two[at]
+class Words:
+    """A piece of texts, word by word, from which windows are named by a digest of their bytes."""
+
+    def __init__(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray):
+        self.buf, self.starts, self.ends = buf, starts, ends
+
+    def digests(self, at: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two parts, of 64 and 32 bits, of a cryptographic digest of each window: equal digests are equal word sequences."""
+        text, a, e = normal(self.buf, self.starts, self.ends)
+        view = memoryview(text)
+        raw = b"".join([hashlib.blake2b(view[x:y], digest_size=12).digest() for x, y in zip(a[at].tolist(), e[at + width - 1].tolist())])
+        both = np.frombuffer(raw, "<u4").reshape(-1, 3)
+        return both[:, 0].astype(np.uint64) | both[:, 1].astype(np.uint64) << np.uint64(32), both[:, 2].copy()
 
 
 def representatives(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,8 +84,8 @@ def _cells(x: np.ndarray, cells: int, depth: int) -> Iterator[np.ndarray]:
         yield ((mix(x + np.uint64((2 * r + 1) * int(_G) % (1 << 64))) & np.uint64(per - 1)) + np.uint64(r * per)).astype(np.int64)
 
 
-def _texts(batch: pa.RecordBatch, column: int, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
-    """Pieces of work: first row, word hashes, first words of its texts, and the place of the piece in its text.
+def _texts(batch: pa.RecordBatch, column: int, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int, Words]]:
+    """Pieces of work: first row, word hashes, first words of its texts, the place of the piece in its text, and its words.
 
     A text of more than PIECE words comes in pieces that overlap by a window less a word.
     """
@@ -84,13 +95,16 @@ def _texts(batch: pa.RecordBatch, column: int, width: int) -> Iterator[tuple[int
         starts, ends, first = spans(part, offs)
         h = word_hashes(part, starts, ends)
         if len(h) <= PIECE:
-            yield i, h, first, 0
+            yield i, h, first, 0, Words(part, starts, ends)
             continue
         for k in range(j - i):
             own = h[first[k] : first[k + 1]]
             for a in range(0, max(1, len(own) - width + 1), PIECE - width):
                 piece = own[a : a + PIECE - 1]
-                yield i + k, piece, np.array([0, len(piece)]), a
+                if not len(piece):
+                    continue
+                s, e = (x[first[k] + a : first[k] + a + len(piece)] for x in (starts, ends))
+                yield i + k, piece, np.array([0, len(piece)]), a, Words(part[s[0] : e[-1]], s - s[0], e - s[0])
 
 
 def sketch(docs: DataFrame, text: str, width: int, cells: int, depth: int) -> np.ndarray:
@@ -125,8 +139,8 @@ def sketch(docs: DataFrame, text: str, width: int, cells: int, depth: int) -> np
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, n = [], 0
         for b in batches:
-            for _, h, first, a in _texts(b, 0, width):
-                at = ragged(first[:-1], np.maximum(np.diff(first) - width + 1, 0))
+            for _, h, first, _, _ in _texts(b, 0, width):
+                at = window_starts(first, width)
                 x, place = representatives(h, width)
                 if len(at):
                     # A text's places ascend; one place serves neighbouring windows.
@@ -226,17 +240,18 @@ def repeated_ranges(docs: DataFrame, text: str = "text", width: int = WINDOW, ce
         bits = marks.value
         asked = Asked()
         for b in batches:
-            for i, h, first, moved in _texts(b, 2, width):
-                at, one, two = window_hashes(h, first, width)
+            for i, h, first, moved, words in _texts(b, 2, width):
+                at = window_starts(first, width)
                 if not len(at):
                     continue
                 x = representatives(h, width)[0][at]
                 keep = np.ones(len(at), bool)
                 for cell in _cells(x, cells, depth):
                     keep &= (bits[cell >> 3] >> (7 - (cell & 7)).astype(np.uint8)) & np.uint8(1) > 0
-                at, one, two, x = at[keep], one[keep], two[keep], x[keep]
+                at, x = at[keep], x[keep]
                 if not len(at):
                     continue
+                one, two = words.digests(at, width)
                 order = np.lexsort((at, two, one))
                 same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
                 lead, many = np.ones(len(at), bool), np.zeros(len(at), bool)
@@ -249,7 +264,7 @@ def repeated_ranges(docs: DataFrame, text: str = "text", width: int = WINDOW, ce
                 group[order] = np.cumsum(np.concatenate([[True], ~same])) - 1
                 leaders = np.empty(int(lead.sum()), np.int64)
                 leaders[group[lead]] = np.flatnonzero(lead)
-                again = asked.often(one[leaders], two[leaders].astype(np.uint32))[group]
+                again = asked.often(one[leaders], two[leaders])[group]
                 many |= again
                 lead &= ~again
                 rows: dict[str, list] = {k: [] for k in ("bucket", "one", "two", "many", "at", "docs", "base", "known", "start", "end")}

@@ -1,8 +1,8 @@
 """Vectorised handling of words inside tasks: one Arrow column of texts in, numpy arrays out.
 
-Words are maximal runs of bytes other than 0x20 and 0x09-0x0D. A word's hash is a polynomial of its
-bytes modulo 2**64, taken from prefix sums over the whole buffer and then mixed, so that no Python
-object is made per word.
+Words are maximal runs of bytes other than 0x20 and 0x09-0x0D. A word's hash is the sum of its bytes,
+each mixed with its place in the word, taken from prefix sums over the whole buffer and mixed again, so
+that no Python object is made per word. Where equality must be sure, digests of the words' bytes decide.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ import pyarrow as pa
 
 BLOCK = 1 << 18
 _M = np.uint64(0x9E3779B97F4A7C15)
-_MI = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _POW: dict[int, np.ndarray] = {}
 
 
@@ -89,25 +88,43 @@ def lowered(buf: np.ndarray) -> np.ndarray:
     return buf + ((buf - np.uint8(65)) < 26).astype(np.uint8) * np.uint8(32)
 
 
-def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, key: int = 0) -> np.ndarray:
+    """A hash of each word's bytes. With a `key` that nobody knows no words can be made up that collide."""
     out = np.empty(len(starts), np.uint64)
     i, n = 0, len(starts)
+    own = np.uint64((key * int(_M) + 0xD6E8FEB86659FD93) % (1 << 64))
     while i < n:
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + BLOCK, "right")))
         a, b = starts[i], ends[j - 1]
-        x = buf[a:b].astype(np.uint64)
+        s, e = starts[i:j] - a, ends[i:j] - a
+        # Distance from the start of the word that a byte belongs to; separators go with the word before.
+        x = np.arange(b - a, dtype=np.uint64) - np.repeat(s, np.diff(np.append(s, b - a))).astype(np.uint64)
+        x <<= np.uint64(8)
+        x |= buf[a:b]
         x += np.uint64(1)
-        x *= powers(int(_M), len(x))
+        x *= _M
+        x += own
+        x = mix(x)
         c = np.empty(len(x) + 1, np.uint64)
         c[0] = 0
         np.cumsum(x, out=c[1:])
-        s = starts[i:j] - a
-        out[i:j] = (c[ends[i:j] - a] - c[s]) * powers(int(_MI), len(x))[s]
+        out[i:j] = c[e] - c[s]
         i = j
-    out += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    out += (ends - starts).astype(np.uint64) * _M
     return mix(out)
 
 
+def normal(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words with one space between them (none where texts meet), and where each starts and ends there."""
+    sep = (buf == 32) | ((buf - np.uint8(9)) < 5)
+    keep = ~sep
+    after = ends[ends < len(buf)]
+    keep[after] = True
+    place = np.cumsum(keep)
+    out = np.where(sep, np.uint8(32), buf)[keep]
+    return out, place[starts] - 1, place[ends - 1]
+
+
 def rolled(h: np.ndarray, width: int, base: int) -> np.ndarray:
     """For each i up to len(h)-width a hash of h[i:i+width], in their order."""
     n = len(h) - width + 1

@@ -1,8 +1,11 @@
 """The ten operators against brute force, round trips or held-out labels, with awkward rows."""
 
+import hashlib
+import json
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 from cohortlake.llm import ann, bpe, decontaminate, html_extract, language, minhash, quality, sharding, substring, url_filter
 from cohortlake.llm.components import components
 from cohortlake.llm.queries import fold, vocabulary
+from cohortlake.llm.textcore import normal, spans, word_hashes
 
 DATA = "/root/testdata/sf0.001"
 AWKWARD = [
@@ -94,12 +98,42 @@ def test_pieces_of_a_long_text_overlap(monkeypatch):
     text = " ".join(f"t{k}" for k in range(1000))
     batch = pa.RecordBatch.from_arrays([pa.array([text, "a b c"])], names=["text"])
     starts = []
-    for row, h, first, moved in substring._texts(batch, 0, 35):
-        at, _, _ = substring.window_hashes(h, first, 35)
+    for row, _, first, moved, words in substring._texts(batch, 0, 35):
+        at = substring.window_starts(first, 35)
         starts += [(row, moved + int(k)) for k in at]
+        for k, one, two in zip(at, *words.digests(at, 35)):
+            want = hashlib.blake2b(" ".join(text.split()[moved + k : moved + k + 35]).encode(), digest_size=12).digest()
+            assert int(one).to_bytes(8, "little") + int(two).to_bytes(4, "little") == want
     assert starts == [(0, k) for k in range(966)]
 
 
+def thue_morse(bits: int) -> tuple[str, str]:
+    """A word over two letters and its complement: the same value of any polynomial modulo 2**64, from 2**11 letters on."""
+    word = "".join("ab"[bin(k).count("1") & 1] for k in range(1 << bits))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_made_to_collide_are_told_apart(spark):
+    a, b = thue_morse(11)
+    one, two = (np.frombuffer(x.encode(), np.uint8) for x in (a, b))
+    h = [int(word_hashes(x, np.array([0]), np.array([2048]), key)[0]) for x in (one, two) for key in (0, 1)]
+    assert len(set(h)) == 4
+    around = lambda x: " ".join([*(f"w{k}" for k in range(17)), x, *(f"v{k}" for k in range(17))])
+    rows = [(1, a), (2, b), (3, around(a)), (4, around(b)), (5, around(a)), (6, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 4, 5: 3, 6: 1}
+    assert {r.doc_id: r.n_removed for r in substring.dedup_substrings(docs, cells=1 << 20).collect()} == {1: 0, 2: 0, 3: 35, 4: 0, 5: 35, 6: 0}
+
+
+def test_normal_puts_one_space_between_words():
+    texts = ["  a\t\nbc ", "", "d", "e  f", " \n"]
+    buf, offsets = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *map(len, texts)])
+    starts, ends, first = spans(buf, offsets)
+    out, x, y = normal(buf, starts, ends)
+    got = [bytes(out[x[i] : y[j - 1]]) if j > i else b"" for i, j in zip(first[:-1], first[1:])]
+    assert got == [b"a bc", b"", b"d", b"e f", b""]
+
+
 def test_minhash_matches_brute_force(docs, empty):
     low = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
     sets = defaultdict(list)
@@ -481,3 +515,18 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, DATA)
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     assert 0 < out.count() <= kept.count() and out.count() == out.select("doc_id").distinct().count()
+
+
+@pytest.mark.parametrize("order", [(0, 1, 0), (1, 0, 1)])
+def test_bpe_of_long_texts_with_many_words(monkeypatch, order):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(bpe, "WORDS_KEPT", 3000)
+    texts = [" ".join([*(f"q{k}" for k in range(5000)), "common", "words"]), " ".join(["words", *(f"z{k}x" for k in range(5500)), "common"])]
+    codec = bpe.Codec(json.loads(Path(vocabulary()).read_text()))
+    library = Tokenizer.from_file(vocabulary())
+    for k in order:
+        ids, shown = codec.encode([texts[k]])[0]
+        want = library.encode(texts[k], add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want and shown.decode() == library.decode(want, skip_special_tokens=False)
+    assert len(codec.ids) < 3000 + 11_000
