@@ -140,4 +140,4 @@ QUERIES = {
     "op12_filter_audit": op12_filter_audit,
     "op13_token_counts": op13_token_counts,
 }
-ORACLE = {"op6_url_filters": OP6_SQL, "op11_centroid_clustering": sql.centroid_clustering(), "op12_filter_audit": sql.FILTER_AUDIT}
+ORACLE = {"op5_substring_dedup": sql.SUBSTRING_DEDUP, "op6_url_filters": OP6_SQL, "op7_minhash_near_dedup": sql.NEAR_DUPLICATES, "op11_centroid_clustering": sql.centroid_clustering(), "op12_filter_audit": sql.FILTER_AUDIT}

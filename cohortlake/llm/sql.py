@@ -60,3 +60,38 @@ c0 AS MATERIALIZED (
   sha256(array_to_string(c.v, ',')) AS centroid_sha256
 FROM a{rounds} a JOIN vecs v USING (r) JOIN c{rounds} c USING (k)"""
     return ",\n".join(out) + "\n" + last
+
+SUBSTRING_DEDUP = r"""
+WITH texts AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), places AS (
+  SELECT r, unnest(list_transform(range(1, len(w) - 33), lambda i: array_to_string(w[i : i + 34], ' '))) AS x, unnest(range(1, len(w) - 33)) AS i FROM texts WHERE len(w) >= 35
+), windows AS (
+  SELECT r, i, count(*) OVER (PARTITION BY x) AS n FROM places
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 35)) AS i FROM windows WHERE n > 1
+), words AS (
+  SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM texts
+), left_over AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS kept FROM words ANTI JOIN gone USING (r, i) GROUP BY r
+)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(len(t.w) - coalesce(l.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(l.kept, '')) AS kept_sha256 FROM texts t LEFT JOIN left_over l USING (r)
+"""
+
+NEAR_DUPLICATES = r"""
+WITH RECURSIVE texts AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS MATERIALIZED (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' '))) END AS s FROM texts
+), named AS MATERIALIZED (
+  SELECT min(doc_id) AS node, list_sort(s) AS s FROM sets GROUP BY 2
+), items AS MATERIALIZED (SELECT node, len(s) AS n, unnest(s) AS x FROM named),
+met AS (SELECT a.node AS a, b.node AS b, a.n AS na, b.n AS nb, count(*) AS met FROM items a JOIN items b ON a.x = b.x AND a.node < b.node GROUP BY ALL),
+links AS MATERIALIZED (SELECT a, b FROM met WHERE 100 * met >= 75 * (na + nb - met) UNION ALL SELECT b, a FROM met WHERE 100 * met >= 75 * (na + nb - met)),
+reach(node, other) AS (SELECT node, node FROM named UNION SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other),
+lowest AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, CASE WHEN len(s.s) = 0 THEN s.doc_id ELSE l.component_id END AS component_id,
+  len(s.s) = 0 OR s.doc_id = l.component_id AS kept
+FROM sets s JOIN named n ON list_sort(s.s) = n.s JOIN lowest l USING (node)
+"""
