@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from cohortlake.plans.params import Params
+from cohortlake.sources.generations import Generations
 
 _GROUP, _ASSET = ["account_id", "campaign_id", "asset_group_id"], ["account_id", "campaign_id", "asset_group_id", "asset_id", "field_type"]
 _ACTION = ["conversion_action"]
@@ -47,6 +50,13 @@ def safe_datetime(text: Column) -> Column:
     return F.try_to_timestamp(F.nullif(text, F.lit(""))).cast("timestamp_ntz")
 
 
+def finished(rows: DataFrame, table: str) -> DataFrame:
+    """Latest landed rows in their staged form."""
+    if table == "entities_campaign":
+        rows = rows.withColumns({c: safe_datetime(F.col(c)) for c in ("start_date_time", "end_date_time")})
+    return rows.withColumnRenamed("run_id", "source_run_id").drop("query_hash")
+
+
 def stage(raw: DataFrame, table: str, p: Params, every_day: bool = False) -> DataFrame:
     """The staged form of a landed table: its window (facts) or the run's day (snapshots), latest rows, `source_run_id`."""
     day = day_column(table)
@@ -56,29 +66,51 @@ def stage(raw: DataFrame, table: str, p: Params, every_day: bool = False) -> Dat
         kept = raw.where(F.col(day).between(p.window_start, p.as_of))
     else:
         kept = raw.where(F.col(day) == F.lit(p.as_of))
-    out = latest_rows(kept, [day, *GRAINS[table]])
-    if table == "entities_campaign":
-        out = out.withColumns({c: safe_datetime(F.col(c)) for c in ("start_date_time", "end_date_time")})
-    return out.withColumnRenamed("run_id", "source_run_id").drop("query_hash")
+    return finished(latest_rows(kept, [day, *GRAINS[table]]), table)
+
+
+def merge_load(store: Generations, table: str, load: DataFrame, start: dt.date, end: dt.date, generation: str) -> list[str]:
+    """Bring one load's days from start to end into the stored latest rows of a table; the days that were written.
+
+    Only those days are read, ranked and replaced; others are neither scanned nor written. The latest of
+    the stored latest rows and the load's is the latest of all loads, so after any sequence of loads, in
+    any order and repeated or not, the table holds what ranking all landed rows at once would give.
+    """
+    day = day_column(table)
+    inside = F.col(day).between(F.lit(start), F.lit(end))
+    have = store.read(table)
+    both = have.where(inside).unionByName(load.where(inside).select(have.columns))
+    return store.replace_range(table, latest_rows(both, [day, *GRAINS[table]]), start, end, generation)
 
 
 # Reading landed values ----------------------------------------------------------------------------
 
 
+#: Columns whose type their name's ending doesn't tell.
+WHOLE = ("impressions", "clicks", "asset_count")
+REAL = ("conversions", "conversions_value", "all_conversions", "all_conversions_value")
+DAYS = ("date", "snapshot_date")
+
+
+def type_of(column: str) -> str:
+    """The type of a landed column by its name: counts and ids are whole numbers, conversions are not, the rest is text."""
+    if column in REAL:
+        return "double"
+    if column in DAYS:
+        return "date"
+    if column == "loaded_at":
+        return "timestamp"
+    if column not in ("video_id", "run_id") and (column in WHOLE or column.endswith(("_id", "_micros", "_pixels", "_days"))):
+        return "bigint"
+    return "string"
+
+
 def coerce(df: DataFrame) -> DataFrame:
     """Give text columns the type that their name calls for; blank text is null. Ids and counts that are no numbers raise."""
-    whole = ("impressions", "clicks", "conversion_action_id", "asset_count")
-    real = ("conversions", "conversions_value", "all_conversions", "all_conversions_value")
 
     def typed(c: str) -> Column:
-        x = F.nullif(F.col(c), F.lit(""))
-        if c in real:
-            return x.cast("double")
-        if c in ("date", "snapshot_date"):
-            return F.substring(x, 1, 10).cast("date")
-        if c not in ("video_id", "run_id") and (c in whole or c.endswith(("_id", "_micros", "_pixels", "_days"))):
-            return x.cast("bigint")
-        return x
+        x, kind = F.nullif(F.col(c), F.lit("")), type_of(c)
+        return F.substring(x, 1, 10).cast("date") if kind == "date" else x.cast(kind) if kind in ("double", "bigint") else x
 
     return df.select([typed(c).alias(c) if t == "string" else (F.coalesce(c, F.array().cast(t)).alias(c) if t.startswith("array") else F.col(c)) for c, t in df.dtypes])
 

@@ -88,12 +88,21 @@ for _t in GRAINS:
 put("src_coerce", "SELECT * EXCLUDE (loaded_at) REPLACE (NULLIF(video_id, '') AS video_id) FROM raw_entities_asset", ["raw_entities_asset"])
 put("src_date_bounds", "SELECT min(date) AS first_day, max(date) AS last_day, count(*) FILTER (WHERE date IS NULL) AS without_day, count(*) AS n FROM raw_volume_campaign", ["raw_volume_campaign"])
 put("src_window_clip", f"SELECT * EXCLUDE (loaded_at) FROM raw_volume_asset_group WHERE date >= {START}", ["raw_volume_asset_group"])
-put("src_channel_filter", "SELECT account_id, campaign_id, snapshot_date, run_id, status FROM raw_entities_campaign WHERE advertising_channel_type = 'PERFORMANCE_MAX'", ["raw_entities_campaign"])
+put("src_channel_filter", "SELECT account_id, campaign_id, snapshot_date, run_id, status FROM report_campaigns WHERE advertising_channel_type = 'PERFORMANCE_MAX'", ["report_campaigns"])
+put("src_channel_window", f"SELECT * EXCLUDE (loaded_at) FROM report_volume WHERE advertising_channel_type = 'PERFORMANCE_MAX' AND date BETWEEN {START} AND {AS_OF}", ["report_volume"])
+put("src_landed_json", "SELECT * EXCLUDE (loaded_at) FROM raw_volume_campaign", ["raw_volume_campaign"])
+_PLANTED = "(SELECT * FROM raw_volume_campaign r WHERE day(date) = 1 AND campaign_id % 10 = 3) p"
+_REASONS = "(VALUES ('no JSON object'), ('unknown field surprise'), ('bad value in clicks'), ('no date')) AS v(reason)"
+put("src_landed_outcomes", f"SELECT 'taken' AS outcome, count(*) AS n FROM raw_volume_campaign UNION ALL SELECT reason, count(*) FROM {_PLANTED}, {_REASONS} GROUP BY reason", ["raw_volume_campaign"])
+put("src_landed_broken", f"SELECT reason, CASE WHEN reason <> 'no JSON object' THEN campaign_id END AS campaign_id FROM {_PLANTED}, {_REASONS}", ["raw_volume_campaign"])
 for _t in GRAINS:
     _fact = day_column(_t) == "date"
     SQL[f"ld_{_t}"] = staged(_t, f"date BETWEEN {START} AND {AS_OF}" if _fact else "TRUE")
     SQL[f"stg_{_t}"] = f"SELECT * EXCLUDE (loaded_at) FROM ld_{_t}"
     put(f"stg_{_t}", f"SELECT * FROM stg_{_t}" + ("" if _fact else f" WHERE snapshot_date = {AS_OF}"), [f"stg_{_t}"], array_columns(_t))
+    if _t in ("volume_campaign", "conv_asset", "lag_campaign", "entities_asset_group"):
+        put(f"stg_loads_{_t}", f"SELECT * FROM stg_{_t} WHERE {day_column(_t)} BETWEEN {START} AND {AS_OF}", [f"stg_{_t}"], array_columns(_t))
+put("src_landed_json_staged", "SELECT * FROM stg_volume_campaign", ["stg_volume_campaign"])
 put("src_swap_bounds", f"SELECT {START} AS start_day, greatest((SELECT max(date) FROM raw_volume_campaign), (SELECT max(date) FROM stg_volume_campaign)) AS end_day", ["raw_volume_campaign", "stg_volume_campaign"])
 put("src_lineage", "SELECT 'run-x' AS run_id, sha256('SELECT 1') AS query_hash, * FROM stg_conv_campaign", ["stg_conv_campaign"])
 put("src_snapshot_stamp", f"SELECT * FROM stg_entities_customer WHERE snapshot_date = {AS_OF}", ["stg_entities_customer"])
@@ -101,6 +110,7 @@ put("src_snapshot_stamp", f"SELECT * FROM stg_entities_customer WHERE snapshot_d
 # Entities: a removal is dated by the first complete day after the entity's last one before it
 SQL["days"] = "SELECT DISTINCT account_id, snapshot_date FROM stg_entities_customer"
 SQL["next_days"] = "SELECT account_id, snapshot_date, lead(snapshot_date) OVER (PARTITION BY account_id ORDER BY snapshot_date) AS next_day FROM days"
+put("src_snapshot_day_scan", "SELECT * EXCLUDE (loaded_at) FROM report_volume WHERE advertising_channel_type = 'SEARCH' AND date IN (SELECT snapshot_date FROM days WHERE account_id = 3)", ["report_volume", "days"])
 put("ent_complete_days", "SELECT * FROM days", ["days"])
 SQL["bounds"] = f"""SELECT account_id, campaign_id, min(snapshot_date) AS first_seen_date, max(snapshot_date) AS last_seen_date
 FROM stg_entities_campaign JOIN days USING (account_id, snapshot_date) WHERE snapshot_date <= {AS_OF} GROUP BY ALL"""

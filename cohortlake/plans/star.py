@@ -27,7 +27,7 @@ class Star:
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params = Params()):
         self.spark, self.sf_dir, self.p = spark, sf_dir, p
         self._made: dict[tuple, DataFrame] = {}
-        self._store: Generations | None = None
+        self._others: dict[str, object] = {}
 
     @staticmethod
     def of(spark: SparkSession, sf_dir: str, p: Params) -> Star:
@@ -36,12 +36,18 @@ class Star:
             _STARS[key] = Star(spark, sf_dir, p)
         return _STARS[key]
 
-    def table(self, key: tuple, make) -> DataFrame:
+    def table(self, key: tuple, make, partition: str | None = None) -> DataFrame:
         """Written on first use."""
         if key not in self._made:
-            self._made[key] = written(make(), "-".join(map(str, key)))
+            self._made[key] = written(make(), "-".join(map(str, key)), partition)
         return self._made[key]
 
+    def kept(self, name: str, make):
+        """Anything else that is made once for each star."""
+        if name not in self._others:
+            self._others[name] = make()
+        return self._others[name]
+
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
@@ -49,6 +55,11 @@ class Star:
         made = self.table(("lines",), lambda: lines(self.spark, self.sf_dir))
         return self.table(("raw", name), lambda: landed(self.spark, self.sf_dir, f"raw_{name}", made))
 
+    def report(self, name: str) -> DataFrame:
+        """What the source reports, kept by day."""
+        day = "date" if name == "volume" else "snapshot_date"
+        return self.table(("report", name), lambda: landed(self.spark, self.sf_dir, f"report_{name}", self.table(("lines",), lambda: lines(self.spark, self.sf_dir))), day)
+
     def loaded(self, name: str, every_day: bool = False) -> DataFrame:
         """Staged rows with their load time."""
         return self.table(("stg", name, every_day), lambda: staging.stage(self.raw(name), name, self.p, every_day))
@@ -58,14 +69,16 @@ class Star:
 
     def store(self) -> Generations:
         """Stored tables by day: `volume` and `campaigns` as the first load left them, all loads as `landed`, and a `staged` one."""
-        if self._store is None:
+        def make() -> Generations:
             g = Generations(self.spark, f"{shared_dir(self.spark)}/store-{uuid.uuid4().hex}")
             first = lambda t: self.raw(t).drop("loaded_at").where("run_id = 'load-1'")
             days = {"volume": "date", "landed": "date", "staged": "date", "campaigns": "snapshot_date"}
             g.commit({"volume": first("volume_campaign"), "landed": self.raw("volume_campaign").drop("loaded_at"), "staged": self.staged("volume_campaign"), "campaigns": first("entities_campaign")}, "one", days)
-            self._store = g
-        self._store.point("one")
-        return self._store
+            return g
+
+        store = self.kept("store", make)
+        store.point("one")
+        return store
 
     @property
     def days(self) -> DataFrame:

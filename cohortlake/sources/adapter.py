@@ -91,6 +91,9 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey
             src = f"(SELECT *, {bucket} AS conversion_lag_bucket FROM lines) t"
             k = [*k, "conversion_lag_bucket"]
             out[f"raw_lag_{grain}"] = _loads(f"SELECT {', '.join(k)}, {CONVERSIONS} FROM {src} GROUP BY {', '.join(k)}", [*k, *metrics_c], "conversions", "campaign_id")
+    # What the source reports: other channels too, which are not landed.
+    channel = "CASE WHEN campaign_id % 7 = 3 THEN 'SEARCH' WHEN campaign_id % 7 = 5 THEN 'DISPLAY' ELSE 'PERFORMANCE_MAX' END AS advertising_channel_type"
+    out["report_volume"] = f"SELECT *, {channel} FROM raw_volume_campaign r"
     days = ", ".join(f"({b})" for b in BACK)
     snap = f"(SELECT {AS_OF} - CAST(back AS INT) AS snapshot_date, back FROM (VALUES {days}) AS v(back)) s"
 
@@ -119,6 +122,9 @@ UNION ALL SELECT 'load-2', TIMESTAMP '1998-07-01 02:00:00', 'q', {names} FROM ({
          "url_expansion_opt_out": "CASE campaign_id % 3 WHEN 1 THEN TRUE WHEN 2 THEN FALSE END"},
         campaigns, "campaign_id % 10 = 7 AND back = 0",
     )
+    out["report_campaigns"] = """SELECT * FROM raw_entities_campaign r
+UNION ALL SELECT run_id, loaded_at, query_hash, account_id, campaign_id + 100, snapshot_date, campaign_name, status, primary_status, primary_status_reasons, CASE WHEN campaign_id % 2 = 0 THEN 'SEARCH' END, positive_geo_target_type,
+  negative_geo_target_type, start_date_time, end_date_time, budget_id, budget_amount_micros, budget_explicitly_shared, budget_period, url_expansion_opt_out FROM raw_entities_campaign t WHERE campaign_id % 3 = 0"""
     entity(
         "asset_group", ["account_id", "campaign_id", "asset_group_id"], "asset_group_id",
         {"asset_group_name": "'Group ' || CAST(asset_group_id AS STRING)", "status": "CASE WHEN asset_group_id % 9 = 0 THEN 'PAUSED' ELSE 'ENABLED' END", "primary_status": "'ELIGIBLE'",

@@ -20,15 +20,21 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
-    """Write `df` as a Parquet table in the shared folder and read it back; that cuts the lineage too."""
+def written(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
+    """Write `df` as a Parquet table in the shared folder, by the days of `partition` if given, and read it back; that cuts the lineage too."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if partition is None:
+        df.write.parquet(path)
+    else:
+        df.hint("rebalance", partition).write.partitionBy(partition).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def fingerprint(spark: SparkSession, folder: str) -> tuple:
-    """Names, sizes and times of the files of a folder: tables made from it hold as long as these stay."""
+    """Names, sizes and times of all files under a folder: tables made from it hold as long as these stay."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
+    found, files = [], path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    while files.hasNext():
+        f = files.next()
+        found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))

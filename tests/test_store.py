@@ -1,12 +1,14 @@
 """Stored tables: generations of day folders, increments of staging, landed files and declared tables."""
 
 import datetime as dt
+import random
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlake.operators import sinks
+from cohortlake.operators import sinks, staging
+from cohortlake.sources import landing
 from cohortlake.sources.generations import Generations
 
 D = dt.date
@@ -134,3 +136,74 @@ def test_rows_without_a_day_stay_apart(spark, tmp_path):
 def test_filters_on_the_day_open_few_folders(store):
     text = plan(store.read("t").where((F.col("date") == D(2024, 1, 3)) & (F.col("k") > 1)))
     assert "PartitionFilters: [isnotnull(date#" in text and "PushedFilters: [IsNotNull(k), GreaterThan(k,1)]" in text
+
+
+# Landed reports
+
+
+def report(spark, tmp_path):
+    rows = [(d, k, ch, k * d.day) for d in DAYS for k, ch in enumerate(["PERFORMANCE_MAX", "SEARCH", None])]
+    spark.createDataFrame(rows, "date date, campaign_id long, advertising_channel_type string, clicks long").write.partitionBy("date").parquet(f"{tmp_path}/report")
+    return spark.read.parquet(f"{tmp_path}/report")
+
+
+def test_days_and_channel_reach_the_files(spark, tmp_path):
+    df = landing.in_window(report(spark, tmp_path), "date", DAYS[1], DAYS[2], "PERFORMANCE_MAX")
+    text = plan(df.select("campaign_id"))
+    assert "PartitionFilters: [isnotnull(date#" in text and "EqualTo(advertising_channel_type,PERFORMANCE_MAX)" in text
+    assert "ReadSchema: struct<campaign_id:bigint,advertising_channel_type:string>" in text
+    assert {(r.date, r.campaign_id) for r in df.collect()} == {(DAYS[1], 0), (DAYS[2], 0)}
+
+
+def test_days_of_another_table_choose_folders_at_run_time(spark, tmp_path):
+    days = spark.createDataFrame([(DAYS[3], 1), (DAYS[5], 2), (DAYS[5], 1), (None, 1)], "snapshot_date date, account_id long")
+    days.write.parquet(f"{tmp_path}/days")
+    named = spark.read.parquet(f"{tmp_path}/days").where("account_id = 1").select("snapshot_date")
+    df = landing.on_days(report(spark, tmp_path), named, "date")
+    assert "dynamicpruning" in plan(df)
+    rows = df.collect()
+    assert {r.date for r in rows} == {DAYS[3], DAYS[5]} and len(rows) == 6
+    scanned = df._jdf.queryExecution().executedPlan()
+    assert "dynamicpruningexpression" in scanned.toString()
+
+
+def test_lines_are_taken_or_refused_with_their_text(spark, tmp_path):
+    good = '{"run_id":"r","loaded_at":"2024-01-01 00:00:00","account_id":"5","campaign_id":7,"date":"2024-01-02T00:00:00","clicks":"","conversions":"0.5"}'
+    lines = [good, good.replace("7", "7.5"), good[:-3], good.replace('"run_id"', '"run"'), good.replace('"clicks":""', '"clicks":"12x"'), good.replace("2024-01-02T00:00:00", "soon"), good.replace('"date":"2024-01-02T00:00:00",', ""), "[1]", "null", "", "   ", '"x"', good]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    taken, refused = landing.read_landed(spark, f"{tmp_path}/in", "volume_campaign")
+    rows = taken.collect()
+    assert [(r.account_id, r.campaign_id, r.date, r.clicks, r.conversions, r.campaign_name) for r in rows] == [(5, 7, D(2024, 1, 2), None, 0.5, None)] * 2
+    assert list(taken.columns) == list(landing.family_columns("volume_campaign"))
+    said = sorted((r.reason, r.value) for r in refused.collect())
+    assert [x for x, _ in said] == ["bad value in campaign_id", "bad value in clicks", "bad value in date", *["no JSON object"] * 4, "no date", "unknown field run"]
+    assert {v for _, v in said} == set(lines) - {good, "", "   "} and len(said) == 9
+    counted = {r.outcome: r.n for r in landing.reconciled(spark, f"{tmp_path}/in", "volume_campaign").collect()}
+    assert sum(counted.values()) == 11 and counted["taken"] == 2 and counted["no JSON object"] == 4
+
+
+# Increments of staging
+
+
+def test_loads_in_any_order_give_the_full_ranking(spark, tmp_path):
+    rnd = random.Random(7)
+    at = lambda h: dt.datetime(2024, 2, 1, h)
+    rows = [(f"r{load}", at(load), "q", a, 1, None, rnd.choice(DAYS), rnd.randint(0, 9)) for load in range(4) for a in range(6) for _ in range(4)]
+    raw = spark.createDataFrame(rows, "run_id string, loaded_at timestamp, query_hash string, account_id long, campaign_id long, ad_network_type string, date date, clicks long")
+    full = staging.latest_rows(raw, ["date", *staging.GRAINS["volume_campaign"]])
+    g = Generations(spark, f"file://{tmp_path}/set")
+    g.commit({"volume_campaign": raw.limit(0)}, "none", {"volume_campaign": "date"})
+    for k, (load, a, b) in enumerate([(2, 0, 5), (0, 0, 5), (3, 3, 5), (1, 0, 5), (3, 0, 2), (2, 1, 4)]):
+        staging.merge_load(g, "volume_campaign", raw.where(F.col("run_id") == f"r{load}"), DAYS[a], DAYS[b], f"g{k}")
+    assert sorted(map(repr, g.read("volume_campaign").select(full.columns).collect())) == sorted(map(repr, full.collect()))
+
+
+def test_a_load_touches_its_window_only(spark, tmp_path):
+    raw = spark.createDataFrame([(f"r{load}", dt.datetime(2024, 2, load), "q", 1, 1, None, d, load) for load in (1, 2) for d in DAYS], "run_id string, loaded_at timestamp, query_hash string, account_id long, campaign_id long, ad_network_type string, date date, clicks long")
+    g = Generations(spark, f"file://{tmp_path}/set")
+    g.commit({"volume_campaign": raw.where("run_id = 'r1'")}, "one", {"volume_campaign": "date"})
+    before = files(tmp_path)
+    written = staging.merge_load(g, "volume_campaign", raw.where("run_id = 'r2'"), DAYS[2], DAYS[3], "two")
+    assert sorted(written) == [str(DAYS[2]), str(DAYS[3])] and len(files(tmp_path).keys() - before.keys()) == 2
+    assert {(r.date, r.clicks) for r in g.read("volume_campaign").collect()} == {(d, 2 if d in DAYS[2:4] else 1) for d in DAYS}
