@@ -670,18 +670,22 @@ WINDOW w AS (PARTITION BY l.account_id, l.campaign_id, l.date, l.ad_network_type
 y AS (SELECT *, conversions * (target / total) AS scaled FROM x)
 SELECT {_LK}, conversion_lag_bucket, CASE WHEN target IS NULL OR total <= 0 THEN conversions WHEN n = last_n THEN target - coalesce(sum(scaled) OVER (PARTITION BY {_LK} ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) ELSE scaled END AS conversions, greatest(all_conversions, conversions) AS all_conversions FROM y""".replace("WITH x AS", "WITH_X").replace("WITH_X", "SELECT * FROM (WITH x AS") + ") final", ["stg_lag_campaign", "stg_conv_campaign"])
 # Another engine's expressions have no look-around, so values already redacted are told by their first character.
-_FIELD = "(?:\"[^\"]*\"|''[^'']*''|[^\\s<\"'']\\S*)"
+_KEY = "-----{}[A-Z\\s]*PRIVATE\\s+KEY-----"
+_BEGIN, _END = _KEY.format("BEGIN"), _KEY.format("END")
+_NAMES = "|".join(["password", "passwd", "secret", "token", "credential", *(f"{a}[_-]?{b}" for a, b in (("api", "key"), ("private", "key"), ("client", "secret"), ("refresh", "token"), ("developer", "token")))])
+_VALUE = "(?:\"[^\"]*\"|''[^'']*''|[^\\s<\"'']\\S*)"
+_PIECE = "[-_0-9A-Za-z]{20,}"
 REDACT = [
-    (r"-----BEGIN[\sA-Z]*PRIVATE\s+KEY-----.*?-----END[\sA-Z]*PRIVATE\s+KEY-----", "<redacted:private_key_block>", "gs"), (r"-----BEGIN[\sA-Z]*PRIVATE\s+KEY-----.*", "<redacted:truncated_private_key_block>", "gs"),
-    (r"(refresh[_-]token\s*[:=]\s*)(\S+)", r"\1<redacted:refresh_token>", "gi"), (r"(developer[_-]token\s*[:=]\s*)(\S+)", r"\1<redacted:developer_token>", "gi"), (r"(client[_-]secret\s*[:=]\s*)(\S+)", r"\1<redacted:client_secret>", "gi"),
-    (r"\b((?:[A-Za-z0-9]+[_.\-])*(?:password|passwd|token|secret|api[_-]?key|apikey|credential|private[_-]?key|client[_-]?secret|refresh[_-]?token|developer[_-]?token))\b([\"'']?\s*(?::=|=|:)\s*)" + _FIELD, r"\1\2<redacted:credential_assignment>", "gi"),
-    (r"\b(bearer\s+)[A-Za-z0-9._~+/=\-]{16,}", r"\1<redacted:bearer_token>", "gi"), (r"\b([A-Za-z][0-9A-Za-z+.\-]*)://[^/\s:@<]+:(?:[^\s@]+@)+", r"\1://<redacted:url_credentials>", "g"),
+    (f"{_BEGIN}.*?{_END}", "<redacted:private_key_block>", "gs"), (f"{_BEGIN}.*?(\\n?)$", r"<redacted:truncated_private_key_block>\1", "gs"),
+    *((f"({a}[_-]{b}\\s*[=:]\\s*)\\S+", rf"\1<redacted:{a}_{b}>", "gi") for a, b in (("refresh", "token"), ("developer", "token"), ("client", "secret"))),
+    (rf"\b((?:[0-9a-z]+[-._])*(?:{_NAMES})\b[\"'']?\s*(?::=|:|=)\s*){_VALUE}", r"\1<redacted:credential_assignment>", "gi"),
+    (r"\b(bearer\s+)[-+/=~._0-9a-z]{16,}", r"\1<redacted:bearer_token>", "gi"), (r"\b([A-Za-z][-+.0-9A-Za-z]*://)[^:@/<\s]+:(?:[^@\s]+@)+", r"\1<redacted:url_credentials>@", "g"),
 ]
 CONTENT = [
-    ("private_key_block", r"-----BEGIN[\sA-Z]*PRIVATE[\s]+KEY-----", "g"), ("base64_pem_header", r"LS0tLS1CRUdJ[A-Za-z0-9+/]", "g"), ("google_api_key", r"AIza[0-9A-Za-z_\-]{30,}", "g"), ("gemini_api_key", r"AQ\.[A-Za-z0-9][0-9A-Za-z_\-]{25,}", "g"),
+    ("private_key_block", _BEGIN, "g"), ("base64_pem_header", r"LS0tLS1CRUdJ[A-Za-z0-9+/]", "g"), ("google_api_key", r"AIza[0-9A-Za-z_\-]{30,}", "g"), ("gemini_api_key", r"AQ\.[A-Za-z0-9][0-9A-Za-z_\-]{25,}", "g"),
     ("github_token", r"gh[pousr]_[0-9A-Za-z]{30,}", "g"), ("slack_token", r"xox[baprs]-[0-9A-Za-z-]{20,}", "g"), ("aws_access_key_id", r"AKIA[0-9A-Z]{16}", "g"), ("google_oauth_access_token", r"ya29\.[0-9A-Za-z_\-]{20,}", "g"),
     ("refresh_token", r"(^|[^A-Za-z0-9+/])1//[0-9A-Za-z_\-]{30,}", "g"), ("client_secret", r"GOCSPX-[0-9A-Za-z_\-]{20,}", "g"), ("service_account_private_key", r"\"private_key\"\s*:\s*\"-----BEGIN", "g"), ("stripe_api_key", r"\b[spr]k_(?:live|test)_[0-9A-Za-z]{16,}", "g"),
-    ("supabase_jwt_service_key", r"\beyJ[0-9A-Za-z_\-]{20,}\.eyJ[0-9A-Za-z_\-]{20,}\.[0-9A-Za-z_\-]{20,}", "g"), ("vercel_token", r"\bvercel[_-]?(?:api[_-]?|access[_-]?)?token[''\"]?\s*[:=]\s*[''\"]?[0-9A-Za-z]{20,}", "gi"), ("stripe_webhook_signing_secret", r"\bwhsec_[0-9A-Za-z]{16,}", "g"), ("openrouter_api_key", r"\bsk-or-v1-[0-9A-Za-z]{32,}", "g"),
+    ("supabase_jwt_service_key", rf"\beyJ{_PIECE}\.eyJ{_PIECE}\.{_PIECE}", "g"), ("vercel_token", r"\bvercel[_-]?(?:(?:access|api)[_-]?)?token[\"'']?\s*[=:]\s*[\"'']?[0-9a-z]{20,}", "gi"), ("stripe_webhook_signing_secret", r"\bwhsec_[0-9A-Za-z]{16,}", "g"), ("openrouter_api_key", r"\bsk-or-v1-[0-9A-Za-z]{32,}", "g"),
 ]
 
 

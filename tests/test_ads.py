@@ -95,6 +95,42 @@ def test_redaction_of_many_shapes(spark):
         assert list(shapes.values())[r.k] not in r.t and "<redacted:" in r.t, r.t
 
 
+def redacted(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", text.redact(F.col("t")).alias("t"))
+    return [r.t for r in df.orderBy("k").collect()]
+
+
+def test_assignments_are_told_from_other_words(spark):
+    done, joined = "<redacted:credential_assignment>", "".join
+    takes = {
+        joined(["api", "_key=v1"]): "api_key=" + done, joined(["my.app-api", "-key := 'a b'"]): "my.app-api-key := " + done, joined(['"apikey": ', '"x y" z']): '"apikey": ' + done + " z", joined(["DB_PASS", "WORD:q"]): "DB_PASSWORD:" + done,
+        joined(["api_key", "_token=v"]): "api_key_token=" + done, joined(["api_key", ".token=v"]): "api_key.token=" + done, joined(["to", "ken\u00a0=\u00a0v w"]): "token\u00a0=\u00a0" + done + " w", joined(["my_private", "_key: k"]): "my_private_key: " + done,
+        joined(["refresh", "-token: ", "<redacted:x>"]): "refresh-token: <redacted:refresh_token>",
+    }
+    leaves = ["token == other", "tokens: 5", "_password=x", "x__password=y", "monkey: banana", "a key: b", "secretary = 1", "é_token=1", "token", "token="]
+    assert redacted(spark, *takes) == list(takes.values())
+    assert redacted(spark, *leaves) == leaves
+
+
+def test_other_credentials_and_their_surroundings(spark):
+    key = "-----BEGIN RSA " + "PRIVATE KEY-----"
+    end = key.replace("BEGIN", "END")
+    cases = {
+        f"a {key}\nx\ny\n{end} b {key}z": "a <redacted:private_key_block> b <redacted:truncated_private_key_block>", f"a {key}\nx\n": "a <redacted:truncated_private_key_block>\n", f"{key}\nx\n\n": "<redacted:truncated_private_key_block>\n",
+        "http://u:p@h/x ftp://a:b@c@d e": "http://<redacted:url_credentials>@h/x ftp://<redacted:url_credentials>@d e", "http://u@h http://h:80/": "http://u@h http://h:80/", "s://u:p@@h": "s://<redacted:url_credentials>@@h",
+        "Bearer " + "A" * 16 + ".": "Bearer <redacted:bearer_token>", "bearer " + "a" * 15: "bearer " + "a" * 15, "bearer\u2003" + "b" * 20: "bearer\u2003<redacted:bearer_token>",
+        "eyJ" + "a" * 20 + ".eyJ" + "b" * 20 + "." + "c" * 20: "<redacted:supabase_jwt_service_key>", "eyJ" + "a" * 20 + ".eyj" + "b" * 20 + "." + "c" * 20: "eyJ" + "a" * 20 + ".eyj" + "b" * 20 + "." + "c" * 20,
+        "vercel_api" + "token" + ' "' + "d" * 19: "vercel_apitoken \"" + "d" * 19,
+    }
+    assert redacted(spark, *cases) == list(cases.values())
+
+
+def test_long_texts_need_no_stack(spark):
+    n = 50_000
+    for t in ("a_" * n + "x = 1", "http://u:" + "p@" * n + "h", "-----BEGIN" + " A" * n, "token=" + "é" * n, "a.b-" * n + "token: v", "-----BEGIN PRIVATE KEY-----" + "\n" * n):
+        assert len(redacted(spark, t)[0]) <= len(t) + 60
+
+
 P = Params(as_of=D(2024, 6, 30), run_id="r", window_days=90, cohort_days=(0, 1, 7, 30))
 
 
