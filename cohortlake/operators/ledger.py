@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -75,7 +76,55 @@ def first_snapshot_rows(marks: DataFrame, runs: DataFrame, new: DataFrame) -> Da
     return fresh.groupBy("account_id").agg(F.min_by(F.struct("run_id", "first_snapshot_date"), F.struct("set_at", "run_id")).alias("m")).select("account_id", "m.*")
 
 
-def checkpoint_hash(queries: DataFrame, version: str) -> DataFrame:
-    """A key over all query texts, in the order of their names, and the version of the interface."""
-    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("name", "text"))), lambda q: F.concat(q["name"], F.lit("="), F.sha2(q["text"], 256))), ";")
-    return queries.agg(F.sha2(F.concat(texts, F.lit("|" + version)), 256).alias("query_hash"))
+# A hash tree over texts: entries by the first digits of their digest, and ranges of those by fewer, up to one.
+#: Digits of a range's name at each level, from the entries up. A parent has 256 ranges at most.
+LEVELS = (6, 4, 2, 0)
+
+
+def hash_entries(texts: DataFrame) -> DataFrame:
+    """One row for each distinct (`name`, `text`): its `entry` digest, its `name`, and how often it is there as `n`. A null text is an empty one."""
+    digest = F.sha2(F.concat(F.col("name"), F.lit("="), F.sha2(F.coalesce("text", F.lit("")), 256)), 256)
+    return texts.select("name", digest.alias("entry")).groupBy("entry", "name").agg(F.count("*").alias("n"))
+
+
+def hash_tree(entries: DataFrame) -> DataFrame:
+    """(`level`, `range`, `digest`) of all ranges; the one of level 0 stands for everything.
+
+    Entries are spread evenly by their digests, whatever their names are, so a task of the first level holds
+    a sixteen-millionth of them at once, and of the others 256 digests. Texts never meet: only digests move.
+    """
+    now = entries.select(F.col("entry").alias("range"), F.concat("entry", F.lit(":"), F.col("n").cast("string")).alias("item"))
+    parts = []
+    for level in LEVELS:
+        joined = F.array_join(F.array_sort(F.collect_list("item")), ";")
+        made = now.groupBy(F.substring("range", 1, level).alias("range")).agg(F.sha2(joined, 256).alias("digest"))
+        parts.append(made.select(F.lit(level).alias("level"), "range", "digest"))
+        now = made.select("range", F.concat("range", F.lit(":"), "digest").alias("item"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def checkpoint_hash(texts: DataFrame, version: str) -> DataFrame:
+    """A key over all texts with their names, in no order, and the version of the interface. No texts at all have a key too."""
+    top = hash_tree(hash_entries(texts)).where("level = 0").agg(F.max("digest").alias("digest"))
+    return top.select(F.sha2(F.concat(F.coalesce("digest", F.lit("")), F.lit("|" + version)), 256).alias("query_hash"))
+
+
+def changed_texts(old: DataFrame, new: DataFrame, old_tree: DataFrame, new_tree: DataFrame) -> DataFrame:
+    """(`name`, `change`) of texts that two states don't share: added, removed or changed.
+
+    Goes down both trees and only into ranges whose digests differ; entries are looked up in those of the
+    lowest level, and nothing else is compared. `old` and `new` are entries.
+    """
+    open_ = None
+    for level in reversed(LEVELS):
+        at = lambda t: t.where(F.col("level") == level).select("range", "digest")
+        a, b = at(old_tree), at(new_tree).withColumnRenamed("digest", "other")
+        both = a.join(b, "range", "full").where(~F.col("digest").eqNullSafe(F.col("other"))).select("range")
+        if open_ is not None:
+            both = both.withColumn("up", F.substring("range", 1, len_up)).join(open_.select(F.col("range").alias("up")), "up", "left_semi").select("range")
+        open_, len_up = both, level
+    within = lambda e: e.withColumn("range", F.substring("entry", 1, LEVELS[0])).join(open_, "range", "left_semi")
+    gone, come = within(old).select("entry", "name", "n", F.lit(-1).alias("side")), within(new).select("entry", "name", "n", F.lit(1).alias("side"))
+    moved = gone.unionByName(come).groupBy("name", "entry").agg(F.sum(F.col("n") * F.col("side")).alias("more")).where("more <> 0")
+    sides = moved.groupBy("name").agg(F.min("more").alias("lost"), F.max("more").alias("found"))
+    return sides.select("name", F.when(F.col("lost") > 0, "added").when(F.col("found") < 0, "removed").otherwise("changed").alias("change"))

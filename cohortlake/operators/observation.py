@@ -210,6 +210,25 @@ def baseline(diary: DataFrame) -> DataFrame:
     return diary.agg(F.count("*").alias("n"), F.count_distinct("observed_date").alias("days"), F.max("observed_date").alias("last_day"))
 
 
-def window_clamp(dates: DataFrame, depth: int, fetched_from) -> DataFrame:
-    """Each account's window of click days: no earlier than what was fetched, so that unfetched days can't turn into zeros."""
-    return dates.select("account_id", "observed_date", F.greatest(F.date_sub("observed_date", depth), F.lit(fetched_from)).alias("window_start"), F.date_sub("observed_date", 1).alias("window_end"))
+def depth_by_account(dates: DataFrame, actions: DataFrame, p: Params) -> DataFrame:
+    """`depth_days` of each account by its own actions' longest window: the rule of `depth_contract`, account by account."""
+    top, r, m = max(p.cohort_days, default=0), p.reporting_window_days, p.restatement_margin_days
+    longest = actions.groupBy("account_id").agg(F.max("click_through_lookback_window_days").alias("longest"))
+    days = F.greatest(F.lit(top + 1).cast("bigint"), F.coalesce(F.col("longest") + 1, F.lit(top + 1).cast("bigint"))) + m
+    return dates.join(longest, "account_id", "left").select(*dates.columns, F.least(F.lit(r).cast("bigint"), days).cast("int").alias("depth_days"))
+
+
+def window_clamp(dates: DataFrame, fetched_from) -> DataFrame:
+    """Each account's window of click days: as deep as its `depth_days`, but no earlier than what was fetched, so that unfetched days can't turn into zeros."""
+    start = F.greatest(F.date_sub("observed_date", F.col("depth_days")), F.lit(fetched_from))
+    return dates.select("account_id", "observed_date", "depth_days", start.alias("window_start"), F.date_sub("observed_date", 1).alias("window_end"))
+
+
+def window_scan(facts: DataFrame, windows: DataFrame, fetched_from, day: str = "date") -> DataFrame:
+    """Facts of every account's own window, with its observed date and the lag, in one pass over the days that any account needs.
+
+    Windows become (account, day) rows, and facts are looked up there by equality: on facts kept by day only
+    the folders of those days are opened, which are known at run time. An account without a window has no rows.
+    """
+    days = windows.where("window_start <= window_end").select("account_id", "observed_date", F.explode(F.sequence("window_start", "window_end")).alias(day)).where(F.col(day) >= F.lit(fetched_from))
+    return facts.join(days, ["account_id", day]).withColumn("lag", F.datediff("observed_date", day))

@@ -62,6 +62,16 @@ def asof_else_earliest(facts: DataFrame, view: DataFrame, keys: list[str], colum
     return met.select(*facts.columns, *[F.col(f"_s.{to}").alias(to) for to in columns.values()])
 
 
+def asof_in_place(facts: DataFrame, view: DataFrame, keys: list[str], columns: dict[str, str], day: str = "date") -> DataFrame:
+    """The same for tables clustered by the keys: neither side moves. A key's snapshots, one a day at most, come as one ordered array."""
+    one = F.struct(F.col("snapshot_date").alias("day"), *[F.col(c).alias(f"s{k}") for k, c in enumerate(columns)])
+    marks = view.groupBy(*keys).agg(F.array_sort(F.collect_list(one)).alias("_marks"))
+    met = facts.join(marks.hint("merge"), keys, "left")
+    before = F.filter("_marks", lambda m: m["day"] <= F.col(day))
+    chosen = F.when(F.size(before) > 0, F.element_at(before, -1)).when(F.size("_marks") > 0, F.element_at("_marks", 1))
+    return met.withColumn("_s", chosen).select(*facts.columns, *[F.col(f"_s.s{k}").alias(to) for k, to in enumerate(columns.values())])
+
+
 def asof_by_day(facts: DataFrame, view: DataFrame, keys: list[str], columns: dict[str, str], day: str = "date") -> DataFrame:
     """The same for keys that many facts share: resolved once for each distinct (keys, day), then joined by equality."""
     wanted = facts.select(*keys, day).dropna().distinct()

@@ -343,8 +343,12 @@ put("obs_synthetic_zeros", "SELECT * FROM zeros", ["zeros"])
 put("obs_diary", "SELECT * FROM landed_today UNION ALL BY NAME SELECT * FROM zeros", ["zeros"])
 SQL["observed_dates"] = f"SELECT account_id, DATE '1998-07-01' - CASE WHEN time_zone = 'America/New_York' THEN 1 ELSE 0 END AS observed_date FROM view_customer WHERE snapshot_date = {AS_OF}"
 put("obs_observed_date", "SELECT * FROM observed_dates", ["observed_dates"])
-put("obs_window_clamp", f"SELECT account_id, observed_date, greatest(observed_date - 98, {START}) AS window_start, observed_date - 1 AS window_end FROM observed_dates", ["observed_dates"])
 SQL["latest_actions"] = "SELECT a.* FROM stg_entities_conversion_action a JOIN (SELECT account_id, max(snapshot_date) AS d FROM raw_entities_customer GROUP BY ALL) l ON l.account_id = a.account_id AND l.d = a.snapshot_date"
+SQL["own_windows"] = f"""SELECT account_id, observed_date, depth_days, greatest(observed_date - depth_days, {START}) AS window_start, observed_date - 1 AS window_end FROM (
+  SELECT d.account_id, d.observed_date, CAST(least(90, greatest(31, coalesce(max(a.click_through_lookback_window_days) + 1, 31)) + 7) AS INT) AS depth_days
+  FROM observed_dates d LEFT JOIN latest_actions a USING (account_id) GROUP BY d.account_id, d.observed_date) q"""
+put("obs_window_clamp", "SELECT * FROM own_windows", ["own_windows"])
+put("obs_window_scan", "SELECT r.account_id, campaign_id, date, ad_network_type, run_id, observed_date, observed_date - date AS lag, conversions FROM report_volume r JOIN own_windows w ON r.account_id = w.account_id AND date BETWEEN window_start AND window_end", ["report_volume", "own_windows"])
 put("obs_depth_contract", "SELECT max(click_through_lookback_window_days) AS longest_window_days, count(DISTINCT account_id) AS accounts, least(90, greatest(31, max(click_through_lookback_window_days) + 1) + 7) AS depth_days, 'action windows' AS depth_source FROM latest_actions", ["latest_actions"])
 put("obs_forfeited_actions", "SELECT account_id, conversion_action_id, w AS window_days, CASE WHEN w >= 90 THEN 'D90..D' || w END AS unmeasurable_rungs, 'D83..D' || w AS margin_rungs FROM (SELECT *, click_through_lookback_window_days AS w FROM latest_actions) t WHERE w > 83", ["latest_actions"])
 SQL["obs_bounds"] = f"SELECT account_id, max(observed_date) AS latest_observed_date FROM winners WHERE observed_date <= {AS_OF} GROUP BY ALL"
@@ -640,7 +644,16 @@ put("ops_checkpoint_reset", "SELECT account_id, chunk, count(*) AS n FROM points
 ORACLE["ops_first_snapshot"] = """WITH marks AS (SELECT user_id % 20 AS account_id, 'r' || user_id % 7 AS run_id, CAST(ts AS DATE) AS first_snapshot_date, event_id AS set_at, event_type, user_id FROM events)
 SELECT account_id, run_id, first_snapshot_date FROM marks WHERE event_type = 'signup' AND account_id NOT IN (SELECT account_id FROM marks WHERE event_type = 'purchase' AND user_id < 40 AND run_id IN (SELECT 'r' || user_id % 7 FROM events WHERE user_id % 7 < 2))
 QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY set_at, run_id) = 1"""
-ORACLE["ops_checkpoint_hash"] = "SELECT sha256(string_agg(n || '=' || sha256(t), ';' ORDER BY n, t) || '|v1') AS query_hash FROM (SELECT CAST(doc_id AS VARCHAR) AS n, coalesce(text, '') AS t FROM documents) q"
+_TREE = """WITH e AS (SELECT sha256(CAST(doc_id AS VARCHAR) || '=' || sha256(coalesce(text, ''))) AS entry, count(*) AS c FROM documents GROUP BY 1),
+a AS (SELECT substr(entry, 1, 6) AS r, sha256(string_agg(entry || ':' || c, ';' ORDER BY entry)) AS d FROM e GROUP BY 1),
+b AS (SELECT substr(r, 1, 4) AS q, sha256(string_agg(r || ':' || d, ';' ORDER BY r)) AS d FROM a GROUP BY 1),
+c AS (SELECT substr(q, 1, 2) AS p, sha256(string_agg(q || ':' || d, ';' ORDER BY q)) AS d FROM b GROUP BY 1),
+t AS (SELECT sha256(string_agg(p || ':' || d, ';' ORDER BY p)) AS d FROM c)
+"""
+ORACLE["ops_checkpoint_hash"] = _TREE + "SELECT sha256(d || '|v1') AS query_hash FROM t"
+ORACLE["ops_hash_ranges"] = _TREE + "SELECT 2 AS level, p AS range, d AS digest FROM c UNION ALL SELECT 0, '', d FROM t"
+ORACLE["ops_changed_texts"] = """SELECT CAST(doc_id AS VARCHAR) AS name, CASE WHEN doc_id % 101 = 1 THEN 'removed' ELSE 'changed' END AS change FROM documents WHERE doc_id % 101 = 1 OR doc_id % 97 = 0
+UNION ALL SELECT CAST(doc_id + 1000000000 AS VARCHAR), 'added' FROM documents WHERE doc_id % 89 = 5"""
 
 # Sinks
 _WEEK = f"date BETWEEN {AS_OF} - 20 AND {AS_OF} - 14"
@@ -651,6 +664,7 @@ put("snk_snapshot_replace", f"SELECT * EXCLUDE (loaded_at) FROM raw_entities_cam
 put("snk_inventory", f"SELECT 'volume' AS table_name, date AS day, bool_or({_WEEK}) AS is_new FROM vol WHERE (run_id = 'load-1' AND NOT ({_WEEK})) OR (run_id = 'load-2' AND {_WEEK}) GROUP BY date", ["vol"])
 put("snk_observation_append", tally("diary", "observed_date, run_id, account_id, grain, metric_basis", "conversions", "conversions_value"), ["diary"])
 put("snk_slice_export", f"SELECT * FROM selected WHERE observed_date = {AS_OF} - 1", ["selected"])
+ORACLE["snk_clustered_asof"] = ORACLE["prf_asof_join"]
 put("snk_table_layout", "SELECT * FROM stg_conv_campaign", ["stg_conv_campaign"])
 put("snk_publish_guard", f"SELECT {AS_OF} AS published_as_of, DATE '1998-06-29' AS run_as_of, TRUE AS is_older, FALSE AS may_publish FROM truth LIMIT 1", ["truth"])
 put("snk_retention_expire", f"SELECT * FROM vol WHERE date >= {AS_OF} - 91", ["vol"])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cohortlake.functions.columns import action_id, currency, flat
 from cohortlake.operators import entities as ent
 from cohortlake.operators import checks, lag, ledger, lookback, observation, parity, performance, publish, reports, scores, sinks, staging, text
-from cohortlake.sources import landing, observed, upstream
+from cohortlake.sources import declared, landing, observed, upstream
 from cohortlake.sources.generations import Generations
 from cohortlake.sources.tables import shared_dir
 
@@ -416,7 +416,13 @@ def _(s: Star) -> DataFrame:
 
 query("int_observation_cells")(lambda s: s.observation_cells)
 query("obs_baseline")(lambda s: observation.baseline(s.diary))
-query("obs_window_clamp")(lambda s: observation.window_clamp(observation.observed_dates(s.mart("customer"), "1998-07-01 03:00:00"), 98, P.window_start))
+def _windows(s: Star) -> DataFrame:
+    dates = observation.observed_dates(s.mart("customer"), "1998-07-01 03:00:00")
+    return observation.window_clamp(observation.depth_by_account(dates, _latest_actions(s), P), P.window_start)
+
+
+query("obs_window_clamp")(_windows)
+query("obs_window_scan")(lambda s: stamp(observation.window_scan(s.report("volume"), _windows(s), P.window_start)).select("account_id", "campaign_id", "date", "ad_network_type", "run_id", "observed_date", "lag", "conversions"))
 
 
 @query("bps_asset_group_count")
@@ -609,7 +615,28 @@ def _(s: Star) -> DataFrame:
     return ledger.first_snapshot_rows(mark(e.where("event_type = 'purchase' AND user_id < 40")), runs, mark(e.where("event_type = 'signup'")))
 
 
-query("ops_checkpoint_hash")(lambda s: ledger.checkpoint_hash(s.given("documents").select(F.col("doc_id").cast("string").alias("name"), F.coalesce("text", F.lit("")).alias("text")), "v1"))
+def _named(df: DataFrame) -> DataFrame:
+    return df.select(F.col("doc_id").cast("string").alias("name"), "text")
+
+
+query("ops_checkpoint_hash")(lambda s: ledger.checkpoint_hash(_named(s.given("documents")), "v1"))
+
+
+@query("ops_hash_ranges")
+def _(s: Star) -> DataFrame:
+    """The upper levels of the tree."""
+    return ledger.hash_tree(ledger.hash_entries(_named(s.given("documents")))).where("level <= 2")
+
+
+@query("ops_changed_texts")
+def _(s: Star) -> DataFrame:
+    """The documents against a state in which some have another text, some are gone and some are new; found by going down the trees."""
+    docs = s.given("documents").select("doc_id", "text")
+    later = docs.where("doc_id % 101 <> 1").withColumn("text", F.when(F.col("doc_id") % 97 == 0, F.concat(F.coalesce("text", F.lit("")), F.lit("!"))).otherwise(F.col("text")))
+    later = later.unionByName(docs.where("doc_id % 89 = 5").withColumn("doc_id", F.col("doc_id") + 10**9))
+    entries = [s.table(("entries", k), lambda d=d: ledger.hash_entries(_named(d))) for k, d in (("old", docs), ("new", later))]
+    trees = [s.table(("tree", k), lambda e=e: ledger.hash_tree(e)) for k, e in zip(("old", "new"), entries)]
+    return ledger.changed_texts(*entries, *trees)
 
 
 # Sinks. Each writes under the session's shared folder and gives what a reader then finds.
@@ -668,6 +695,22 @@ def _(s: Star) -> DataFrame:
     return s.spark.read.schema(df.schema).parquet(path)
 
 
+@query("snk_clustered_asof")
+def _(s: Star) -> DataFrame:
+    """Facts and snapshots in two declared tables of one clustering, empty at first; the as-of join moves neither."""
+    keys, frames = tuple(ent.KEYS["campaign"]), {"facts": s.staged("volume_campaign"), "view": s.view("campaign").select(*ent.KEYS["campaign"], "snapshot_date", "status")}
+    tables = {}
+    for kind, df in frames.items():
+        day = "date" if kind == "facts" else "snapshot_date"
+        name = f"{kind}_{uuid.uuid4().hex}"
+        layout = declared.Layout(dict(df.dtypes), keys, 8, (*keys, day))
+        if not declared.declare(s.spark, name, layout, _folder(s, name)).isEmpty():
+            raise ValueError(f"{name} is not empty")
+        tables[kind] = declared.fill(df, name, layout)
+    out = performance.asof_in_place(tables["facts"], tables["view"], list(keys), {"status": "status", "snapshot_date": "snapshot_date"})
+    return out.select("date", "account_id", "campaign_id", "ad_network_type", "status", "snapshot_date")
+
+
 @query("snk_publish_generation")
 def _(s: Star) -> DataFrame:
     g = Generations(s.spark, _folder(s, "published"))

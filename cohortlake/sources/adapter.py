@@ -166,7 +166,7 @@ UNION ALL SELECT run_id, loaded_at, query_hash, account_id, campaign_id + 100, s
     entity(
         "conversion_action", ["account_id", "conversion_action_id"], "conversion_action_id",
         {"conversion_action_name": "'Action ' || CAST(conversion_action_id AS STRING)", "category": "'PURCHASE'", "counting_type": "'ONE_PER_CLICK'", "status": "'ENABLED'",
-         "click_through_lookback_window_days": "CAST(CASE conversion_action_id WHEN 1 THEN 7 WHEN 2 THEN 28 WHEN 3 THEN CASE WHEN back >= 60 THEN 14 ELSE 30 END WHEN 4 THEN 45 ELSE 90 END AS BIGINT)",
+         "click_through_lookback_window_days": "CAST(CASE conversion_action_id WHEN 1 THEN 7 WHEN 2 THEN 28 WHEN 3 THEN CASE WHEN back >= 60 THEN 14 ELSE 30 END WHEN 4 THEN CASE WHEN account_id = 2 THEN 60 ELSE 45 END ELSE 90 END AS BIGINT)",
          "view_through_lookback_window_days": "CAST(1 AS BIGINT)", "include_in_conversions_metric": "CASE WHEN conversion_action_id = 4 THEN CAST(NULL AS BOOLEAN) ELSE conversion_action_id <= 2 END", "conversion_action_type": "'WEBPAGE'"},
         actions, "conversion_action_id = 5 AND back = 0",
     )

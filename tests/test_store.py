@@ -2,13 +2,15 @@
 
 import datetime as dt
 import random
+import uuid
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from cohortlake.operators import sinks, staging
-from cohortlake.sources import landing
+from cohortlake.operators import ledger, observation, performance, sinks, staging
+from cohortlake.plans.params import Params
+from cohortlake.sources import declared, landing
 from cohortlake.sources.generations import Generations
 
 D = dt.date
@@ -207,3 +209,70 @@ def test_a_load_touches_its_window_only(spark, tmp_path):
     written = staging.merge_load(g, "volume_campaign", raw.where("run_id = 'r2'"), DAYS[2], DAYS[3], "two")
     assert sorted(written) == [str(DAYS[2]), str(DAYS[3])] and len(files(tmp_path).keys() - before.keys()) == 2
     assert {(r.date, r.clicks) for r in g.read("volume_campaign").collect()} == {(d, 2 if d in DAYS[2:4] else 1) for d in DAYS}
+
+
+# Declared tables
+
+
+@pytest.fixture
+def clustered(spark, tmp_path):
+    made = []
+
+    def make(columns, rows, order=()):
+        name = f"t{uuid.uuid4().hex}"
+        layout = declared.Layout(columns, ("k",), 4, order)
+        empty = declared.declare(spark, name, layout, f"file://{tmp_path}/{name}")
+        assert dict(empty.dtypes) == columns and empty.count() == 0
+        made.append(name)
+        return declared.fill(spark.createDataFrame(rows, ", ".join(f"{c} {t}" for c, t in columns.items())), name, layout), name, layout
+
+    yield make
+    for name in made:
+        spark.sql(f"DROP TABLE `{name}`")
+
+
+def test_asof_of_clustered_tables_moves_nothing(spark, clustered):
+    rnd = random.Random(8)
+    facts, _, _ = clustered({"k": "bigint", "date": "date", "n": "int"}, [(rnd.choice([None, *range(9)]), rnd.choice(DAYS), n) for n in range(200)], ("k", "date"))
+    view, _, _ = clustered({"k": "bigint", "snapshot_date": "date", "v": "string"}, [(k, d, f"{k}{d}") for k in [None, *range(7)] for d in rnd.sample(DAYS, 2)], ("k", "snapshot_date"))
+    out = performance.asof_in_place(facts, view, ["k"], {"v": "value"})
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+    want = performance.asof_else_earliest(facts, view, ["k"], {"v": "value"})
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, want.collect())) and out.where("value IS NULL").count() > 0
+
+
+def test_a_table_of_another_layout_is_refused(spark, clustered):
+    df, name, layout = clustered({"k": "bigint", "v": "string"}, [(1, "a"), (2, "b"), (None, "c")])
+    assert df.count() == 3 and declared.fill(df.limit(1), name, layout).count() == 4
+    for other in (declared.Layout(layout.columns, ("k",), 8), declared.Layout(layout.columns, ("v",), 4), declared.Layout(layout.columns | {"v": "int"}, ("k",), 4), declared.Layout(layout.columns, ("k",), 4, ("v",))):
+        with pytest.raises(ValueError, match="laid out"):
+            declared.fill(df, name, other)
+
+
+# Trees of digests, windows of accounts
+
+
+def test_changed_texts_are_found_by_going_down(spark):
+    rows = [(f"n{k}", f"text {k}") for k in range(300)] + [("twice", "x"), ("twice", "x"), ("twice", "y"), ("none", None)]
+    later = [(n, t + "!" if n in ("n7", "n90") else t) for n, t in rows if n != "n33"] + [("new", "z"), ("twice", "x")]
+    old, new = (ledger.hash_entries(spark.createDataFrame(r, "name string, text string")) for r in (rows, later))
+    trees = [ledger.hash_tree(e).cache() for e in (old, new)]
+    got = {r.name: r.change for r in ledger.changed_texts(old, new, *trees).collect()}
+    assert got == {"n7": "changed", "n90": "changed", "n33": "removed", "new": "added", "twice": "added"}
+    assert ledger.changed_texts(old, old, trees[0], trees[0]).count() == 0
+    key = lambda r: ledger.checkpoint_hash(spark.createDataFrame(r, "name string, text string"), "v1").first()[0]
+    assert key(rows) == key(rows[::-1]) != key(later) and key(rows) != key(rows + rows[:1]) and key([]) is not None
+    assert trees[0].groupBy("level").count().where("level = 0").first()["count"] == 1
+
+
+def test_each_account_has_its_own_window(spark, tmp_path):
+    p = Params(as_of=D(2024, 6, 30), run_id="r", window_days=90, cohort_days=(0, 1, 7))
+    dates = spark.createDataFrame([(1, D(2024, 6, 30)), (2, D(2024, 7, 1)), (3, D(2024, 6, 30)), (4, D(2024, 6, 30))], "account_id long, observed_date date")
+    actions = spark.createDataFrame([(1, 3), (1, 10), (2, 200), (4, None)], "account_id long, click_through_lookback_window_days long")
+    windows = observation.window_clamp(observation.depth_by_account(dates, actions, p), D(2024, 6, 1))
+    assert {r.account_id: (r.depth_days, r.window_start, r.window_end.day) for r in windows.collect()} == {1: (18, D(2024, 6, 12), 29), 2: (90, D(2024, 6, 1), 30), 3: (15, D(2024, 6, 15), 29), 4: (15, D(2024, 6, 15), 29)}
+    spark.range(1, 6).selectExpr("id AS account_id", "explode(sequence(date'2024-05-20', date'2024-07-05')) AS date").write.partitionBy("date").parquet(f"{tmp_path}/facts")
+    windows.write.parquet(f"{tmp_path}/windows")
+    out = observation.window_scan(spark.read.parquet(f"{tmp_path}/facts"), spark.read.parquet(f"{tmp_path}/windows"), D(2024, 6, 1))
+    assert "dynamicpruning" in plan(out)
+    assert {r.account_id: (r.n, r.most) for r in out.groupBy("account_id").agg(F.count("*").alias("n"), F.max("lag").alias("most")).collect()} == {1: (18, 18), 2: (30, 30), 3: (15, 15), 4: (15, 15)}
