@@ -152,19 +152,6 @@ def secret_scan(docs: DataFrame, id: str = "doc_id", text: str = "text", terms:
     return lines.select("id", (F.col("n") + 1).alias("line"), F.explode(F.array_distinct(F.array_compact(F.array(*classes)))).alias("class"))
 
 
-def pseudonymous_id(id: Column, kind: str, seed: str) -> Column:
-    """A stable number below 10**15 in place of an id: the first eight bytes of a digest, never zero."""
-    digest = F.sha2(F.concat_ws(":", F.lit(seed), F.lit(kind), id.cast("string")), 256)
-    n = (F.conv(F.substring(digest, 1, 16), 16, 10).cast("decimal(20,0)") % F.lit(10**15).cast("decimal(20,0)")).cast("bigint")
-    return F.when(id.isNotNull(), F.when(n == 0, 1).otherwise(n))
-
-
-def pseudonymous_name(text: Column, kind: str, seed: str) -> Column:
-    """`<Kind> <digest>` in place of a name."""
-    digest = F.substring(F.sha2(F.concat_ws(":", F.lit(seed), F.lit(kind), text), 256), 1, 8)
-    return F.when(text.isNotNull(), F.concat(F.lit(kind.capitalize() + " "), digest))
-
-
 def perturbed(metric: Column, keys: list[Column], seed: int, spread: float = 0.15) -> Column:
     """The metric times a factor within 1 ± spread that depends on the row's keys only, so any task finds the same."""
     digest = F.sha2(F.concat_ws(":", F.lit(str(seed)), *[F.coalesce(k.cast("string"), F.lit("")) for k in keys]), 256)

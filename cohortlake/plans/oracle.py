@@ -239,9 +239,29 @@ SQL["windows"] = "SELECT *, 'CONVERSION_ACTION' AS metric_basis FROM chosen UNIO
 put("int_lookback_windows", "SELECT * FROM windows", ["windows"])
 
 # Text
-_HASH = lambda kind, x: f"sha256('7:{kind}:' || {x})"
-put("txt_pseudonymise_ids", "SELECT campaign_id, CASE WHEN n = 0 THEN 1 ELSE n END AS pseudonym FROM (SELECT campaign_id, CAST(CAST(('0x' || substr(h, 1, 16)) AS UBIGINT) % 1000000000000000 AS BIGINT) AS n FROM (SELECT campaign_id, " + _HASH("campaign", "CAST(campaign_id AS VARCHAR)") + f" AS h FROM stg_entities_campaign WHERE snapshot_date = {AS_OF}) a) b", ["stg_entities_campaign"])
-put("txt_pseudonymise_text", "SELECT campaign_id, 'Campaign ' || substr(" + _HASH("campaign", "campaign_name") + f", 1, 8) AS name FROM stg_entities_campaign WHERE snapshot_date = {AS_OF}", ["stg_entities_campaign"])
+_HASH = lambda kind, x: f"sha256('7:{kind}:' || CAST({x} AS VARCHAR))"
+_NUMBER = lambda kind, x, below=10**15: f"greatest(CAST(CAST('0x' || substr({_HASH(kind, x)}, 1, 16) AS UBIGINT) % {below} AS BIGINT), 1)"
+put("txt_pseudonymise_ids", f"SELECT campaign_id, {_NUMBER('campaign_id', 'campaign_id')} AS pseudonym FROM stg_entities_campaign WHERE snapshot_date = {AS_OF}", ["stg_entities_campaign"])
+put("txt_pseudonymise_text", f"SELECT campaign_id, 'Campaign ' || {_NUMBER('campaign_name', 'campaign_name')} AS name FROM stg_entities_campaign WHERE snapshot_date = {AS_OF}", ["stg_entities_campaign"])
+_LAST = "split_part(conversion_action, '/', 4)"
+put("txt_pseudonymise_resources", f"""SELECT {_NUMBER('account_id', 'account_id')} AS account_id, {_NUMBER('campaign_id', 'campaign_id')} AS campaign_id, date, ad_network_type, conversion_action AS old_action,
+  'Action ' || {_NUMBER('conversion_action_name', 'conversion_action_name')} AS conversion_action_name,
+  'customers/' || {_NUMBER('account_id', 'account_id')} || '/conversionActions/' || CASE WHEN {_LAST} = 'x5' THEN 'x5' ELSE CAST({_NUMBER('conversion_action_id', _LAST)} AS VARCHAR) END AS conversion_action FROM stg_conv_campaign""", ["stg_conv_campaign"])
+_ALPHABET = "'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789_-'"
+_OLD_URL = "CASE WHEN asset_id % 2 = 0 THEN 'https://example.com/i/' || asset_id || '.png?w=1' ELSE 'https://example.com/' END"
+_CODE = f"printf('%x', {_NUMBER('url', 'u')})"
+put("txt_pseudonymise_media", f"""SELECT account_id, campaign_id, asset_group_id, asset_id, 'https://fixtures.' || {_CODE} || '.example/' || CASE WHEN asset_id % 2 = 0 THEN {_CODE} || '.png' ELSE '' END AS image_url,
+  {' || '.join(f"substr({_ALPHABET}, CAST(CAST('0x' || substr({_HASH('video_id', 'video_id')}, {2 * i + 1}, 2) AS UBIGINT) % 64 AS BIGINT) + 1, 1)" for i in range(11))} AS video_id,
+  'Asset ' || {_NUMBER('asset_name', 'asset_name')} AS asset_name, 'Headline ' || {_NUMBER('text', 'text')} AS text, 'Video ' || {_NUMBER('video_title', 'video_title')} AS video_title
+FROM (SELECT *, {_OLD_URL} AS u FROM stg_entities_asset WHERE snapshot_date = {AS_OF}) q""", ["stg_entities_asset"])
+_TODAY = f"WHERE snapshot_date = {AS_OF}"
+SQL["all_ids"] = " UNION ".join(f"SELECT '{c}' AS kind, CAST({x} AS VARCHAR) AS old FROM {t}" for t, columns in {
+    f"stg_entities_asset_group_asset {_TODAY}": {c: c for c in ("account_id", "campaign_id", "asset_group_id", "asset_id")}, "stg_conv_campaign": {"account_id": "account_id", "campaign_id": "campaign_id"},
+    f"stg_conv_campaign WHERE {_LAST} <> 'x5'": {"conversion_action_id": _LAST}, f"stg_entities_campaign_asset {_TODAY}": {c: c for c in ("account_id", "campaign_id", "asset_id")},
+    f"stg_entities_campaign {_TODAY}": {c: c for c in ("account_id", "campaign_id", "budget_id")}}.items() for c, x in columns.items())
+_ALL_NEW = lambda below: f"greatest(CAST(CAST('0x' || substr(sha256('7:' || kind || ':' || old), 1, 16) AS UBIGINT) % {below} AS BIGINT), 1)"
+put("txt_id_mapping", f"SELECT kind, old, {_ALL_NEW(10**15)} AS new FROM all_ids", ["all_ids"])
+put("txt_id_clashes", f"SELECT kind, {_ALL_NEW(1000)} AS new, count(DISTINCT old) AS ids, min(old) AS one, max(old) AS other FROM all_ids GROUP BY 1, 2 HAVING count(DISTINCT old) > 1", ["all_ids"])
 
 # Lag cohorts
 SQL["zones"] = "SELECT account_id, min(time_zone) AS time_zone FROM (SELECT account_id, time_zone FROM perf_campaign UNION ALL SELECT account_id, time_zone FROM perf_asset_group) t GROUP BY ALL"

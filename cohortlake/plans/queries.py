@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.functions.columns import action_id, currency, flat
 from cohortlake.operators import entities as ent
-from cohortlake.operators import checks, lag, ledger, lookback, observation, parity, performance, publish, reports, scores, sinks, staging, text
+from cohortlake.operators import checks, lag, ledger, lookback, observation, parity, performance, pseudonyms, publish, reports, scores, sinks, staging, text
 from cohortlake.sources import declared, landing, observed, upstream
 from cohortlake.sources.generations import Generations
 from cohortlake.sources.tables import shared_dir
@@ -298,14 +298,47 @@ def _(s: Star) -> DataFrame:
     return text.secret_scan(_docs(s), terms=["apache license"]).withColumnRenamed("id", "doc_id")
 
 
+SEED = "7"
+
+
 @query("txt_pseudonymise_ids")
 def _(s: Star) -> DataFrame:
-    return s.staged("entities_campaign").select("campaign_id", text.pseudonymous_id(F.col("campaign_id"), "campaign", "7").alias("pseudonym"))
+    return s.staged("entities_campaign").select("campaign_id", pseudonyms.number(F.col("campaign_id"), "campaign_id", SEED).alias("pseudonym"))
+
+
+@query("txt_pseudonymise_resources")
+def _(s: Star) -> DataFrame:
+    """Facts with their ids and action names, and so that they can be compared, the old action."""
+    facts = s.staged("conv_campaign").select("account_id", "campaign_id", "date", "ad_network_type", "conversion_action", "conversion_action_name", F.col("conversion_action").alias("old_action"))
+    return pseudonyms.rewritten(facts, SEED, ["account_id", "campaign_id"], ["conversion_action"], ["conversion_action_name"])
 
 
 @query("txt_pseudonymise_text")
 def _(s: Star) -> DataFrame:
-    return s.staged("entities_campaign").select("campaign_id", text.pseudonymous_name(F.col("campaign_name"), "campaign", "7").alias("name"))
+    return s.staged("entities_campaign").select("campaign_id", pseudonyms.label(F.col("campaign_name"), "campaign_name", SEED).alias("name"))
+
+
+@query("txt_pseudonymise_media")
+def _(s: Star) -> DataFrame:
+    """Addresses, video ids and texts of assets, an address of its own for each."""
+    a = s.staged("entities_asset").withColumns({"image_url": F.concat(F.lit("https://example.com/"), F.when(F.col("asset_id") % 2 == 0, F.concat(F.lit("i/"), F.col("asset_id").cast("string"), F.lit(".png?w=1"))).otherwise(F.lit("")))})
+    keys = ["account_id", "campaign_id", "asset_group_id", "asset_id"]
+    return pseudonyms.rewritten(a.select(*keys, "image_url", "video_id", "asset_name", "text", "video_title"), SEED, [], [], ["asset_name", "text", "video_title"], ["image_url"], ["video_id"])
+
+
+def _id_mapping(s: Star, below: int = pseudonyms.RANGE) -> DataFrame:
+    """All ids of four tables, those inside resource names too."""
+    entities, facts = s.staged("entities_asset_group_asset"), s.staged("conv_campaign")
+    links = s.staged("entities_campaign_asset")
+    return pseudonyms.mapping([
+        (entities, ["account_id", "campaign_id", "asset_group_id", "asset_id"], []), (facts, ["account_id", "campaign_id"], ["conversion_action"]),
+        (links, ["account_id", "campaign_id", "asset_id"], ["asset_resource_name"]), (s.staged("entities_campaign"), ["account_id", "campaign_id", "budget_id"], []),
+    ], SEED, below)
+
+
+query("txt_id_mapping")(_id_mapping)
+#: So few numbers that some ids meet, which the real range has none of.
+query("txt_id_clashes")(lambda s: pseudonyms.clashes(_id_mapping(s, 1000)))
 
 
 @query("txt_perturb_metrics")
