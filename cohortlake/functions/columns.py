@@ -39,6 +39,7 @@ def ratio(top: Column, bottom: Column) -> Column:
 
 
 def flat(df: DataFrame) -> DataFrame:
-    """Arrays of strings and instants as text, for results that are compared or shown."""
+    """Arrays and instants as text, for results that are compared or shown."""
     shown = {"array<string>": lambda c: F.array_join(c, ", "), "timestamp": lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")}
-    return df.select([shown[t](c).alias(c) if t in shown else F.col(c) for c, t in df.dtypes])
+    nested = lambda c, t: F.to_json(c).alias(c) if t.startswith("array<struct") else F.col(c)
+    return df.select([shown[t](c).alias(c) if t in shown else nested(c, t) for c, t in df.dtypes])

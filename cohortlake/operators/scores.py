@@ -124,7 +124,7 @@ def asset_group_score(groups: DataFrame, campaigns: DataFrame, counts: DataFrame
 
 def extended_score(scored: DataFrame, groups: DataFrame, assets: DataFrame, p: Params) -> DataFrame:
     """What the published score leaves out: open action items, status reasons of assets, coverage of the feed, the three kinds of text."""
-    items = F.size(F.coalesce("ad_strength_action_items", F.array().cast("array<string>"))) if "ad_strength_action_items" in groups.columns else F.lit(0)
+    items = F.coalesce(F.array_size("ad_strength_action_items"), F.lit(0))
     detail = own_assets(assets).groupBy(*GROUP).agg(
         F.sum(F.size(F.coalesce("primary_status_reasons", F.array().cast("array<string>")))).alias("asset_primary_status_reason_count"),
         F.count_distinct(F.when(F.col("field_type").isin(*FEED), F.col("field_type"))).alias("covered_feed_type_count"))
@@ -138,3 +138,14 @@ def extended_score(scored: DataFrame, groups: DataFrame, assets: DataFrame, p: P
         texts.alias("text_guidelines_present"), texts.cast("double").alias("text_guidelines_present_score"))
     parts = [F.col(c) for c in ("action_item_clear_score", "primary_status_clear_score", "feed_type_coverage_score", "text_guidelines_present_score")]
     return out.withColumns({"extended_score": F.round(sum(parts[1:], parts[0]) / 4, 2), "run_id": F.lit(p.run_id)})
+
+
+def action_items(groups: DataFrame) -> DataFrame:
+    """What each asset group is asked to do: items, those that add assets, how many assets, and of which fields, from the nested list as it lies in the row."""
+    items = F.col("ad_strength_action_items")
+    adding = F.filter(items, lambda i: i["action_item_type"] == "ADD_ASSET")
+    details = F.transform(adding, lambda i: i["add_asset_details"])
+    fields = F.array_sort(F.array_distinct(F.transform(details, lambda x: x["asset_field_type"])))
+    return groups.select(
+        *GROUP, F.coalesce(F.array_size(items), F.lit(0)).cast("bigint").alias("items"), F.coalesce(F.array_size(adding), F.lit(0)).cast("bigint").alias("adding"),
+        F.coalesce(F.aggregate(details, F.lit(0).cast("bigint"), lambda n, x: n + F.coalesce(x["asset_count"], F.lit(0))), F.lit(0)).alias("assets_wanted"), F.coalesce(F.array_join(fields, ","), F.lit("")).alias("fields"))

@@ -51,12 +51,13 @@ RUN = "'run-19980630'"
 SQL: dict[str, str] = definitions(OTHER)
 ORACLE: dict[str, str] = {}
 #: Array columns by table; results show them as text.
-ARRAYS = {"campaign": ["primary_status_reasons"], "asset_group": ["primary_status_reasons", "final_urls"], "asset": ["primary_status_reasons"], "campaign_asset": ["primary_status_reasons"]}
+ARRAYS = {"campaign": ["primary_status_reasons"], "asset_group": ["primary_status_reasons", "final_urls", "ad_strength_action_items"], "asset": ["primary_status_reasons"], "campaign_asset": ["primary_status_reasons"]}
 
 
 def put(name: str, select: str, needs: list[str], arrays: list[str] = ()) -> None:
     if arrays:
-        shown = ", ".join(f"array_to_string({a}, ', ') AS {a}" for a in arrays)
+        nested = lambda a: f"CASE WHEN {a} IS NOT NULL THEN CAST(to_json({a}) AS VARCHAR) END"
+        shown = ", ".join(f"{nested(a) if a.endswith('_items') else f'array_to_string({a}, {chr(39)}, {chr(39)})'} AS {a}" for a in arrays)
         select = f"SELECT * REPLACE ({shown}) FROM ({select}) q"
     ORACLE[name] = f"{with_clause(SQL, needs, materialized=True)}\n{select}"
 
@@ -77,7 +78,7 @@ QUALIFY row_number() OVER (PARTITION BY {keys} ORDER BY loaded_at DESC, run_id D
 def array_columns(table: str) -> list[str]:
     if not table.startswith("entities_") or table in ("entities_asset", "entities_asset_group_signal", "entities_conversion_action", "entities_customer"):
         return []
-    return ["primary_status_reasons"] + (["final_urls"] if table == "entities_asset_group" else [])
+    return ["primary_status_reasons"] + (["final_urls", "ad_strength_action_items"] if table == "entities_asset_group" else [])
 
 
 # Sources and staging
@@ -123,7 +124,7 @@ SAID = {"status": "'REMOVED'", "primary_status": "'REMOVED'", "approval_status":
 #: Columns of staged entity tables besides keys and day that a removal leaves null or states.
 COLUMNS = {
     "campaign": "campaign_name status primary_status primary_status_reasons advertising_channel_type positive_geo_target_type negative_geo_target_type start_date_time end_date_time budget_id budget_amount_micros budget_explicitly_shared budget_period url_expansion_opt_out source_run_id",
-    "asset_group": "asset_group_name status primary_status primary_status_reasons ad_strength final_urls source_run_id",
+    "asset_group": "asset_group_name status primary_status primary_status_reasons ad_strength final_urls ad_strength_action_items source_run_id",
     "asset": "status primary_status primary_status_reasons source asset_name asset_type orientation text image_url image_height_pixels image_width_pixels video_id video_title source_run_id",
     "asset_group_signal": "approval_status audience search_theme source_run_id",
     "campaign_asset": "asset_id advertising_channel_type status primary_status primary_status_reasons source_run_id",
@@ -469,10 +470,15 @@ LEFT JOIN (SELECT {_ag}, count(*) AS n FROM ent_mart_asset_group_signal WHERE au
 put("mart_bp_asset_group", "SELECT * FROM bp_group", ["bp_group", "days"])
 _FEED = "('HEADLINE', 'LONG_HEADLINE', 'DESCRIPTION', 'MARKETING_IMAGE', 'SQUARE_MARKETING_IMAGE', 'PORTRAIT_MARKETING_IMAGE', 'LOGO', 'YOUTUBE_VIDEO')"
 SQL["bp_ext"] = f"""SELECT *, round((action_item_clear_score + primary_status_clear_score + feed_type_coverage_score + text_guidelines_present_score) / 4, 2) AS extended_score, {RUN} AS run_id FROM (
-SELECT b.snapshot_date, b.account_id, b.campaign_id, b.asset_group_id, asset_group_bp_score AS google_parity_score, 0::BIGINT AS ad_strength_action_item_count, 1.0::DOUBLE AS action_item_clear_score, coalesce(r, 0)::BIGINT AS asset_primary_status_reason_count,
+SELECT b.snapshot_date, b.account_id, b.campaign_id, b.asset_group_id, asset_group_bp_score AS google_parity_score, todo AS ad_strength_action_item_count, CASE WHEN todo = 0 THEN 1.0::DOUBLE ELSE 0 END AS action_item_clear_score, coalesce(r, 0)::BIGINT AS asset_primary_status_reason_count,
   CASE WHEN coalesce(r, 0) = 0 THEN 1.0::DOUBLE ELSE 0 END AS primary_status_clear_score, coalesce(f, 0) AS covered_feed_type_count, coalesce(f, 0) / 8.0::DOUBLE AS feed_type_coverage_score,
   count_short_headlines > 0 AND count_long_headlines > 0 AND count_descriptions > 0 AS text_guidelines_present, CASE WHEN count_short_headlines > 0 AND count_long_headlines > 0 AND count_descriptions > 0 THEN 1.0::DOUBLE ELSE 0 END AS text_guidelines_present_score
-FROM bp_group b LEFT JOIN (SELECT {_ag}, sum(len(coalesce(primary_status_reasons, []))) AS r, count(DISTINCT field_type) FILTER (WHERE field_type IN {_FEED}) AS f {_LIVE_ASSET} GROUP BY ALL) d USING (account_id, campaign_id, asset_group_id)) q"""
+FROM bp_group b JOIN (SELECT {_ag}, CAST(coalesce(len(ad_strength_action_items), 0) AS BIGINT) AS todo FROM ent_mart_asset_group) w USING (account_id, campaign_id, asset_group_id)
+LEFT JOIN (SELECT {_ag}, sum(len(coalesce(primary_status_reasons, []))) AS r, count(DISTINCT field_type) FILTER (WHERE field_type IN {_FEED}) AS f {_LIVE_ASSET} GROUP BY ALL) d USING (account_id, campaign_id, asset_group_id)) q"""
+_ADDING = "list_filter(ad_strength_action_items, lambda i: i.action_item_type = 'ADD_ASSET')"
+put("bps_action_items", f"""SELECT {_ag}, CAST(coalesce(len(ad_strength_action_items), 0) AS BIGINT) AS items, CAST(coalesce(len({_ADDING}), 0) AS BIGINT) AS adding,
+  CAST(coalesce(list_sum(list_transform({_ADDING}, lambda i: i.add_asset_details.asset_count)), 0) AS BIGINT) AS assets_wanted,
+  coalesce(array_to_string(list_sort(list_distinct(list_transform({_ADDING}, lambda i: i.add_asset_details.asset_field_type))), ','), '') AS fields FROM ent_mart_asset_group""", ["ent_mart_asset_group", "days"])
 put("mart_bp_extended", "SELECT * FROM bp_ext", ["bp_ext", "days"])
 
 # Parity

@@ -469,6 +469,7 @@ def _(s: Star) -> DataFrame:
 
 
 query("bps_sitelinks")(lambda s: scores.sitelinks(s.history("campaign"), s.history("campaign_asset"), s.account_links(), P.as_of))
+query("bps_action_items")(lambda s: scores.action_items(s.mart("asset_group")))
 query("bps_asset_counts")(lambda s: s.asset_counts)
 query("mart_bp_campaign")(lambda s: s.bp_campaign)
 query("mart_bp_asset_group")(lambda s: s.bp_asset_group)

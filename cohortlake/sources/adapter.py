@@ -35,6 +35,16 @@ class Dialect:
     def array(self, *items: str) -> str:
         return f"array({', '.join(items)})" if self.spark else f"[{', '.join(items)}]"
 
+    def record(self, **fields: str) -> str:
+        return f"named_struct({', '.join(f'{chr(39)}{k}{chr(39)}, {v}' for k, v in fields.items())})" if self.spark else "{" + ", ".join(f"'{k}': {v}" for k, v in fields.items()) + "}"
+
+    @property
+    def action_items(self) -> str:
+        """The type of a list of things to do about an asset group."""
+        if self.spark:
+            return "ARRAY<STRUCT<action_item_type: STRING, add_asset_details: STRUCT<asset_field_type: STRING, asset_count: BIGINT>>>"
+        return "STRUCT(action_item_type VARCHAR, add_asset_details STRUCT(asset_field_type VARCHAR, asset_count BIGINT))[]"
+
     @property
     def strings(self) -> str:
         return "ARRAY<STRING>" if self.spark else "VARCHAR[]"
@@ -125,10 +135,13 @@ UNION ALL SELECT 'load-2', TIMESTAMP '1998-07-01 02:00:00', 'q', {names} FROM ({
     out["report_campaigns"] = """SELECT * FROM raw_entities_campaign r
 UNION ALL SELECT run_id, loaded_at, query_hash, account_id, campaign_id + 100, snapshot_date, campaign_name, status, primary_status, primary_status_reasons, CASE WHEN campaign_id % 2 = 0 THEN 'SEARCH' END, positive_geo_target_type,
   negative_geo_target_type, start_date_time, end_date_time, budget_id, budget_amount_micros, budget_explicitly_shared, budget_period, url_expansion_opt_out FROM raw_entities_campaign t WHERE campaign_id % 3 = 0"""
+    item = lambda kind, field, n: d.record(action_item_type=f"'{kind}'", add_asset_details=d.record(asset_field_type=f"'{field}'", asset_count=f"CAST({n} AS BIGINT)"))
+    todo = {1: d.array(item("ADD_ASSET", "HEADLINE", 3), item("ADD_ASSET", "YOUTUBE_VIDEO", 1)), 2: d.array(item("ADD_ASSET", "LOGO", "1 + asset_group_id % 4")), 3: d.array(item("IMPROVE_TEXT", "", 0), item("ADD_ASSET", "HEADLINE", 2))}
     entity(
         "asset_group", ["account_id", "campaign_id", "asset_group_id"], "asset_group_id",
         {"asset_group_name": "'Group ' || CAST(asset_group_id AS STRING)", "status": "CASE WHEN asset_group_id % 9 = 0 THEN 'PAUSED' ELSE 'ENABLED' END", "primary_status": "'ELIGIBLE'",
-         "primary_status_reasons": reasons("asset_group_id % 17 = 0"), "ad_strength": "CASE asset_group_id % 3 WHEN 0 THEN 'EXCELLENT' WHEN 1 THEN 'GOOD' ELSE 'POOR' END", "final_urls": d.array("'https://example.com/'")},
+         "primary_status_reasons": reasons("asset_group_id % 17 = 0"), "ad_strength": "CASE asset_group_id % 3 WHEN 0 THEN 'EXCELLENT' WHEN 1 THEN 'GOOD' ELSE 'POOR' END", "final_urls": d.array("'https://example.com/'"),
+         "ad_strength_action_items": "CASE " + " ".join(f"WHEN asset_group_id % 6 = {k} THEN CAST({v} AS {d.action_items})" for k, v in todo.items()) + f" WHEN asset_group_id % 6 = 4 THEN CAST({d.array()} AS {d.action_items}) END"},
         groups, "asset_group_id % 10 = 7 AND back <= 7",
     )
     entity(
