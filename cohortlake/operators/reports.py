@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -76,6 +76,16 @@ def gap_examples(found: DataFrame, most: int = 50) -> DataFrame:
     return found.where("category <> 'NULL-cost cell'").orderBy(*order).limit(most)
 
 
+def store_results(results: DataFrame, path: str, run_id: str) -> None:
+    """Append a run's assertion results to the table of all runs, in a folder of its own."""
+    results.withColumn("run_id", F.lit(run_id)).write.mode("append").partitionBy("run_id").parquet(path)
+
+
+def read_results(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """A run's assertion results as they were stored: failures first, hard ones before soft ones."""
+    return spark.read.parquet(path).where(F.col("run_id") == run_id).orderBy("passed", "severity", "assertion")
+
+
 def latest_parity(stages: DataFrame) -> DataFrame:
     """What the last parity run said: its detail, read as JSON."""
     last = stages.where("stage = 'parity' AND detail IS NOT NULL").orderBy(F.desc("event_ts")).limit(1)

@@ -29,9 +29,12 @@ def append(df: DataFrame, path: str, partition: str) -> None:
     df.write.mode("append").partitionBy(partition).parquet(path)
 
 
-def export_slice(diary: DataFrame, path: str, observed_date: dt.date) -> None:
-    """The rows of one observed day, in a folder for each account."""
-    diary.where(F.col("observed_date") == F.lit(observed_date)).repartition("account_id").write.mode("overwrite").partitionBy("account_id", "observed_date").parquet(path)
+def export_slice(diary: DataFrame, path: str, observed_date: dt.date, account_id: int | None = None) -> None:
+    """The rows of one observed day, of one account or of all, in a folder for each account."""
+    rows = diary.where(F.col("observed_date") == F.lit(observed_date))
+    if account_id is not None:
+        rows = rows.where(F.col("account_id") == account_id)
+    rows.hint("rebalance", "account_id").write.mode("overwrite").partitionBy("account_id", "observed_date").parquet(path)
 
 
 def lay_out(df: DataFrame, path: str, partition: str, cluster: list[str]) -> None:

@@ -275,7 +275,6 @@ SQL["buckets"] = f"SELECT 'campaign' AS grain, date AS click_date, {_K.format(g=
 put("lag_source_buckets", f"SELECT * EXCLUDE (upper_day) REPLACE ({SHOW.format(t='refresh_ts')} AS refresh_ts) FROM buckets", ["buckets"])
 put("lag_bucket_upper_day", "SELECT grain, conversion_lag_bucket, upper_day, sum(conversions) AS conversions FROM buckets GROUP BY ALL", ["buckets"])
 put("lag_refresh_date", f"SELECT DISTINCT account_id, run_id, {LOCAL.format(t='loaded_at')} AS refresh_date FROM raw_lag_campaign LEFT JOIN zones USING (account_id)", ["raw_lag_campaign", "zones"])
-ORACLE["lag_ladder_days"] = "SELECT CAST(d AS BIGINT) AS cohort_day FROM (VALUES (1), (3), (5), (7), (14), (30)) v(d)"
 SQL["action_buckets"] = """SELECT b.*, CAST(coalesce(w.window_days, 90) AS BIGINT) AS action_window_days, coalesce(w.window_provenance, 'assumed-current') AS action_window_provenance,
   coalesce(w.is_primary, FALSE) OR coalesce(e.shown, FALSE) AS contributes_to_primary FROM buckets b
 LEFT JOIN windows w ON w.metric_basis = 'CONVERSION_ACTION' AND w.click_date = b.click_date AND w.account_id = b.account_id AND w.conversion_action_resource_name = b.conversion_action
@@ -301,6 +300,7 @@ SQL["keyed"] = f"""SELECT {_S}, conversion_action_id, conversion_action_name, le
 SQL["steps"] = """SELECT k.*, CAST(d AS BIGINT) AS cohort_day, d = window_days AS is_window_rung FROM keyed k, (VALUES (1), (3), (5), (7), (14), (30)) v(d) WHERE d <= window_days
 UNION SELECT k.*, window_days, TRUE FROM keyed k"""
 put("lag_keys", "SELECT * FROM keyed", ["keyed"])
+put("lag_ladder_days", "SELECT CAST(d AS BIGINT) AS cohort_day, coalesce(n, 0) AS rungs, coalesce(w, 0) AS window_rungs FROM (VALUES (1), (3), (5), (7), (14), (30)) v(d) LEFT JOIN (SELECT cohort_day, count(*) AS n, count(*) FILTER (WHERE is_window_rung) AS w FROM steps GROUP BY cohort_day) q ON d = cohort_day", ["steps"])
 put("lag_ladder", tally("steps", "grain, metric_basis, window_days, window_provenance, cohort_day, is_window_rung"), ["steps"])
 _IN = "b.upper_day <= least(l.cohort_day, b.action_window_days)"
 SQL["prefixes"] = f"""SELECT l.*, sum(CASE WHEN {_IN} THEN b.conversions ELSE 0 END) AS prefix_conversions, sum(CASE WHEN {_IN} THEN b.conversions_value ELSE 0 END) AS prefix_value,
@@ -618,6 +618,22 @@ _SOFT = ("cohort_observation_reconciliation", "asset_not_over_campaign", "campai
 _ALL = [*CHECK_SQL, "cohort_observation_reconciliation", "cohort_reconciliation", "required_tables_nonempty"]
 put("assert_run_decision", "SELECT *, checks > 0 AND hard_failed = 0 AS may_publish, CASE WHEN checks = 0 THEN 'SKIPPED' WHEN hard_failed > 0 THEN 'FAIL' ELSE 'PASS' END AS decision FROM (SELECT count(*) AS checks, count(*) FILTER (WHERE NOT soft AND NOT coalesce(passed, FALSE)) AS hard_failed, count(*) FILTER (WHERE soft AND NOT coalesce(passed, FALSE)) AS soft_failed FROM ("
     + " UNION ALL ".join(f"SELECT passed, {str(c in _SOFT).upper()} AS soft FROM check_{c}" for c in _ALL) + ") q) r", [*(f"check_{c}" for c in _ALL), "days"])
+_SHOWN = "coalesce(passed, FALSE) AS passed, observed, expected, CASE WHEN passed IS NULL THEN coalesce(detail, 'no answer') ELSE detail END AS detail"
+put("rpt_assertion_results", " UNION ALL ".join(f"SELECT '{c}' AS assertion, '{'SOFT' if c in _SOFT else 'HARD'}' AS severity, {_SHOWN}, {RUN} AS run_id FROM check_{c}" for c in _ALL), [*(f"check_{c}" for c in _ALL), "days"])
+
+
+def under(name: str, days: int) -> str:
+    """A statement with another reporting window than 90 days: what cuts windows, and the rung at the cut; ends of buckets stay."""
+    sql = ORACLE[name]
+    for part in ("least(max(action_window_days), {})", "max(action_window_days) > {}", "cohort_day = {} AND", "least({}, action_window_days)", "least(window_days, {})", "window_days >= {}"):
+        sql = sql.replace(part.format(90), part.format(days))
+    return sql
+
+
+for _n, _days in (("capped", 25), ("even", 30)):
+    ORACLE[f"int_lag_prefix_campaign_{_n}"], ORACLE[f"assert_cohort_reconciliation_{_n}"] = under("int_lag_prefix_campaign", _days), under("assert_cohort_reconciliation", _days)
+for _q in ("lag_keys", "mart_cohort_campaign", "obs_windows"):
+    ORACLE[f"{_q}_capped"] = under(_q, 25)
 
 # Reports
 _FRESH = [(t, f"stg_{t}", day_column(t), AS_OF, "" if day_column(t) == "date" else f" WHERE snapshot_date = {AS_OF}") for t in GRAINS]
@@ -691,6 +707,7 @@ put("snk_inventory", f"SELECT 'volume' AS table_name, date AS day, bool_or({_WEE
 put("snk_observation_append", tally("diary", "observed_date, run_id, account_id, grain, metric_basis", "conversions", "conversions_value"), ["diary"])
 put("snk_slice_export", f"SELECT * FROM selected WHERE observed_date = {AS_OF} - 1", ["selected"])
 ORACLE["snk_clustered_asof"] = ORACLE["prf_asof_join"]
+put("snk_slice_export_account", f"SELECT * FROM selected WHERE observed_date = {AS_OF} - 1 AND account_id = 2", ["selected"])
 put("snk_table_layout", "SELECT * FROM stg_conv_campaign", ["stg_conv_campaign"])
 put("snk_publish_guard", f"SELECT {AS_OF} AS published_as_of, DATE '1998-06-29' AS run_as_of, TRUE AS is_older, FALSE AS may_publish FROM truth LIMIT 1", ["truth"])
 put("snk_retention_expire", f"SELECT * FROM vol WHERE date >= {AS_OF} - 91", ["vol"])

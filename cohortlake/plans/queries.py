@@ -354,7 +354,7 @@ def _(s: Star) -> DataFrame:
     return text.repaired_lags(lags, doubled, keys, ["conversion_lag_bucket"]).select(*keys, "conversion_lag_bucket", "conversions", "all_conversions")
 
 
-query("lag_ladder_days")(lambda s: lag.ladder_days(s.spark, P))
+query("lag_ladder_days")(lambda s: lag.ladder_days(s.spark, P).join(s.ladder.groupBy("cohort_day").agg(F.count("*").alias("rungs"), F.count_if("is_window_rung").alias("window_rungs")), "cohort_day", "left").fillna(0))
 query("lag_timezones")(lambda s: s.zones)
 query("lag_source_buckets")(lambda s: lag.source_buckets(s.loaded("lag_campaign"), s.loaded("lag_asset_group"), s.zones).drop("upper_day"))
 query("lag_action_buckets")(lambda s: s.action_buckets)
@@ -390,6 +390,15 @@ def _(s: Star) -> DataFrame:
     return publish.cohort_ratios(publish.publish_cohorts(s.cohorts("campaign"), P, "campaign"), ["account_id", "metric_basis", "cohort_day"])
 
 
+# A reporting window shorter than some actions' windows: 25 days end inside a bucket, 30 days at the end of one.
+SHORT, EVEN = 25, 30
+query("lag_keys_capped")(lambda s: lag.keys_with_window(s.basis_buckets, s.under(SHORT).p))
+query("int_lag_prefix_campaign_capped")(lambda s: s.under(SHORT).cells.where("grain = 'campaign'").drop("grain", "asset_group_id"))
+query("int_lag_prefix_campaign_even")(lambda s: s.under(EVEN).cells.where("grain = 'campaign'").drop("grain", "asset_group_id"))
+query("mart_cohort_campaign_capped")(lambda s: s.under(SHORT).cohorts("campaign"))
+query("obs_windows_capped")(lambda s: observation.capped_windows(s.windows, s.under(SHORT).p))
+
+
 # Observation diary. Today's run is the second load; its window is what the diary looks back.
 TODAY = "load-2"
 FROM = P.as_of - dt.timedelta(observed.DEPTH)
@@ -554,6 +563,8 @@ CHECKS = {
         s.mart("customer"), s.mart("campaign"), observed.first_snapshot_marks(s.spark, s.sf_dir), P),
     "serving_budget_has_cost": lambda s: checks.serving_budget_has_cost(s.mart("campaign"), s.truth(), P),
 }
+for _n, _days in (("capped", SHORT), ("even", EVEN)):
+    query(f"assert_cohort_reconciliation_{_n}")(lambda s, d=_days: checks.cohort_reconciliation({g: s.under(d).cohorts(g) for g in ("campaign", "asset_group")}, {g: s.facts(g) for g in ("campaign", "asset_group")}, s.basis_buckets, s.under(d).p))
 for _c, _f in CHECKS.items():
     query(f"assert_{_c}")(_f)
 
@@ -562,6 +573,15 @@ def _results(s: Star) -> DataFrame:
     return s.table(("assertion_results",), lambda: checks.collected({c: f(s) for c, f in CHECKS.items()}))
 
 
+@query("rpt_assertion_results")
+def _(s: Star) -> DataFrame:
+    """Two runs' results, appended to one table; the last run's are read back, failures first."""
+    path = _folder(s, "results")
+    for run in ("run-before", P.run_id):
+        reports.store_results(_results(s), path, run)
+    return reports.read_results(s.spark, path, P.run_id)
+
+
 query("assert_run_decision")(lambda s: checks.run_decision(_results(s)))
 
 
@@ -721,6 +741,14 @@ def _(s: Star) -> DataFrame:
     return s.spark.read.schema(s.selected.schema).parquet(path)
 
 
+@query("snk_slice_export_account")
+def _(s: Star) -> DataFrame:
+    """One account's rows of a day; only its folder is read, of the diary and of the export."""
+    path = _folder(s, "slice")
+    sinks.export_slice(s.selected, path, P.as_of - dt.timedelta(1), 2)
+    return s.spark.read.schema(s.selected.schema).parquet(path)
+
+
 @query("snk_table_layout")
 def _(s: Star) -> DataFrame:
     path = _folder(s, "laid-out")

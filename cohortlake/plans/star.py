@@ -7,6 +7,7 @@ again by later queries of the session on the same, unchanged input; a new sessio
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,9 +24,13 @@ from .params import Params
 _STARS: dict[tuple, Star] = {}
 
 
+#: Tables that depend on the reporting window; all others are the same under any.
+WINDOWED = {"prefixes", "cells", "cohorts", "observation_cells", "observation_keys", "readings", "assertion_results"}
+
+
 class Star:
-    def __init__(self, spark: SparkSession, sf_dir: str, p: Params = Params()):
-        self.spark, self.sf_dir, self.p = spark, sf_dir, p
+    def __init__(self, spark: SparkSession, sf_dir: str, p: Params = Params(), base: Star | None = None):
+        self.spark, self.sf_dir, self.p, self.base = spark, sf_dir, p, base
         self._made: dict[tuple, DataFrame] = {}
         self._others: dict[str, object] = {}
 
@@ -36,8 +41,14 @@ class Star:
             _STARS[key] = Star(spark, sf_dir, p)
         return _STARS[key]
 
+    def under(self, reporting_window_days: int) -> Star:
+        """The same star under another reporting window; only tables that depend on it are made anew."""
+        return self.kept(f"under-{reporting_window_days}", lambda: Star(self.spark, self.sf_dir, replace(self.p, reporting_window_days=reporting_window_days), self))
+
     def table(self, key: tuple, make, partition: str | None = None) -> DataFrame:
         """Written on first use."""
+        if self.base is not None and key[0] not in WINDOWED:
+            return self.base.table(key, make, partition)
         if key not in self._made:
             self._made[key] = written(make(), "-".join(map(str, key)), partition)
         return self._made[key]
