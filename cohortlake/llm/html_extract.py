@@ -354,10 +354,25 @@ def _labelled_page(rnd: random.Random) -> str:
             return f"<form class='{rnd.choice(REST['form'])}'><label>{sentence(1, 6)}</label><input name=q><p>{sentence(2, 12)}</p><button>{word()}</button></form>"
         return f"{a}{rnd.choice(['', '<p>'])}{prose(3)}{rnd.choice(['', f'<a href=x>{word()}</a>'])}{z}"
 
+    def control() -> str:
+        """Something to click or to fill in outside of any form, or words inside a drawing."""
+        kind = rnd.random()
+        if kind < 0.25:
+            return "<select>" + "".join(f"<option>{sentence(1, 3)}</option>" for _ in range(rnd.randint(2, 5))) + "</select>"
+        if kind < 0.5:
+            return f"<button>{sentence(1, 4)}</button>"
+        if kind < 0.7:
+            return f"<label>{sentence(1, 5)}</label><input name=q>"
+        if kind < 0.8:
+            return f"<fieldset><legend>{sentence(1, 3)}</legend><label>{sentence(1, 4)}</label></fieldset>"
+        return f"<svg{rnd.choice(['', ' viewBox=0'])}>{rnd.choice(['', f'<title>{word()}</title>'])}{rnd.choice(['', '<g>'])}<text>{sentence(1, 3)}</text></svg>"
+
     def main() -> str:
         out = []
         if rnd.random() < 0.8:
             out.append(f"<h1>{MARK}{sentence(2, 12)}</h1>")
+        if rnd.random() < 0.3:  # a short line or two to begin with
+            out += [f"<p>{MARK}{sentence(1, 4)}</p>" for _ in range(rnd.randint(1, 2))]
         for _ in range(rnd.randint(1, 14)):
             k = rnd.random()
             if k < 0.62:
@@ -380,6 +395,8 @@ def _labelled_page(rnd: random.Random) -> str:
                 out.append(f"<{(t := rnd.choice(['p', 'div', 'section', 'h3', 'li']))} {rnd.choice(UNSEEN)}>{prose(3)}</{t}>")
             else:
                 out.append(rest(rnd.choice(["ad", "share", "aside", "notice", "form"])))
+            if rnd.random() < 0.06:
+                out.append(control())
         if rnd.random() < 0.2:
             out.append(rest("comments"))
         return "".join(out)

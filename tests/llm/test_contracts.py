@@ -27,6 +27,10 @@ def read():
     ('<article><h1>T is it</h1><p title="x>broken quote para.</p><p class="y">More text goes on.</p></article>', "T is it\nbroken quote para.\nMore text goes on."),
     ("<article><p>Seen by all who read.</p><p hidden>Not seen by anybody.</p><div style='display:none'>Nor this one.</div><p>Last one, seen.</p></article>", "Seen by all who read.\nLast one, seen."),
     ("<article><p>Before <math><mi>x</mi></math> after it.</p><object data=x><p>Rest of it is here.</p></article>", "Before x after it.\nRest of it is here."),
+    ("<article><p>Some words of it.</p><select><option>A</option><option>B</option></select><button>Go</button><p>And more words of it.</p></article>", "Some words of it.\nAnd more words of it."),
+    ("<article><h1>Title here</h1><p>Some words of it.</p><svg><text>LABEL</text></svg><p>And more words of it.</p></article>", "Title here\nSome words of it.\nAnd more words of it."),
+    ("<main><p>Some words of it.</p><label>Name</label><input><fieldset><legend>Choose</legend><label>One</label></fieldset><p>And more words of it.</p></main>", "Some words of it.\nAnd more words of it."),
+    ("<div class='entry'><p>Short.</p><p>By Jane Doe, 3 May</p><p>And more words of it, which go on for a while.</p></div>", "Short.\nBy Jane Doe, 3 May\nAnd more words of it, which go on for a while."),
     ('<article><p data-x="<p>a</p>">Quoted markup goes.</p></article>', "Quoted markup goes."),
 ])
 def test_odd_pages(read, page, want):
