@@ -23,14 +23,17 @@ def publish(facts: DataFrame, p: Params, dimensions: list[str], measures: list[s
     return out.withColumns({"as_of": F.lit(p.as_of), "run_id": F.lit(p.run_id)})
 
 
-def publish_cohorts(mart: DataFrame, p: Params, grain: str) -> DataFrame:
+def shown_cohorts(mart: DataFrame, p: Params, grain: str) -> DataFrame:
     """Cohort cells with a cost, on configured rungs and window rungs; the click day itself only for assets."""
     window = F.least("window_days", F.lit(p.reporting_window_days).cast("bigint"))
     day = F.col("cohort_day")
     shown = mart.where(F.col("click_day_cost").isNotNull() & (day <= window) & (day.isin(list(p.cohort_days)) | (F.col("is_window_rung") & (day == window))))
-    if grain != "asset":
-        shown = shown.where(day > 0)
-    return publish(shown, p, ["click_date", *COHORT_KEYS[grain], *CELL, "cohort_counting"], SUMS, "click_date")
+    return shown if grain == "asset" else shown.where(day > 0)
+
+
+def publish_cohorts(mart: DataFrame, p: Params, grain: str) -> DataFrame:
+    """The shown cells of the last complete click days, summed at the cohort's dimensions."""
+    return publish(shown_cohorts(mart, p, grain), p, ["click_date", *COHORT_KEYS[grain], *CELL, "cohort_counting"], SUMS, "click_date")
 
 
 def cohort_ratios(published: DataFrame, dimensions: list[str]) -> DataFrame:

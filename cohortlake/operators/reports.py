@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -86,6 +87,14 @@ def read_results(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     return spark.read.parquet(path).where(F.col("run_id") == run_id).orderBy("passed", "severity", "assertion")
 
 
+def parity_event(compared: DataFrame, run_day: dt.date, query: str, at: str) -> DataFrame:
+    """What a parity run leaves in the stage table: whether all keys that can be compared match, with the counts, as JSON."""
+    bad = ~F.col("status").isin("matched", "no comparable score")
+    counts = compared.agg(F.count("*").alias("compared"), F.count_if(bad).alias("off"))
+    detail = F.to_json(F.struct(F.lit(str(run_day)).alias("date"), (F.col("off") == 0).alias("passed"), F.sha2(F.lit(query), 256).alias("query_hash"), "compared", "off"))
+    return counts.select(F.lit("parity").alias("stage"), detail.alias("detail"), F.lit(at).cast("timestamp_ntz").alias("event_ts"))
+
+
 def latest_parity(stages: DataFrame) -> DataFrame:
     """What the last parity run said: its detail, read as JSON."""
     last = stages.where("stage = 'parity' AND detail IS NOT NULL").orderBy(F.desc("event_ts")).limit(1)
@@ -93,22 +102,32 @@ def latest_parity(stages: DataFrame) -> DataFrame:
     return last.select(d.alias("d")).select(F.to_date("d.date").alias("run_date"), F.when(F.col("d.passed"), "PASS").otherwise("FAIL").alias("result"), F.coalesce("d.query_hash", F.lit("unknown")).alias("query_hash"))
 
 
+def differs(a: Column, b: Column, absolute: float, relative: float) -> Column:
+    """Do two sums differ? By more than both tolerances allow, or by what is null, not a number or infinite on one side only."""
+    odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
+    return F.when(odd(a) | odd(b), ~a.eqNullSafe(b)).otherwise(F.abs(a - b) > F.greatest(F.lit(absolute), F.abs(a) * relative))
+
+
 def publish_reconcile(mart: DataFrame, published: DataFrame, p: Params, measures: list[str], absolute: float = 1e-6, relative: float = 1e-9) -> DataFrame:
-    """Mart against published sums by day of the published window; what is null, not a number or infinite on one side only differs."""
+    """Mart against published sums by day of the published window."""
     window = F.col("date").between(p.as_of - dt.timedelta(p.reporting_window_days), p.as_of - dt.timedelta(1))
     sums = lambda df, s: df.groupBy("date").agg(*[F.sum(m).cast("double").alias(f"{m}_{s}") for m in measures])
     met = sums(mart.where(window), "mart").join(sums(published, "published"), "date", "full")
+    return met.withColumn("differs", reduce(lambda x, y: x | y, (differs(F.col(f"{m}_mart"), F.col(f"{m}_published"), absolute, relative) for m in measures)))
 
-    def off(m: str):
-        a, b = F.col(f"{m}_mart"), F.col(f"{m}_published")
-        odd = lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))
-        return F.when(odd(a) | odd(b), ~a.eqNullSafe(b)).otherwise(F.abs(a - b) > F.greatest(F.lit(absolute), F.abs(a) * relative))
 
-    tests = [off(m) for m in measures]
-    differs = tests[0]
-    for t in tests[1:]:
-        differs = differs | t
-    return met.withColumn("differs", differs)
+def reconcile_published(tables: dict[str, tuple[DataFrame, DataFrame, str, list[str]]], p: Params, absolute: float = 1e-6, relative: float = 1e-9) -> DataFrame:
+    """Every published table against its mart: a row for each table, day and measure. Tables come as (mart, published, day column, measures)."""
+    parts = []
+    for name, (mart, published, day, measures) in tables.items():
+        window = F.col(day).between(p.as_of - dt.timedelta(p.reporting_window_days), p.as_of - dt.timedelta(1))
+        for df, side in ((mart.where(window), "mart"), (published, "published")):
+            long = F.explode(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("value")) for m in measures])).alias("x")
+            by_day = df.groupBy(F.col(day).alias("day")).agg(*[F.sum(m).cast("double").alias(m) for m in measures])
+            parts.append(by_day.select(F.lit(name).alias("table_name"), "day", long, F.lit(side).alias("side")).select("table_name", "day", "x.*", "side"))
+    one = lambda s: F.max(F.when(F.col("side") == s, F.col("value")))
+    met = reduce(DataFrame.unionByName, parts).groupBy("table_name", "day", "measure").agg(one("mart").alias("mart_value"), one("published").alias("published_value"))
+    return met.withColumn("differs", differs(F.col("mart_value"), F.col("published_value"), absolute, relative))
 
 
 def month_stability(before: DataFrame, after: DataFrame, cutoff) -> DataFrame:

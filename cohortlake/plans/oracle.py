@@ -663,13 +663,16 @@ put("rpt_gap_summary", "SELECT category, grain, reason, CAST(date_trunc('month',
 put("rpt_gap_examples", "SELECT * FROM issues WHERE category <> 'NULL-cost cell' ORDER BY click_date, account_id, campaign_id, grain, asset_group_id NULLS FIRST, asset_id NULLS FIRST, metric_basis, cohort_day, category, reason LIMIT 50", ["issues"])
 put("rpt_zero_cost", "SELECT * FROM idle", ["idle", "days"])
 _RM = ["network_cost", "network_conversions", "action_conversions"]
+_SUMMED = lambda t: ["click_day_cost", "cohorted_conversions", "cohorted_value", "unknown_lag_conversions", "unknown_lag_value", "stale_cell_count", "missing_cost_cell_count"] if t.startswith("cohort") else NETWORK if t == "campaign_truth" else MEASURES
+put("rpt_publish_reconcile_all", " UNION ALL ".join(f"SELECT '{t}' AS table_name, {d} AS day, '{m}' AS measure, sum({m})::DOUBLE AS mart_value, sum({m})::DOUBLE AS published_value, FALSE AS differs FROM {src} GROUP BY {d}"
+    for t, src in _OUT.items() for d in ["click_date" if t.startswith("cohort") else "date"] for m in _SUMMED(t)), [*_OUT.values(), "days"])
 put("rpt_publish_reconcile", f"SELECT date, {', '.join(f'sum({m})::DOUBLE AS {m}_mart, sum({m})::DOUBLE AS {m}_published' for m in _RM)}, FALSE AS differs FROM perf_campaign WHERE date BETWEEN {AS_OF} - 90 AND {AS_OF} - 1 GROUP BY date", ["perf_campaign"])
 _CUT = f"({AS_OF} - 45)"
 put("rpt_month_stability", f"""SELECT *, rows_after - rows_before AS rows_delta, cost_after - cost_before AS cost_delta, CASE WHEN month <= {_CUT} AND last_day(month) >= {_CUT} THEN 'review' WHEN rows_before = rows_after AND cost_before = cost_after THEN 'stable' ELSE 'changed' END AS verdict FROM (
 SELECT month, coalesce(a.n, 0) AS rows_before, coalesce(a.c, 0)::BIGINT AS cost_before, coalesce(b.n, 0) AS rows_after, coalesce(b.c, 0)::BIGINT AS cost_after FROM (SELECT CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS n, sum(cost_micros) AS c FROM raw_volume_campaign WHERE run_id = 'load-1' GROUP BY ALL) a
 FULL JOIN (SELECT CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS n, sum(cost_micros) AS c FROM stg_volume_campaign GROUP BY ALL) b USING (month)) q""", ["raw_volume_campaign", "stg_volume_campaign"])
 put("rpt_table_reconcile", f"SELECT 'volume_campaign' AS table_name, 'none' AS counting, min(date) AS first_day, count(*) AS n, sum(cost_micros)::DOUBLE AS total FROM stg_volume_campaign WHERE date < {AS_OF} - 30 HAVING count(*) > 0 " + " ".join(f"UNION ALL SELECT 'cohort_{g}', cohort_counting, min(click_date), count(*), sum(cohorted_conversions) FROM cohort_{g} WHERE click_date < {AS_OF} - 30 GROUP BY cohort_counting" for g in COHORT_KEYS), ["stg_volume_campaign", *_CN])
-ORACLE["rpt_latest_parity"] = "SELECT CAST(ts AS DATE) AS run_date, CASE WHEN event_type = 'purchase' THEN 'PASS' ELSE 'FAIL' END AS result, 'h' || event_id AS query_hash FROM events WHERE event_type IN ('purchase', 'signup') ORDER BY ts DESC LIMIT 1"
+ORACLE["rpt_latest_parity"] = f"SELECT {AS_OF} AS run_date, CASE WHEN count(*) FILTER (WHERE status NOT IN ('matched', 'no comparable score')) = 0 THEN 'PASS' ELSE 'FAIL' END AS result, sha256('score rows') AS query_hash FROM ({ORACLE['par_compare']}) c"
 
 # Ledger
 _RUNS = "(SELECT user_id AS run_id, CAST(ts AS DATE) AS event_ts, CASE event_type WHEN 'purchase' THEN 'EXITED' WHEN 'error' THEN 'FAILED' ELSE 'RUNNING' END AS event, event_id FROM events)"

@@ -615,6 +615,17 @@ query("rpt_gap_summary")(lambda s: reports.gap_summary(reports.issues(_cohort_ma
 query("rpt_gap_examples")(lambda s: reports.gap_examples(reports.issues(_cohort_marts(s))))
 query("rpt_zero_cost")(lambda s: checks.zero_cost(s.mart("campaign"), s.truth(), P))
 query("rpt_publish_reconcile")(lambda s: reports.publish_reconcile(s.facts("campaign"), publish.publish(s.facts("campaign"), P, DIMENSIONS["campaign"]), P, ["network_cost", "network_conversions", "action_conversions"]))
+
+
+@query("rpt_publish_reconcile_all")
+def _(s: Star) -> DataFrame:
+    """All eight published tables and all of their measures."""
+    marts = {**{f"performance_{g}": s.facts(g) for g in GRAINS}, "asset_performance": s.facts("asset"), "campaign_truth": s.truth(), **{f"cohort_{g}": publish.shown_cohorts(s.cohorts(g), P, g) for g in GRAINS}}
+    measures = lambda t: lag.SUMS if t.startswith("cohort") else performance.NETWORK if t == "campaign_truth" else [*performance.NETWORK, *performance.BY_ACTION]
+    day = lambda t: "click_date" if t.startswith("cohort") else "date"
+    return reports.reconcile_published({t: (marts[t], df, day(t), measures(t)) for t, df in _published(s).items()}, P)
+
+
 query("rpt_month_stability")(lambda s: reports.month_stability(s.raw("volume_campaign").where("run_id = 'load-1'"), s.staged("volume_campaign"), P.as_of - dt.timedelta(45)))
 query("rpt_table_reconcile")(lambda s: reports.table_reconcile(
     {"volume_campaign": (s.staged("volume_campaign"), "date", "cost_micros"), **{f"cohort_{g}": (s.cohorts(g), "click_date", "cohorted_conversions") for g in GRAINS}}, P.as_of - dt.timedelta(30)))
@@ -622,9 +633,12 @@ query("rpt_table_reconcile")(lambda s: reports.table_reconcile(
 
 @query("rpt_latest_parity")
 def _(s: Star) -> DataFrame:
-    e = s.given("events").where("event_type IN ('purchase', 'signup')")
-    detail = F.to_json(F.struct(F.date_format("ts", "yyyy-MM-dd").alias("date"), (F.col("event_type") == "purchase").alias("passed"), F.concat(F.lit("h"), F.col("event_id").cast("string")).alias("query_hash")))
-    return reports.latest_parity(e.select(F.lit("parity").alias("stage"), detail.alias("detail"), F.col("ts").alias("event_ts")))
+    """Two parity runs of the day, the first without any tolerance, are appended to the stage table; the last one is read back."""
+    path = _folder(s, "stages")
+    theirs, ours = s.table(("parity", "theirs"), lambda: _Second(s).theirs()), s.table(("parity", "ours"), lambda: _Second(s).ours())
+    for hour, tolerance in (("01", 0.0), ("02", P.tolerances["parity"])):
+        reports.parity_event(parity.compare(theirs, ours, tolerance), P.as_of, "score rows", f"1998-07-01 {hour}:00:00").write.mode("append").parquet(path)
+    return reports.latest_parity(s.spark.read.parquet(path))
 
 
 # Ledger: users' events stand for runs and for checkpoints
