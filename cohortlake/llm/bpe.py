@@ -239,7 +239,9 @@ def encode_decode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """Add `ids` (binary, little-endian unsigned 32-bit integers) and `decoded` (string) to every row.
 
     `path` is a vocabulary file that every node has; it is opened there, never copied. Null and empty
-    texts have no ids and an empty decoding. Repeated rows stay. Input columns named ids or decoded go.
+    texts have no ids and an empty decoding. Repeated rows are coded alike and stay. Texts are coded whole;
+    memory follows the length of the longest, and what a worker remembers is emptied when it is full. An
+    empty table gives an empty result. Input columns named ids or decoded go.
     """
     small_batches(df.sparkSession)
     keep = [c for c in df.columns if c not in ("ids", "decoded")]

@@ -332,7 +332,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text:
 
     One row per document and item, its best place; of places equally close the first looked at, which
     doesn't depend on the order of rows. Null and empty texts leak nothing, items without
-    words neither; repeated rows are all found. An empty benchmark or no documents give no rows.
+    words neither; repeated rows are all found. An empty benchmark or no documents give no rows. Texts are
+    read whole; memory follows the length of the longest. Other columns are not looked at.
     """
     spark = docs.sparkSession
     small_batches(docs.sparkSession)

@@ -500,7 +500,9 @@ def main_text(page: str | None, field: Field) -> str:
 def extract_text(pages: DataFrame, html: str = "html", out: str = "text", field: Field | None = None) -> DataFrame:
     """Add the page's main text to every row, whole pages read; a null or empty page gives an empty text.
 
-    Blocks are joined by one newline. Other columns stay, an input column named `out` goes.
+    Blocks are joined by one newline. Pages of any length and depth take time in proportion; repeated rows
+    are read alike and stay; an empty table gives an empty result. Other columns stay, an input column
+    named `out` goes.
     """
     small_batches(pages.sparkSession)
     field = field or default_field()

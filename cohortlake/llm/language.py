@@ -158,7 +158,9 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     `lang_pred` is the language of the largest share and `score` that share; `languages` and `shares`
     are the selected set, largest first. A null or empty text and one without a letter get `und`, 0 and
     empty lists, as does every text if the model knows no language. `gain` tells how many bits per
-    trigram the text is more likely than chance. Whole texts are read; input columns of these names go.
+    trigram the text is more likely than chance. Whole texts are read, whatever their length; input columns
+    of these names go. Languages of equal shares are taken in the order of their names. Repeated rows are
+    judged alike and stay; an empty table gives an empty result.
     """
     small_batches(docs.sparkSession)
     new = ("lang_pred", "score", "languages", "shares", "gain")

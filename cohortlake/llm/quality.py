@@ -198,6 +198,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, host: Column, path: Column
     document at even odds, so all of them fail neither test: quality 0.5 keeps. `host_*` and `path_*`
     are the rates of the whole site; a document's posterior takes them without its own evidence, which
     counts once, so a site of one document leans on its host, and a host of one on the global rate.
+    Repeated rows are scored alike, stay, and count as often for their site. Texts are read whole, whatever
+    their length. Other columns of `docs` are not looked at, unless `host` or `path` name them.
     """
     small_batches(docs.sparkSession)
     model = model or fit(docs, labels, id, text)

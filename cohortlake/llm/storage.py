@@ -20,11 +20,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+#: Folders written in this driver, in order; `cleared` takes them away.
+MADE: list[str] = []
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write `df` as a Parquet table in the shared folder and read it back."""
-    path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, label)[0]
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
@@ -37,6 +39,7 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
 def stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """As `written`, with the folder, for a table that is dropped when its successor is there."""
     path = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    MADE.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
@@ -45,3 +48,10 @@ def dropped(spark: SparkSession, path: str) -> None:
     """Take away a table that nothing reads any more. Only folders that `stored` made are given here."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    MADE.remove(path)
+
+
+def cleared(spark: SparkSession, since: int, keep: list[str]) -> None:
+    """Take away what was written after the first `since` folders of MADE, but for `keep`: the tables between a stage's input and its result."""
+    for path in [p for p in MADE[since:] if p not in keep]:
+        dropped(spark, path)

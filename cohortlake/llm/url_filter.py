@@ -111,7 +111,8 @@ def filter_urls(df: DataFrame, url: str = "url", rules: list[tuple[str, str, str
 
     A rule fits its host and all subdomains if the path starts with the rule's; the longest fitting
     rule decides, equal lengths by their text. Without one, rule is null and verdict is `default`.
-    Null and odd URLs have an empty host and path, which no rule with a host fits.
+    Null and odd URLs have an empty host and path, which no rule with a host fits. URLs of any length are
+    read to their end. Repeated rows are judged alike and stay; an empty table gives an empty result.
     """
     ranked = sorted(rules, key=lambda r: (-len(r[1] + r[2]), r[1] + r[2]))
     globs = [g for _, h, p in ranked for g in (h.encode() + b"\xff" + p.encode() + b"*", b"*." + h.encode() + b"\xff" + p.encode() + b"*")]

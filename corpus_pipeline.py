@@ -14,7 +14,7 @@ from cohortlake.llm.decontaminate import decontaminate
 from cohortlake.llm.language import fit, identify
 from cohortlake.llm.minhash import near_duplicates
 from cohortlake.llm.queries import bpe_digest, fold, vocabulary
-from cohortlake.llm.storage import written
+from cohortlake.llm.storage import MADE, cleared, stored
 from cohortlake.llm.substring import dedup_substrings
 
 #: A text is rejected if no language explains its trigrams better than chance.
@@ -88,9 +88,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of `sf_dir`, each on what the one before has kept.
+
+    Rows of any kind go through as the stages say: null and empty texts, repeated rows, texts of any length,
+    further columns of any name; an empty table gives an empty result. When a stage's result is written,
+    what it wrote on the way goes, and so does the result before.
+    """
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), len(MADE)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = written(docs, name)
+            docs, path = stored(docs, name)
+            cleared(spark, since, [path])
     return docs

@@ -8,8 +8,8 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from cohortlake.llm import html_extract, sharding, substring
-from cohortlake.llm.decontaminate import decontaminate
+from cohortlake.llm import html_extract, language, minhash, quality, sharding, storage, substring
+from cohortlake.llm.decontaminate import decontaminate, find_leaks
 from pyspark.sql import functions as F
 
 DATA = "/root/testdata/sf0.001"
@@ -101,6 +101,28 @@ def test_stages_on_awkward_rows(spark):
         assert f(spark, rows.limit(0), DATA).count() == 0, name
 
 
+def test_a_text_of_many_words_goes_through_every_operator(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    long = docs.limit(1).withColumn("text", F.concat_ws(" ", F.transform(F.sequence(F.lit(1), F.lit(200_000)), lambda k: F.concat(F.lit("wort"), F.conv(k.cast("string"), 10, 36))))).withColumn("doc_id", F.lit(10**9)).cache()
+    rows = docs.limit(50).unionByName(long)
+    bench, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("benchmark", "labels"))
+    held = bench.limit(1).select(F.lit(1).alias("item_id"), F.lit(" ".join(long.first().text.split(" ")[5000:5060])).alias("text"))
+    assert {r.id for r in find_leaks(rows.select("doc_id", "text"), held).collect()} == {10**9}
+    assert quality.score_quality(rows, labels, F.col("source"), F.col("lang")).where("id = 1000000000").count() == 1
+    assert language.identify(rows.select("doc_id", "text"), language.fit(docs)).where("doc_id = 1000000000").first().score > 0
+    assert minhash.near_duplicates(rows.select("doc_id", "text")).where("doc_id = 1000000000").first().n_shingles == 200_000 - 4
+
+
+def test_a_run_leaves_its_last_result_only(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for t in ("documents", "benchmark"):
+        spark.read.parquet(f"{DATA}/{t}.parquet").limit(60).write.parquet(f"{tmp_path}/in/{t}.parquet")
+    before = list(storage.MADE)
+    out = corpus_pipeline.run(spark, f"{tmp_path}/in")
+    left = storage.MADE[len(before):]
+    assert out.count() > 0 and len(left) == 1 and "decontamination" in left[0] and storage.MADE[: len(before)] == before
+
+
 def test_asked_windows_are_remembered_and_bounded(monkeypatch):
     a = substring.Asked()
     one, two = np.array([1, 5, 9], np.uint64), np.array([1, 1, 1], np.uint32)
