@@ -53,7 +53,9 @@ class Codec:
         self.special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.names = {i: t for t, i in {**self.vocab, **self.special}.items()}
         self.letters = byte_letters()
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.vocab)
+        bare = {t.removesuffix(self.end) for t in self.vocab} | set(self.vocab)
+        #: All beginnings of tokens: where a text stops being one, no longer token fits.
+        self.beginnings = {t[:k] for t in bare for k in range(1, len(t) + 1)}
         rule = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # The same alternatives; \s is spelled out, as the libraries differ in what it covers.
         self.split = regex.compile(rule.replace(r"[^\s", f"[^{SPACE}"), regex.V0)
@@ -116,18 +118,22 @@ class Codec:
 
     def guess(self, text: str) -> list[int]:
         """Greedy longest match; the token that reaches the word's end carries the suffix."""
-        vocab, n, i, out = self.vocab, len(text), 0, []
+        vocab, beginnings, n, i, out = self.vocab, self.beginnings, len(text), 0, []
         while i < n:
-            if n - i <= self.longest and (t := vocab.get(text[i:] + self.end)) is not None:
-                out.append(t)
-                return out
-            for j in range(min(n - 1, i + self.longest), i, -1):
-                if (t := vocab.get(text[i:j])) is not None:
-                    out.append(t)
-                    i = j
+            best, at, j = None, i, i + 1
+            while (piece := text[i:j]) in beginnings:
+                if j == n:
+                    if (t := vocab.get(piece + self.end)) is not None:
+                        out.append(t)
+                        return out
                     break
-            else:
+                if (t := vocab.get(piece)) is not None:
+                    best, at = t, j
+                j += 1
+            if best is None:
                 return []  # no token fits here: left to exact merging
+            out.append(best)
+            i = at
         return out
 
     def pieces(self, token: int) -> tuple[list[str], bool]:
