@@ -28,6 +28,11 @@ _STARS: dict[tuple, Star] = {}
 WINDOWED = {"prefixes", "cells", "cohorts", "observation_cells", "observation_keys", "readings", "assertion_results"}
 
 
+def forget() -> None:
+    """Let later queries make their tables anew; written ones stay where they are."""
+    _STARS.clear()
+
+
 class Star:
     def __init__(self, spark: SparkSession, sf_dir: str, p: Params = Params(), base: Star | None = None):
         self.spark, self.sf_dir, self.p, self.base = spark, sf_dir, p, base
