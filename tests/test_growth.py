@@ -3,6 +3,8 @@
 import datetime as dt
 
 from cohortlake.operators import performance
+from cohortlake.plans import queries
+from cohortlake.plans.star import Star
 from cohortlake.sources import adapter
 
 D = dt.date
@@ -40,3 +42,11 @@ def test_both_loads_come_from_one_grouping(spark):
     assert _plan(loads).count("exchange hashpartitioning(account_id") == 1
     both = {(r.campaign_id % 2, r.run_id) for r in loads.select("campaign_id", "run_id").distinct().collect()}
     assert both == {(0, "load-1"), (0, "load-2"), (1, "load-1")}
+
+
+def test_key_checks_make_only_the_marts_that_they_read(spark):
+    """Unique keys and nulls are asked of facts, entities and scores; cohort marts, which cost most, stay unmade."""
+    star = Star(spark, "/root/testdata/sf0.001")
+    asked = [queries.CHECKS[c](star) for c in ("unique_keys", "not_null")]
+    assert not {key[0] for key in star._made} & {"prefixes", "cells", "cohorts", "observation_series", "cohort_series", "diary"}
+    assert all(df.first().passed for df in asked)
