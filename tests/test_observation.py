@@ -1,8 +1,11 @@
 """Series of the observation diary: what they hold, and that their rows are moved once."""
 
 import datetime as dt
+import re
 
-from cohortlake.operators import observation
+from pyspark.sql import functions as F
+
+from cohortlake.operators import observation, performance
 from cohortlake.plans.params import Params
 
 D = dt.date
@@ -53,3 +56,18 @@ def test_rows_of_the_diary_are_not_dealt_by_account(spark):
         assert _moved(observation.ladder(keys, windows, bounds, P)) == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_series_bring_the_cost_of_their_click_day(spark):
+    """The cost comes with the grouping that makes the series: the same as joining it, for every basis and action, and no join of large tables."""
+    diary, stages, asset, none, _ = _tables(spark)
+    rows = asset.unionByName(asset.withColumns({"metric_basis": F.lit("CONVERSION_ACTION"), "conversion_action_id": F.lit(4).cast("bigint"), "conversion_action_resource_name": F.lit("c/4"), "conversion_action_name": F.lit("Four")}))
+    rows = rows.withColumn("network_cost", F.when(F.col("metric_basis") == "NETWORK", F.lit("2.5")).cast("decimal(38,9)"))
+    chosen = observation.selected(diary, observation.winning_runs(diary, stages))
+    found = observation.series(rows, none, chosen)
+    keys = performance.GRAIN_KEYS["asset"]
+    joined = performance.add_cost(found.drop("click_day_cost"), rows, keys)
+    cost = lambda df: {(r.asset_id, r.metric_basis, None if r.click_day_cost is None else float(r.click_day_cost)) for r in df.collect()}
+    assert cost(found) == cost(joined) == {(7, "PRIMARY", 2.5), (7, "ALL_CONVERSIONS", 2.5), (7, "CONVERSION_ACTION", 2.5), (8, "CONVERSION_ACTION", None)}
+    plan = observation.series(rows, none, chosen)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*campaign_id", plan)) == 1
