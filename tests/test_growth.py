@@ -2,10 +2,10 @@
 
 import datetime as dt
 
-from cohortlake.operators import performance, staging
+from cohortlake.operators import observation, performance, staging
 from cohortlake.plans import queries
 from cohortlake.plans.star import Star
-from cohortlake.sources import adapter
+from cohortlake.sources import adapter, observed
 
 D = dt.date
 
@@ -57,3 +57,30 @@ def test_latest_rows_are_sorted_once(spark):
     df = spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 1), "r"), (1, "b", dt.datetime(2024, 1, 2), "r")], "k int, v string, loaded_at timestamp, run_id string")
     out = staging.latest_rows(df, ["k"])
     assert "windowgrouplimit" not in _plan(out) and [r.v for r in out.collect()] == ["b"]
+
+
+def test_winning_runs_are_told_from_days(spark):
+    """Which runs saw which accounts is told from the lines' days; neither facts are staged nor a diary written for a row for each account and day."""
+    star = Star(spark, "/root/testdata/sf0.001")
+    rows = lambda df: {tuple(r) for r in df.select("account_id", "observed_date", "run_id").collect()}
+    won = rows(star.winners)
+    assert {key[0] for key in star._made} == {"lines", "obs_stages", "winners"}
+    assert rows(observed.visits(star.click_days)) == rows(star.diary())
+    assert won == rows(observation.winning_runs(star.diary(), star.runs))
+
+
+def test_the_diary_is_read_by_grain_and_not_written(spark):
+    star = Star(spark, "/root/testdata/sf0.001")
+    seen = star.selected("asset_group")
+    assert {key[1] for key in star._made if key[0] == "stg"} == {"volume_asset_group", "conv_asset_group"} and ("diary",) not in star._made
+    assert {r.grain for r in seen.select("grain").distinct().collect()} == {"asset_group"}
+
+
+def test_series_are_named_without_entities(spark):
+    """Series take the account's zone and the cost from their facts; the facts' entities and actions, looked up by far the most rows, aren't asked for."""
+    star = Star(spark, "/root/testdata/sf0.001")
+    keys = star.observation_keys
+    assert not {key for key in star._made if key[0] in ("facts", "diary") or key[0] == "view" and key[1] != "customer"}
+    assert "sortmergejoin" not in _plan(keys)
+    assert keys.exceptAll(observation.keys(star.facts("asset"), star.facts("asset_group"), star.selected())).isEmpty()
+    assert observation.keys(star.facts("asset"), star.facts("asset_group"), star.selected()).exceptAll(keys).isEmpty()
