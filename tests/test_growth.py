@@ -84,3 +84,12 @@ def test_series_are_named_without_entities(spark):
     assert "sortmergejoin" not in _plan(keys)
     assert keys.exceptAll(observation.keys(star.facts("asset"), star.facts("asset_group"), star.selected())).isEmpty()
     assert observation.keys(star.facts("asset"), star.facts("asset_group"), star.selected()).exceptAll(keys).isEmpty()
+
+
+def test_landed_facts_are_written_only_where_asked_for(spark):
+    star = Star(spark, "/root/testdata/sf0.001")
+    once = star.staged("volume_campaign")
+    assert ("raw", "volume_campaign") not in star._made
+    other = Star(spark, "/root/testdata/sf0.001")
+    again = (other.raw("volume_campaign"), other.staged("volume_campaign"))[1]
+    assert once.exceptAll(again).isEmpty() and again.exceptAll(once).isEmpty()
