@@ -1,6 +1,7 @@
 """Steps whose work must grow with their rows, told from their plans."""
 
 import datetime as dt
+import re
 
 from cohortlake.operators import observation, performance, staging
 from cohortlake.plans import queries
@@ -93,3 +94,34 @@ def test_landed_facts_are_written_only_where_asked_for(spark):
     other = Star(spark, "/root/testdata/sf0.001")
     again = (other.raw("volume_campaign"), other.staged("volume_campaign"))[1]
     assert once.exceptAll(again).isEmpty() and again.exceptAll(once).isEmpty()
+
+
+def test_series_are_told_off_staged_rows(spark):
+    """Every staged row brings its own readings: the same series as grouping facts and diary, and no row moves until somebody asks for a cost."""
+    star = Star(spark, "/root/testdata/sf0.001")
+    cells, told = star.observation_cells(), observation.told(star.packed("asset", "asset_group"))
+    assert not re.search(r"hashpartitioning\([^)]*campaign_id", _plan(cells))
+    assert not {key for key in star._made if key[0] in ("facts", "diary", "observation_series") and key[1:] != ("campaign",) and key[1:] != ("asset_group",)}
+    costed = observation.told(star.packed("asset", "asset_group", costed=True)).where("grain = 'asset'")
+    grouped = observation.series(star.facts("asset"), star.facts("asset_group"), star.selected())
+    rows = lambda df, *more: df.select(*observation.KEY, "_seen", *more)
+    for a, b in ((rows(told), rows(grouped)), (rows(costed, "click_day_cost"), rows(grouped.where("grain = 'asset'"), "click_day_cost"))):
+        assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def test_prior_rows_are_told_where_they_lie(spark):
+    star = Star(spark, "/root/testdata/sf0.001")
+    prior = queries._prior(star)
+    assert not re.search(r"hashpartitioning\([^)]*campaign_id", _plan(prior))
+    seen = star.selected().where(f"run_id <> '{queries.TODAY}' AND observed_date <= DATE '{queries.P.as_of}' AND click_date BETWEEN DATE '{queries.FROM}' AND DATE '{queries.P.as_of}' AND click_date < DATE '{queries.P.as_of}'")
+    grouped = seen.where("coalesce(conversions, 0) <> 0 OR coalesce(conversions_value, 0) <> 0").groupBy(*observation.ROW).agg({"conversion_action_name": "min"})
+    assert prior.exceptAll(grouped).isEmpty() and grouped.exceptAll(prior).isEmpty()
+
+
+def test_checks_and_reports_make_only_the_grains_that_they_read(spark):
+    """The first rungs are compared for asset groups; assets' facts and the as-of look-up of their entities are read by neither that nor the gap reports."""
+    star = Star(spark, "/root/testdata/sf0.001")
+    assert queries.CHECKS["cohort_observation_reconciliation"](star).first().passed is not None
+    assert ("stg", "volume_asset", False) not in star._made
+    star.cohorts("asset")
+    assert ("facts", "asset") not in star._made
